@@ -1,0 +1,101 @@
+"""Named analytic queries over the supplied test tables.
+
+Roles: customer = users, part = items, orders joined to lineitem =
+interactions (user o_custkey, item l_partkey, time o_orderdate, label
+l_quantity), events = event stream, embeddings = vectors.  Every query reads
+whole tables; floats are rounded to 6 places for the oracle comparison.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidalrec.operators import metrics as M
+from tidalrec.operators import split as S
+from tidalrec.operators import topk as K
+from tidalrec.sources import tables as TB
+from tidalrec.spec import tpch_spec
+
+VAL_T = 0.2
+KS = (5, 10, 20)
+TOPK = 10
+
+
+def R(col, name=None):
+    """Round a double column to 6 places for comparison."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(c.cast("double"), 6).alias(name or col)
+
+
+def spec():
+    return tpch_spec()
+
+
+def split_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    x = TB.interactions(spark, sf)
+    return S.split_by_time(x, "o_orderdate", VAL_T)
+
+
+# ---- step 1: split, seen sets, popularity top-k, ranking metrics ------------------
+
+def time_split_rows(spark, sf):
+    x = TB.interactions(spark, sf)
+    t = S.tag_split(x, "o_orderdate", VAL_T)
+    return t.select("row_key", F.col("o_custkey").alias("user_id"),
+                    F.col("l_partkey").alias("item_id"), "is_train")
+
+
+def _pairs(spark, sf, side: str):
+    train, val = split_parts(spark, sf)
+    sp = spec()
+    src = train if side == "train" else val
+    return K.known_pairs(src, TB.users(spark, sf), TB.items(spark, sf),
+                         sp.inter_user, sp.inter_item, sp.user_id, sp.item_id)
+
+
+def known_pairs(spark, sf):
+    return _pairs(spark, sf, "val")
+
+
+def user_item_sets(spark, sf):
+    s = K.user_item_sets(_pairs(spark, sf, "train"))
+    return s.select("user_id", F.size("items").cast("bigint").alias("n_items"),
+                    F.array_join("items", ",").alias("items"))
+
+
+def _popularity_topk(spark, sf, k):
+    train, _ = split_parts(spark, sf)
+    return K.popularity_topk_unseen(train, TB.users(spark, sf), TB.items(spark, sf), spec(), k)
+
+
+def popularity_topk_unseen(spark, sf):
+    return _popularity_topk(spark, sf, TOPK)
+
+
+def _metrics_per_user(spark, sf):
+    topk = _popularity_topk(spark, sf, max(KS))
+    rel = _pairs(spark, sf, "val")
+    return M.ranking_metrics_per_user(topk, rel, list(KS))
+
+
+def ranking_metrics_per_user(spark, sf):
+    d = _metrics_per_user(spark, sf)
+    return d.select(*[R(c) if c not in ("user_id", "n_rel") else F.col(c) for c in d.columns])
+
+
+def ranking_metrics_macro(spark, sf):
+    d = M.macro_average(_metrics_per_user(spark, sf))
+    return d.select(*[R(c) if c != "n_users" else F.col(c) for c in d.columns])
+
+
+QUERIES = {
+    "time_split_rows": time_split_rows,
+    "known_pairs": known_pairs,
+    "user_item_sets": user_item_sets,
+    "popularity_topk_unseen": popularity_topk_unseen,
+    "ranking_metrics_per_user": ranking_metrics_per_user,
+    "ranking_metrics_macro": ranking_metrics_macro,
+}

@@ -1,0 +1,86 @@
+"""Independent DuckDB SQL for each registered query (brute force where the
+Spark plan is clever)."""
+
+# interactions, the split threshold and the train / val tags
+X = """
+x AS (
+  SELECT o.o_custkey, l.l_partkey, o.o_orderdate, l.l_quantity, l.l_orderkey, l.l_linenumber,
+         l.l_suppkey, concat_ws('|', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS row_key,
+         epoch_us(o.o_orderdate) AS ts_us
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+b AS (SELECT min(ts_us) AS lo, max(ts_us) AS hi FROM x),
+t AS (SELECT x.*, (x.ts_us::DOUBLE <= b.lo::DOUBLE + (b.hi - b.lo)::DOUBLE * 0.8::DOUBLE) AS is_train
+      FROM x CROSS JOIN b),
+train AS (SELECT * FROM t WHERE is_train),
+val AS (SELECT * FROM t WHERE NOT is_train),
+seen AS (SELECT DISTINCT o_custkey AS user_id, l_partkey AS item_id FROM train
+         WHERE o_custkey IN (SELECT c_custkey FROM customer) AND l_partkey IN (SELECT p_partkey FROM part)),
+rel AS (SELECT DISTINCT o_custkey AS user_id, l_partkey AS item_id FROM val
+        WHERE o_custkey IN (SELECT c_custkey FROM customer) AND l_partkey IN (SELECT p_partkey FROM part))
+"""
+
+
+def W(*ctes: str) -> str:
+    return "WITH " + ",\n".join(c.strip() for c in (X,) + ctes) + "\n"
+
+
+POP = """
+pop AS (SELECT p.p_partkey AS item_id, COALESCE(c.cnt, 0)::BIGINT AS score
+        FROM part p LEFT JOIN (SELECT l_partkey, count(*) AS cnt FROM train GROUP BY 1) c
+        ON c.l_partkey = p.p_partkey)
+"""
+
+
+def pop_topk(k: int) -> str:
+    return f"""
+cand AS (SELECT u.c_custkey AS user_id, pop.item_id, pop.score FROM customer u CROSS JOIN pop
+         WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.c_custkey AND s.item_id = pop.item_id)),
+topk AS (SELECT * FROM (SELECT user_id, item_id, score,
+           row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id ASC) AS rank FROM cand)
+         WHERE rank <= {k})
+"""
+
+
+def per_user_sql(ks=(5, 10, 20)) -> str:
+    cols = []
+    for k in ks:
+        h = f"count(*) FILTER (WHERE tk.rank <= {k} AND r.item_id IS NOT NULL)::DOUBLE"
+        d = f"COALESCE(sum(CASE WHEN tk.rank <= {k} AND r.item_id IS NOT NULL THEN 1.0 / log2(tk.rank + 1.0) ELSE 0.0 END), 0.0)"
+        idcg = f"list_sum(list_transform(range(1, least(n.n_rel, {k}) + 1), lambda i: 1.0 / log2(i + 1.0)))"
+        cols += [
+            f"round({h} / n.n_rel, 6) AS recall_at_{k}",
+            f"round({h} / {k}.0, 6) AS precision_at_{k}",
+            f"round(CASE WHEN {h} > 0 THEN 1.0 ELSE 0.0 END, 6) AS hit_at_{k}",
+            f"round({d}, 6) AS dcg_at_{k}",
+            f"round({d} / {idcg}, 6) AS ndcg_at_{k}",
+        ]
+    cols.append("round(COALESCE(1.0 / min(CASE WHEN r.item_id IS NOT NULL THEN tk.rank END), 0.0), 6) AS mrr")
+    return f"""
+nrel AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY 1),
+per_user AS (
+  SELECT n.user_id, n.n_rel, {", ".join(cols)}
+  FROM nrel n LEFT JOIN topk tk ON tk.user_id = n.user_id
+  LEFT JOIN rel r ON r.user_id = tk.user_id AND r.item_id = tk.item_id
+  GROUP BY n.user_id, n.n_rel)
+"""
+
+
+def _metric_names(ks=(5, 10, 20)):
+    out = []
+    for k in ks:
+        out += [f"recall_at_{k}", f"precision_at_{k}", f"hit_at_{k}", f"dcg_at_{k}", f"ndcg_at_{k}"]
+    return out + ["mrr"]
+
+
+SQL = {
+    "time_split_rows": W() + "SELECT row_key, o_custkey AS user_id, l_partkey AS item_id, is_train FROM t",
+    "known_pairs": W() + "SELECT user_id, item_id FROM rel",
+    "user_item_sets": W() + """SELECT user_id, count(*)::BIGINT AS n_items,
+        string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS items FROM seen GROUP BY user_id""",
+    "popularity_topk_unseen": W(POP, pop_topk(10)) +
+        "SELECT user_id, rank::INTEGER AS rank, item_id, score FROM topk",
+    "ranking_metrics_per_user": W(POP, pop_topk(20), per_user_sql()) + "SELECT * FROM per_user",
+    "ranking_metrics_macro": W(POP, pop_topk(20), per_user_sql()) +
+        "SELECT count(*) AS n_users, " +
+        ", ".join(f"round(avg({m}), 6) AS {m}" for m in _metric_names()) + " FROM per_user",
+}
