@@ -99,3 +99,150 @@ QUERIES = {
     "ranking_metrics_per_user": ranking_metrics_per_user,
     "ranking_metrics_macro": ranking_metrics_macro,
 }
+
+
+# ---- step 2: vocabularies, scalers, feature store --------------------------------
+
+from tidalrec.operators import store as ST  # noqa: E402
+from tidalrec.operators import vocab as V  # noqa: E402
+
+ITEM_CAT = ["p_brand", "p_type", "p_size"]
+TAIL_MIN = {"p_partkey": 5, "p_brand": 80, "p_type": 5, "p_size": 30}
+ENC_MIN_USER = {"c_custkey": 40, "c_mktsegment": 5, "c_nationkey": 5}
+ENC_MIN_ITEM = {"p_partkey": 30, "p_brand": 80, "p_type": 5, "p_size": 30}
+
+
+def _vocab_cols(df):
+    return df.select("column", "value", F.col("cnt").cast("bigint").alias("cnt"),
+                     F.col("token_index").cast("bigint").alias("token_index"), "is_tail")
+
+
+def value_counts(spark, sf):
+    return V.value_counts([(TB.items(spark, sf), {c: c for c in ITEM_CAT})])
+
+
+def id_counts_multi_source(spark, sf):
+    train, _ = split_parts(spark, sf)
+    return V.value_counts([(TB.users(spark, sf), {"c_custkey": "c_custkey"}),
+                           (train, {"o_custkey": "c_custkey"})])
+
+
+def vocab_fit(spark, sf):
+    counts = V.value_counts([(TB.items(spark, sf), {c: c for c in ITEM_CAT})])
+    return _vocab_cols(V.fit_vocabulary(counts, {c: 1 for c in ITEM_CAT}))
+
+
+def _item_vocab(spark, sf, mins):
+    train, _ = split_parts(spark, sf)
+    cols = ["p_partkey", *ITEM_CAT]
+    counts = V.value_counts([(TB.items(spark, sf), {c: c for c in cols}),
+                             (train, {"l_partkey": "p_partkey"})])
+    return V.fit_vocabulary(counts, mins)
+
+
+def _user_vocab(spark, sf, mins):
+    train, _ = split_parts(spark, sf)
+    cols = ["c_custkey", "c_mktsegment", "c_nationkey"]
+    counts = V.value_counts([(TB.users(spark, sf), {c: c for c in cols}),
+                             (train, {"o_custkey": "c_custkey"})])
+    return V.fit_vocabulary(counts, mins)
+
+
+def vocab_fit_tail(spark, sf):
+    return _vocab_cols(_item_vocab(spark, sf, TAIL_MIN))
+
+
+def vocab_cardinality(spark, sf):
+    iv = V.cardinality(_item_vocab(spark, sf, TAIL_MIN), TAIL_MIN)
+    uv = V.cardinality(_user_vocab(spark, sf, ENC_MIN_USER), ENC_MIN_USER)
+    return iv.unionByName(uv)
+
+
+def vocab_encode(spark, sf):
+    _, val = split_parts(spark, sf)
+    uv = _user_vocab(spark, sf, ENC_MIN_USER)
+    iv = _item_vocab(spark, sf, ENC_MIN_ITEM)
+    out = V.encode_column(val, uv, "o_custkey", "c_custkey", out="user_token")
+    out = V.encode_column(out, iv, "l_partkey", "p_partkey", out="item_token")
+    return out.select("row_key", "user_token", "item_token")
+
+
+def vocab_mismatch(spark, sf):
+    items = TB.items(spark, sf)
+    cols = ["p_partkey", *ITEM_CAT]
+    mins = {c: 5 for c in cols}
+    left = V.fit_vocabulary(V.value_counts([(items, {c: c for c in cols})]), mins)
+    right = _item_vocab(spark, sf, mins)
+    return V.vocab_mismatch(left, right)
+
+
+def dense_fit(spark, sf):
+    u = TB.users(spark, sf).select(
+        "c_acctbal", F.lit(7.0).alias("const_col"), F.lit(None).cast("double").alias("empty_col"),
+        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal").cast("string")).otherwise(F.lit("n/a"))
+        .alias("text_col"))
+    s1 = V.fit_scalers(u, ["c_acctbal", "const_col", "empty_col", "text_col"])
+    s2 = V.fit_scalers(TB.items(spark, sf), ["p_retailprice"])
+    s = s1.unionByName(s2)
+    return s.select("column", R("mean"), R("std"))
+
+
+def dense_transform(spark, sf):
+    u = TB.users(spark, sf)
+    s = V.fit_scalers(u, ["c_acctbal"])
+    return V.scale_columns(u, s, ["c_acctbal"]).select("c_custkey", R("c_acctbal"))
+
+
+def _stores(spark, sf):
+    train, _ = split_parts(spark, sf)
+    sp = tpch_spec(min_counts={**ENC_MIN_USER, **ENC_MIN_ITEM})
+    uenc, ienc = V.build_encoders(TB.users(spark, sf), TB.items(spark, sf), train, sp)
+    us = ST.build_store(TB.users(spark, sf), uenc, "c_custkey")
+    its = ST.build_store(TB.items(spark, sf), ienc, "p_partkey")
+    return us, its
+
+
+def _store_out(st):
+    t = st.table
+    return t.select("id_key", F.col("position").cast("bigint").alias("position"),
+                    *[F.col(c) for c in st.cat_cols], *[R(c) for c in st.dense_cols])
+
+
+def encode_users(spark, sf):
+    return _store_out(_stores(spark, sf)[0])
+
+
+def encode_items(spark, sf):
+    return _store_out(_stores(spark, sf)[1])
+
+
+def entity_positions(spark, sf):
+    return ST.entity_positions(TB.items(spark, sf), "p_partkey").select(
+        "id_key", "p_partkey", "position", "row_index")
+
+
+def feature_lookup_unknown(spark, sf):
+    us, _ = _stores(spark, sf)
+    o = TB.load(spark, sf, "orders")
+    ids = (o.select(F.col("o_custkey").alias("lookup_id"))
+           .unionByName(o.select((-F.col("o_custkey") - 1).alias("lookup_id"))).distinct())
+    out = us.lookup(ids, "lookup_id", prefix="user_")
+    return out.select("lookup_id", F.col("position").cast("bigint").alias("position"),
+                      "user_c_custkey", "user_c_mktsegment", "user_c_nationkey", R("user_c_acctbal"))
+
+
+QUERIES.update({
+    "value_counts": value_counts,
+    "id_counts_multi_source": id_counts_multi_source,
+    "vocab_fit": vocab_fit,
+    "vocab_fit_tail": vocab_fit_tail,
+    "vocab_cardinality": vocab_cardinality,
+    "vocab_encode": vocab_encode,
+    "vocab_mismatch": vocab_mismatch,
+    "dense_fit": dense_fit,
+    "dense_transform": dense_transform,
+    "encode_users": encode_users,
+    "encode_items": encode_items,
+    "entity_positions": entity_positions,
+    "feature_lookup_unknown": feature_lookup_unknown,
+})

@@ -84,3 +84,127 @@ SQL = {
         "SELECT count(*) AS n_users, " +
         ", ".join(f"round(avg({m}), 6) AS {m}" for m in _metric_names()) + " FROM per_user",
 }
+
+
+# ---- step 2: vocabularies, scalers, store ------------------------------------------
+
+def counts_sql(name: str, sources: list[tuple[str, dict[str, str]]]) -> str:
+    parts = []
+    for table, m in sources:
+        for src, col in m.items():
+            parts.append(f"SELECT '{col}' AS \"column\", COALESCE(CAST({src} AS VARCHAR), 'None') AS value FROM {table}")
+    return f"""{name} AS (SELECT "column", value, count(*)::BIGINT AS cnt FROM ({' UNION ALL '.join(parts)}) GROUP BY 1, 2)"""
+
+
+def vocab_sql(name: str, counts: str, mins: dict[str, int]) -> str:
+    vals = ", ".join(f"('{c}', {m})" for c, m in mins.items())
+    return f"""
+{name}_thr AS (SELECT * FROM (VALUES {vals}) AS v("column", min_count)),
+{name}_j AS (SELECT c.*, t.min_count, c.cnt < greatest(t.min_count, 1) AS is_tail
+             FROM {counts} c JOIN {name}_thr t ON c."column" = t."column"),
+{name}_head AS (SELECT "column", value, cnt,
+                row_number() OVER (PARTITION BY "column" ORDER BY value) AS token_index, is_tail, min_count
+                FROM {name}_j WHERE NOT is_tail),
+{name}_nh AS (SELECT "column", max(token_index) AS n_head FROM {name}_head GROUP BY 1),
+{name} AS (SELECT "column", value, cnt, token_index::BIGINT AS token_index, is_tail, min_count FROM {name}_head
+           UNION ALL
+           SELECT j."column", j.value, j.cnt, (COALESCE(nh.n_head, 0) + 1)::BIGINT, j.is_tail, j.min_count
+           FROM {name}_j j LEFT JOIN {name}_nh nh ON j."column" = nh."column" WHERE j.is_tail)
+"""
+
+
+def card_sql(name: str, vocab: str, mins: dict[str, int]) -> str:
+    return f"""
+{name} AS (SELECT t."column", (COALESCE(n.n_head, 0) + 1 + CASE WHEN t.min_count > 1 THEN 1 ELSE 0 END)::BIGINT AS cardinality
+           FROM {vocab}_thr t LEFT JOIN (SELECT "column", count(*) FILTER (WHERE NOT is_tail) AS n_head
+                                        FROM {vocab} GROUP BY 1) n ON t."column" = n."column")
+"""
+
+
+ITEM_CAT = ["p_brand", "p_type", "p_size"]
+TAIL_MIN = {"p_partkey": 5, "p_brand": 80, "p_type": 5, "p_size": 30}
+ENC_MIN_USER = {"c_custkey": 40, "c_mktsegment": 5, "c_nationkey": 5}
+ENC_MIN_ITEM = {"p_partkey": 30, "p_brand": 80, "p_type": 5, "p_size": 30}
+
+ITEM_SRC = [("part", {c: c for c in ["p_partkey", *ITEM_CAT]}), ("train", {"l_partkey": "p_partkey"})]
+USER_SRC = [("customer", {c: c for c in ["c_custkey", "c_mktsegment", "c_nationkey"]}),
+            ("train", {"o_custkey": "c_custkey"})]
+
+VC = 'SELECT "column", value, cnt, token_index, is_tail'
+
+
+def tok(vocab: str, column: str, expr: str, alias: str) -> str:
+    return (f"COALESCE((SELECT v.token_index FROM {vocab} v WHERE v.\"column\" = '{column}' "
+            f"AND v.value = COALESCE(CAST({expr} AS VARCHAR), 'None')), 0)::BIGINT AS {alias}")
+
+
+SCALE = """
+sc AS (SELECT avg(x) AS m, CASE WHEN stddev_pop(x) IS NULL OR stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS s
+       FROM (SELECT CASE WHEN isnan({col}) THEN NULL ELSE {col}::DOUBLE END AS x FROM {table}))
+"""
+
+
+def store_sql(table: str, id_col: str, cats: list[str], dense: str, vocab: str) -> str:
+    toks = ", ".join(tok(vocab, c, f"e.{c}", c) for c in [id_col, *cats])
+    return (f"SELECT CAST(e.{id_col} AS VARCHAR) AS id_key, "
+            f"row_number() OVER (ORDER BY e.{id_col})::BIGINT AS position, {toks}, "
+            f"round((COALESCE(e.{dense}, sc.m) - sc.m) / sc.s, 6) AS {dense} FROM {table} e CROSS JOIN sc")
+
+
+SQL.update({
+    "value_counts": W(counts_sql("cnts", [("part", {c: c for c in ITEM_CAT})])) +
+        'SELECT "column", value, cnt FROM cnts',
+    "id_counts_multi_source": W(counts_sql("cnts", [("customer", {"c_custkey": "c_custkey"}),
+                                                   ("train", {"o_custkey": "c_custkey"})])) +
+        'SELECT "column", value, cnt FROM cnts',
+    "vocab_fit": W(counts_sql("cnts", [("part", {c: c for c in ITEM_CAT})]),
+                   vocab_sql("voc", "cnts", {c: 1 for c in ITEM_CAT})) + VC + " FROM voc",
+    "vocab_fit_tail": W(counts_sql("cnts", ITEM_SRC), vocab_sql("voc", "cnts", TAIL_MIN)) + VC + " FROM voc",
+    "vocab_cardinality": W(counts_sql("ic", ITEM_SRC), vocab_sql("iv", "ic", TAIL_MIN), card_sql("icard", "iv", TAIL_MIN),
+                           counts_sql("uc", USER_SRC), vocab_sql("uv", "uc", ENC_MIN_USER),
+                           card_sql("ucard", "uv", ENC_MIN_USER)) +
+        'SELECT * FROM icard UNION ALL SELECT * FROM ucard',
+    "vocab_encode": W(counts_sql("uc", USER_SRC), vocab_sql("uv", "uc", ENC_MIN_USER),
+                      counts_sql("ic", ITEM_SRC), vocab_sql("iv", "ic", ENC_MIN_ITEM)) +
+        f"SELECT row_key, {tok('uv', 'c_custkey', 'o_custkey', 'user_token')}, "
+        f"{tok('iv', 'p_partkey', 'l_partkey', 'item_token')} FROM val",
+    "vocab_mismatch": W(counts_sql("lc", [("part", {c: c for c in ["p_partkey", *ITEM_CAT]})]),
+                        vocab_sql("lv", "lc", {c: 5 for c in ["p_partkey", *ITEM_CAT]}),
+                        counts_sql("rc", ITEM_SRC), vocab_sql("rv", "rc", {c: 5 for c in ["p_partkey", *ITEM_CAT]})) +
+        """SELECT COALESCE(l."column", r."column") AS "column", COALESCE(l.value, r.value) AS value,
+                  l.token_index AS left_index, r.token_index AS right_index
+           FROM lv l FULL OUTER JOIN rv r ON l."column" = r."column" AND l.value = r.value
+           WHERE l.token_index IS DISTINCT FROM r.token_index""",
+    "dense_fit": """
+        WITH u AS (SELECT c_acctbal, 7.0::DOUBLE AS const_col, NULL::DOUBLE AS empty_col,
+                          CASE WHEN c_acctbal > 0 THEN c_acctbal END AS text_col FROM customer),
+        long AS (SELECT 'c_acctbal' AS "column", c_acctbal AS x FROM u UNION ALL
+                 SELECT 'const_col', const_col FROM u UNION ALL SELECT 'empty_col', empty_col FROM u UNION ALL
+                 SELECT 'text_col', text_col FROM u UNION ALL SELECT 'p_retailprice', p_retailprice FROM part)
+        SELECT "column", round(COALESCE(avg(x), 0.0), 6) AS mean,
+               round(CASE WHEN stddev_pop(x) IS NULL OR stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END, 6) AS std
+        FROM long GROUP BY 1""",
+    "dense_transform": "WITH " + SCALE.format(col="c_acctbal", table="customer").strip() +
+        " SELECT c_custkey, round((COALESCE(c_acctbal, sc.m) - sc.m) / sc.s, 6) AS c_acctbal FROM customer CROSS JOIN sc",
+    "encode_users": W(counts_sql("uc", USER_SRC), vocab_sql("uv", "uc", ENC_MIN_USER),
+                      SCALE.format(col="c_acctbal", table="customer")) +
+        store_sql("customer", "c_custkey", ["c_mktsegment", "c_nationkey"], "c_acctbal", "uv"),
+    "encode_items": W(counts_sql("ic", ITEM_SRC), vocab_sql("iv", "ic", ENC_MIN_ITEM),
+                      SCALE.format(col="p_retailprice", table="part")) +
+        store_sql("part", "p_partkey", ITEM_CAT, "p_retailprice", "iv"),
+    "entity_positions": """SELECT CAST(p_partkey AS VARCHAR) AS id_key, p_partkey,
+        row_number() OVER (ORDER BY p_partkey)::BIGINT AS position,
+        greatest(row_number() OVER (ORDER BY p_partkey) - 1, 0)::BIGINT AS row_index FROM part""",
+    "feature_lookup_unknown": W(counts_sql("uc", USER_SRC), vocab_sql("uv", "uc", ENC_MIN_USER),
+                                SCALE.format(col="c_acctbal", table="customer"),
+                                "st AS (" + store_sql("customer", "c_custkey", ["c_mktsegment", "c_nationkey"],
+                                                      "c_acctbal", "uv") + ")",
+                                "ids AS (SELECT DISTINCT o_custkey AS lookup_id FROM orders UNION "
+                                "SELECT DISTINCT -o_custkey - 1 FROM orders)") +
+        """SELECT ids.lookup_id, COALESCE(st.position, 0)::BIGINT AS position,
+                  COALESCE(st.c_custkey, 0)::BIGINT AS user_c_custkey,
+                  COALESCE(st.c_mktsegment, 0)::BIGINT AS user_c_mktsegment,
+                  COALESCE(st.c_nationkey, 0)::BIGINT AS user_c_nationkey,
+                  COALESCE(st.c_acctbal, 0.0) AS user_c_acctbal
+           FROM ids LEFT JOIN st ON st.id_key = CAST(ids.lookup_id AS VARCHAR)""",
+})
