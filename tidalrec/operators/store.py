@@ -40,13 +40,17 @@ class EntityStore:
     cat_cols: list[str]
     dense_cols: list[str]
 
-    def lookup(self, ids: DataFrame, id_col: str, prefix: str = "") -> DataFrame:
-        """Left equi-join by raw id; unknown ids get position 0 and a zero row."""
+    def lookup(self, ids: DataFrame, id_col: str, prefix: str = "", broadcast: bool = False) -> DataFrame:
+        """Left equi-join by raw id; unknown ids get position 0 and a zero row.
+        ``broadcast`` only for a store whose row count was checked small."""
         keyed = ids.withColumn("_k", as_key(id_col))
-        t = self.table.select(F.col("id_key").alias("_k"), "position",
+        pos = prefix + "position" if prefix else "position"
+        t = self.table.select(F.col("id_key").alias("_k"), F.col("position").alias(pos),
                               *[F.col(c).alias(prefix + c) for c in self.feature_cols])
+        if broadcast:
+            t = F.broadcast(t)
         out = keyed.join(t, "_k", "left").drop("_k")
-        fills = {"position": 0}
+        fills = {pos: 0}
         for c in self.cat_cols:
             fills[prefix + c] = 0
         for c in self.dense_cols:

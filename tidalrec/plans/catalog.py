@@ -227,7 +227,7 @@ def feature_lookup_unknown(spark, sf):
     ids = (o.select(F.col("o_custkey").alias("lookup_id"))
            .unionByName(o.select((-F.col("o_custkey") - 1).alias("lookup_id"))).distinct())
     out = us.lookup(ids, "lookup_id", prefix="user_")
-    return out.select("lookup_id", F.col("position").cast("bigint").alias("position"),
+    return out.select("lookup_id", F.col("user_position").cast("bigint").alias("position"),
                       "user_c_custkey", "user_c_mktsegment", "user_c_nationkey", R("user_c_acctbal"))
 
 
@@ -246,3 +246,69 @@ QUERIES.update({
     "entity_positions": entity_positions,
     "feature_lookup_unknown": feature_lookup_unknown,
 })
+
+
+# ---- step 3: training rows ------------------------------------------------------
+
+from tidalrec.operators import training_rows as TR  # noqa: E402
+
+SEED = 42
+NEG = 2
+BATCH = 512
+
+
+def _train_ctx(spark, sf):
+    train, val = split_parts(spark, sf)
+    sp = tpch_spec(min_counts={**ENC_MIN_USER, **ENC_MIN_ITEM})
+    uenc, ienc = V.build_encoders(TB.users(spark, sf), TB.items(spark, sf), train, sp)
+    us = ST.build_store(TB.users(spark, sf), uenc, "c_custkey")
+    its = ST.build_store(TB.items(spark, sf), ienc, "p_partkey")
+    return train, val, sp, uenc, ienc, us, its
+
+
+POS_COLS = ["row_key", "user_id", "item_id", "user_position", "user_c_custkey", "user_c_mktsegment",
+            "user_c_nationkey", "user_c_acctbal", "item_position", "item_p_partkey", "item_p_brand",
+            "item_p_type", "item_p_size", "item_p_retailprice"]
+
+
+def _round_out(df, cols):
+    dt = dict(df.dtypes)
+    return df.select(*[R(c) if dt[c] == "double" else F.col(c) for c in cols])
+
+
+def train_rows_positive(spark, sf):
+    train, _, sp, uenc, ienc, us, its = _train_ctx(spark, sf)
+    pos = TR.positive_rows(train, sp, us, its, uenc.vocab, ienc.vocab)
+    return _round_out(pos, POS_COLS)
+
+
+def negatives_sampled(spark, sf):
+    train, _, sp, uenc, ienc, us, its = _train_ctx(spark, sf)
+    n_items = its.table.count()
+    d = TR.sample_negative_positions(train.select("row_key"), NEG, n_items, SEED)
+    ids = its.table.select(F.col("position").alias("neg_position"), F.col("id_key").alias("neg_item"))
+    return d.join(F.broadcast(ids), "neg_position", "left").select(
+        "row_key", F.col("draw").cast("int").alias("draw"), "neg_position", "neg_item")
+
+
+def train_rows_labeled(spark, sf):
+    train, _, sp, uenc, ienc, us, its = _train_ctx(spark, sf)
+    pos = TR.positive_rows(train, sp, us, its, uenc.vocab, ienc.vocab, with_label=True)
+    rows = TR.labeled_rows(pos, its, NEG, SEED, "l_partkey")
+    return _round_out(rows.withColumn("draw", F.col("draw").cast("int")),
+                      ["row_key", "draw", "l_partkey", "user_id", "item_id", "user_position", "item_position",
+                       "item_p_brand", "item_p_retailprice", "label"])
+
+
+def batch_assignment(spark, sf):
+    train, _ = split_parts(spark, sf)
+    b = TR.assign_batches(train.select("row_key"), BATCH, SEED)
+    return b.select("row_key", "batch_id")
+
+
+QUERIES.update({
+    "train_rows_positive": train_rows_positive,
+    "negatives_sampled": negatives_sampled,
+    "train_rows_labeled": train_rows_labeled,
+    "batch_assignment": batch_assignment,
+})

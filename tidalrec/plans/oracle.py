@@ -208,3 +208,58 @@ SQL.update({
                   COALESCE(st.c_acctbal, 0.0) AS user_c_acctbal
            FROM ids LEFT JOIN st ON st.id_key = CAST(ids.lookup_id AS VARCHAR)""",
 })
+
+
+# ---- step 3: training rows ------------------------------------------------------
+
+STORES = [counts_sql("uc", USER_SRC), vocab_sql("uv", "uc", ENC_MIN_USER),
+          SCALE.format(col="c_acctbal", table="customer").replace("sc AS", "usc AS"),
+          counts_sql("ic", ITEM_SRC), vocab_sql("iv", "ic", ENC_MIN_ITEM),
+          SCALE.format(col="p_retailprice", table="part").replace("sc AS", "isc AS")]
+UST = "ust AS (" + store_sql("customer", "c_custkey", ["c_mktsegment", "c_nationkey"], "c_acctbal", "uv").replace(
+    "CROSS JOIN sc", "CROSS JOIN usc AS sc") + ")"
+IST = "ist AS (" + store_sql("part", "p_partkey", ITEM_CAT, "p_retailprice", "iv").replace(
+    "CROSS JOIN sc", "CROSS JOIN isc AS sc") + ")"
+
+
+def md5_int(*parts: str) -> str:
+    return "('0x' || substr(md5(concat_ws('|', " + ", ".join(parts) + ")), 1, 8))::BIGINT"
+
+
+NEGS = """
+draws AS (SELECT t.row_key, t.o_custkey, d.draw,
+            (""" + md5_int("'42'", "t.row_key", "d.draw") + """ % (SELECT count(*) FROM part) + 1)::BIGINT AS neg_position
+          FROM train t CROSS JOIN (SELECT unnest(range(1, 3)) AS draw) d)
+"""
+
+SQL.update({
+    "train_rows_positive": W(*STORES, UST, IST) + f"""
+        SELECT t.row_key, {tok('uv', 'c_custkey', 't.o_custkey', 'user_id')}, {tok('iv', 'p_partkey', 't.l_partkey', 'item_id')},
+          COALESCE(us.position, 0)::BIGINT AS user_position, COALESCE(us.c_custkey, 0)::BIGINT AS user_c_custkey,
+          COALESCE(us.c_mktsegment, 0)::BIGINT AS user_c_mktsegment, COALESCE(us.c_nationkey, 0)::BIGINT AS user_c_nationkey,
+          COALESCE(us.c_acctbal, 0.0) AS user_c_acctbal,
+          COALESCE(it.position, 0)::BIGINT AS item_position, COALESCE(it.p_partkey, 0)::BIGINT AS item_p_partkey,
+          COALESCE(it.p_brand, 0)::BIGINT AS item_p_brand, COALESCE(it.p_type, 0)::BIGINT AS item_p_type,
+          COALESCE(it.p_size, 0)::BIGINT AS item_p_size, COALESCE(it.p_retailprice, 0.0) AS item_p_retailprice
+        FROM train t LEFT JOIN ust us ON us.id_key = CAST(t.o_custkey AS VARCHAR)
+        LEFT JOIN ist it ON it.id_key = CAST(t.l_partkey AS VARCHAR)""",
+    "negatives_sampled": W(NEGS, "pos AS (SELECT row_number() OVER (ORDER BY p_partkey) AS position, "
+                                 "CAST(p_partkey AS VARCHAR) AS neg_item FROM part)") +
+        """SELECT d.row_key, d.draw::INTEGER AS draw, d.neg_position, p.neg_item
+           FROM draws d LEFT JOIN pos p ON p.position = d.neg_position""",
+    "train_rows_labeled": W(*STORES, UST, IST, NEGS) + f"""
+        SELECT t.row_key, 0 AS draw, t.l_partkey, {tok('uv', 'c_custkey', 't.o_custkey', 'user_id')},
+          {tok('iv', 'p_partkey', 't.l_partkey', 'item_id')},
+          COALESCE(us.position, 0)::BIGINT AS user_position, COALESCE(it.position, 0)::BIGINT AS item_position,
+          COALESCE(it.p_brand, 0)::BIGINT AS item_p_brand, COALESCE(it.p_retailprice, 0.0) AS item_p_retailprice,
+          round(t.l_quantity::DOUBLE, 6) AS label
+        FROM train t LEFT JOIN ust us ON us.id_key = CAST(t.o_custkey AS VARCHAR)
+        LEFT JOIN ist it ON it.id_key = CAST(t.l_partkey AS VARCHAR)
+        UNION ALL
+        SELECT d.row_key, d.draw::INTEGER, CAST(it.id_key AS BIGINT), {tok('uv', 'c_custkey', 'd.o_custkey', 'user_id')},
+          it.p_partkey, COALESCE(us.position, 0)::BIGINT, it.position, it.p_brand, it.p_retailprice, 0.0
+        FROM draws d JOIN ist it ON it.position = d.neg_position
+        LEFT JOIN ust us ON us.id_key = CAST(d.o_custkey AS VARCHAR)""",
+    "batch_assignment": W() + f"""SELECT row_key, ((row_number() OVER (ORDER BY {md5_int("'42'", "row_key")}, row_key) - 1) // 512)::BIGINT AS batch_id
+        FROM train""",
+})
