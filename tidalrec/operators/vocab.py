@@ -138,13 +138,29 @@ def scale_columns(df: DataFrame, scalers: DataFrame, columns: list[str]) -> Data
     return out
 
 
+def vocab_sizes(vocab: DataFrame) -> dict[str, int]:
+    """Values per column (one small aggregate; one row per column)."""
+    return {r["column"]: int(r["n"]) for r in
+            vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 @dataclass
 class Encoders:
-    """Fitted vocabularies and scalers for one entity side."""
+    """Fitted vocabularies and scalers for one entity side.  The dictionary is
+    persisted once fitted; ``sizes`` decides broadcast vs shuffle per column."""
     vocab: DataFrame            # (column, value, cnt, token_index, is_tail, min_count)
     scalers: DataFrame          # (column, mean, std)
     cat_cols: list[str]
     dense_cols: list[str]
+    sizes: dict | None = None
+
+    def __post_init__(self):
+        if self.sizes is None:
+            self.vocab = self.vocab.persist()
+            self.sizes = vocab_sizes(self.vocab)
+
+    def broadcastable(self, column: str) -> bool:
+        return self.sizes.get(column, 0) <= BROADCAST_VALUES
 
 
 def build_encoders(users: DataFrame, items: DataFrame, train: DataFrame, spec) -> tuple[Encoders, Encoders]:
@@ -165,7 +181,7 @@ def encode_table(df: DataFrame, enc: Encoders, keep: list[str] | None = None) ->
     """Encode every categorical column (one join each) and scale dense columns."""
     out = df
     for c in enc.cat_cols:
-        out = encode_column(out, enc.vocab, c)
+        out = encode_column(out, enc.vocab, c, broadcast=enc.broadcastable(c))
     out = scale_columns(out, enc.scalers, enc.dense_cols)
     cols = (keep or []) + enc.cat_cols + enc.dense_cols
     return out.select(*cols)

@@ -34,9 +34,16 @@ def spec():
     return tpch_spec()
 
 
+_THRESHOLDS: dict = {}
+
+
 def split_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Train / val interactions; the threshold job runs once per table set."""
     x = TB.interactions(spark, sf)
-    return S.split_by_time(x, "o_orderdate", VAL_T)
+    key = (spark.sparkContext.applicationId, sf, VAL_T)
+    if key not in _THRESHOLDS:
+        _THRESHOLDS[key] = S.split_threshold(x, "o_orderdate", VAL_T)
+    return S.split_at(x, "o_orderdate", _THRESHOLDS[key])
 
 
 # ---- step 1: split, seen sets, popularity top-k, ranking metrics ------------------
@@ -278,7 +285,7 @@ def _round_out(df, cols):
 
 def train_rows_positive(spark, sf):
     train, _, sp, uenc, ienc, us, its = _train_ctx(spark, sf)
-    pos = TR.positive_rows(train, sp, us, its, uenc.vocab, ienc.vocab)
+    pos = TR.positive_rows(train, sp, us, its, uenc, ienc)
     return _round_out(pos, POS_COLS)
 
 
@@ -293,7 +300,7 @@ def negatives_sampled(spark, sf):
 
 def train_rows_labeled(spark, sf):
     train, _, sp, uenc, ienc, us, its = _train_ctx(spark, sf)
-    pos = TR.positive_rows(train, sp, us, its, uenc.vocab, ienc.vocab, with_label=True)
+    pos = TR.positive_rows(train, sp, us, its, uenc, ienc, with_label=True)
     rows = TR.labeled_rows(pos, its, NEG, SEED, "l_partkey")
     return _round_out(rows.withColumn("draw", F.col("draw").cast("int")),
                       ["row_key", "draw", "l_partkey", "user_id", "item_id", "user_position", "item_position",
@@ -312,3 +319,84 @@ QUERIES.update({
     "train_rows_labeled": train_rows_labeled,
     "batch_assignment": batch_assignment,
 })
+
+
+# ---- step 4: pointwise metrics, losses, latest interaction -----------------------
+
+from tidalrec.functions.vectors import l2_normalize  # noqa: E402,F401
+from tidalrec.operators import latest as LT  # noqa: E402
+from tidalrec.operators import losses as LS  # noqa: E402
+
+TEMP = 0.05
+W_BATCH = 50
+
+
+def _item_mean_pred(spark, sf):
+    """val rows with pred = mean train quantity of the item (global train mean
+    when the item has no train rows)."""
+    train, val = split_parts(spark, sf)
+    g = train.agg(F.avg("l_quantity").alias("g")).first()["g"]
+    per_item = train.groupBy("l_partkey").agg(F.avg("l_quantity").alias("item_mean"))
+    return (val.join(per_item, "l_partkey", "left")
+            .withColumn("pred", F.coalesce(F.col("item_mean"), F.lit(g)))
+            .withColumn("label", F.col("l_quantity").cast("double")))
+
+
+def pointwise_metrics(spark, sf):
+    m = M.pointwise_metrics(_item_mean_pred(spark, sf), "pred", "label", loss_func="mse")
+    return m.select("n", R("rmse"), R("mae"), R("corr"), R("accuracy"))
+
+
+def _event_logits(spark, sf):
+    e = TB.load(spark, sf, "events")
+    return e.select("event_id", "event_type", "user_id",
+                    ((F.col("value") - 100.0) / 25.0).alias("logit"),
+                    F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0).alias("label"))
+
+
+def binary_accuracy(spark, sf):
+    m = M.pointwise_metrics(_event_logits(spark, sf), "logit", "label", loss_func="binary_cross_entropy")
+    return m.select("n", R("rmse"), R("mae"), R("corr"), R("accuracy"))
+
+
+def bce_loss(spark, sf):
+    e = _event_logits(spark, sf)
+    out = LS.grouped_mean_loss(e, LS.bce_with_logits("logit", "label"), "event_type")
+    return out.select("event_type", "n", R("mean_loss"))
+
+
+def mse_loss(spark, sf):
+    d = _item_mean_pred(spark, sf).withColumn("order_year", F.year("o_orderdate").cast("string"))
+    out = LS.grouped_mean_loss(d, LS.squared_error("pred", "label"), "order_year")
+    return out.select("order_year", "n", R("mean_loss"))
+
+
+def in_batch_softmax_loss(spark, sf):
+    w = TB.load(spark, sf, "embeddings").select(
+        "vec_id", (F.col("vec_id") / W_BATCH).cast("bigint").alias("batch_id"),
+        F.col("embedding").alias("u"), F.reverse("embedding").alias("v"))
+    out = LS.in_batch_softmax_loss(w, "vec_id", "batch_id", "u", "v", TEMP)
+    return out.select("vec_id", "batch_id", R("loss"))
+
+
+def latest_interaction(spark, sf):
+    e = TB.load(spark, sf, "events")
+    return LT.latest_per_key(e, "user_id", "ts", ["event_id"], ["event_id", "event_type"])
+
+
+def latest_interaction_orders(spark, sf):
+    x = TB.interactions(spark, sf)
+    out = LT.latest_per_key(x, "o_custkey", "o_orderdate",
+                            ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_partkey"])
+    return out.select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), "latest_date")
+
+
+QUERIES.update({
+    "pointwise_metrics": pointwise_metrics,
+    "binary_accuracy": binary_accuracy,
+    "bce_loss": bce_loss,
+    "mse_loss": mse_loss,
+    "in_batch_softmax_loss": in_batch_softmax_loss,
+    "latest_interaction": latest_interaction,
+    "latest_interaction_orders": latest_interaction_orders,
+})

@@ -263,3 +263,62 @@ SQL.update({
     "batch_assignment": W() + f"""SELECT row_key, ((row_number() OVER (ORDER BY {md5_int("'42'", "row_key")}, row_key) - 1) // 512)::BIGINT AS batch_id
         FROM train""",
 })
+
+
+# ---- step 4 -------------------------------------------------------------------
+
+PRED = """
+g AS (SELECT avg(l_quantity) AS g FROM train),
+pi AS (SELECT l_partkey, avg(l_quantity) AS item_mean FROM train GROUP BY 1),
+pv AS (SELECT v.*, COALESCE(pi.item_mean, g.g) AS pred, v.l_quantity::DOUBLE AS label
+       FROM val v LEFT JOIN pi ON pi.l_partkey = v.l_partkey CROSS JOIN g)
+"""
+
+
+def pointwise_sql(src: str, pred: str, label: str, bce: bool) -> str:
+    acc = (f"round(CASE WHEN bool_and({label} IN (0.0, 1.0)) THEN avg(CASE WHEN "
+           f"(CASE WHEN 1.0 / (1.0 + exp(-{pred})) >= 0.5 THEN 1.0 ELSE 0.0 END) = {label} THEN 1.0 ELSE 0.0 END) END, 6)"
+           if bce else "NULL::DOUBLE")
+    return f"""SELECT count(*) AS n, round(sqrt(avg(({pred} - {label}) * ({pred} - {label}))), 6) AS rmse,
+        round(avg(abs({pred} - {label})), 6) AS mae,
+        round(CASE WHEN sqrt(var_pop({pred}) * var_pop({label})) > 0
+              THEN covar_pop({pred}, {label}) / sqrt(var_pop({pred}) * var_pop({label})) ELSE 0.0 END, 6) AS corr,
+        {acc} AS accuracy
+        FROM {src} HAVING count(*) > 0"""
+
+
+EV = """WITH ev AS (SELECT event_id, event_type, user_id, (value - 100.0) / 25.0 AS logit,
+        CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END AS label FROM events)
+"""
+
+
+def grouped_loss_sql(src: str, group: str, loss: str) -> str:
+    return f""",
+per AS (SELECT CAST({group} AS VARCHAR) AS {group}, count(*) AS n, avg({loss}) AS mean_loss FROM {src} GROUP BY 1)
+SELECT {group}, n, round(mean_loss, 6) AS mean_loss FROM per
+UNION ALL SELECT 'ALL', sum(n)::BIGINT, round(sum(mean_loss * n) / sum(n), 6) FROM per"""
+
+
+SQL.update({
+    "pointwise_metrics": W(PRED) + pointwise_sql("pv", "pred", "label", False),
+    "binary_accuracy": EV + pointwise_sql("ev", "logit", "label", True),
+    "bce_loss": EV + grouped_loss_sql("ev", "event_type",
+                                      "greatest(logit, 0.0) - logit * label + ln(1 + exp(-abs(logit)))"),
+    "mse_loss": W(PRED, "pvy AS (SELECT *, CAST(year(o_orderdate) AS VARCHAR) AS order_year FROM pv)")[:-1] +
+        grouped_loss_sql("pvy", "order_year", "(pred - label) * (pred - label)"),
+    "in_batch_softmax_loss": """
+        WITH w AS (SELECT vec_id, (vec_id // 50)::BIGINT AS batch_id, embedding::DOUBLE[] AS u,
+                          list_reverse(embedding)::DOUBLE[] AS v FROM embeddings),
+        s AS (SELECT a.vec_id, a.batch_id, b.vec_id AS j, list_dot_product(a.u, b.v) / 0.05 AS s
+              FROM w a JOIN w b ON a.batch_id = b.batch_id),
+        m AS (SELECT vec_id, batch_id, max(s) AS m, max(CASE WHEN vec_id = j THEN s END) AS sii FROM s GROUP BY 1, 2)
+        SELECT m.vec_id, m.batch_id, round(m.m + ln(sum(exp(s.s - m.m))) - m.sii, 6) AS loss
+        FROM m JOIN s ON s.vec_id = m.vec_id GROUP BY m.vec_id, m.batch_id, m.m, m.sii""",
+    "latest_interaction": """SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d') AS latest_date FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn FROM events)
+        WHERE rn = 1""",
+    "latest_interaction_orders": W() + """SELECT o_custkey AS user_id, l_partkey AS item_id,
+        strftime(o_orderdate, '%Y-%m-%d') AS latest_date FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, l_orderkey DESC,
+               l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM x) WHERE rn = 1""",
+})
