@@ -400,3 +400,78 @@ QUERIES.update({
     "latest_interaction": latest_interaction,
     "latest_interaction_orders": latest_interaction_orders,
 })
+
+
+# ---- step 5: vector operators on embeddings ----------------------------------------
+
+from tidalrec.functions import vectors as VEC  # noqa: E402
+from tidalrec.operators import vector_search as VS  # noqa: E402
+
+VK = 10
+N_CELLS = 8
+NPROBE = 3
+SLICES = 4
+
+
+def _emb(spark, sf):
+    return TB.load(spark, sf, "embeddings")
+
+
+def _label_centroids(spark, sf):
+    return VS.group_centroids(_emb(spark, sf), "label", "embedding").select(
+        F.col("label").cast("bigint").alias("qid"), "vec")
+
+
+def vector_topk(spark, sf):
+    w = _emb(spark, sf).select(F.col("vec_id").alias("item_id"), VEC.to_double_array("embedding").alias("vec"))
+    out = VS.exact_topk(_label_centroids(spark, sf), w, VK)
+    return out.select(F.col("qid").alias("label"), "rank", F.col("item_id").alias("vec_id"),
+                      R("score"), R(F.lit(1.0) - F.col("score"), "distance"))
+
+
+def _long(df, key, arr):
+    return df.select(key, F.posexplode(arr).alias("dim", "value")).select(
+        key, F.col("dim").cast("int").alias("dim"), R("value"))
+
+
+def vector_l2_normalize(spark, sf):
+    w = _emb(spark, sf).select("vec_id", VEC.l2_normalize("embedding").alias("v"))
+    return _long(w, "vec_id", "v")
+
+
+def pair_features(spark, sf):
+    w = _emb(spark, sf).select("vec_id", VEC.pair_features("embedding", F.reverse("embedding")).alias("v"))
+    return _long(w, "vec_id", "v")
+
+
+def pairwise_interactions(spark, sf):
+    """DLRM interaction: the 64-d vector as 4 feature embeddings of 16, the
+    dot product of every unordered pair (C(4,2) = 6 terms)."""
+    e = _emb(spark, sf)
+    d = 16
+    cols = []
+    for a in range(SLICES):
+        for b in range(a + 1, SLICES):
+            cols.append(F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"),
+                                 VEC.dot(F.slice("embedding", a * d + 1, d), F.slice("embedding", b * d + 1, d))
+                                 .alias("dot")))
+    x = e.select("vec_id", F.explode(F.array(*cols)).alias("p"))
+    return x.select("vec_id", F.col("p.f1").cast("int").alias("f1"), F.col("p.f2").cast("int").alias("f2"),
+                    R(F.col("p.dot"), "dot"))
+
+
+def ann_topk(spark, sf):
+    w = _emb(spark, sf)
+    index, cents = VS.build_cell_index(w, "vec_id", "embedding", N_CELLS)
+    q = _label_centroids(spark, sf).select("qid", VEC.l2_normalize("vec").alias("vec"))
+    out = VS.probe_topk(q, index, cents, VK, NPROBE)
+    return out.select(F.col("qid").alias("label"), "rank", F.col("item_id").alias("vec_id"), R("score"))
+
+
+QUERIES.update({
+    "vector_topk": vector_topk,
+    "vector_l2_normalize": vector_l2_normalize,
+    "pair_features": pair_features,
+    "pairwise_interactions": pairwise_interactions,
+    "ann_topk": ann_topk,
+})

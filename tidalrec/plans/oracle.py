@@ -322,3 +322,38 @@ SQL.update({
         SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, l_orderkey DESC,
                l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM x) WHERE rn = 1""",
 })
+
+
+# ---- step 5: vectors -------------------------------------------------------------
+
+CENT = """
+WITH ex AS (SELECT label, d.i - 1 AS dim, d.x::DOUBLE AS x
+            FROM embeddings, LATERAL (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i) d),
+cent AS (SELECT label, list(m ORDER BY dim) AS c FROM (SELECT label, dim, avg(x) AS m FROM ex GROUP BY 1, 2) GROUP BY 1)
+"""
+
+
+def long_sql(key: str, src: str, arr: str) -> str:
+    return f"""SELECT {key}, (g._i - 1)::INTEGER AS dim, round(g._x, 6) AS value FROM {src},
+        LATERAL (SELECT unnest({arr}) AS _x, generate_subscripts({arr}, 1) AS _i) g"""
+
+
+NORM = "list_transform(embedding::DOUBLE[], lambda x: x / greatest(sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda y: y * y))), 1e-12))"
+PAIRS = []
+for _a in range(4):
+    for _b in range(_a + 1, 4):
+        PAIRS.append(f"SELECT vec_id, {_a} AS f1, {_b} AS f2, round(list_dot_product(embedding[{_a * 16 + 1}:{_a * 16 + 16}]::DOUBLE[], "
+                     f"embedding[{_b * 16 + 1}:{_b * 16 + 16}]::DOUBLE[]), 6) AS dot FROM embeddings")
+
+SQL.update({
+    "vector_topk": CENT + """SELECT label, rank::INTEGER AS rank, vec_id, round(score, 6) AS score, round(1.0 - score, 6) AS distance
+        FROM (SELECT c.label, e.vec_id, list_dot_product(c.c, e.embedding::DOUBLE[]) AS score,
+                     row_number() OVER (PARTITION BY c.label ORDER BY list_dot_product(c.c, e.embedding::DOUBLE[]) DESC, e.vec_id) AS rank
+              FROM cent c, embeddings e) WHERE rank <= 10""",
+    "vector_l2_normalize": "WITH n AS (SELECT vec_id, " + NORM + " AS v FROM embeddings) " + long_sql("vec_id", "n", "v"),
+    "pair_features": """WITH p AS (SELECT vec_id, list_concat(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[],
+            list_transform(list_zip(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), lambda z: z[1] * z[2]),
+            list_transform(list_zip(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), lambda z: abs(z[1] - z[2]))) AS v
+            FROM embeddings) """ + long_sql("vec_id", "p", "v"),
+    "pairwise_interactions": " UNION ALL ".join(PAIRS),
+})
