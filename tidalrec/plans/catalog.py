@@ -475,3 +475,124 @@ QUERIES.update({
     "pairwise_interactions": pairwise_interactions,
     "ann_topk": ann_topk,
 })
+
+
+# ---- step 6/7: embeddings, towers, all-user top-k, two-stage recommend ----------------
+
+import hashlib  # noqa: E402
+
+import numpy as np  # noqa: E402
+
+from tidalrec.operators import recommend as RC  # noqa: E402
+from tidalrec.operators import towers as TW  # noqa: E402
+
+DIM = 8
+MODEL_MIN = {"c_custkey": 5, "c_mktsegment": 5, "c_nationkey": 5,
+             "p_partkey": 1, "p_brand": 5, "p_type": 5, "p_size": 5}
+U_FEATS = ["c_custkey", "c_mktsegment", "c_nationkey"]
+I_FEATS = ["p_partkey", "p_brand", "p_type", "p_size"]
+REC_K_DEFAULT = 20
+
+
+def _model_ctx(spark, sf):
+    train, val = split_parts(spark, sf)
+    sp = tpch_spec(min_counts=MODEL_MIN)
+    uenc, ienc = V.build_encoders(TB.users(spark, sf), TB.items(spark, sf), train, sp)
+    us = ST.build_store(TB.users(spark, sf), uenc, "c_custkey")
+    its = ST.build_store(TB.items(spark, sf), ienc, "p_partkey")
+    ucard = {r["column"]: r["cardinality"] for r in V.cardinality(uenc.vocab, sp_mins(U_FEATS)).collect()}
+    icard = {r["column"]: r["cardinality"] for r in V.cardinality(ienc.vocab, sp_mins(I_FEATS)).collect()}
+    utab = TW.init_tables(spark, ucard, DIM, SEED, prefix="user.").persist()
+    itab = TW.init_tables(spark, icard, DIM, SEED, prefix="item.").persist()
+    return dict(train=train, val=val, us=us, its=its, ucard=ucard, icard=icard, utab=utab, itab=itab)
+
+
+def sp_mins(cols):
+    return {c: MODEL_MIN[c] for c in cols}
+
+
+def _pooled(spark, sf, side):
+    ctx = _model_ctx(spark, sf)
+    st, tab, feats = (ctx["us"], ctx["utab"], U_FEATS) if side == "user" else (ctx["its"], ctx["itab"], I_FEATS)
+    pool = TW.pool_table(spark, feats, DIM, SEED, prefix=f"{side}.")
+    return ctx, TW.pool_long(st.table, "id_key", tab, feats, pool, prefix=f"{side}.")
+
+
+def stacked_pooling(spark, sf):
+    _, out = _pooled(spark, sf, "item")
+    return out.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.col("dim").cast("int"), R("value"))
+
+
+def _as_vec(long_df, key):
+    return long_df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_s")).select(
+        F.col(key).cast("bigint").alias(key), F.transform("_s", lambda s: s["value"]).alias("vec"))
+
+
+def _towers(spark, sf):
+    ctx = _model_ctx(spark, sf)
+    up = TW.init_params(U_FEATS, ["c_acctbal"], DIM, [16, DIM], SEED)
+    ip = TW.init_params(I_FEATS, ["p_retailprice"], DIM, [16, DIM], SEED + 1)
+    ue = TW.tower_embed(ctx["us"].table, "id_key", ctx["utab"], up, ctx["ucard"], prefix="user.")
+    ie = TW.tower_embed(ctx["its"].table, "id_key", ctx["itab"], ip, ctx["icard"], prefix="item.")
+    return ctx, ue, ie
+
+
+def tower_embed(spark, sf):
+    _, _, ie = _towers(spark, sf)
+    return ie.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.posexplode("emb").alias("dim", "value"))
+
+
+def score_all_topk(spark, sf):
+    ctx, ue, ie = _towers(spark, sf)
+    sp = spec()
+    seen = K.known_pairs(ctx["train"], TB.users(spark, sf), TB.items(spark, sf),
+                         sp.inter_user, sp.inter_item, sp.user_id, sp.item_id)
+    sets = K.user_item_sets(seen)
+    q = (ue.select(F.col("id_key").cast("bigint").alias("user_id"), F.col("emb").alias("vec"))
+         .join(sets, "user_id", "left"))
+    cat = ie.select(F.col("id_key").cast("bigint").alias("item_id"), F.col("emb").alias("vec"))
+    out = VS.topk_stream_queries(q, cat, TOPK, q_key="user_id", q_vec="vec", exclude="items", scale=1.0 / TEMP)
+    return out.select(F.col("qid").alias("user_id"), "rank", "item_id", R("score"))
+
+
+def head_weights(n: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Linear ranking head from md5 (same rule as the SQL oracle): fixed values."""
+    def u(*parts):
+        h = hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:8]
+        return int(h, 16) / 4294967296.0
+    a = np.array([[u(seed, "head", j) - 0.5 for j in range(n)]])
+    b = np.array([u(seed, "head", "bias") - 0.5])
+    return a, b
+
+
+def _rec_inputs(spark, sf):
+    ctx, upool = _pooled(spark, sf, "user")
+    _, ipool = _pooled(spark, sf, "item")
+    uvec = _as_vec(upool, "id_key").withColumnRenamed("id_key", "user_id")
+    ivec = _as_vec(ipool, "id_key").withColumnRenamed("id_key", "item_id")
+    c = TB.users(spark, sf)
+    req = (c.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("bigint").alias("k"))
+           .unionByName(c.select((-F.col("c_custkey") - 1).alias("user_id"), F.lit(None).cast("bigint").alias("k"))))
+    train_users = ctx["train"].select(F.col("o_custkey").alias("user_id"))
+    return req, train_users, uvec, ivec
+
+
+def two_stage_recommend(spark, sf):
+    req, train_users, uvec, ivec = _rec_inputs(spark, sf)
+    scorer = TW.PairScorer([head_weights(4 * DIM)])
+    ranked, _ = RC.recommend(req, train_users, uvec, ivec, scorer, k_default=REC_K_DEFAULT)
+    return ranked.select("user_id", "rank", "item_id", R("score"), R("retrieval_distance"))
+
+
+def eligibility_reasons(spark, sf):
+    req, train_users, uvec, _ = _rec_inputs(spark, sf)
+    return RC.eligibility(req, train_users, uvec).filter(F.col("reason").isNotNull()).select("user_id", "reason")
+
+
+QUERIES.update({
+    "stacked_pooling": stacked_pooling,
+    "tower_embed": tower_embed,
+    "score_all_topk": score_all_topk,
+    "two_stage_recommend": two_stage_recommend,
+    "eligibility_reasons": eligibility_reasons,
+})

@@ -357,3 +357,66 @@ SQL.update({
             FROM embeddings) """ + long_sql("vec_id", "p", "v"),
     "pairwise_interactions": " UNION ALL ".join(PAIRS),
 })
+
+
+# ---- step 6/7: pooling and recommend --------------------------------------------
+
+MODEL_MIN = {"c_custkey": 5, "c_mktsegment": 5, "c_nationkey": 5,
+             "p_partkey": 1, "p_brand": 5, "p_type": 5, "p_size": 5}
+U_FEATS = ["c_custkey", "c_mktsegment", "c_nationkey"]
+I_FEATS = ["p_partkey", "p_brand", "p_type", "p_size"]
+
+
+def md5u(*parts: str) -> str:
+    return "(" + md5_int(*parts) + "::DOUBLE / 4294967296.0)"
+
+
+def pooled_sql(side: str, table: str, id_col: str, feats: list[str], src, mins) -> list[str]:
+    s = side[0]
+    vals = ", ".join(f"('{side}.{f}')" for f in feats)
+    long = " UNION ALL ".join(f"SELECT id_key, '{side}.{f}' AS feature, {f} AS tok FROM {s}st" for f in feats)
+    toks = ", ".join(tok(f"{s}v", f, f"e.{f}", f) for f in [id_col, *feats[1:]])
+    return [
+        counts_sql(f"{s}c", src), vocab_sql(f"{s}v", f"{s}c", {f: mins[f] for f in feats}),
+        f"{s}st AS (SELECT CAST(e.{id_col} AS VARCHAR) AS id_key, {toks} FROM {table} e)",
+        f"{s}long AS ({long})",
+        f"{s}pw AS (SELECT f.feature, d.dim, {md5u(chr(39) + '42' + chr(39), chr(39) + 'pool' + chr(39), 'f.feature', 'd.dim')} - 0.5 AS w "
+        f"FROM (VALUES {vals}) AS f(feature) CROSS JOIN (SELECT unnest(range(0, 8)) AS dim) d)",
+        f"{s}pm AS (SELECT feature, dim, exp(w - max(w) OVER (PARTITION BY dim)) AS ex FROM {s}pw)",
+        f"{s}sm AS (SELECT feature, dim, ex / sum(ex) OVER (PARTITION BY dim) AS sm FROM {s}pm)",
+        f"{s}pool AS (SELECT l.id_key, d.dim, sum(sm.sm * (({md5u(chr(39) + '42' + chr(39), 'l.feature', 'l.tok', 'd.dim')} - 0.5) * 1.0)) AS value "
+        f"FROM {s}long l CROSS JOIN (SELECT unnest(range(0, 8)) AS dim) d "
+        f"JOIN {s}sm sm ON sm.feature = l.feature AND sm.dim = d.dim GROUP BY 1, 2)",
+        f"{s}vec AS (SELECT CAST(id_key AS BIGINT) AS id, list(value ORDER BY dim) AS vec FROM {s}pool GROUP BY 1)",
+    ]
+
+
+U_POOL = pooled_sql("user", "customer", "c_custkey", U_FEATS, USER_SRC, MODEL_MIN)
+I_POOL = pooled_sql("item", "part", "p_partkey", I_FEATS, ITEM_SRC, MODEL_MIN)
+
+HEAD = ("list_transform(range(0, 32), lambda j: " + md5u("'42'", "'head'", "j") + " - 0.5)")
+BIAS = "(" + md5u("'42'", "'head'", "'bias'") + " - 0.5)"
+REC = """
+req AS (SELECT c_custkey AS user_id, c_nationkey::BIGINT AS k FROM customer
+        UNION ALL SELECT -c_custkey - 1, NULL::BIGINT FROM customer),
+tu AS (SELECT DISTINCT o_custkey AS user_id FROM train),
+el AS (SELECT r.user_id, least(greatest(COALESCE(r.k, 20), 1), (SELECT count(*) FROM part)) AS k,
+         CASE WHEN r.user_id NOT IN (SELECT user_id FROM tu) THEN 'not found in interactions_train'
+              WHEN r.user_id NOT IN (SELECT id FROM uvec) THEN 'not found in feature store' END AS reason FROM req r),
+cand AS (SELECT * FROM (SELECT el.user_id, el.k, iv.id AS item_id, uv.vec AS u, iv.vec AS v,
+            list_dot_product(uv.vec, iv.vec) AS dot,
+            row_number() OVER (PARTITION BY el.user_id ORDER BY list_dot_product(uv.vec, iv.vec) DESC, iv.id) AS rr
+         FROM el JOIN uvec uv ON uv.id = el.user_id CROSS JOIN ivec iv WHERE el.reason IS NULL) WHERE rr <= k),
+scored AS (SELECT user_id, item_id, 1.0 - dot AS retrieval_distance,
+            list_dot_product(""" + HEAD + """, list_concat(u, v, list_transform(list_zip(u, v), lambda z: z[1] * z[2]),
+                             list_transform(list_zip(u, v), lambda z: abs(z[1] - z[2])))) + """ + BIAS + """ AS score
+           FROM cand)
+"""
+
+SQL.update({
+    "stacked_pooling": W(*I_POOL) + "SELECT CAST(id_key AS BIGINT) AS p_partkey, dim::INTEGER AS dim, round(value, 6) AS value FROM ipool",
+    "two_stage_recommend": W(*U_POOL, *I_POOL, REC) + """SELECT user_id,
+        row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id)::INTEGER AS rank, item_id,
+        round(score, 6) AS score, round(retrieval_distance, 6) AS retrieval_distance FROM scored""",
+    "eligibility_reasons": W(*U_POOL, REC) + "SELECT user_id, reason FROM el WHERE reason IS NOT NULL",
+})
