@@ -596,3 +596,144 @@ QUERIES.update({
     "two_stage_recommend": two_stage_recommend,
     "eligibility_reasons": eligibility_reasons,
 })
+
+
+# ---- step 9: data preparation, affinity, weighted sampling ------------------------
+
+import uuid  # noqa: E402
+
+from pyspark.sql import types as T  # noqa: E402
+
+from tidalrec.operators import affinity as AF  # noqa: E402
+from tidalrec.operators import prep as PR  # noqa: E402
+from tidalrec.session import checkpoint_dir  # noqa: E402
+
+USER_SEGS = ["c_mktsegment", "c_nationkey"]
+ITEM_PROFILE = ["p_brand", "p_type", "p_size"]
+
+
+def rare_category_fold(spark, sf):
+    p = TB.items(spark, sf)
+    return PR.fold_rare(p, "p_name", "name_grouped").select("p_partkey", "p_name", "name_grouped")
+
+
+def numeric_bucket(spark, sf):
+    c = TB.users(spark, sf).withColumn("age", F.col("c_nationkey") * 3 + 5)
+    return c.select("c_custkey", F.col("age").cast("bigint").alias("age"), PR.range_bucket("age").alias("age_bucket"))
+
+
+def prefix_bucket(spark, sf):
+    c = TB.users(spark, sf)
+    zipc = F.when(F.col("c_acctbal") >= 0, (F.col("c_custkey") * 7).cast("string"))
+    return c.select("c_custkey", PR.prefixed(F.col("c_nationkey").cast("double"), "age_").alias("age_group"),
+                    PR.prefixed("c_nationkey", "occ_").alias("occupation"),
+                    PR.leading_bucket(zipc).alias("zip_prefix"))
+
+
+def _titles(spark, sf):
+    p = TB.items(spark, sf)
+    return p.select("p_partkey", F.when(F.col("p_size") % 3 == 0, F.col("p_name")).otherwise(
+        F.concat(F.col("p_name"), F.lit(" ("), (F.col("p_size") + 1940).cast("string"), F.lit(")"))).alias("title"))
+
+
+def year_decade(spark, sf):
+    t = _titles(spark, sf)
+    y = PR.year_of_title("title")
+    return t.select("p_partkey", "title", y.cast("string").alias("year"), PR.decade_bucket(y).alias("year_bucket"))
+
+
+def title_clean(spark, sf):
+    t = _titles(spark, sf)
+    return t.select("p_partkey", PR.clean_title("title").alias("title_raw"))
+
+
+def epoch_to_date(spark, sf):
+    e = TB.load(spark, sf, "events")
+    n = e.count()
+    ep = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return e.select(F.col("event_id").cast("string").alias("id_text"), ep.alias("epoch"),
+                    PR.epoch_to_date(ep).alias("event_date"),
+                    PR.surrogate_id("e", F.col("event_id"), n).alias("surrogate_id"))
+
+
+def prepare_ratings(spark, sf):
+    """Write '::'-delimited latin-1 text derived from the tables, read it back
+    as a header-less text source, prepare, split by time and write parquet."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/prep-{uuid.uuid4().hex}"
+    x = TB.interactions(spark, sf)
+    text = x.select(F.concat_ws("::", "o_custkey", "l_partkey", F.col("l_quantity").cast("bigint"),
+                                F.unix_seconds(F.col("o_orderdate").cast("timestamp"))).alias("value"))
+    text.write.mode("overwrite").option("encoding", "ISO-8859-1").text(f"{base}/ratings.dat")
+    raw = TB.read_delimited(spark, f"{base}/ratings.dat", ["user_id", "item_id", "rating", "timestamp"])
+    ratings = PR.prepare_ratings(raw)
+    thr = S.split_threshold(ratings, "timestamp", VAL_T)
+    tagged = S.tag_at(ratings, "timestamp", thr, "is_train")
+    TB.write_table(tagged, f"{base}/ratings_tagged", partition_by=["is_train"])
+    back = TB.read_table(spark, f"{base}/ratings_tagged")
+    return back.select("user_id", "item_id", "rating", "timestamp", F.col("is_train").cast("boolean").alias("is_train"))
+
+
+def _affinity_inputs(spark, sf):
+    train, _ = split_parts(spark, sf)
+    c, p = TB.users(spark, sf), TB.items(spark, sf)
+    inter = (train.select("o_custkey", "l_partkey")
+             .join(c.select(F.col("c_custkey").alias("o_custkey"), *USER_SEGS), "o_custkey")
+             .join(p.select(F.col("p_partkey").alias("l_partkey"), *ITEM_PROFILE), "l_partkey"))
+    prefs = AF.preference_maps(inter, USER_SEGS, ITEM_PROFILE)
+    keys = c.select(*USER_SEGS).distinct()
+    profiles = p.groupBy(*ITEM_PROFILE).agg(F.count(F.lit(1)).alias("n_items"))
+    return keys, profiles, prefs, p.count()
+
+
+def _aff_out(df):
+    return df.select(F.col("c_mktsegment"), F.col("c_nationkey").cast("bigint"),
+                     *[F.col(c).cast("string").alias(c) for c in ITEM_PROFILE], *[c for c in df.columns
+                                                                                 if c in ("score", "n_items", "prob")])
+
+
+def affinity_scores(spark, sf):
+    keys, profiles, prefs, _ = _affinity_inputs(spark, sf)
+    s = AF.affinity_scores(keys, profiles, prefs, USER_SEGS, ITEM_PROFILE)
+    return _aff_out(s.withColumn("score", F.col("score").cast("bigint")).withColumn("n_items", F.col("n_items").cast("bigint")))
+
+
+def affinity_softmax(spark, sf):
+    keys, profiles, prefs, n = _affinity_inputs(spark, sf)
+    s = AF.affinity_scores(keys, profiles, prefs, USER_SEGS, ITEM_PROFILE)
+    sm = AF.affinity_softmax(s, keys, n, USER_SEGS, ITEM_PROFILE)
+    return _aff_out(sm.select(*USER_SEGS, *ITEM_PROFILE, "n_items", R("prob")))
+
+
+def _weighted_draws(spark, sf):
+    train, val = split_parts(spark, sf)
+    c, p = TB.users(spark, sf), TB.items(spark, sf)
+    seg = c.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    wts = (train.join(seg, "o_custkey").join(p.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+           .groupBy("c_mktsegment", "p_type").agg(F.count(F.lit(1)).alias("w")))
+    cum = AF.cumulative_weights(wts, "c_mktsegment", "p_type", "w")
+    draws = val.join(seg, "o_custkey").select("row_key", "o_custkey", "c_mktsegment")
+    return AF.weighted_sample(draws, "row_key", "c_mktsegment", cum, "p_type", SEED)
+
+
+def weighted_sample(spark, sf):
+    return _weighted_draws(spark, sf).select("row_key", "c_mktsegment", "p_type")
+
+
+def sample_counts_per_user(spark, sf):
+    d = _weighted_draws(spark, sf)
+    return d.groupBy(F.col("o_custkey").alias("user_id"), "p_type").agg(F.count(F.lit(1)).alias("n_draws"))
+
+
+QUERIES.update({
+    "rare_category_fold": rare_category_fold,
+    "numeric_bucket": numeric_bucket,
+    "prefix_bucket": prefix_bucket,
+    "year_decade": year_decade,
+    "title_clean": title_clean,
+    "epoch_to_date": epoch_to_date,
+    "prepare_ratings": prepare_ratings,
+    "affinity_scores": affinity_scores,
+    "affinity_softmax": affinity_softmax,
+    "weighted_sample": weighted_sample,
+    "sample_counts_per_user": sample_counts_per_user,
+})

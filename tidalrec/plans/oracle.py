@@ -420,3 +420,86 @@ SQL.update({
         round(score, 6) AS score, round(retrieval_distance, 6) AS retrieval_distance FROM scored""",
     "eligibility_reasons": W(*U_POOL, REC) + "SELECT user_id, reason FROM el WHERE reason IS NOT NULL",
 })
+
+
+# ---- step 9: preparation, affinity, sampling ------------------------------------
+
+TITLES = """WITH t AS (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_name
+                ELSE p_name || ' (' || CAST(p_size + 1940 AS VARCHAR) || ')' END AS title FROM part),
+ty AS (SELECT p_partkey, title, TRY_CAST(NULLIF(regexp_extract(title, '\\((\\d{4})\\)', 1), '') AS INTEGER) AS year FROM t)
+"""
+
+AGE_CASE = ("CASE WHEN a >= 0 AND a < 18 THEN 'age_0_17' WHEN a >= 18 AND a < 25 THEN 'age_18_24' "
+            "WHEN a >= 25 AND a < 35 THEN 'age_25_34' WHEN a >= 35 AND a < 45 THEN 'age_35_44' "
+            "WHEN a >= 45 AND a < 55 THEN 'age_45_54' WHEN a >= 55 AND a < 65 THEN 'age_55_64' "
+            "WHEN a >= 65 AND a < 200 THEN 'age_65_plus' END")
+
+AFF = """
+c AS (SELECT * FROM customer), p AS (SELECT * FROM part),
+inter AS (SELECT c.c_mktsegment, CAST(c.c_nationkey AS VARCHAR) AS c_nationkey, p.p_brand, p.p_type,
+                 CAST(p.p_size AS VARCHAR) AS p_size
+          FROM train tr JOIN c ON c.c_custkey = tr.o_custkey JOIN p ON p.p_partkey = tr.l_partkey),
+cnt AS (SELECT seg_col, seg_value, item_col, item_value, count(*) AS n FROM (
+          SELECT s.seg_col, s.seg_value, i.item_col, i.item_value FROM inter,
+            LATERAL (VALUES ('c_mktsegment', inter.c_mktsegment), ('c_nationkey', inter.c_nationkey)) s(seg_col, seg_value),
+            LATERAL (VALUES ('p_brand', inter.p_brand), ('p_type', inter.p_type), ('p_size', inter.p_size)) i(item_col, item_value))
+        GROUP BY 1, 2, 3, 4),
+pref AS (SELECT seg_col, seg_value, item_col, item_value AS pref_value FROM (
+          SELECT *, row_number() OVER (PARTITION BY seg_col, seg_value, item_col ORDER BY n DESC, item_value) AS r FROM cnt)
+         WHERE r = 1),
+keys AS (SELECT DISTINCT c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer),
+prof AS (SELECT p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size, count(*) AS n_items FROM part GROUP BY 1, 2, 3),
+sc AS (SELECT k.c_mktsegment, k.c_nationkey, pr.p_brand, pr.p_type, pr.p_size, pr.n_items,
+          (CASE WHEN pr.p_brand = (SELECT pref_value FROM pref WHERE seg_col='c_mktsegment' AND seg_value=k.c_mktsegment AND item_col='p_brand') THEN 1 ELSE 0 END
+         + CASE WHEN pr.p_type = (SELECT pref_value FROM pref WHERE seg_col='c_mktsegment' AND seg_value=k.c_mktsegment AND item_col='p_type') THEN 1 ELSE 0 END
+         + CASE WHEN pr.p_size = (SELECT pref_value FROM pref WHERE seg_col='c_mktsegment' AND seg_value=k.c_mktsegment AND item_col='p_size') THEN 1 ELSE 0 END
+         + CASE WHEN pr.p_brand = (SELECT pref_value FROM pref WHERE seg_col='c_nationkey' AND seg_value=k.c_nationkey AND item_col='p_brand') THEN 1 ELSE 0 END
+         + CASE WHEN pr.p_type = (SELECT pref_value FROM pref WHERE seg_col='c_nationkey' AND seg_value=k.c_nationkey AND item_col='p_type') THEN 1 ELSE 0 END
+         + CASE WHEN pr.p_size = (SELECT pref_value FROM pref WHERE seg_col='c_nationkey' AND seg_value=k.c_nationkey AND item_col='p_size') THEN 1 ELSE 0 END) AS score
+       FROM keys k CROSS JOIN prof pr)
+"""
+
+SAMPLE = """
+seg AS (SELECT c_custkey, c_mktsegment FROM customer),
+wts AS (SELECT s.c_mktsegment, p.p_type, count(*) AS w FROM train tr JOIN seg s ON s.c_custkey = tr.o_custkey
+        JOIN part p ON p.p_partkey = tr.l_partkey GROUP BY 1, 2),
+cum AS (SELECT *, sum(w) OVER (PARTITION BY c_mktsegment ORDER BY p_type ROWS UNBOUNDED PRECEDING) AS hi,
+               sum(w) OVER (PARTITION BY c_mktsegment) AS total FROM wts),
+dr AS (SELECT v.row_key, v.o_custkey, s.c_mktsegment, """ + md5_int("'42'", "v.row_key") + """::DOUBLE / 4294967296.0 AS u
+       FROM val v JOIN seg s ON s.c_custkey = v.o_custkey),
+smp AS (SELECT dr.row_key, dr.o_custkey, dr.c_mktsegment, cum.p_type FROM dr JOIN cum ON cum.c_mktsegment = dr.c_mktsegment
+        AND cum.hi - cum.w <= dr.u * cum.total AND dr.u * cum.total < cum.hi)
+"""
+
+SQL.update({
+    "rare_category_fold": """SELECT p.p_partkey, p.p_name, CASE WHEN c.n > 10 THEN p.p_name ELSE 'other' END AS name_grouped
+        FROM part p JOIN (SELECT p_name, count(*) AS n FROM part GROUP BY 1) c ON c.p_name = p.p_name""",
+    "numeric_bucket": "SELECT c_custkey, a AS age, " + AGE_CASE + " AS age_bucket FROM (SELECT c_custkey, (c_nationkey * 3 + 5)::BIGINT AS a FROM customer)",
+    "prefix_bucket": """SELECT c_custkey, 'age_' || CAST(c_nationkey::DOUBLE AS VARCHAR) AS age_group,
+        'occ_' || CAST(c_nationkey AS VARCHAR) AS occupation,
+        COALESCE(substring(CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey * 7 AS VARCHAR) END, 1, 3), '000') AS zip_prefix
+        FROM customer""",
+    "year_decade": TITLES + """SELECT p_partkey, title, CAST(year AS VARCHAR) AS year, CASE WHEN year IS NULL THEN 'year_unknown'
+        ELSE 'year_' || CAST((year // 10) * 10 AS VARCHAR) || 's' END AS year_bucket FROM ty""",
+    "title_clean": TITLES + "SELECT p_partkey, regexp_replace(title, '\\s\\(\\d{4}\\)', '', 'g') AS title_raw FROM t",
+    "epoch_to_date": """SELECT CAST(event_id AS VARCHAR) AS id_text, (epoch_us(ts) // 1000000)::BIGINT AS epoch,
+        strftime(ts, '%Y-%m-%d') AS event_date,
+        'e_' || lpad(CAST(event_id AS VARCHAR), greatest(6, length(CAST((SELECT count(*) FROM events) AS VARCHAR)))::INTEGER, '0') AS surrogate_id
+        FROM events""",
+    "prepare_ratings": """WITH r AS (SELECT CAST(o.o_custkey AS VARCHAR) AS user_id, CAST(l.l_partkey AS VARCHAR) AS item_id,
+            CAST(l.l_quantity AS BIGINT) AS rating, strftime(o.o_orderdate, '%Y-%m-%d') AS timestamp,
+            epoch_us(CAST(strftime(o.o_orderdate, '%Y-%m-%d') AS TIMESTAMP)) AS us
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+        b AS (SELECT min(us) AS lo, max(us) AS hi FROM r)
+        SELECT user_id, item_id, rating, timestamp, us::DOUBLE <= b.lo::DOUBLE + (b.hi - b.lo)::DOUBLE * 0.8::DOUBLE AS is_train
+        FROM r CROSS JOIN b""",
+    "affinity_scores": W(AFF) + """SELECT c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey, p_brand, p_type, p_size,
+        score::BIGINT AS score, n_items::BIGINT AS n_items FROM sc WHERE score >= 1""",
+    "affinity_softmax": W(AFF, """rows AS (SELECT c_mktsegment, c_nationkey, p_brand, p_type, p_size, score::DOUBLE AS score, n_items FROM sc WHERE score >= 1
+          UNION ALL SELECT c_mktsegment, c_nationkey, NULL, NULL, NULL, 0.0, sum(n_items) FROM sc WHERE score = 0 GROUP BY 1, 2),
+        mx AS (SELECT *, max(score) OVER (PARTITION BY c_mktsegment, c_nationkey) AS m FROM rows)""") +
+        """SELECT c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey, p_brand, p_type, p_size, n_items::BIGINT AS n_items,
+           round(exp(score - m) / sum(n_items * exp(score - m)) OVER (PARTITION BY c_mktsegment, c_nationkey), 6) AS prob FROM mx""",
+    "weighted_sample": W(SAMPLE) + "SELECT row_key, c_mktsegment, p_type FROM smp",
+    "sample_counts_per_user": W(SAMPLE) + "SELECT o_custkey AS user_id, p_type, count(*) AS n_draws FROM smp GROUP BY 1, 2",
+})
