@@ -737,3 +737,44 @@ QUERIES.update({
     "weighted_sample": weighted_sample,
     "sample_counts_per_user": sample_counts_per_user,
 })
+
+
+# ---- step 10: streaming ------------------------------------------------------------
+
+from tidalrec.streaming import incremental as INC  # noqa: E402
+
+
+def _events_path(sf):
+    return f"{sf.rstrip('/')}/events.parquet"
+
+
+def stream_value_counts(spark, sf):
+    s = INC.read_stream(spark, _events_path(sf))
+    out = INC.scratch_path(spark, "counts")
+    INC.run_available(INC.stream_value_counts(s, ["event_type", "user_id"]), out, "update")
+    return INC.state_latest_per_key(spark, out, ["column", "value"]).select("column", "value", "cnt")
+
+
+def stream_latest(spark, sf):
+    s = INC.read_stream(spark, _events_path(sf))
+    out = INC.scratch_path(spark, "latest")
+    INC.run_available(INC.stream_latest(s, "user_id", "ts", ["event_id"], ["event_id", "event_type"]), out, "update")
+    return INC.state_latest_per_key(spark, out, ["user_id"]).select("user_id", "event_id", "event_type", "latest_date")
+
+
+def stream_encode(spark, sf):
+    e = TB.load(spark, sf, "events")
+    mins = {"event_type": 5, "user_id": 70}
+    vocab = V.fit_vocabulary(V.value_counts([(e, {"event_type": "event_type", "user_id": "user_id"})]), mins).persist()
+    s = INC.read_stream(spark, _events_path(sf))
+    out = INC.scratch_path(spark, "encode")
+    enc = INC.stream_encode(s, vocab, {"event_type": "event_type", "user_id": "user_id"})
+    INC.run_available(enc.select("event_id", "event_type_token", "user_id_token"), out, "append")
+    return spark.read.parquet(out).select("event_id", "event_type_token", "user_id_token")
+
+
+QUERIES.update({
+    "stream_value_counts": stream_value_counts,
+    "stream_latest": stream_latest,
+    "stream_encode": stream_encode,
+})

@@ -503,3 +503,17 @@ SQL.update({
     "weighted_sample": W(SAMPLE) + "SELECT row_key, c_mktsegment, p_type FROM smp",
     "sample_counts_per_user": W(SAMPLE) + "SELECT o_custkey AS user_id, p_type, count(*) AS n_draws FROM smp GROUP BY 1, 2",
 })
+
+
+# ---- step 10: streaming (final state = batch result) ---------------------------------
+
+SQL.update({
+    "stream_value_counts": """SELECT "column", value, count(*)::BIGINT AS cnt FROM (
+        SELECT 'event_type' AS "column", COALESCE(CAST(event_type AS VARCHAR), 'None') AS value FROM events
+        UNION ALL SELECT 'user_id', COALESCE(CAST(user_id AS VARCHAR), 'None') FROM events) GROUP BY 1, 2""",
+    "stream_latest": SQL["latest_interaction"],
+    "stream_encode": "WITH " + counts_sql("ec", [("events", {"event_type": "event_type", "user_id": "user_id"})]) + "," +
+        vocab_sql("ev", "ec", {"event_type": 5, "user_id": 70}) +
+        f"SELECT event_id, {tok('ev', 'event_type', 'event_type', 'event_type_token')}, "
+        f"{tok('ev', 'user_id', 'user_id', 'user_id_token')} FROM events",
+})
