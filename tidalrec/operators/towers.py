@@ -200,3 +200,56 @@ class DLRMScorer:
         if dense_out is not None:
             parts.append(dense_out)
         return NM.mlp(np.concatenate(parts, axis=1), self.layers, activate_last=False)[:, 0]
+
+
+# ---- parameter naming (bundle layout) ---------------------------------------------
+
+def _mlp_names(prefix: str, in_dim: int, dims: list[int], activate_last: bool = True) -> list[tuple[str, list[int]]]:
+    """Linear layers of an MLP whose blocks are Linear, ReLU, Dropout."""
+    out, a, idx = [], in_dim, 0
+    for i, b in enumerate(dims):
+        out.append((f"{prefix}.net.{idx}.weight", [b, a]))
+        out.append((f"{prefix}.net.{idx}.bias", [b]))
+        last = i == len(dims) - 1
+        idx += 3 if (activate_last or not last) else 1
+        a = b
+    return out
+
+
+def tower_param_shapes(prefix: str, cards: dict[str, int], dim: int, hidden: list[int],
+                       n_dense: int = 0, bottom: list[int] | None = None) -> list[tuple[str, list[int]]]:
+    out = [(f"{prefix}.embeddings.{f}.weight", [int(c), dim]) for f, c in cards.items()]
+    if n_dense:
+        out += _mlp_names(f"{prefix}.dense_bottom_mlp.mlp", n_dense, list(bottom or [dim]))
+    out.append((f"{prefix}.weights", [dim, len(cards) + (1 if n_dense else 0)]))
+    out += _mlp_names(f"{prefix}.mlp", dim, hidden)
+    return out
+
+
+def model_param_shapes(arch: str, ucards: dict[str, int], icards: dict[str, int], dim: int,
+                       hidden: list[int], n_udense: int = 0, n_idense: int = 0,
+                       scorer_hidden: list[int] | None = None) -> list[tuple[str, list[int]]]:
+    """(name, shape) in parameter order for 'retrieval', 'two_tower' or 'dlrm'."""
+    if arch in ("retrieval", "two_tower"):
+        out = tower_param_shapes("user_tower", ucards, dim, hidden, n_udense)
+        out += tower_param_shapes("item_tower", icards, dim, hidden, n_idense)
+        if arch == "retrieval":
+            out.append(("temperature", []))
+        else:
+            out += _mlp_names("scorer", 4 * hidden[-1], [*(scorer_hidden or [16]), 1], activate_last=False)
+        return out
+    if arch == "dlrm":
+        cards = {**ucards, **icards}
+        n = len(cards) + (1 if (n_udense + n_idense) else 0)
+        out = [(f"encoder.embeddings.{f}.weight", [int(c), dim]) for f, c in cards.items()]
+        if n_udense + n_idense:
+            out += _mlp_names("encoder.dense_bottom_mlp.mlp", n_udense + n_idense, [dim])
+        width = dim * n + n * (n - 1) // 2
+        out += _mlp_names("mlp", width, [*hidden, 1], activate_last=False)
+        return out
+    raise ValueError(f"unknown architecture {arch}")
+
+
+def shapes_frame(spark: SparkSession, shapes: list[tuple[str, list[int]]]) -> DataFrame:
+    rows = [(n, "x".join(str(x) for x in s) if s else "scalar", i) for i, (n, s) in enumerate(shapes)]
+    return spark.createDataFrame(rows, "param string, shape string, ord int")

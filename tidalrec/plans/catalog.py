@@ -778,3 +778,54 @@ QUERIES.update({
     "stream_latest": stream_latest,
     "stream_encode": stream_encode,
 })
+
+
+# ---- artifacts: encoder round trip, warm start ---------------------------------------
+
+from tidalrec.operators import warm_start as WS  # noqa: E402
+from tidalrec.sources import artifacts as AR  # noqa: E402
+
+
+def encoder_round_trip(spark, sf):
+    """Fit, save, reload (reuse check), then encode items with the reloaded
+    dictionary."""
+    train, _ = split_parts(spark, sf)
+    sp = tpch_spec(min_counts={**ENC_MIN_USER, **ENC_MIN_ITEM})
+    _, ienc = V.build_encoders(TB.users(spark, sf), TB.items(spark, sf), train, sp)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/encoders-{uuid.uuid4().hex}"
+    fp = AR.fingerprint(train.select("o_custkey", "l_partkey", "o_orderdate"), "o_orderdate")
+    AR.save_encoders(ienc, path, fp)
+    loaded, meta = AR.load_encoders(spark, path)
+    ok, why = AR.reusable(meta, ienc.cat_cols, ienc.dense_cols, ENC_MIN_ITEM, fp)
+    if not ok:
+        raise RuntimeError(f"saved encoders not reusable: {why}")
+    out = V.encode_table(TB.items(spark, sf).withColumn("id", F.col("p_partkey")), loaded, keep=["id"])
+    return out.select("id", *[F.col(c).alias(c + "_tok") for c in loaded.cat_cols],
+                      R("p_retailprice"))
+
+
+def _arch_shapes(spark, sf):
+    train, _ = split_parts(spark, sf)
+    sp = tpch_spec(min_counts=MODEL_MIN)
+    uenc, ienc = V.build_encoders(TB.users(spark, sf), TB.items(spark, sf), train, sp)
+    uc = {r["column"]: r["cardinality"] for r in V.cardinality(uenc.vocab, sp_mins(U_FEATS)).collect()}
+    ic = {r["column"]: r["cardinality"] for r in V.cardinality(ienc.vocab, sp_mins(I_FEATS)).collect()}
+    uc = {f: uc[f] for f in U_FEATS}
+    ic = {f: ic[f] for f in I_FEATS}
+    return uc, ic
+
+
+def warm_start_mapping(spark, sf):
+    uc, ic = _arch_shapes(spark, sf)
+    src = TW.shapes_frame(spark, TW.model_param_shapes("retrieval", uc, ic, DIM, [16, DIM], 1, 1))
+    outs = []
+    for arch in ("two_tower", "dlrm"):
+        tgt = TW.shapes_frame(spark, TW.model_param_shapes(arch, uc, ic, DIM, [16, DIM], 1, 1)).select("param", "shape")
+        outs.append(WS.map_parameters(src, tgt).withColumn("target_arch", F.lit(arch)))
+    return outs[0].unionByName(outs[1]).select("target_arch", "source_param", "target_param", "status")
+
+
+QUERIES.update({
+    "encoder_round_trip": encoder_round_trip,
+    "warm_start_mapping": warm_start_mapping,
+})

@@ -517,3 +517,68 @@ SQL.update({
         f"SELECT event_id, {tok('ev', 'event_type', 'event_type', 'event_type_token')}, "
         f"{tok('ev', 'user_id', 'user_id', 'user_id_token')} FROM events",
 })
+
+
+# ---- artifacts ------------------------------------------------------------------
+
+def _shape_sql(shapes, sentinels: dict[int, str]) -> str:
+    rows = []
+    for i, (n, s) in enumerate(shapes):
+        if not s:
+            sh = "'scalar'"
+        else:
+            parts = [sentinels.get(x, f"'{x}'") for x in s]
+            sh = " || 'x' || ".join(parts)
+        rows.append(f"SELECT '{n}' AS param, {sh} AS shape, {i} AS ord")
+    return " UNION ALL ".join(rows)
+
+
+def _warm_sql() -> str:
+    from tidalrec.operators.towers import model_param_shapes
+    feats = U_FEATS + I_FEATS
+    fake = {f: 10 ** 9 + i for i, f in enumerate(feats)}
+    sent = {10 ** 9 + i: f"(SELECT cardinality::VARCHAR FROM {'ucard' if f in U_FEATS else 'icard'} WHERE \"column\" = '{f}')"
+            for i, f in enumerate(feats)}
+    uc = {f: fake[f] for f in U_FEATS}
+    ic = {f: fake[f] for f in I_FEATS}
+    src = _shape_sql(model_param_shapes("retrieval", uc, ic, 8, [16, 8], 1, 1), sent)
+    out = []
+    for arch in ("two_tower", "dlrm"):
+        tgt = _shape_sql(model_param_shapes(arch, uc, ic, 8, [16, 8], 1, 1), sent)
+        out.append(f"""SELECT '{arch}' AS target_arch, * FROM (
+          WITH src AS ({src}), tgt AS ({tgt}),
+          cand AS (SELECT param, shape, ord, 0 AS rule, param AS cand FROM src
+                   UNION ALL SELECT param, shape, ord, 1, 'encoder.embeddings.' || substr(param, 23) FROM src
+                     WHERE starts_with(param, 'user_tower.embeddings.')
+                   UNION ALL SELECT param, shape, ord, 2, 'encoder.embeddings.' || substr(param, 23) FROM src
+                     WHERE starts_with(param, 'item_tower.embeddings.')),
+          j AS (SELECT c.*, t.shape AS tshape FROM cand c JOIN tgt t ON t.param = c.cand),
+          direct AS (SELECT param, arg_min(cand, rule) AS direct FROM j WHERE shape = tshape GROUP BY 1),
+          mm AS (SELECT DISTINCT param FROM j WHERE shape <> tshape),
+          sfx AS (SELECT s.param, count(*) AS n_sfx, min(t.param) AS sfx_target FROM src s JOIN tgt t
+                  ON substr(s.param, strpos(s.param, '.') + 1) = substr(t.param, strpos(t.param, '.') + 1)
+                  AND s.shape = t.shape WHERE strpos(s.param, '.') > 0 AND strpos(t.param, '.') > 0 GROUP BY 1),
+          r AS (SELECT s.param, s.ord, COALESCE(d.direct, CASE WHEN x.n_sfx = 1 THEN x.sfx_target END) AS target_param,
+                       x.n_sfx, m.param IS NOT NULL AS mm
+                FROM src s LEFT JOIN direct d ON d.param = s.param LEFT JOIN mm m ON m.param = s.param
+                LEFT JOIN sfx x ON x.param = s.param),
+          rn AS (SELECT *, CASE WHEN target_param IS NOT NULL THEN
+                   row_number() OVER (PARTITION BY target_param ORDER BY ord) END AS n FROM r)
+          SELECT param AS source_param, target_param,
+            CASE WHEN target_param IS NOT NULL AND n = 1 THEN 'loaded'
+                 WHEN target_param IS NOT NULL THEN 'duplicate_target'
+                 WHEN n_sfx > 1 THEN 'ambiguous' WHEN mm THEN 'shape_mismatch' ELSE 'no_match' END AS status
+          FROM rn)""")
+    return W(counts_sql("uc", USER_SRC), vocab_sql("uv", "uc", {f: MODEL_MIN[f] for f in U_FEATS}),
+             card_sql("ucard", "uv", {f: MODEL_MIN[f] for f in U_FEATS}),
+             counts_sql("ic", ITEM_SRC), vocab_sql("iv", "ic", {f: MODEL_MIN[f] for f in I_FEATS}),
+             card_sql("icard", "iv", {f: MODEL_MIN[f] for f in I_FEATS})) + " UNION ALL ".join(out)
+
+
+SQL.update({
+    "encoder_round_trip": W(counts_sql("ic", ITEM_SRC), vocab_sql("iv", "ic", ENC_MIN_ITEM),
+                            SCALE.format(col="p_retailprice", table="part")) +
+        "SELECT e.p_partkey AS id, " + ", ".join(tok("iv", c, f"e.{c}", c + "_tok") for c in ["p_partkey", *ITEM_CAT]) +
+        ", round((COALESCE(e.p_retailprice, sc.m) - sc.m) / sc.s, 6) AS p_retailprice FROM part e CROSS JOIN sc",
+    "warm_start_mapping": _warm_sql(),
+})
