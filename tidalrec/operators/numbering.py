@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 
 from tidalrec.session import cut_lineage
 
+# Up to this many rows a plain window numbers the rows (one task per group is
+# cheap at this size); above it the range-partitioned path is used.
+SMALL_ROWS = 1_000_000
+
 
 def _as_cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -30,7 +34,7 @@ def _as_cols(cols) -> list[Column]:
 
 def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
                 out: str = "rn", partitions: int | None = None,
-                few_groups: bool = True) -> DataFrame:
+                few_groups: bool = True, force_distributed: bool = False) -> DataFrame:
     """Add ``out`` = 1..n inside each group in ``order_by`` order.
 
     ``order_by`` must make the order total (add a unique tie-break column).
@@ -41,6 +45,10 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
     spark = df.sparkSession
     group_by = list(group_by)
     order_cols = _as_cols(order_by)
+    df = df.persist()
+    if not force_distributed and df.count() <= SMALL_ROWS:
+        w = Window.partitionBy(*group_by).orderBy(*order_cols)
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group_by] + order_cols
@@ -48,7 +56,7 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged = cut_lineage(ranged.persist())
     stats = ranged.groupBy("_pid", *group_by).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(*group_by).orderBy("_pid").rowsBetween(

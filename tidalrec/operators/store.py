@@ -67,5 +67,5 @@ def build_store(entities: DataFrame, enc: Encoders, id_col: str, validate: bool
     enc_tab = encode_table(entities.withColumn("_rid", F.col(id_col)), enc, keep=["_rid"])
     table = pos.join(enc_tab, "_rid", "inner").drop("_rid")
     feats = enc.cat_cols + enc.dense_cols
-    return EntityStore(table.select("id_key", "position", *feats), id_col, feats,
+    return EntityStore(table.select("id_key", "position", *feats).persist(), id_col, feats,
                        list(enc.cat_cols), list(enc.dense_cols))

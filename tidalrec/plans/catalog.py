@@ -511,8 +511,8 @@ def sp_mins(cols):
     return {c: MODEL_MIN[c] for c in cols}
 
 
-def _pooled(spark, sf, side):
-    ctx = _model_ctx(spark, sf)
+def _pooled(spark, sf, side, ctx=None):
+    ctx = ctx or _model_ctx(spark, sf)
     st, tab, feats = (ctx["us"], ctx["utab"], U_FEATS) if side == "user" else (ctx["its"], ctx["itab"], I_FEATS)
     pool = TW.pool_table(spark, feats, DIM, SEED, prefix=f"{side}.")
     return ctx, TW.pool_long(st.table, "id_key", tab, feats, pool, prefix=f"{side}.")
@@ -567,7 +567,7 @@ def head_weights(n: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
 
 def _rec_inputs(spark, sf):
     ctx, upool = _pooled(spark, sf, "user")
-    _, ipool = _pooled(spark, sf, "item")
+    _, ipool = _pooled(spark, sf, "item", ctx)
     uvec = _as_vec(upool, "id_key").withColumnRenamed("id_key", "user_id")
     ivec = _as_vec(ipool, "id_key").withColumnRenamed("id_key", "item_id")
     c = TB.users(spark, sf)
