@@ -504,7 +504,9 @@ def _model_ctx(spark, sf):
     icard = {r["column"]: r["cardinality"] for r in V.cardinality(ienc.vocab, sp_mins(I_FEATS)).collect()}
     utab = TW.init_tables(spark, ucard, DIM, SEED, prefix="user.").persist()
     itab = TW.init_tables(spark, icard, DIM, SEED, prefix="item.").persist()
-    return dict(train=train, val=val, us=us, its=its, ucard=ucard, icard=icard, utab=utab, itab=itab)
+    return dict(train=train, val=val, us=us, its=its, ucard=ucard, icard=icard, utab=utab, itab=itab,
+                uvocab=uenc.vocab, ivocab=ienc.vocab, uscal=uenc.scalers, iscal=ienc.scalers,
+                usizes=uenc.sizes, isizes=ienc.sizes)
 
 
 def sp_mins(cols):
@@ -829,3 +831,152 @@ QUERIES.update({
     "encoder_round_trip": encoder_round_trip,
     "warm_start_mapping": warm_start_mapping,
 })
+
+
+# ---- step 8: training, evaluation, early stopping, warm start, bundles ----------------
+
+from tidalrec.operators import train as TRN  # noqa: E402
+
+TRAIN_USER = TRN.Side("user", U_FEATS, ["c_acctbal"])
+TRAIN_ITEM = TRN.Side("item", I_FEATS, ["p_retailprice"])
+TRAIN_BATCH = 256
+
+
+def _train_setup(spark, sf, stage):
+    ctx = _model_ctx(spark, sf)
+    sp = tpch_spec(min_counts=MODEL_MIN, label_col=None)
+    uenc_items = None  # noqa: F841
+    return ctx, sp
+
+
+def _retrieval_eval(spark, sf, ctx, state, ks=KS):
+    ue = TRN.embed_side(ctx["us"].table, state.tables, state.dense, TRAIN_USER, ctx["ucard"])
+    ie = TRN.embed_side(ctx["its"].table, state.tables, state.dense, TRAIN_ITEM, ctx["icard"])
+    sp = spec()
+    users, items = TB.users(spark, sf), TB.items(spark, sf)
+    seen = K.user_item_sets(K.known_pairs(ctx["train"], users, items, sp.inter_user, sp.inter_item, sp.user_id, sp.item_id))
+    rel = K.known_pairs(ctx["val"], users, items, sp.inter_user, sp.inter_item, sp.user_id, sp.item_id)
+    n_items = ctx["its"].table.count()
+    kk = M.valid_cutoffs(ks, n_items)
+    q = ue.select(F.col("id_key").cast("bigint").alias("user_id"), F.col("emb").alias("vec")).join(seen, "user_id", "left")
+    cat = ie.select(F.col("id_key").cast("bigint").alias("item_id"), F.col("emb").alias("vec"))
+    top = VS.topk_stream_queries(q, cat, max(kk), q_key="user_id", q_vec="vec", exclude="items")
+    top = top.select(F.col("qid").alias("user_id"), "rank", "item_id")
+    m = M.macro_average(M.ranking_metrics_per_user(top, rel, kk)).first()
+    return {k: float(v) for k, v in m.asDict().items() if k != "n_users"}
+
+
+def _rows_for(spark, ctx, stage, sp):
+    from tidalrec.operators import training_rows as TRr
+    uenc_like = V.Encoders(ctx["uvocab"], ctx["uscal"], [], [], sizes=ctx["usizes"])
+    ienc_like = V.Encoders(ctx["ivocab"], ctx["iscal"], [], [], sizes=ctx["isizes"])
+    pos = TRr.positive_rows(ctx["train"], sp, ctx["us"], ctx["its"], uenc_like, ienc_like, with_label=True)
+    if stage == "retrieval":
+        rows = pos
+    else:
+        rows = TRr.labeled_rows(pos, ctx["its"], NEG, SEED, "l_partkey")
+    rows = rows.withColumn("row_key", F.concat_ws("#", "row_key", "draw"))
+    return TRr.assign_batches(rows, TRAIN_BATCH, SEED)
+
+
+def _ranking_eval(spark, ctx, state, sp, loss):
+    from tidalrec.operators import training_rows as TRr
+    uenc_like = V.Encoders(ctx["uvocab"], ctx["uscal"], [], [], sizes=ctx["usizes"])
+    ienc_like = V.Encoders(ctx["ivocab"], ctx["iscal"], [], [], sizes=ctx["isizes"])
+    pos = TRr.positive_rows(ctx["val"], sp, ctx["us"], ctx["its"], uenc_like, ienc_like, with_label=True)
+    frame = TRN.training_frame(pos.withColumn("batch_id", F.lit(0)), state.tables, TRAIN_USER, TRAIN_ITEM, "label")
+    dense = state.dense
+    up, ip = TRN.tower_params(dense, TRAIN_USER), TRN.tower_params(dense, TRAIN_ITEM)
+    scorer = TRN._layers(dense, "scorer")
+
+    def run(batches):
+        from tidalrec.functions import backprop as BP
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            def side(p, tp, s):
+                emb = np.stack([np.stack([np.asarray(v) if v is not None else np.zeros(DIM)
+                                          for v in pdf[f"{p}__{f}__vec"].values]) for f in s.features], axis=1)
+                dn = pdf[[f"{p}__{c}" for c in sorted(s.dense)]].to_numpy(dtype=np.float64) if s.dense else None
+                return BP.tower_fwd(emb, dn, tp.pool, tp.layers, tp.bottom)[0]
+            u, v = side("u", up, TRAIN_USER), side("i", ip, TRAIN_ITEM)
+            _, logits, _, _, _ = BP.pair_head(u, v, scorer, pdf["label"].to_numpy(dtype=np.float64), loss)
+            yield pd.DataFrame({"pred": logits, "label": pdf["label"].values})
+
+    import pandas as pd  # noqa: F811
+    preds = frame.mapInPandas(run, "pred double, label double")
+    m = M.pointwise_metrics(preds, "pred", "label", loss_func=loss).first()
+    return {} if m is None else {k: (None if v is None else float(v)) for k, v in m.asDict().items() if k != "n"}
+
+
+def run_training(spark, sf, cfg: TRN.TrainConfig, init: TRN.ModelState | None = None,
+                 stopper: TRN.EarlyStopping | None = None):
+    """Returns (best state, per-epoch report rows)."""
+    ctx = _model_ctx(spark, sf)
+    sp = tpch_spec(min_counts=MODEL_MIN, label_col=None)
+    rows = cut_lineage_rows(_rows_for(spark, ctx, cfg.stage, sp))
+    state = init or TRN.ModelState(
+        ctx["utab"].unionByName(ctx["itab"]), TRN.init_dense(cfg, TRAIN_USER, TRAIN_ITEM))
+    if init is not None and cfg.stage == "ranking" and not any(k.startswith("scorer.") for k in init.dense):
+        state = TRN.ModelState(init.tables, {**TRN.init_dense(cfg, TRAIN_USER, TRAIN_ITEM), **init.dense})
+        state.dense.pop("temperature", None)
+    report, best = [], (state, None)
+    for epoch in range(cfg.epochs):
+        state, loss = TRN.train_epoch(rows, state, cfg, TRAIN_USER, TRAIN_ITEM, "label", epoch)
+        if cfg.stage == "retrieval":
+            metrics = _retrieval_eval(spark, sf, ctx, state)
+        else:
+            metrics = _ranking_eval(spark, ctx, state, sp, cfg.loss)
+        report.append({"epoch": epoch + 1, "mean_loss": loss, **metrics})
+        if stopper is not None:
+            improved, stop = stopper.update(metrics, epoch + 1)
+            if improved:
+                best = (state, epoch + 1)
+            if stop:
+                break
+        else:
+            best = (state, epoch + 1)
+    return best[0], report
+
+
+def cut_lineage_rows(df):
+    from tidalrec.session import cut_lineage
+    return cut_lineage(df.persist())
+
+
+def _report_df(spark, report):
+    keys = sorted({k for r in report for k in r})
+    rows = [tuple(r.get(k) for k in keys) for r in report]
+    schema = ", ".join(f"{k} {'int' if k == 'epoch' else 'double'}" for k in keys)
+    return spark.createDataFrame([tuple(int(v) if k == "epoch" else (None if v is None else float(v))
+                                        for k, v in zip(keys, row)) for row in rows], schema)
+
+
+def train_retrieval(spark, sf):
+    cfg = TRN.TrainConfig(stage="retrieval", epochs=2, lr=0.01, partitions=4)
+    stopper = TRN.EarlyStopping(patience=2, mode="max", metric="ndcg_at_10")
+    _, report = run_training(spark, sf, cfg, stopper=stopper)
+    return _report_df(spark, report)
+
+
+def train_ranking(spark, sf):
+    """Train all: retrieval, save the bundle, warm start the ranking model
+    from the retrieval towers (parameter mapping), train ranking with BCE."""
+    rcfg = TRN.TrainConfig(stage="retrieval", epochs=1, lr=0.01, partitions=4)
+    rstate, _ = run_training(spark, sf, rcfg)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
+    dense_df = AR.params_frame(spark, rstate.dense)
+    AR.save_bundle(path, rstate.tables, dense_df, {"stage": "retrieval", "dim": DIM})
+    tables, dense_back, _meta = AR.load_bundle(spark, path)
+    shapes = {k: np.shape(v) for k, v in rstate.dense.items()}
+    dense = AR.frame_params(dense_back, shapes)
+    kcfg = TRN.TrainConfig(stage="ranking", loss="bce", epochs=2, lr=0.01, partitions=4)
+    init = TRN.ModelState(tables, {k: v for k, v in dense.items() if k != "temperature"})
+    _, report = run_training(spark, sf, kcfg, init=init)
+    return _report_df(spark, report)
+
+
+QUERIES.update({
+    "train_retrieval": train_retrieval,
+    "train_ranking": train_ranking,
+})
