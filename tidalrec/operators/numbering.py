@@ -57,6 +57,7 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged.persist())
+    df.unpersist()
     stats = ranged.groupBy("_pid", *group_by).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(*group_by).orderBy("_pid").rowsBetween(

@@ -39,6 +39,12 @@ class EntityStore:
     feature_cols: list[str]
     cat_cols: list[str]
     dense_cols: list[str]
+    _n: int | None = None
+
+    def count(self) -> int:
+        if self._n is None:
+            self._n = self.table.count()
+        return self._n
 
     def lookup(self, ids: DataFrame, id_col: str, prefix: str = "", broadcast: bool = False) -> DataFrame:
         """Left equi-join by raw id; unknown ids get position 0 and a zero row.

@@ -123,13 +123,17 @@ def fit_scalers(df: DataFrame, columns: list[str]) -> DataFrame:
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def scale_columns(df: DataFrame, scalers: DataFrame, columns: list[str]) -> DataFrame:
+def scale_columns(df: DataFrame, scalers, columns: list[str]) -> DataFrame:
     """z-score with mean imputation: missing -> mean -> 0.0.  The scaler table
-    holds one row per dense column, so it is read as literals."""
+    holds one row per dense column, so it is read as literals (``scalers`` may
+    also be the already-read {column: (mean, std)} dict)."""
     if not columns:
         return df
-    stats = {r["column"]: (r["mean"], r["std"])
-             for r in scalers.filter(F.col("column").isin(columns)).collect()}
+    if isinstance(scalers, dict):
+        stats = scalers
+    else:
+        stats = {r["column"]: (r["mean"], r["std"])
+                 for r in scalers.filter(F.col("column").isin(columns)).collect()}
     out = df
     for c in columns:
         mean, std = stats.get(c, (0.0, 1.0))
@@ -138,10 +142,15 @@ def scale_columns(df: DataFrame, scalers: DataFrame, columns: list[str]) -> Data
     return out
 
 
+def vocab_stats(vocab: DataFrame) -> dict[str, tuple[int, int, int]]:
+    """(values, head values, min count) per column: one small aggregate."""
+    rows = vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_tail")).alias("h"),
+                                       F.max("min_count").alias("m")).collect()
+    return {r["column"]: (int(r["n"]), int(r["h"]), int(r["m"])) for r in rows}
+
+
 def vocab_sizes(vocab: DataFrame) -> dict[str, int]:
-    """Values per column (one small aggregate; one row per column)."""
-    return {r["column"]: int(r["n"]) for r in
-            vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {c: v[0] for c, v in vocab_stats(vocab).items()}
 
 
 @dataclass
@@ -153,15 +162,31 @@ class Encoders:
     cat_cols: list[str]
     dense_cols: list[str]
     sizes: dict | None = None
+    stats: dict | None = None
+    _scaler_values: dict | None = None
 
     def __post_init__(self):
         if self.sizes is None:
             self.vocab = self.vocab.persist()
-            self.sizes = vocab_sizes(self.vocab)
+            self.stats = vocab_stats(self.vocab)
+            self.sizes = {c: v[0] for c, v in self.stats.items()}
 
     def broadcastable(self, column: str) -> bool:
         return self.sizes.get(column, 0) <= BROADCAST_VALUES
 
+    def cardinality(self, column: str, min_count: int | None = None) -> int:
+        """N + 1, or N + 2 with a tail bucket (from the fit-time statistics)."""
+        _, head, m = self.stats.get(column, (0, 0, min_count or 1))
+        m = m if min_count is None else min_count
+        return head + 1 + (1 if m > 1 else 0)
+
+    def scaler_values(self) -> dict:
+        """(mean, std) per dense column, read once (one row per column)."""
+        if self._scaler_values is None:
+            self._scaler_values = {r["column"]: (r["mean"], r["std"]) for r in self.scalers.collect()} \
+                if self.dense_cols else {}
+        return self._scaler_values
+
 
 def build_encoders(users: DataFrame, items: DataFrame, train: DataFrame, spec) -> tuple[Encoders, Encoders]:
     """Fit both sides.  Id counts = entity rows + train interaction rows."""
@@ -182,7 +207,7 @@ def encode_table(df: DataFrame, enc: Encoders, keep: list[str] | None = None) ->
     out = df
     for c in enc.cat_cols:
         out = encode_column(out, enc.vocab, c, broadcast=enc.broadcastable(c))
-    out = scale_columns(out, enc.scalers, enc.dense_cols)
+    out = scale_columns(out, enc.scaler_values(), enc.dense_cols)
     cols = (keep or []) + enc.cat_cols + enc.dense_cols
     return out.select(*cols)
 

@@ -291,7 +291,7 @@ def train_rows_positive(spark, sf):
 
 def negatives_sampled(spark, sf):
     train, _, sp, uenc, ienc, us, its = _train_ctx(spark, sf)
-    n_items = its.table.count()
+    n_items = its.count()
     d = TR.sample_negative_positions(train.select("row_key"), NEG, n_items, SEED)
     ids = its.table.select(F.col("position").alias("neg_position"), F.col("id_key").alias("neg_item"))
     return d.join(F.broadcast(ids), "neg_position", "left").select(
@@ -500,8 +500,8 @@ def _model_ctx(spark, sf):
     uenc, ienc = V.build_encoders(TB.users(spark, sf), TB.items(spark, sf), train, sp)
     us = ST.build_store(TB.users(spark, sf), uenc, "c_custkey")
     its = ST.build_store(TB.items(spark, sf), ienc, "p_partkey")
-    ucard = {r["column"]: r["cardinality"] for r in V.cardinality(uenc.vocab, sp_mins(U_FEATS)).collect()}
-    icard = {r["column"]: r["cardinality"] for r in V.cardinality(ienc.vocab, sp_mins(I_FEATS)).collect()}
+    ucard = {f: uenc.cardinality(f, MODEL_MIN[f]) for f in U_FEATS}
+    icard = {f: ienc.cardinality(f, MODEL_MIN[f]) for f in I_FEATS}
     utab = TW.init_tables(spark, ucard, DIM, SEED, prefix="user.").persist()
     itab = TW.init_tables(spark, icard, DIM, SEED, prefix="item.").persist()
     return dict(train=train, val=val, us=us, its=its, ucard=ucard, icard=icard, utab=utab, itab=itab,
@@ -810,10 +810,8 @@ def _arch_shapes(spark, sf):
     train, _ = split_parts(spark, sf)
     sp = tpch_spec(min_counts=MODEL_MIN)
     uenc, ienc = V.build_encoders(TB.users(spark, sf), TB.items(spark, sf), train, sp)
-    uc = {r["column"]: r["cardinality"] for r in V.cardinality(uenc.vocab, sp_mins(U_FEATS)).collect()}
-    ic = {r["column"]: r["cardinality"] for r in V.cardinality(ienc.vocab, sp_mins(I_FEATS)).collect()}
-    uc = {f: uc[f] for f in U_FEATS}
-    ic = {f: ic[f] for f in I_FEATS}
+    uc = {f: uenc.cardinality(f, MODEL_MIN[f]) for f in U_FEATS}
+    ic = {f: ienc.cardinality(f, MODEL_MIN[f]) for f in I_FEATS}
     return uc, ic
 
 
@@ -856,7 +854,7 @@ def _retrieval_eval(spark, sf, ctx, state, ks=KS):
     users, items = TB.users(spark, sf), TB.items(spark, sf)
     seen = K.user_item_sets(K.known_pairs(ctx["train"], users, items, sp.inter_user, sp.inter_item, sp.user_id, sp.item_id))
     rel = K.known_pairs(ctx["val"], users, items, sp.inter_user, sp.inter_item, sp.user_id, sp.item_id)
-    n_items = ctx["its"].table.count()
+    n_items = ctx["its"].count()
     kk = M.valid_cutoffs(ks, n_items)
     q = ue.select(F.col("id_key").cast("bigint").alias("user_id"), F.col("emb").alias("vec")).join(seen, "user_id", "left")
     cat = ie.select(F.col("id_key").cast("bigint").alias("item_id"), F.col("emb").alias("vec"))
