@@ -978,3 +978,60 @@ QUERIES.update({
     "train_retrieval": train_retrieval,
     "train_ranking": train_ranking,
 })
+
+
+# ---- more inference and preparation queries -------------------------------------------
+
+def score_all_topk_ranking(spark, sf):
+    """Exact top-k for all users with a pair-scoring ranking head over every
+    (user, item) pair, seen items masked; pairs are scored per Arrow batch
+    against the broadcast item-embedding matrix, never materialised as rows."""
+    ctx, ue, ie = _towers(spark, sf)
+    sp = spec()
+    seen = K.user_item_sets(K.known_pairs(ctx["train"], TB.users(spark, sf), TB.items(spark, sf),
+                                          sp.inter_user, sp.inter_item, sp.user_id, sp.item_id))
+    scorer = TW.init_pair_scorer(DIM, [16], SEED)
+
+    def pair_scores(q, c):
+        return np.stack([scorer.score(np.repeat(q[i:i + 1], c.shape[0], axis=0), c) for i in range(q.shape[0])])
+
+    q = (ue.select(F.col("id_key").cast("bigint").alias("user_id"), F.col("emb").alias("vec"))
+         .join(seen, "user_id", "left"))
+    cat = ie.select(F.col("id_key").cast("bigint").alias("item_id"), F.col("emb").alias("vec"))
+    out = VS.topk_stream_queries(q, cat, TOPK, q_key="user_id", q_vec="vec", exclude="items", score_fn=pair_scores)
+    return out.select(F.col("qid").alias("user_id"), "rank", "item_id", R("score"))
+
+
+def _text_base(spark):
+    return f"{checkpoint_dir(spark).rstrip('/')}/prep-{uuid.uuid4().hex}"
+
+
+def prepare_users(spark, sf):
+    """'::' text (user_id::gender::age::occupation::zip) derived from customer,
+    read back as a header-less latin-1 source and prepared."""
+    base = _text_base(spark)
+    c = TB.users(spark, sf)
+    zipc = F.when(F.col("c_acctbal") >= 0, F.lpad(F.col("c_custkey").cast("string"), 5, "0")).otherwise(F.lit(""))
+    text = c.select(F.concat_ws("::", "c_custkey", F.substring("c_mktsegment", 1, 1), (F.col("c_nationkey") + 18),
+                                F.col("c_nationkey") % 21, zipc).alias("value"))
+    text.write.mode("overwrite").text(f"{base}/users.dat")
+    raw = TB.read_delimited(spark, f"{base}/users.dat", ["user_id", "gender", "age", "occupation", "zip"])
+    return PR.prepare_users(raw)
+
+
+def prepare_items(spark, sf):
+    """'::' text (item_id::title::genres) derived from part; genres folded when
+    their count is not above 10, year / decade / clean title parsed."""
+    base = _text_base(spark)
+    t = _titles(spark, sf).join(TB.items(spark, sf).select("p_partkey", "p_type", "p_brand"), "p_partkey")
+    text = t.select(F.concat_ws("::", "p_partkey", "title", F.concat_ws("|", "p_type", "p_brand")).alias("value"))
+    text.write.mode("overwrite").text(f"{base}/movies.dat")
+    raw = TB.read_delimited(spark, f"{base}/movies.dat", ["item_id", "title", "genres"])
+    return PR.prepare_items(raw)
+
+
+QUERIES.update({
+    "score_all_topk_ranking": score_all_topk_ranking,
+    "prepare_users": prepare_users,
+    "prepare_items": prepare_items,
+})

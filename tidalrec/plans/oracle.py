@@ -582,3 +582,20 @@ SQL.update({
         ", round((COALESCE(e.p_retailprice, sc.m) - sc.m) / sc.s, 6) AS p_retailprice FROM part e CROSS JOIN sc",
     "warm_start_mapping": _warm_sql(),
 })
+
+
+SQL.update({
+    "prepare_users": """SELECT CAST(c_custkey AS VARCHAR) AS user_id, (c_nationkey + 18)::DOUBLE AS age,
+        substring(c_mktsegment, 1, 1) AS gender, 'age_' || CAST((c_nationkey + 18)::DOUBLE AS VARCHAR) AS age_group,
+        'occ_' || CAST(c_nationkey % 21 AS VARCHAR) AS occupation,
+        CASE WHEN c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') END AS zip,
+        COALESCE(substring(CASE WHEN c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') END, 1, 3), '000') AS zip_prefix
+        FROM customer""",
+    "prepare_items": TITLES + """, g AS (SELECT p_partkey, p_type || '|' || p_brand AS genres FROM part),
+        gc AS (SELECT genres, count(*) AS n FROM g GROUP BY 1)
+        SELECT CAST(ty.p_partkey AS VARCHAR) AS item_id, g.genres,
+          CASE WHEN gc.n > 10 THEN g.genres ELSE 'other' END AS genre_grouped, ty.title,
+          regexp_replace(ty.title, '\\s\\(\\d{4}\\)', '', 'g') AS title_raw, CAST(ty.year AS VARCHAR) AS year,
+          CASE WHEN ty.year IS NULL THEN 'year_unknown' ELSE 'year_' || CAST((ty.year // 10) * 10 AS VARCHAR) || 's' END AS year_bucket
+        FROM ty JOIN g ON g.p_partkey = ty.p_partkey JOIN gc ON gc.genres = g.genres""",
+})
