@@ -46,6 +46,14 @@ class EntityStore:
             self._n = self.table.count()
         return self._n
 
+    def all_features(self) -> DataFrame:
+        """Every entity's encoded row (positions 1..N)."""
+        return self.table.select("position", *self.feature_cols)
+
+    def all_ids(self) -> DataFrame:
+        """(position, raw id text) in position order semantics."""
+        return self.table.select("position", "id_key")
+
     def lookup(self, ids: DataFrame, id_col: str, prefix: str = "", broadcast: bool = False) -> DataFrame:
         """Left equi-join by raw id; unknown ids get position 0 and a zero row.
         ``broadcast`` only for a store whose row count was checked small."""

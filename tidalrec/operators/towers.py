@@ -37,6 +37,7 @@ class TowerParams:
     layers: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     bottom: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     normalize: bool = True
+    pooling: str = "stacked"                  # stacked | concat
 
     @property
     def dim(self) -> int:
@@ -63,7 +64,7 @@ def init_tables(spark: SparkSession, cardinalities: dict[str, int], dim: int, se
 
 
 def init_params(features: list[str], dense: list[str], dim: int, hidden: list[int], seed: int,
-                bottom: list[int] | None = None) -> TowerParams:
+                bottom: list[int] | None = None, pooling: str = "stacked") -> TowerParams:
     rng = np.random.default_rng(seed)
     n_slots = len(features) + (1 if dense else 0)
     lim = np.sqrt(6.0 / (dim + n_slots))
@@ -77,13 +78,14 @@ def init_params(features: list[str], dense: list[str], dim: int, hidden: list[in
         return out
 
     bottom_dims = list(bottom or [])
-    if dense and bottom_dims and bottom_dims[-1] != dim:
+    if pooling == "stacked" and dense and bottom_dims and bottom_dims[-1] != dim:
         raise ValueError("dense bottom output width must equal the embedding dim for stacking")
     if dense and not bottom_dims:
         bottom_dims = [dim]
+    in_dim = dim if pooling == "stacked" else dim * len(features) + (bottom_dims[-1] if dense else 0)
     return TowerParams(features=list(features), dense=sorted(dense), pool=pool,
-                       layers=dense_layers([dim, *hidden]),
-                       bottom=dense_layers([len(dense), *bottom_dims]) if dense else [])
+                       layers=dense_layers([in_dim, *hidden]),
+                       bottom=dense_layers([len(dense), *bottom_dims]) if dense else [], pooling=pooling)
 
 
 def attach_embeddings(encoded: DataFrame, tables: DataFrame, features: list[str],
@@ -111,6 +113,12 @@ def _stack(pdf: pd.DataFrame, features: list[str], dim: int) -> np.ndarray:
 
 def tower_numpy(pdf: pd.DataFrame, p: TowerParams) -> np.ndarray:
     emb = _stack(pdf, p.features, p.dim)
+    if p.pooling == "concat":
+        bottom = None
+        if p.dense:
+            bottom = NM.mlp(pdf[p.dense].to_numpy(dtype=np.float64), p.bottom, activate_last=True)
+        x = NM.mlp(NM.concat_pool(emb, bottom), p.layers, activate_last=True)
+        return NM.l2_normalize(x) if p.normalize else x
     if p.dense:
         x = pdf[p.dense].to_numpy(dtype=np.float64)
         bottom = NM.mlp(x, p.bottom, activate_last=True)
@@ -253,3 +261,43 @@ def model_param_shapes(arch: str, ucards: dict[str, int], icards: dict[str, int]
 def shapes_frame(spark: SparkSession, shapes: list[tuple[str, list[int]]]) -> DataFrame:
     rows = [(n, "x".join(str(x) for x in s) if s else "scalar", i) for i, (n, s) in enumerate(shapes)]
     return spark.createDataFrame(rows, "param string, shape string, ord int")
+
+
+def init_dlrm_scorer(n_slots: int, dim: int, hidden: list[int], seed: int) -> DLRMScorer:
+    """Input width from the actual concatenation: n_slots*D + C(n_slots, 2)."""
+    rng = np.random.default_rng(seed)
+    sizes = [n_slots * dim + n_slots * (n_slots - 1) // 2, *hidden, 1]
+    layers = []
+    for a, b in zip(sizes[:-1], sizes[1:]):
+        bound = 1.0 / np.sqrt(a)
+        layers.append((rng.uniform(-bound, bound, size=(b, a)), rng.uniform(-bound, bound, size=b)))
+    return DLRMScorer(layers)
+
+
+def dlrm_score(rows: DataFrame, tables: DataFrame, user_features: list[str], item_features: list[str],
+               dense: list[str], cards: dict[str, int], dim: int, scorer: DLRMScorer,
+               bottom: list[tuple[np.ndarray, np.ndarray]] | None, key: str = "row_key") -> DataFrame:
+    """Score (user, item) rows with a DLRM head: embedding lookups by join (columns
+    ``user_<f>`` / ``item_<f>`` hold tokens), dense bottom output as one more
+    slot, all pairwise dots, MLP.  One Arrow batch at a time."""
+    feats = [("user.", f, f"user_{f}") for f in user_features] + [("item.", f, f"item_{f}") for f in item_features]
+    x = rows.select(key, *[F.col(c).cast("bigint").alias(c) for _, _, c in feats], *dense)
+    for pre, f, c in feats:
+        t = tables.filter(F.col("feature") == pre + f).select(F.col("token_index").alias(c), F.col("vec").alias(c + "__vec"))
+        if cards.get(pre + f, cards.get(f, 0)) * dim * 8 <= BROADCAST_TABLE_BYTES:
+            t = F.broadcast(t)
+        x = x.join(t, c, "left")
+    cols = [c for _, _, c in feats]
+    key_type = dict(rows.dtypes)[key]
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            emb = _stack(pdf.rename(columns={c + "__vec": c + "__vec" for c in cols}), cols, dim)
+            if dense and bottom:
+                d = NM.mlp(pdf[dense].to_numpy(dtype=np.float64), bottom, activate_last=True)
+                emb = np.concatenate([emb, d[:, None, :]], axis=1)
+            yield pd.DataFrame({key: pdf[key].values, "score": scorer.score(emb)})
+
+    return x.mapInPandas(run, f"{key} {key_type}, score double")

@@ -1035,3 +1035,37 @@ QUERIES.update({
     "prepare_users": prepare_users,
     "prepare_items": prepare_items,
 })
+
+
+def dlrm_scores(spark, sf):
+    """DLRM ranking scores for every validation interaction: user and item
+    feature embeddings + dense bottom slot, all pairwise dots, MLP."""
+    ctx = _model_ctx(spark, sf)
+    sp = tpch_spec(min_counts=MODEL_MIN, label_col=None)
+    from tidalrec.operators import training_rows as TRr
+    uenc_like = V.Encoders(ctx["uvocab"], ctx["uscal"], [], [], sizes=ctx["usizes"])
+    ienc_like = V.Encoders(ctx["ivocab"], ctx["iscal"], [], [], sizes=ctx["isizes"])
+    rows = TRr.positive_rows(ctx["val"], sp, ctx["us"], ctx["its"], uenc_like, ienc_like)
+    tables = ctx["utab"].unionByName(ctx["itab"])
+    cards = {**{"user." + k: v for k, v in ctx["ucard"].items()}, **{"item." + k: v for k, v in ctx["icard"].items()}}
+    n_slots = len(U_FEATS) + len(I_FEATS) + 1
+    scorer = TW.init_dlrm_scorer(n_slots, DIM, [16], SEED)
+    bottom = TW.init_params(U_FEATS, ["user_c_acctbal", "item_p_retailprice"], DIM, [DIM], SEED).bottom
+    out = TW.dlrm_score(rows, tables, U_FEATS, I_FEATS, ["user_c_acctbal", "item_p_retailprice"], cards, DIM,
+                        scorer, bottom)
+    return out.select("row_key", R("score"))
+
+
+def tower_embed_concat(spark, sf):
+    """Item tower with concatenation pooling (feature embeddings side by side
+    + dense bottom, then MLP and L2 norm)."""
+    ctx = _model_ctx(spark, sf)
+    ip = TW.init_params(I_FEATS, ["p_retailprice"], DIM, [16, DIM], SEED + 1, pooling="concat")
+    ie = TW.tower_embed(ctx["its"].table, "id_key", ctx["itab"], ip, ctx["icard"], prefix="item.")
+    return ie.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.posexplode("emb").alias("dim", "value"))
+
+
+QUERIES.update({
+    "dlrm_scores": dlrm_scores,
+    "tower_embed_concat": tower_embed_concat,
+})
