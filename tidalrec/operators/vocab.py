@@ -189,17 +189,33 @@ class Encoders:
 
 
 def build_encoders(users: DataFrame, items: DataFrame, train: DataFrame, spec) -> tuple[Encoders, Encoders]:
-    """Fit both sides.  Id counts = entity rows + train interaction rows."""
+    """Fit both sides.  Id counts = entity rows + train interaction rows.
+
+    When user and item column names are distinct, both dictionaries come from
+    one aggregation: the train interactions are scanned once for both id
+    columns and a single numbering pass serves both sides."""
     u_cat = [spec.user_id, *spec.user_cat]
     i_cat = [spec.item_id, *spec.item_cat]
-    u_counts = value_counts([(users, {c: c for c in u_cat}),
-                             (train, {spec.inter_user: spec.user_id})])
-    i_counts = value_counts([(items, {c: c for c in i_cat}),
-                             (train, {spec.inter_item: spec.item_id})])
-    u_vocab = fit_vocabulary(u_counts, {c: spec.min_count(c) for c in u_cat})
-    i_vocab = fit_vocabulary(i_counts, {c: spec.min_count(c) for c in i_cat})
-    return (Encoders(u_vocab, fit_scalers(users, list(spec.user_dense)), u_cat, list(spec.user_dense)),
-            Encoders(i_vocab, fit_scalers(items, list(spec.item_dense)), i_cat, list(spec.item_dense)))
+    u_mins = {c: spec.min_count(c) for c in u_cat}
+    i_mins = {c: spec.min_count(c) for c in i_cat}
+    u_sc = fit_scalers(users, list(spec.user_dense))
+    i_sc = fit_scalers(items, list(spec.item_dense))
+    if set(u_cat) & set(i_cat):
+        u_counts = value_counts([(users, {c: c for c in u_cat}), (train, {spec.inter_user: spec.user_id})])
+        i_counts = value_counts([(items, {c: c for c in i_cat}), (train, {spec.inter_item: spec.item_id})])
+        return (Encoders(fit_vocabulary(u_counts, u_mins), u_sc, u_cat, list(spec.user_dense)),
+                Encoders(fit_vocabulary(i_counts, i_mins), i_sc, i_cat, list(spec.item_dense)))
+    counts = value_counts([(users, {c: c for c in u_cat}), (items, {c: c for c in i_cat}),
+                           (train, {spec.inter_user: spec.user_id, spec.inter_item: spec.item_id})])
+    vocab = fit_vocabulary(counts, {**u_mins, **i_mins}).persist()
+    stats = vocab_stats(vocab)
+
+    def side(cols, sc, dense):
+        st = {c: stats.get(c, (0, 0, 1)) for c in cols}
+        return Encoders(vocab.filter(F.col("column").isin(cols)), sc, cols, dense,
+                        sizes={c: v[0] for c, v in st.items()}, stats=st)
+
+    return side(u_cat, u_sc, list(spec.user_dense)), side(i_cat, i_sc, list(spec.item_dense))
 
 
 def encode_table(df: DataFrame, enc: Encoders, keep: list[str] | None = None) -> DataFrame:
