@@ -877,15 +877,18 @@ def _rows_for(spark, ctx, stage, sp):
     return TRr.assign_batches(rows, TRAIN_BATCH, SEED)
 
 
-def _ranking_eval(spark, ctx, state, sp, loss):
+def _ranking_eval(spark, ctx, state, sp, loss, arch="two_tower"):
     from tidalrec.operators import training_rows as TRr
     uenc_like = V.Encoders(ctx["uvocab"], ctx["uscal"], [], [], sizes=ctx["usizes"])
     ienc_like = V.Encoders(ctx["ivocab"], ctx["iscal"], [], [], sizes=ctx["isizes"])
     pos = TRr.positive_rows(ctx["val"], sp, ctx["us"], ctx["its"], uenc_like, ienc_like, with_label=True)
     frame = TRN.training_frame(pos.withColumn("batch_id", F.lit(0)), state.tables, TRAIN_USER, TRAIN_ITEM, "label")
     dense = state.dense
-    up, ip = TRN.tower_params(dense, TRAIN_USER), TRN.tower_params(dense, TRAIN_ITEM)
-    scorer = TRN._layers(dense, "scorer")
+    if arch == "dlrm":
+        up = ip = scorer = None
+    else:
+        up, ip = TRN.tower_params(dense, TRAIN_USER), TRN.tower_params(dense, TRAIN_ITEM)
+        scorer = TRN._layers(dense, "scorer")
 
     def run(batches):
         from tidalrec.functions import backprop as BP
@@ -897,8 +900,14 @@ def _ranking_eval(spark, ctx, state, sp, loss):
                                           for v in pdf[f"{p}__{f}__vec"].values]) for f in s.features], axis=1)
                 dn = pdf[[f"{p}__{c}" for c in sorted(s.dense)]].to_numpy(dtype=np.float64) if s.dense else None
                 return BP.tower_fwd(emb, dn, tp.pool, tp.layers, tp.bottom)[0]
-            u, v = side("u", up, TRAIN_USER), side("i", ip, TRAIN_ITEM)
-            _, logits, _, _, _ = BP.pair_head(u, v, scorer, pdf["label"].to_numpy(dtype=np.float64), loss)
+            if arch == "dlrm":
+                rows_ = [np.stack([np.asarray(v) if v is not None else np.zeros(DIM) for v in pdf[f"{p}__{f}__vec"].values])
+                         for s_, p in ((TRAIN_USER, "u"), (TRAIN_ITEM, "i")) for f in s_.features]
+                feats, _, _ = TRN.dlrm_slots(pdf, rows_, dense, TRAIN_USER, TRAIN_ITEM)
+                logits, _ = BP.dlrm_fwd(feats, TRN._layers(dense, "dlrm.mlp"))
+            else:
+                u, v = side("u", up, TRAIN_USER), side("i", ip, TRAIN_ITEM)
+                _, logits, _, _, _ = BP.pair_head(u, v, scorer, pdf["label"].to_numpy(dtype=np.float64), loss)
             yield pd.DataFrame({"pred": logits, "label": pdf["label"].values})
 
     import pandas as pd  # noqa: F811
@@ -915,7 +924,11 @@ def run_training(spark, sf, cfg: TRN.TrainConfig, init: TRN.ModelState | None =
     rows = cut_lineage_rows(_rows_for(spark, ctx, cfg.stage, sp))
     state = init or TRN.ModelState(
         ctx["utab"].unionByName(ctx["itab"]), TRN.init_dense(cfg, TRAIN_USER, TRAIN_ITEM))
-    if init is not None and cfg.stage == "ranking" and not any(k.startswith("scorer.") for k in init.dense):
+    if init is not None and cfg.arch == "dlrm":
+        # warm start: the retrieval embedding tables carry over (rewrite rule
+        # *_tower.embeddings.* -> encoder.embeddings.*); dense layers are new
+        state = TRN.ModelState(init.tables, TRN.init_dense(cfg, TRAIN_USER, TRAIN_ITEM))
+    elif init is not None and cfg.stage == "ranking" and not any(k.startswith("scorer.") for k in init.dense):
         state = TRN.ModelState(init.tables, {**TRN.init_dense(cfg, TRAIN_USER, TRAIN_ITEM), **init.dense})
         state.dense.pop("temperature", None)
     report, best = [], (state, None)
@@ -924,7 +937,7 @@ def run_training(spark, sf, cfg: TRN.TrainConfig, init: TRN.ModelState | None =
         if cfg.stage == "retrieval":
             metrics = _retrieval_eval(spark, sf, ctx, state)
         else:
-            metrics = _ranking_eval(spark, ctx, state, sp, cfg.loss)
+            metrics = _ranking_eval(spark, ctx, state, sp, cfg.loss, cfg.arch)
         report.append({"epoch": epoch + 1, "mean_loss": loss, **metrics})
         if stopper is not None:
             improved, stop = stopper.update(metrics, epoch + 1)
@@ -1069,3 +1082,16 @@ QUERIES.update({
     "dlrm_scores": dlrm_scores,
     "tower_embed_concat": tower_embed_concat,
 })
+
+
+def train_ranking_dlrm(spark, sf):
+    """DLRM ranking (MSE on the quantity label is not used: BCE with implicit
+    labels and 2 negatives per positive), warm-started embedding tables."""
+    rcfg = TRN.TrainConfig(stage="retrieval", epochs=1, lr=0.01, partitions=4)
+    rstate, _ = run_training(spark, sf, rcfg)
+    kcfg = TRN.TrainConfig(stage="ranking", arch="dlrm", loss="bce", epochs=2, lr=0.01, partitions=4)
+    _, report = run_training(spark, sf, kcfg, init=rstate)
+    return _report_df(spark, report)
+
+
+QUERIES.update({"train_ranking_dlrm": train_ranking_dlrm})
