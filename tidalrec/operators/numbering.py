@@ -34,7 +34,8 @@ def _as_cols(cols) -> list[Column]:
 
 def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
                 out: str = "rn", partitions: int | None = None,
-                few_groups: bool = True, force_distributed: bool = False) -> DataFrame:
+                few_groups: bool = True, force_distributed: bool = False,
+                known_rows: int | None = None) -> DataFrame:
     """Add ``out`` = 1..n inside each group in ``order_by`` order.
 
     ``order_by`` must make the order total (add a unique tie-break column).
@@ -45,8 +46,10 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
     spark = df.sparkSession
     group_by = list(group_by)
     order_cols = _as_cols(order_by)
-    df = df.persist()
-    if not force_distributed and df.count() <= SMALL_ROWS:
+    if known_rows is None:
+        df = df.persist()
+        known_rows = df.count()
+    if not force_distributed and known_rows <= SMALL_ROWS:
         w = Window.partitionBy(*group_by).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     if partitions is None:

@@ -17,16 +17,19 @@ from tidalrec.operators.numbering import number_rows
 from tidalrec.operators.vocab import Encoders, encode_table
 
 
-def check_unique(df: DataFrame, id_col: str) -> None:
-    dup = df.groupBy(id_col).count().filter(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"duplicate id in entity table: {dup[0][0]!r}")
+def check_unique(df: DataFrame, id_col: str) -> int:
+    """Row count of the entity table; raises when an id repeats (one aggregate)."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(id_col)).alias("d"),
+               F.count_if(F.col(id_col).isNull()).alias("z")).first()
+    if r["n"] != r["d"] + r["z"] or r["z"] > 1:
+        raise ValueError(f"duplicate id in entity table column {id_col!r}")
+    return int(r["n"])
 
 
-def entity_positions(df: DataFrame, id_col: str) -> DataFrame:
+def entity_positions(df: DataFrame, id_col: str, n_rows: int | None = None) -> DataFrame:
     """(id_key, position 1..N, row_index = position - 1) ordered by id."""
     ids = df.select(F.col(id_col).alias("_id"))
-    numbered = number_rows(ids, [F.col("_id")], out="position")
+    numbered = number_rows(ids, [F.col("_id")], out="position", known_rows=n_rows)
     return numbered.select(as_key("_id").alias("id_key"), F.col("_id").alias(id_col), "position",
                            F.greatest(F.col("position") - 1, F.lit(0)).alias("row_index"))
 
@@ -75,11 +78,10 @@ class EntityStore:
 
 
 def build_store(entities: DataFrame, enc: Encoders, id_col: str, validate: bool = True) -> EntityStore:
-    if validate:
-        check_unique(entities, id_col)
-    pos = entity_positions(entities, id_col).select("id_key", "position", F.col(id_col).alias("_rid"))
+    n = check_unique(entities, id_col) if validate else None
+    pos = entity_positions(entities, id_col, n).select("id_key", "position", F.col(id_col).alias("_rid"))
     enc_tab = encode_table(entities.withColumn("_rid", F.col(id_col)), enc, keep=["_rid"])
     table = pos.join(enc_tab, "_rid", "inner").drop("_rid")
     feats = enc.cat_cols + enc.dense_cols
     return EntityStore(table.select("id_key", "position", *feats).persist(), id_col, feats,
-                       list(enc.cat_cols), list(enc.dense_cols))
+                       list(enc.cat_cols), list(enc.dense_cols), n)
