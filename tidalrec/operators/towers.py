@@ -165,6 +165,31 @@ def pool_long(encoded: DataFrame, key: str, tables: DataFrame, features: list[st
     return out
 
 
+def pool_vectors(encoded: DataFrame, key: str, tables: DataFrame, features: list[str],
+                 pool: DataFrame, dim: int, prefix: str = "") -> DataFrame:
+    """Stacked pooling with SQL operators on whole vectors: (key, vec).
+
+    Softmax of the pooling weights over features per dimension is a tiny
+    (feature -> weight vector) table, broadcast; each (key, feature) embedding
+    row is weighted elementwise and the few rows of a key are summed (one
+    shuffle of key x feature rows; the per-key list is bounded by the number
+    of features)."""
+    z = pool.groupBy("dim").agg(F.max("w").alias("_mx"))
+    sm = pool.join(F.broadcast(z), "dim").withColumn("_ex", F.exp(F.col("w") - F.col("_mx")))
+    den = sm.groupBy("dim").agg(F.sum("_ex").alias("_den"))
+    sm = sm.join(F.broadcast(den), "dim").select("feature", "dim", (F.col("_ex") / F.col("_den")).alias("sm"))
+    smv = sm.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("dim", "sm"))).alias("_s")).select(
+        "feature", F.transform("_s", lambda x: x["sm"]).alias("_w"))
+    pairs = F.array(*[F.struct(F.lit(prefix + f).alias("feature"), F.col(f).cast("bigint").alias("token_index"))
+                      for f in features])
+    long = encoded.select(key, F.explode(pairs).alias("t")).select(key, "t.feature", "t.token_index")
+    emb = long.join(tables, ["feature", "token_index"], "left").join(F.broadcast(smv), "feature")
+    weighted = emb.select(key, F.zip_with("vec", "_w", lambda e, w: e * w).alias("_x"))
+    zero = F.array_repeat(F.lit(0.0), dim)
+    return weighted.groupBy(key).agg(F.collect_list("_x").alias("_xs")).select(
+        key, F.aggregate("_xs", zero, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("vec"))
+
+
 def pool_table(spark: SparkSession, features: list[str], dim: int, seed: int, prefix: str = "") -> DataFrame:
     """Pooling weights (feature, dim, w) derived from md5 (for the long form)."""
     parts = [spark.range(dim).select(F.lit(prefix + f).alias("feature"), F.col("id").cast("int").alias("dim"),

@@ -514,15 +514,17 @@ def sp_mins(cols):
 
 
 def _pooled(spark, sf, side, ctx=None):
+    """(ctx, (id_key, vec)) pooled vectors of one side."""
     ctx = ctx or _model_ctx(spark, sf)
     st, tab, feats = (ctx["us"], ctx["utab"], U_FEATS) if side == "user" else (ctx["its"], ctx["itab"], I_FEATS)
     pool = TW.pool_table(spark, feats, DIM, SEED, prefix=f"{side}.")
-    return ctx, TW.pool_long(st.table, "id_key", tab, feats, pool, prefix=f"{side}.")
+    return ctx, TW.pool_vectors(st.table, "id_key", tab, feats, pool, DIM, prefix=f"{side}.")
 
 
 def stacked_pooling(spark, sf):
     _, out = _pooled(spark, sf, "item")
-    return out.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.col("dim").cast("int"), R("value"))
+    return out.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.posexplode("vec").alias("dim", "value")) \
+        .select("p_partkey", F.col("dim").cast("int"), R("value"))
 
 
 def _as_vec(long_df, key):
@@ -570,8 +572,8 @@ def head_weights(n: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
 def _rec_inputs(spark, sf):
     ctx, upool = _pooled(spark, sf, "user")
     _, ipool = _pooled(spark, sf, "item", ctx)
-    uvec = _as_vec(upool, "id_key").withColumnRenamed("id_key", "user_id")
-    ivec = _as_vec(ipool, "id_key").withColumnRenamed("id_key", "item_id")
+    uvec = upool.select(F.col("id_key").cast("bigint").alias("user_id"), "vec")
+    ivec = ipool.select(F.col("id_key").cast("bigint").alias("item_id"), "vec")
     c = TB.users(spark, sf)
     req = (c.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("bigint").alias("k"))
            .unionByName(c.select((-F.col("c_custkey") - 1).alias("user_id"), F.lit(None).cast("bigint").alias("k"))))
