@@ -99,3 +99,17 @@ def test_latest_ties_and_bad_times(spark):
     df = spark.createDataFrame(rows, "u long, t string, tie long, item string")
     got = {r.u: (r.item, r.latest_date) for r in LT.latest_per_key(df, "u", "t", ["tie"], ["item"]).collect()}
     assert got == {1: ("b", "2020-01-02"), 2: ("e", "2019-01-01")}
+
+
+def test_topk_unseen_split_join_equals_broadcast(spark, monkeypatch):
+    ranked = spark.range(1, 41).select(F.col("id").alias("item_id"), (100 - F.col("id")).alias("score"),
+                                       F.col("id").alias("pop_rank"))
+    users = spark.range(6).select(F.col("id").alias("user_id"))
+    seen = spark.range(6).select(F.col("id").alias("user_id"), F.explode(F.sequence(F.lit(1), F.col("id") * 7 + 1))
+                                 .alias("item_id"))
+    base = sorted(map(tuple, K.topk_unseen_from_ranking(ranked, users, seen, 5).collect()))
+    monkeypatch.setattr(K, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(K, "CANDIDATE_CHUNK", 8)
+    split = sorted(map(tuple, K.topk_unseen_from_ranking(ranked, users, seen, 5).collect()))
+    assert base == split
+    assert all(r[2] > r[0] * 7 + 1 for r in split)
