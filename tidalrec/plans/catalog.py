@@ -1090,3 +1090,18 @@ def train_ranking_dlrm(spark, sf):
 
 
 QUERIES.update({"train_ranking_dlrm": train_ranking_dlrm})
+
+
+def two_stage_recommend_ann(spark, sf):
+    """Two-stage recommend whose retrieval probes a KMeans-cell index of the
+    item vectors (the serving path for catalogs too large to scan per user)."""
+    req, train_users, uvec, ivec = _rec_inputs(spark, sf)
+    index, cents = VS.build_cell_index(ivec.withColumnRenamed("item_id", "iid"), "iid", "vec", N_CELLS,
+                                       normalize=False)
+    scorer = TW.PairScorer([head_weights(4 * DIM)])
+    ranked, _ = RC.recommend(req, train_users, uvec, ivec, scorer, k_default=REC_K_DEFAULT,
+                             retriever=lambda q, k: VS.probe_topk(q, index, cents, k, NPROBE))
+    return ranked.select("user_id", "rank", "item_id", R("score"), R("retrieval_distance"))
+
+
+QUERIES.update({"two_stage_recommend_ann": two_stage_recommend_ann})
