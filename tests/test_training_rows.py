@@ -32,3 +32,24 @@ def test_labeled_rows_from_catalog(spark):
     assert df.filter("draw > 0").count() == 2 * n_pos
     assert df.filter("draw > 0 AND label != 0").count() == 0
     assert df.filter("item_position = 0").count() == 0
+
+
+def test_skew_safe_left_join_equals_plain_join(spark):
+    from tidalrec.operators.skew import left_join_skew_safe
+    fact = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
+                                    F.col("id"))
+    fact = fact.unionByName(spark.createDataFrame([(None, -1)], "k long, id long"))
+    lookup = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    got = left_join_skew_safe(fact, lookup, "k", hot_share=0.05)
+    ref = fact.join(lookup, "k", "left")
+    assert got.count() == ref.count() == 3001
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_training_rows_with_forced_skew_path(spark, monkeypatch):
+    from tidalrec.operators import training_rows as TRr
+    from tidalrec.plans import catalog as C
+    base = sorted(map(tuple, C.train_rows_positive(spark, "/root/testdata/sf0.001").collect()))
+    monkeypatch.setattr(TRr, "BROADCAST_LOOKUP", 0)
+    forced = sorted(map(tuple, C.train_rows_positive(spark, "/root/testdata/sf0.001").collect()))
+    assert base == forced

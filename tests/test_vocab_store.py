@@ -124,3 +124,11 @@ def test_vocab_mismatch_null_safe(spark):
     rows = V.vocab_mismatch(a, b).collect()
     assert [(r["value"], r["left_index"], r["right_index"]) for r in rows] == [("z", None, 3)]
     assert V.vocab_mismatch(a, a).count() == 0
+
+
+def test_encode_shuffle_path_equals_broadcast(spark):
+    vocab = _vocab(spark, ["a"] * 5 + ["b"] * 2 + ["c"] * 3, 3)
+    q = spark.createDataFrame([(i, v) for i, v in enumerate(["a"] * 50 + ["b", "c", "zz", None])], "i int, c string")
+    a = sorted(map(tuple, V.encode_column(q, vocab, "c", broadcast=True).collect()), key=repr)
+    b = sorted(map(tuple, V.encode_column(q, vocab, "c", broadcast=False).collect()), key=repr)
+    assert a == b

@@ -95,11 +95,13 @@ def encode_column(df: DataFrame, vocab: DataFrame, source_col: str, vocab_col: s
          .select(F.col("value").alias("_v"), F.col("token_index").alias("_tok")))
     if broadcast is None:
         broadcast = d.count() <= BROADCAST_VALUES
-    if broadcast:
-        d = F.broadcast(d)
     keyed = df.withColumn("_v", as_key(source_col))
-    return (keyed.join(d, "_v", "left")
-            .withColumn(out, F.coalesce(F.col("_tok"), F.lit(0)).cast("bigint"))
+    if broadcast:
+        joined = keyed.join(F.broadcast(d), "_v", "left")
+    else:
+        from tidalrec.operators.skew import left_join_skew_safe
+        joined = left_join_skew_safe(keyed, d, "_v")
+    return (joined.withColumn(out, F.coalesce(F.col("_tok"), F.lit(0)).cast("bigint"))
             .drop("_v", "_tok"))
 
 
