@@ -61,3 +61,23 @@ def test_distributed_numbering_global_skew(spark):
     got = N.number_rows(df, [F.col("v"), F.col("id")], out="rn", partitions=4, force_distributed=True)
     rns = sorted(r.rn for r in got.collect())
     assert rns == list(range(1, 3001))
+
+
+def test_bounded_batched_scan_and_text_source(spark, tmp_path):
+    from tidalrec.sources import tables as TB
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        df = TB.read_batches(spark, "/root/testdata/sf0.01/lineitem.parquet", batch_bytes=128 * 1024)
+        assert df.select("l_orderkey").rdd.getNumPartitions() >= 1
+        plan = df.select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+        assert df.count() == 60000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(ValueError):
+        TB.read_table(spark, "/root/testdata/sf0.01/lineitem.csv")
+    p = tmp_path / "u.dat"
+    p.write_bytes("1::F::25::4::12345\n2::M::é::7::\n".encode("latin-1"))
+    raw = TB.read_delimited(spark, str(p), ["user_id", "gender", "age", "occupation", "zip"])
+    rows = sorted(raw.collect())
+    assert rows[0].zip == "12345" and rows[1].age == "é" and rows[1].zip is None
