@@ -113,3 +113,20 @@ def test_topk_unseen_split_join_equals_broadcast(spark, monkeypatch):
     split = sorted(map(tuple, K.topk_unseen_from_ranking(ranked, users, seen, 5).collect()))
     assert base == split
     assert all(r[2] > r[0] * 7 + 1 for r in split)
+
+
+def test_results_independent_of_partition_count(spark):
+    from tidalrec.plans import catalog as C
+    sf = "/root/testdata/sf0.001"
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            top = sorted(map(tuple, C.popularity_topk_unseen(spark, sf).collect()))
+            neg = sorted(map(tuple, C.negatives_sampled(spark, sf).collect()))
+            bat = sorted(map(tuple, C.batch_assignment(spark, sf).collect()))
+            out.append((top, neg, bat))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
