@@ -87,3 +87,16 @@ def test_affinity_softmax_sums_to_one(spark):
     tot = sm.groupBy(*C.USER_SEGS).agg(F.sum(F.col("n_items") * F.col("prob")).alias("t"),
                                        F.sum("n_items").alias("n")).collect()
     assert all(abs(r.t - 1) < 1e-9 and r.n == n for r in tot)
+
+
+def test_stream_encode_unknown_values(spark, tmp_path):
+    from tidalrec.operators import vocab as V
+    known = spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
+    vocab = V.fit_vocabulary(V.value_counts([(known, {"c": "c"})]), {"c": 2})
+    src = tmp_path / "src"
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "zzz"), (4, None)], "i int, c string").write.parquet(str(src))
+    stream = INC.read_stream(spark, str(src), like=spark.read.parquet(str(src)))
+    out = str(tmp_path / "enc")
+    INC.run_available(INC.stream_encode(stream, vocab, {"c": "c"}).select("i", "c_token"), out, "append")
+    got = {r.i: r.c_token for r in spark.read.parquet(out).collect()}
+    assert got == {1: 1, 2: 2, 3: 0, 4: 0}
