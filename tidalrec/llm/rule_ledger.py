@@ -72,10 +72,9 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
-def _neighbours(items: Column, key) -> Column:
-    """The items of a sorted array whose key equals that of the one before or after."""
-    same = lambda a, b: F.coalesce(key(a) == key(b), F.lit(False))
-    return F.filter(items, lambda x, i: same(x, F.get(items, i - 1)) | same(x, F.get(items, i + 1)))
+def _neighbours(items: Column, same) -> Column:
+    """The items of a sorted array that are the same as the one before or after (null beyond the ends)."""
+    return F.filter(items, lambda x, i: same(x, F.get(items, i + 1)) | same(x, F.get(items, i - 1)))
 
 
 def _repeat_words(words: Column, n: Column) -> Column:
@@ -91,9 +90,10 @@ def _repeat_words(words: Column, n: Column) -> Column:
         lambda w, i: F.shiftleft(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)), 32)
         .bitwiseOR(i.cast("long")))
     position = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int")
-    maybe = let(F.sort_array(packed), lambda s: _neighbours(s, lambda x: F.shiftright(x, 32)))
+    maybe = let(F.sort_array(packed), lambda s: _neighbours(
+        s, lambda x, y: F.shiftrightunsigned(x.bitwiseXOR(y), 32) == 0))
     grams = F.transform(maybe, lambda x: F.struct(gram(position(x)).alias("g"), position(x).alias("p")))
-    sure = let(F.sort_array(grams), lambda s: _neighbours(s, lambda x: x["g"]))
+    sure = let(F.sort_array(grams), lambda s: _neighbours(s, lambda x, y: x["g"] == y["g"]))
     starts = F.sort_array(F.transform(sure, lambda x: x["p"]))
     return let(starts, lambda s: _sum(F.transform(s, lambda p, i: F.least(
         F.lit(WINDOW), F.coalesce(F.get(s, i + 1) - p, F.lit(WINDOW))).cast("long"))))
