@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidalrec.llm.rule_ledger import op4_rule_ledger
+from tidalrec.llm.tensor_minhash import op5_tensor_minhash
 
-QUERIES = {f.__name__: f for f in (op4_rule_ledger,)}
+QUERIES = {f.__name__: f for f in (op4_rule_ledger, op5_tensor_minhash)}
 SQL: dict[str, str] = {}
