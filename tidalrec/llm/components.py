@@ -52,8 +52,8 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                 near, scratch: Scratch) -> DataFrame:
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], near,
+                 scratch: Scratch, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components of the links among ids that share a bucket key; (id, component).
 
     ``members`` has key, id, home (true if the id is stored under the key, false
@@ -62,10 +62,12 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     once, and returns those that are links.
 
     First every member is compared with the least id of its bucket, which joins
-    a large group of copies with one comparison each.  Then all pairs of a
-    bucket that are not in one component yet are compared, so no link that could
-    change the result is left out, and pairs within a group of copies are never
-    made.
+    a large group of copies with one comparison each.  Then the members of
+    buckets that are not in one component yet are compared with each other, so
+    no link that could change the result is left out, and pairs within a group
+    of copies are never made.  ``across`` makes these pairs from the members
+    (key, id, home, component and the others) where it knows a better way than
+    all pairs of a bucket.
     """
     full = members.groupBy("key").agg(
         F.min(F.when(F.col("home"), F.col("id"))).alias("centre"), F.max("id").alias("top"), F.min("id").alias("low")
@@ -75,23 +77,24 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     hubs = members.where("home and id = centre").dropDuplicates(["key"]).select(
         "key", *(F.col(c).alias(f"hub_{c}") for c in extra))
     spokes = members.where("id <> centre").join(hubs, "key")
-    pairs = spokes.where(near(lambda c: F.col(c), lambda c: F.col(f"hub_{c}"))).select(
-        F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-    pairs = scratch.put(pairs)
+    pairs = scratch.put(spokes.where(near(F.col, lambda c: F.col(f"hub_{c}"))).select(
+        F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
     links = scratch.put(verify(pairs))
     first = scratch.put(connected_components(links, scratch))
 
     named = members.drop("centre").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     named = scratch.put(named.join(mixed.select("key"), "key", "left_semi"))
-    x, y = named.where("home").alias("x"), named.alias("y")
-    across = x.join(y, F.col("x.key") == F.col("y.key")).where(
-        (F.col("x.component") != F.col("y.component"))
-        & near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))).select(
-        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    rest = scratch.put(across.join(pairs, ["a", "b"], "left_anti"))
-    more = scratch.put(verify(rest))
-    scratch.drop(named)
+    if across is None:
+        x, y = named.where("home").alias("x"), named.alias("y")
+        rest = x.join(y, F.col("x.key") == F.col("y.key")).where(
+            (F.col("x.component") != F.col("y.component"))
+            & near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))).select(
+            F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    else:
+        rest = across(named)
+    more = scratch.put(verify(scratch.put(rest.join(pairs, ["a", "b"], "left_anti"))))
+    scratch.drop(members, named)
     # components of components: the links found second join the ids' first components
     joined = more.join(first.withColumnRenamed("id", "a").withColumnRenamed("component", "ca"), "a", "left").join(
         first.withColumnRenamed("id", "b").withColumnRenamed("component", "cb"), "b", "left").select(

@@ -106,6 +106,33 @@ def _sets(docs: DataFrame, p: NearDedup) -> DataFrame:
         F.first("shingles").alias("shingles")).drop("mark")
 
 
+def _prefix_pairs(sets: DataFrame, ids: DataFrame, p: NearDedup) -> DataFrame:
+    """Pairs (a, b) in different components that may reach the similarity; none that does is left out.
+
+    With the shingles of every set in one common order, two sets with
+    |A and B| >= t |A or B| share one of the first n - ceil(t n) + 1 of each, and
+    they share nothing before the first one they share, at ranks i and j, so
+    |A and B| <= min(n - i, n' - j).  Ordered by how few sets hold them, the first
+    shingles are mostly those of one document alone, so copies that drifted
+    apart make no pairs.
+    """
+    tokens = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    length = F.col("n") - F.ceil(F.col("n") * p.percent / 100) + 1
+    alone = F.col("n") - F.size("shared")
+    prefix = tokens.join(often, "s").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("f", "s"))).alias("shared")).where(length > alone).select(
+        "id", "n", alone.alias("alone"),
+        F.posexplode(F.slice("shared", F.lit(1), (length - alone).cast("int"))["s"]).alias("i", "s"))
+    x = prefix.join(ids, "id").select("s", "id", "n", "component", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"))
+    y = x.select(*(F.col(c).alias(f"{c}_") for c in x.columns))
+    most = F.least("rest", "rest_")
+    return x.join(y, (F.col("s") == F.col("s_")) & (F.col("id") < F.col("id_"))
+                  & (F.col("component") != F.col("component_"))
+                  & (100 * most >= p.percent * (F.col("n") + F.col("n_") - most))).select(
+        F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (least id reachable), kept."""
@@ -124,16 +151,22 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
 
+    def full_sets(ids: DataFrame) -> DataFrame:
+        return scratch.put(_sets(texts.join(ids, "id", "left_semi"), p))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = scratch.put(_sets(texts.join(ids, "id", "left_semi"), p))
+        sets = full_sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
         shared = F.size(F.array_intersect("sa", "sb"))
         either = F.size("sa") + F.size("sb") - shared
         return both.where(100 * shared >= p.percent * either).select("a", "b").distinct()
 
-    linked = link_buckets(members, verify, sized, scratch)
+    def across(named: DataFrame) -> DataFrame:
+        ids = scratch.put(named.select("id", "component").distinct())
+        return _prefix_pairs(full_sets(ids), ids, p)
+
+    linked = link_buckets(members, verify, sized, scratch, across)
     classed = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = marks.join(classed, ["d1", "d2"], "left").select(
