@@ -56,6 +56,23 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def sieve(df: DataFrame, column: str, wanted: DataFrame, log2_bits: int = 26) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be among the values of ``wanted``'s ``column``.
+
+    A Bloom filter of one hash as a table of 64-bit words, so what is broadcast
+    has at most 2^(log2_bits - 6) rows of 16 bytes.  It lets no wanted row go;
+    some others pass, all of them once there are far more values than bits.
+    """
+    h = F.xxhash64(F.col(column)).bitwiseAND(F.lit((1 << log2_bits) - 1).cast("long"))
+    low = h.bitwiseAND(F.lit(63).cast("long")).cast("int")
+    one = F.lit(1).cast("long")
+    bit = F.call_function("shiftleft", one, low)
+    words = wanted.select(F.shiftright(h, 6).alias("sieve_word"), bit.alias("b")).groupBy("sieve_word").agg(
+        F.bit_or("b").alias("sieve_bits"))
+    return df.join(F.broadcast(words), (F.shiftright(h, 6) == F.col("sieve_word"))
+                   & (F.col("sieve_bits").bitwiseAND(bit) != 0), "left_semi")
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of the ``[^\\x20\\x09-\\x0D]+`` words of UTF-8 bytes."""
     words = text.split()  # bytes.split() cuts at exactly \x20 and \x09-\x0D

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidalrec.llm.common import Scratch
+from tidalrec.llm.common import Scratch, sieve
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -72,7 +72,8 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], n
     full = members.groupBy("key").agg(
         F.min(F.when(F.col("home"), F.col("id"))).alias("centre"), F.max("id").alias("top"), F.min("id").alias("low")
     ).where("centre is not null and low < top").select("key", "centre")
-    members = scratch.put(members.join(full, "key"))
+    full = scratch.put(full)
+    members = scratch.put(sieve(members, "key", full).join(full, "key"))
     extra = [c for c in members.columns if c not in ("key", "id", "home", "centre")]
     hubs = members.where("home and id = centre").dropDuplicates(["key"]).select(
         "key", *(F.col(c).alias(f"hub_{c}") for c in extra))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidalrec.llm.common import Scratch, load, mix64, window_hashes, word_hashes
+from tidalrec.llm.common import Scratch, load, mix64, sieve, window_hashes, word_hashes
 from tidalrec.llm.components import link_buckets
 
 
@@ -152,7 +152,7 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
 
     def full_sets(ids: DataFrame) -> DataFrame:
-        return scratch.put(_sets(texts.join(ids, "id", "left_semi"), p))
+        return scratch.put(_sets(sieve(texts, "id", ids).join(ids, "id", "left_semi"), p))
 
     def verify(pairs: DataFrame) -> DataFrame:
         sets = full_sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
