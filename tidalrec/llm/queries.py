@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from tidalrec.llm.bestfit import op7_bestfit_packing
+from tidalrec.llm.byte_cnn import op10_byte_cnn
+from tidalrec.llm.importance import op8_importance_resampling
+from tidalrec.llm.notices import op6_fuzzy_notices
+from tidalrec.llm.reply_trees import op3_reply_trees
 from tidalrec.llm.rule_ledger import op4_rule_ledger
 from tidalrec.llm.tensor_minhash import op5_tensor_minhash
 
-QUERIES = {f.__name__: f for f in (op4_rule_ledger, op5_tensor_minhash)}
+QUERIES = {f.__name__: f for f in (
+    op3_reply_trees, op4_rule_ledger, op5_tensor_minhash, op6_fuzzy_notices, op7_bestfit_packing,
+    op8_importance_resampling, op10_byte_cnn)}
 SQL: dict[str, str] = {}
