@@ -51,11 +51,11 @@ def paths(messages: DataFrame, top: int = 1, scratch: Scratch | None = None) ->
     known = messages.select(F.col("node").alias("parent")).distinct().withColumn("there", F.lit(True))
     # pointers: the ancestor 2^k above (null beyond the root), messages passed and score gained on the way
     level = scratch.put(messages.join(known, "parent", "left").select(
-        "tree", "node", F.when("there", F.col("parent")).alias("up"), F.lit(1).cast("long").alias("steps"),
+        "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("steps"),
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("gain")))
     levels = [level]
-    n_open = level.where("up is not null").count()
-    while n_open:
+    n = level.count()
+    while 2 ** (len(levels) - 1) < n and not level.where("up is not null").isEmpty():
         above = level.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"),
                              F.col("gain").alias("gain2"))
         level = scratch.put(level.join(above, "up", "left").select(
@@ -63,11 +63,7 @@ def paths(messages: DataFrame, top: int = 1, scratch: Scratch | None = None) ->
             (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
             (F.col("gain") + F.coalesce("gain2", F.lit(0.0))).alias("gain")))
         levels.append(level)
-        still = level.where("up is not null").count()
-        if len(levels) > 62 or (still == n_open and level.where("steps < %d and up is not null" % 2 ** (len(levels) - 1)).isEmpty()
-                                and _all_cyclic(level, len(levels))):
-            break
-        n_open = still
+    # a path has at most n messages, so what still points up after n steps hangs on a cycle
 
     leaves = level.where("up is null").join(
         messages.select(F.col("parent").alias("node")).where("node is not null").distinct(), "node", "left_anti")
@@ -82,11 +78,6 @@ def paths(messages: DataFrame, top: int = 1, scratch: Scratch | None = None) ->
     return walk
 
 
-def _all_cyclic(level: DataFrame, rounds: int) -> bool:
-    """True if what still has an ancestor after 2^rounds steps outnumbers every possible path."""
-    return level.count() < 2 ** (rounds - 1)
-
-
 def format_paths(walk: DataFrame, messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """One row per path: tree, leaf, branch, formatted, loss_turns, loss_spans.
 
