@@ -122,10 +122,15 @@ def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 4096) -> float
     return hi
 
 
+BROADCAST_LABELS = 2_000_000  # rows of 9 bytes; beyond it the join is shuffled
+
+
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, t, target, other): target if some label says good and none says bad or toxic."""
+    """(id, t, target): target if some label says good and none says bad or toxic."""
     lab = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("id")).agg(
-        F.min((F.col("quality") == 1) & ~(F.coalesce(F.col("toxic"), F.lit(0)) == 1)).alias("good"))
+        F.min((F.col("quality") == 1) & ~(F.coalesce(F.col("toxic"), F.lit(0)) == 1)).alias("good")).where("good")
+    if lab.count() <= BROADCAST_LABELS:  # else the texts would be shuffled for one bit each
+        lab = F.broadcast(lab)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     return rows.join(lab, "id", "left").select("id", "t", F.coalesce("good", F.lit(False)).alias("target"))
 

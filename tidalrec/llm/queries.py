@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidalrec.llm.bestfit import op7_bestfit_packing
 from tidalrec.llm.byte_cnn import op10_byte_cnn
+from tidalrec.llm.lattice import op2_lattice_links
+from tidalrec.llm.merge_dropout import op9_merge_dropout
 from tidalrec.llm.importance import op8_importance_resampling
 from tidalrec.llm.notices import op6_fuzzy_notices
 from tidalrec.llm.reply_trees import op3_reply_trees
 from tidalrec.llm.rule_ledger import op4_rule_ledger
 from tidalrec.llm.tensor_minhash import op5_tensor_minhash
+from tidalrec.llm.wrappers import op1_wrappers
+
+
+def pipeline(spark, sf_dir):
+    """The stages of corpus_pipeline over documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
 
 QUERIES = {f.__name__: f for f in (
-    op3_reply_trees, op4_rule_ledger, op5_tensor_minhash, op6_fuzzy_notices, op7_bestfit_packing,
-    op8_importance_resampling, op10_byte_cnn)}
+    pipeline, op1_wrappers, op2_lattice_links, op3_reply_trees, op4_rule_ledger, op5_tensor_minhash, op6_fuzzy_notices, op7_bestfit_packing,
+    op8_importance_resampling, op9_merge_dropout, op10_byte_cnn)}
 SQL: dict[str, str] = {}

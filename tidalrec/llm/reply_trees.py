@@ -14,7 +14,7 @@ removing one restores the text exactly and no text can open or close a turn.
 Defined cases: null texts and roles are empty; a message whose parent is null
 or missing is a root; of several rows with one message id each is kept and
 ordered by (role, text); rows of a cycle have no root and are left out by
-``paths``; a null tree id is a tree of its own; an empty table gives an empty
+``paths``; a role is one line, a line break ends it; a null tree id is a tree of its own; an empty table gives an empty
 result; other columns are never read.
 """
 
@@ -48,21 +48,27 @@ def paths(messages: DataFrame, top: int = 1, scratch: Scratch | None = None) ->
     ranked by the path's summed score, then by the lesser leaf.
     """
     scratch = scratch or Scratch(messages.sparkSession, "reply-trees")
-    known = messages.select(F.col("node").alias("parent")).distinct().withColumn("there", F.lit(True))
+    answers = messages.where("parent is not null").select("tree", "node", "parent", "score").join(
+        messages.select(F.col("node").alias("parent"), F.lit(True).alias("there")).distinct(), "parent", "left")
+    roots = messages.where("parent is null").withColumn("there", F.lit(False))
     # pointers: the ancestor 2^k above (null beyond the root), messages passed and score gained on the way
-    level = scratch.put(messages.join(known, "parent", "left").select(
+    level = scratch.put(answers.unionByName(roots.select(answers.columns)).select(
         "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("steps"),
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("gain")))
-    levels = [level]
     n = level.count()
-    while 2 ** (len(levels) - 1) < n and not level.where("up is not null").isEmpty():
+    levels, done = [level.where("up is not null")], [level.where("up is null")]
+    while 2 ** (len(levels) - 1) < n and not levels[-1].isEmpty():
         above = level.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"),
                              F.col("gain").alias("gain2"))
-        level = scratch.put(level.join(above, "up", "left").select(
-            "tree", "node", F.col("up2").alias("up"),
-            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-            (F.col("gain") + F.coalesce("gain2", F.lit(0.0))).alias("gain")))
-        levels.append(level)
+        # only messages that are not at their root yet go on; the others are what these look up
+        moved = scratch.put(levels[-1].join(above, "up").select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"),
+            (F.col("gain") + F.col("gain2")).alias("gain")))
+        levels.append(moved.where("up is not null"))
+        done.append(moved.where("up is null"))
+        level = levels[-1]
+        for d in done:
+            level = level.unionByName(d)
     # a path has at most n messages, so what still points up after n steps hangs on a cycle
 
     leaves = level.where("up is null").join(
@@ -71,7 +77,7 @@ def paths(messages: DataFrame, top: int = 1, scratch: Scratch | None = None) ->
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= top)
     walk = chosen.select("tree", F.col("node").alias("leaf"), "branch", F.col("steps").alias("depth"), "node")
     for k in range(len(levels) - 1, -1, -1):  # nodes at multiples of 2^(k+1) above the leaf, then of 2^k
-        jump = levels[k].where("up is not null").select("node", F.col("up").alias("to"))
+        jump = levels[k].select("node", F.col("up").alias("to"))
         more = walk.join(jump, "node").select(
             "tree", "leaf", "branch", (F.col("depth") - 2 ** k).alias("depth"), F.col("to").alias("node"))
         walk = scratch.put(walk.union(more))
