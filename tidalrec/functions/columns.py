@@ -44,9 +44,14 @@ def clamp(x, lo=None, hi=None) -> Column:
 
 
 def md5_uniform_int(*parts) -> Column:
-    """First 8 hex digits of md5('p1|p2|...') as a non-negative BIGINT (0 .. 2^32-1)."""
+    """First 15 hex digits of md5('p1|p2|...') as a non-negative BIGINT (0 .. 2^60-1)."""
     text = F.concat_ws("|", *[c(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def md5_unit(*parts) -> Column:
+    """Deterministic value in [0, 1) from md5 of the parts: 52 bits, exact in a double."""
+    return F.shiftright(md5_uniform_int(*parts), 8).cast("double") / F.lit(float(1 << 52))
 
 
 def resolve_k(k, default: int, n_items) -> Column:

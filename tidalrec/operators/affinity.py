@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidalrec.functions.columns import md5_uniform_int
+from tidalrec.functions.columns import md5_unit
 
 
 def preference_maps(inter: DataFrame, user_segs: list[str], item_cols: list[str]) -> DataFrame:
@@ -85,7 +85,7 @@ def weighted_sample(draws: DataFrame, draw_key: str, key: str, cum: DataFrame, c
     uniform u in [0,1) and the interval lo <= u * total < hi (equi-join on
     key, range condition inside the key; the interval table is per key x
     choice and broadcast)."""
-    d = draws.withColumn("_u", md5_uniform_int(F.lit(seed), F.col(draw_key)).cast("double") / F.lit(4294967296.0))
+    d = draws.withColumn("_u", md5_unit(F.lit(seed), F.col(draw_key)))
     c = F.broadcast(cum.select(F.col(key).alias("_k"), choice, "lo", "hi", "total"))
     j = d.join(c, (d[key] == c["_k"]) & (F.col("lo") <= F.col("_u") * F.col("total"))
                & (F.col("_u") * F.col("total") < F.col("hi")), "inner")

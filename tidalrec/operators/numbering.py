@@ -67,9 +67,14 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
         Window.unboundedPreceding, -1)
     stats = stats.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     stats = stats.select("_pid", *group_by, "_first", "_offset")
+    names = ["_pid", *group_by]
+    stats = stats.select(*(F.col(c).alias(f"_s_{c}") for c in names), "_first", "_offset")
     if few_groups:
         stats = F.broadcast(stats)
-    joined = ranged.join(stats, ["_pid", *group_by], "inner")
+    same = F.lit(True)
+    for c in names:  # null-safe: a NULL group is a group
+        same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    joined = ranged.join(stats, same, "inner").drop(*(f"_s_{c}" for c in names))
     return joined.withColumn(
         out, (F.col("_mid") - F.col("_first") + F.col("_offset") + F.lit(1)).cast("bigint")
     ).drop("_pid", "_mid", "_first", "_offset")

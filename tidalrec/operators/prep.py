@@ -60,9 +60,10 @@ def epoch_to_date(epoch_seconds) -> Column:
 
 
 def surrogate_id(prefix: str, idx, n: int) -> Column:
-    """'<prefix>_<idx zero padded to max(6, digits(n))>'."""
+    """'<prefix>_<idx zero padded to max(6, digits(n))>'; a longer idx stays whole."""
     width = max(6, len(str(int(n))))
-    return F.concat(F.lit(prefix + "_"), F.lpad(_c(idx).cast("string"), width, "0"))
+    text = _c(idx).cast("string")
+    return F.concat(F.lit(prefix + "_"), F.lpad(text, F.greatest(F.lit(width), F.char_length(text)), "0"))
 
 
 def fold_rare(df: DataFrame, col: str, out: str, min_count_exclusive: int = 10) -> DataFrame:

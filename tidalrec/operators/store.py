@@ -79,9 +79,10 @@ class EntityStore:
 
 def build_store(entities: DataFrame, enc: Encoders, id_col: str, validate: bool = True) -> EntityStore:
     n = check_unique(entities, id_col) if validate else None
-    pos = entity_positions(entities, id_col, n).select("id_key", "position", F.col(id_col).alias("_rid"))
+    pos = entity_positions(entities, id_col, n).select("id_key", "position", F.col(id_col).alias("_pid"))
     enc_tab = encode_table(entities.withColumn("_rid", F.col(id_col)), enc, keep=["_rid"])
-    table = pos.join(enc_tab, "_rid", "inner").drop("_rid")
+    # null-safe: the entity without an id is the one with the token 'None'
+    table = pos.join(enc_tab, F.col("_pid").eqNullSafe(F.col("_rid")), "inner").drop("_rid", "_pid")
     feats = enc.cat_cols + enc.dense_cols
     return EntityStore(table.select("id_key", "position", *feats).persist(), id_col, feats,
                        list(enc.cat_cols), list(enc.dense_cols), n)

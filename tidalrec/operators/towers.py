@@ -17,17 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalrec.functions import netmath as NM
-from tidalrec.functions.columns import md5_uniform_int
+from tidalrec.functions.columns import md5_unit
 
 # embedding tables above this many bytes are joined with a shuffle
 BROADCAST_TABLE_BYTES = 256 * 1024 * 1024
 
 
-def md5_unit(*parts) -> Column:
-    """Deterministic value in [0, 1) from md5 of the parts."""
-    return md5_uniform_int(*parts).cast("double") / F.lit(4294967296.0)
-
-
 @dataclass
 class TowerParams:
     """Small dense parameters of one tower (NumPy)."""

@@ -563,8 +563,8 @@ def score_all_topk(spark, sf):
 def head_weights(n: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """Linear ranking head from md5 (same rule as the SQL oracle): fixed values."""
     def u(*parts):
-        h = hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:8]
-        return int(h, 16) / 4294967296.0
+        h = hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:15]
+        return (int(h, 16) >> 8) / float(1 << 52)
     a = np.array([[u(seed, "head", j) - 0.5 for j in range(n)]])
     b = np.array([u(seed, "head", "bias") - 0.5])
     return a, b

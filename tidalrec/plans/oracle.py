@@ -223,7 +223,7 @@ IST = "ist AS (" + store_sql("part", "p_partkey", ITEM_CAT, "p_retailprice", "iv
 
 
 def md5_int(*parts: str) -> str:
-    return "('0x' || substr(md5(concat_ws('|', " + ", ".join(parts) + ")), 1, 8))::BIGINT"
+    return "('0x' || substr(md5(concat_ws('|', " + ", ".join(parts) + ")), 1, 15))::BIGINT"
 
 
 NEGS = """
@@ -368,7 +368,7 @@ I_FEATS = ["p_partkey", "p_brand", "p_type", "p_size"]
 
 
 def md5u(*parts: str) -> str:
-    return "(" + md5_int(*parts) + "::DOUBLE / 4294967296.0)"
+    return "((" + md5_int(*parts) + " >> 8)::DOUBLE / 4503599627370496.0)"
 
 
 def pooled_sql(side: str, table: str, id_col: str, feats: list[str], src, mins) -> list[str]:
@@ -465,7 +465,7 @@ wts AS (SELECT s.c_mktsegment, p.p_type, count(*) AS w FROM train tr JOIN seg s
         JOIN part p ON p.p_partkey = tr.l_partkey GROUP BY 1, 2),
 cum AS (SELECT *, sum(w) OVER (PARTITION BY c_mktsegment ORDER BY p_type ROWS UNBOUNDED PRECEDING) AS hi,
                sum(w) OVER (PARTITION BY c_mktsegment) AS total FROM wts),
-dr AS (SELECT v.row_key, v.o_custkey, s.c_mktsegment, """ + md5_int("'42'", "v.row_key") + """::DOUBLE / 4294967296.0 AS u
+dr AS (SELECT v.row_key, v.o_custkey, s.c_mktsegment, """ + md5u("'42'", "v.row_key") + """ AS u
        FROM val v JOIN seg s ON s.c_custkey = v.o_custkey),
 smp AS (SELECT dr.row_key, dr.o_custkey, dr.c_mktsegment, cum.p_type FROM dr JOIN cum ON cum.c_mktsegment = dr.c_mktsegment
         AND cum.hi - cum.w <= dr.u * cum.total AND dr.u * cum.total < cum.hi)
