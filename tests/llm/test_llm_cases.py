@@ -112,7 +112,7 @@ def test_notice_cases(spark, docs, none):
     assert [r.n_words for r in notices.search(docs).collect() if r.doc_id in (2, 3, 4)] == [0, 0, 0]
     finder = notices.Finder(notices.Search())
     n, base, found = finder.find("It is released undr the M.I.T? no: Released  under the MIT\nLicence, v2")
-    assert n == 14 and not base and [f[0] for f in found] == ["mit"] and found[0][3] == 1
+    assert n == 15 and not base and [f[0] for f in found] == ["mit"] and found[0][3] == 1
     assert finder.find("MIT License. mit-license")[1] == [(0, "mit"), (2, "mit")]
 
 
