@@ -131,9 +131,15 @@ def test_dropout_codec(spark, none, docs):
     assert varied.decode(varied.encode("▁a ▁\0▁ b", 3)) == "▁a ▁\0▁ b"
     unit = "▁international" * 1
     assert len({tuple(varied.segment(unit, v)) for v in range(40)}) > 5
-    for v in range(20):  # list and heap agendas agree
-        assert varied.segment(unit, v) == varied._segment_long(unit, merge_dropout.xxhash.xxh32_intdigest(
-            unit, (9 * 1_000_003 + v) & 0xFFFFFFFF))
+    for v in range(20):  # row and heap agendas agree
+        for u in (unit, "a", "▁", "▁dasenergever,", "été" * 9):
+            ids = varied._segment_rows(varied._char_id[[[ord(c) for c in u]]], np.array([varied._key(u, v)]))
+            assert ids[ids >= 0].astype("<u4").tobytes() == varied._unit_ids(u, v)
+    keys = range(7, 7 + len(texts))
+    for t, k, ids in zip(texts, keys, varied.encode_all(texts, keys), strict=True):  # together or alone
+        assert ids.tolist() == merge_dropout.Codec(merge_dropout.Dropout(rate=0.3)).encode(t, k).tolist()
+    small = merge_dropout.Codec(merge_dropout.Dropout(rate=0.3, cache_units=1))
+    assert [small.encode(t, 5).tolist() for t in texts] == [varied.encode(t, 5).tolist() for t in texts]
 
 
 def test_language_cases(spark, docs, none):

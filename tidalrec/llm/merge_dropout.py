@@ -8,8 +8,11 @@ the dropout rate is skipped when its turn comes and stays out until its symbols
 change.  The key holds the seed, the unit, the candidate's place and one of
 ``variants`` draws that each occurrence of a unit picks by a hash of (seed, id,
 position), so equal words get varied segmentations and a segmentation is
-computed once per worker for each (unit, variant).  With rate 0 the result is the
-model's own encoding.
+computed once per worker for each (unit, variant).  The agendas of all new units
+of a group of texts advance together, one candidate each per step, as numpy
+rows; long units and those with characters outside the model go through a heap
+one at a time, with the same result.  With rate 0 the result is the model's own
+encoding.
 
 Symbols that are no piece become byte pieces, as does U+2581 itself (the mark
 that stands for a space), so decoding restores every text exactly.
@@ -23,7 +26,8 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,7 +40,9 @@ from pyspark.sql import functions as F
 from tidalrec.llm.common import load, mix64
 
 SPACE = "▁"
-_NEVER = 1 << 60
+_NEVER = np.iinfo(np.int32).max
+GROUP_CHARS = 2_000_000  # texts are encoded together up to this many characters; a longer one alone
+_LONG = 48               # longer units are segmented one at a time
 
 
 @dataclass(frozen=True)
@@ -70,60 +76,55 @@ class Codec:
                 order.append((-sp.get_score(i), i, piece))
         self._rank = {piece: r for r, (_, _, piece) in enumerate(sorted(order)) if len(piece) > 1}
         self._rank_of = self._rank.get
-        self._text = {i: piece.replace(SPACE, " ") for piece, i in self._ids.items()}
-        self._byte_of = {i: b for b, i in self._bytes.items()}
+        self._bytes_of = {i: piece.replace(SPACE, " ").encode() for piece, i in self._ids.items()}
+        self._bytes_of |= {i: bytes([b]) for b, i in self._bytes.items()}
         if any(SPACE in piece.lstrip(SPACE) for piece in self._rank):
             raise ValueError("a piece of the model crosses a space")
         alone = "".join(c for c in "\n\t\r\0" if not any(c in piece for piece in self._rank))
         self._units = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+|[{alone}]").findall
         self._p = p
         self._below = int(p.rate * 2.0**32)
-        self._cache: list[dict[str, bytes]] = [{} for _ in range(p.variants)]
+        self._cache: list[dict[str | bytes, bytes]] = [{} for _ in range(p.variants)]
         self._n = 0
-
-    # -- segmentation of one unit
-
-    def _candidate(self, key: int, unit: str, start: int, mid: int, end: int) -> int:
-        """Rank of the merge of unit[start:mid] and unit[mid:end]; _NEVER if it is no piece or is skipped."""
-        rank = self._rank_of(unit[start:end], _NEVER)
-        if rank != _NEVER and self._below:
-            h = (key + start * 0x2545F491 + mid * 0x9E3779B1 + end * 0x85EBCA77) & 0xFFFFFFFF
-            h = (h ^ h >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
-            h = (h ^ h >> 12) * 0x297A2D39 & 0xFFFFFFFF
-            if h ^ h >> 15 < self._below:
-                return _NEVER
-        return rank
+        # the same tables for numpy: id of a character, and what two neighbouring pieces merge into
+        self._char_id = np.full(0x110000, -1, np.int32)
+        for piece, i in self._ids.items():
+            if len(piece) == 1:
+                self._char_id[ord(piece)] = i
+        self._rank_by_id = np.full(sp.get_piece_size() + 1, _NEVER, np.int32)
+        pairs = {}
+        for piece, r in self._rank.items():
+            self._rank_by_id[self._ids[piece]] = r
+            for k in range(1, len(piece)):
+                left, right = self._ids.get(piece[:k]), self._ids.get(piece[k:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = self._ids[piece]
+        keys = sorted(pairs)
+        self._pair = np.array([*keys, np.iinfo(np.int64).max])
+        self._pair_id = np.array([*(pairs[k] for k in keys), sp.get_piece_size()], np.int32)
+
+    # -- segmentation
+
+    def _key(self, unit: str, variant: int) -> int:
+        return xxhash.xxh32_intdigest(unit, (self._p.seed * 1_000_003 + variant) & 0xFFFFFFFF)
+
+    def _skipped(self, key, start, mid, end):
+        """Whether the merge of unit[start:mid] and unit[mid:end] is skipped when its turn comes (ints or int64 arrays)."""
+        h = (key + start * 0x2545F491 + mid * 0x9E3779B1 + end * 0x85EBCA77) & 0xFFFFFFFF
+        h = ((h ^ h >> 15) * 0x2C1B3C6D) & 0xFFFFFFFF
+        h = ((h ^ h >> 12) * 0x297A2D39) & 0xFFFFFFFF
+        return h ^ h >> 15 < self._below
 
     def segment(self, unit: str, variant: int) -> list[str]:
         """Pieces of a unit: the best candidate first, then the leftmost."""
-        key = xxhash.xxh32_intdigest(unit, (self._p.seed * 1_000_003 + variant) & 0xFFFFFFFF)
-        if len(unit) > 48:
-            return self._segment_long(unit, key)
-        candidate = self._candidate
-        at = list(range(len(unit) + 1))          # symbol i is unit[at[i]:at[i + 1]]
-        ranks = [candidate(key, unit, i, i + 1, i + 2) for i in range(len(unit) - 1)]
-        while ranks:
-            best = min(ranks)
-            if best == _NEVER:
-                break
-            i = ranks.index(best)
-            del at[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = candidate(key, unit, at[i - 1], at[i], at[i + 1])
-            if i < len(ranks):
-                ranks[i] = candidate(key, unit, at[i], at[i + 1], at[i + 2])
-        return [unit[a:b] for a, b in zip(at, at[1:])]
-
-    def _segment_long(self, unit: str, key: int) -> list[str]:
-        """The same with a heap, for units of any length."""
-        n = len(unit)
+        key, n, rank_of = self._key(unit, variant), len(unit), self._rank_of
         ends, prev = list(range(1, n + 1)), list(range(-1, n - 1))   # by the symbol's start; end 0: merged away
         heap: list[tuple[int, int, int, int]] = []
 
         def offer(start: int) -> None:
             mid = ends[start]
             if mid < n:
-                rank = self._candidate(key, unit, start, mid, ends[mid])
+                rank = rank_of(unit[start:ends[mid]], _NEVER)
                 if rank != _NEVER:
                     heapq.heappush(heap, (rank, start, mid, ends[mid]))
 
@@ -133,6 +134,8 @@ class Codec:
             _, start, mid, end = heapq.heappop(heap)
             if ends[start] != mid or mid >= n or ends[mid] != end:
                 continue  # one of its symbols has changed
+            if self._skipped(key, start, mid, end):
+                continue
             ends[start], ends[mid] = end, 0
             if end < n:
                 prev[end] = start
@@ -145,6 +148,72 @@ class Codec:
             i = ends[i]
         return out
 
+    def _merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ids of the pieces that neighbouring pieces make; the id after the last where they make none."""
+        want = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self._pair, want)
+        return np.where(self._pair[at] == want, self._pair_id[at], self._pair_id[-1])
+
+    def _segment_rows(self, chars: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Ids after all merges of units of one length, given as rows of character ids; -1 where merged away."""
+        rows, n = chars.shape
+        ids = chars.copy()
+        into = np.full((rows, n), len(self._rank_by_id) - 1, np.int32)   # by the left symbol's start
+        into[:, :-1] = self._merged(ids[:, :-1], ids[:, 1:])
+        rank = self._rank_by_id[into]
+        nxt = np.tile(np.arange(1, n + 1), (rows, 1))
+        prv = np.tile(np.arange(-1, n), (rows, 1))
+        live = np.arange(rows)
+        while True:
+            start = rank[live].argmin(axis=1)
+            found = rank[live, start] != _NEVER
+            live, start = live[found], start[found]
+            if not len(live):
+                return ids
+            mid = nxt[live, start]
+            end = nxt[live, mid]
+            skip = self._skipped(keys[live], start, mid, end)
+            rank[live[skip], start[skip]] = _NEVER
+            r, a, b, c = live[~skip], start[~skip], mid[~skip], end[~skip]
+            ids[r, a] = into[r, a]
+            ids[r, b] = -1
+            rank[r, b] = _NEVER
+            nxt[r, a] = c
+            prv[r, c] = a
+            rank[r, a] = _NEVER
+            before = prv[r, a]
+            for has, x, y in ((c < n, a, c), (before >= 0, before, a)):
+                q, x, y = r[has], x[has], y[has]
+                into[q, x] = m = self._merged(ids[q, x], ids[q, y])
+                rank[q, x] = self._rank_by_id[m]
+
+    def _learn(self, new: list[tuple[str | bytes, int]]) -> None:
+        """Segments units that the cache does not hold yet."""
+        by_length: dict[int, list[tuple[str, int]]] = defaultdict(list)
+        for unit, d in new:
+            if isinstance(unit, bytes):
+                self._cache[d][unit] = unit
+            elif len(unit) > _LONG:
+                self._cache[d][unit] = self._unit_ids(unit, d)
+            else:
+                by_length[len(unit)].append((unit, d))
+        for n, some in by_length.items():
+            text = "".join([unit for unit, _ in some]).encode("utf-32-le")
+            chars = self._char_id[np.frombuffer(text, "<u4")].reshape(-1, n)
+            known = (chars >= 0).all(axis=1)
+            keys = np.array([self._key(unit, d) for unit, d in some])
+            ids = self._segment_rows(chars[known], keys[known])
+            kept = ids >= 0
+            flat, ends = ids[kept].astype("<u4").tobytes(), 4 * np.cumsum(kept.sum(axis=1))
+            at, end_of = 0, iter(ends.tolist())
+            for (unit, d), k in zip(some, known.tolist()):
+                if k:
+                    end = next(end_of)
+                    self._cache[d][unit] = flat[at:end]
+                    at = end
+                else:
+                    self._cache[d][unit] = self._unit_ids(unit, d)
+
     def _unit_ids(self, unit: str, variant: int) -> bytes:
         ids: list[int] = []
         for piece in self.segment(unit, variant):
@@ -157,54 +226,52 @@ class Codec:
 
     # -- texts
 
-    def encode(self, text: str, key: int) -> np.ndarray:
-        """Token ids; ``key`` picks the variants of the text's units."""
+    def _cut(self, text: str, key: int) -> tuple[list[str | bytes], list[int]]:
+        """A text's units and their variants; the space mark itself and NUL are the ids of their bytes."""
         if not text:
-            return np.empty(0, np.uint32)
-        if SPACE in text or "\0" in text:
-            return self._encode_odd(text, key)
-        return self._join(self._units(SPACE + text.replace(" ", SPACE)), key)
-
-    def _encode_odd(self, text: str, key: int) -> np.ndarray:
-        """Texts that hold the space mark or NUL: those characters go to byte pieces of their own."""
-        parts, first = [], True
-        for run in re.split(f"([{SPACE}\0])", text):
+            return [], []
+        units: list[str | bytes] = []
+        for run in re.split(f"([{SPACE}\0])", text) if SPACE in text or "\0" in text else [text]:
             if run in (SPACE, "\0"):
-                if first:
-                    parts.append(self._join([SPACE], key))
-                parts.append(np.asarray([self._bytes[b] for b in run.encode()], np.uint32))
+                units += [] if units else [SPACE]
+                units.append(np.asarray([self._bytes[b] for b in run.encode()], "<u4").tobytes())
             elif run:
-                marked = (SPACE if first else "") + run.replace(" ", SPACE)
-                parts.append(self._join(self._units(marked), key))
-            else:
-                continue
-            first = False
-        return np.concatenate(parts)
-
-    def _join(self, units: list[str], key: int) -> np.ndarray:
-        v = self._p.variants
-        draws = (mix64(np.arange(len(units), dtype=np.uint64) + np.uint64(key)) % np.uint64(v)).tolist()
-        out = []
-        for unit, d in zip(units, draws):
-            ids = self._cache[d].get(unit)
-            if ids is None:
-                if self._n >= self._p.cache_units:
-                    for c in self._cache:
-                        c.clear()
-                    self._n = 0
-                ids = self._cache[d][unit] = self._unit_ids(unit, d)
-                self._n += 1
-            out.append(ids)
-        return np.frombuffer(b"".join(out), "<u4")
+                units += self._units(("" if units else SPACE) + run.replace(" ", SPACE))
+        draws = mix64(np.arange(len(units), dtype=np.uint64) + np.uint64(key)) % np.uint64(self._p.variants)
+        return units, draws.tolist()
+
+    def _encode_group(self, cut: list[tuple[list[str | bytes], list[int]]]) -> list[np.ndarray]:
+        if self._n >= self._p.cache_units:
+            for c in self._cache:
+                c.clear()
+            self._n = 0
+        cache, new = self._cache, []
+        for units, draws in cut:
+            for unit, d in zip(units, draws):
+                if unit not in cache[d]:
+                    cache[d][unit] = b""  # filled below
+                    new.append((unit, d))
+        self._n += len(new)
+        self._learn(new)
+        return [np.frombuffer(b"".join([cache[d][unit] for unit, d in zip(*c)]), "<u4") for c in cut]
+
+    def encode_all(self, texts: Iterable[str], keys: Iterable[int]) -> Iterator[np.ndarray]:
+        """Token ids of every text; a text's key picks the variants of its units."""
+        group, size = [], 0
+        for text, key in zip(texts, keys):
+            group.append(self._cut(text, key))
+            size += len(text)
+            if size >= GROUP_CHARS:
+                yield from self._encode_group(group)
+                group, size = [], 0
+        yield from self._encode_group(group)
+
+    def encode(self, text: str, key: int) -> np.ndarray:
+        return next(self.encode_all([text], [key]))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces, with runs of byte pieces as UTF-8, without the first space."""
-        text, odd = self._text, self._byte_of
-        out: list[bytes] = []
-        for i in ids.tolist():
-            t = text.get(i)
-            out.append(bytes([odd[i]]) if t is None else t.encode())
-        return b"".join(out)[1:].decode() if out else ""
+        return b"".join(map(self._bytes_of.__getitem__, ids.tolist()))[1:].decode()
 
 
 @lru_cache(maxsize=1)
@@ -218,10 +285,9 @@ def encode(docs: DataFrame, p: Dropout = Dropout(), id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(p)
         for batch in batches:
-            ids = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key = xxhash.xxh3_64_intdigest(b"%d" % (-1 if i is None else i), p.seed)
-                ids.append(codec.encode(text or "", key).astype(np.int32))
+            keys = [xxhash.xxh3_64_intdigest(b"%d" % (-1 if i is None else i), p.seed)
+                    for i in batch.column(0).to_pylist()]
+            ids = [x.astype(np.int32) for x in codec.encode_all((t.as_py() or "" for t in batch.column(1)), keys)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))],
                                              names=["doc_id", "ids"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).mapInArrow(
