@@ -33,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ from tidalrec.llm.common import load, mix64
 
 SPACE = "▁"
 _NEVER = np.iinfo(np.int32).max
-GROUP_CHARS = 2_000_000  # texts are encoded together up to this many characters; a longer one alone
+GROUP_CHARS = 500_000    # texts are handled together up to this many characters; a longer one alone
 _LONG = 48               # longer units are segmented one at a time
 
 
@@ -51,11 +52,11 @@ class Dropout:
     seed: int = 9
     variants: int = 4
     model: str | None = None        # path of a sentencepiece BPE model; None: public piece_bpe_32k.model
-    cache_units: int = 1_000_000    # per worker; only memory and speed depend on it
+    cache_units: int = 400_000      # per worker; only memory and speed depend on it
 
 
-class Codec:
-    """Encoder and decoder over the pieces of a BPE model with byte fallback."""
+class Pieces:
+    """Pieces of a BPE model with byte fallback; enough to decode."""
 
     def __init__(self, p: Dropout):
         import sentencepiece as spm
@@ -64,10 +65,11 @@ class Codec:
             import public_tokenizers
             path = public_tokenizers.path("piece_bpe_32k.model")
         sp = spm.SentencePieceProcessor(model_file=path)
+        self._size = sp.get_piece_size()
         self._ids: dict[str, int] = {}
         self._bytes: dict[int, int] = {}
         order = []
-        for i in range(sp.get_piece_size()):
+        for i in range(self._size):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self._bytes[int(piece[1:-1], 16)] = i
@@ -75,9 +77,20 @@ class Codec:
                 self._ids[piece] = i
                 order.append((-sp.get_score(i), i, piece))
         self._rank = {piece: r for r, (_, _, piece) in enumerate(sorted(order)) if len(piece) > 1}
-        self._rank_of = self._rank.get
         self._bytes_of = {i: piece.replace(SPACE, " ").encode() for piece, i in self._ids.items()}
         self._bytes_of |= {i: bytes([b]) for b, i in self._bytes.items()}
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids: the bytes of the pieces as UTF-8, without the first space."""
+        return b"".join(map(self._bytes_of.__getitem__, ids.tolist()))[1:].decode()
+
+
+class Codec(Pieces):
+    """Encoder and decoder."""
+
+    def __init__(self, p: Dropout):
+        super().__init__(p)
+        self._rank_of = self._rank.get
         if any(SPACE in piece.lstrip(SPACE) for piece in self._rank):
             raise ValueError("a piece of the model crosses a space")
         alone = "".join(c for c in "\n\t\r\0" if not any(c in piece for piece in self._rank))
@@ -91,7 +104,7 @@ class Codec:
         for piece, i in self._ids.items():
             if len(piece) == 1:
                 self._char_id[ord(piece)] = i
-        self._rank_by_id = np.full(sp.get_piece_size() + 1, _NEVER, np.int32)
+        self._rank_by_id = np.full(self._size + 1, _NEVER, np.int32)
         pairs = {}
         for piece, r in self._rank.items():
             self._rank_by_id[self._ids[piece]] = r
@@ -101,7 +114,7 @@ class Codec:
                     pairs[left << 32 | right] = self._ids[piece]
         keys = sorted(pairs)
         self._pair = np.array([*keys, np.iinfo(np.int64).max])
-        self._pair_id = np.array([*(pairs[k] for k in keys), sp.get_piece_size()], np.int32)
+        self._pair_id = np.array([*(pairs[k] for k in keys), self._size], np.int32)
 
     # -- segmentation
 
@@ -255,23 +268,12 @@ class Codec:
         self._learn(new)
         return [np.frombuffer(b"".join([cache[d][unit] for unit, d in zip(*c)]), "<u4") for c in cut]
 
-    def encode_all(self, texts: Iterable[str], keys: Iterable[int]) -> Iterator[np.ndarray]:
+    def encode_all(self, texts: list[str], keys: Iterable[int]) -> list[np.ndarray]:
         """Token ids of every text; a text's key picks the variants of its units."""
-        group, size = [], 0
-        for text, key in zip(texts, keys):
-            group.append(self._cut(text, key))
-            size += len(text)
-            if size >= GROUP_CHARS:
-                yield from self._encode_group(group)
-                group, size = [], 0
-        yield from self._encode_group(group)
+        return self._encode_group([self._cut(text, key) for text, key in zip(texts, keys)])
 
     def encode(self, text: str, key: int) -> np.ndarray:
-        return next(self.encode_all([text], [key]))
-
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids: pieces, with runs of byte pieces as UTF-8, without the first space."""
-        return b"".join(map(self._bytes_of.__getitem__, ids.tolist()))[1:].decode()
+        return self.encode_all([text], [key])[0]
 
 
 @lru_cache(maxsize=1)
@@ -280,16 +282,34 @@ def codec_of(p: Dropout) -> Codec:
     return Codec(p)
 
 
+@lru_cache(maxsize=1)
+def pieces_of(p: Dropout) -> Pieces:
+    return Pieces(p)
+
+
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of (id, text) rows with about GROUP_CHARS bytes of text each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    group = np.cumsum(sizes, dtype=np.int64) // GROUP_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def encode(docs: DataFrame, p: Dropout = Dropout(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(p)
         for batch in batches:
-            keys = [xxhash.xxh3_64_intdigest(b"%d" % (-1 if i is None else i), p.seed)
-                    for i in batch.column(0).to_pylist()]
-            ids = [x.astype(np.int32) for x in codec.encode_all((t.as_py() or "" for t in batch.column(1)), keys)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))],
-                                             names=["doc_id", "ids"])
+            for part in _groups(batch):
+                keys = [xxhash.xxh3_64_intdigest(b"%d" % (-1 if i is None else i), p.seed)
+                        for i in part.column(0).to_pylist()]
+                ids = codec.encode_all([t or "" for t in part.column(1).to_pylist()], keys)
+                flat = pa.array(np.concatenate(ids).view(np.int32))
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "ids"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).mapInArrow(
         run, "doc_id long, ids array<int>")
 
@@ -297,9 +317,9 @@ def encode(docs: DataFrame, p: Dropout = Dropout(), id_col: str = "doc_id", text
 def decode(encoded: DataFrame, p: Dropout = Dropout()) -> DataFrame:
     """doc_id, ids, text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(p)
+        pieces = pieces_of(p)
         for batch in batches:
-            texts = [codec.decode(np.asarray(x.values)) if x.values is not None else None for x in batch.column(1)]
+            texts = [pieces.decode(np.asarray(x.values)) if x.values is not None else None for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              names=["doc_id", "ids", "text"])
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
