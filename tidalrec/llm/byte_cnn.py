@@ -133,14 +133,20 @@ def train(x: np.ndarray, y: np.ndarray, n_classes: int, p: ByteCnn) -> Weights:
 
 
 def fit(rows: DataFrame, p: ByteCnn) -> tuple[Weights | None, list[str]]:
-    """Network and its languages from (text, lang) rows; at most ``train_docs`` texts per language are read."""
-    from pyspark.sql import Window as W
+    """Network and its languages from (text, lang) rows; at most ``train_docs`` texts per language are read.
+
+    Equal texts of a language count once.  A first pass counts its different
+    texts, a second keeps those whose hash falls below a threshold that lets
+    about twice ``train_docs`` through, so no task or driver gets more.
+    """
     keyed = rows.where("lang is not null and text is not null").select(
         "lang", "text", F.xxhash64("text", F.lit(p.seed)).alias("h"))
-    first = W.partitionBy("lang").orderBy("h", "text")
+    counts = keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    share = F.shiftrightunsigned("h", 1) / F.lit(2.0**63)
     text = F.substring(F.col("text"), 1, p.window * p.train_windows * 4)  # what the training windows can hold
-    some = keyed.withColumn("r", F.row_number().over(first)).where(F.col("r") <= p.train_docs).select(
-        "lang", text.alias("text")).orderBy("lang", "h").toPandas()
+    some = keyed.join(F.broadcast(counts), "lang").where(share * F.col("n") < 2 * p.train_docs).groupBy("lang", "h").agg(
+        F.min(text).alias("text")).toPandas()
+    some = some.sort_values(["lang", "h"]).groupby("lang").head(p.train_docs)
     langs = sorted(some["lang"].unique())
     if not langs:
         return None, []
