@@ -9,6 +9,7 @@ The dense parts (pooling weights, MLP layers) are small NumPy arrays passed to
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -58,20 +59,28 @@ def init_tables(spark: SparkSession, cardinalities: dict[str, int], dim: int, se
     return out
 
 
+def md5_weights(seed: int, name: str, n_out: int, n_in: int, half: float) -> np.ndarray:
+    """(n_out, n_in) initial weights in [-half, half): the md5 unit of
+    'seed|name|row|column', so that any engine can recompute them."""
+    def unit(*parts) -> float:
+        digits = hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:15]
+        return (int(digits, 16) >> 8) / float(1 << 52)
+    return np.array([[(unit(seed, name, o, i) - 0.5) * 2 * half for i in range(n_in)] for o in range(n_out)])
+
+
+def md5_layers(seed: int, name: str, sizes: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Linear layers ``<name><n>`` with biases, spread by the width of their input."""
+    out = []
+    for n, (a, b) in enumerate(zip(sizes[:-1], sizes[1:])):
+        bound = 1.0 / np.sqrt(a)
+        out.append((md5_weights(seed, f"{name}{n}", b, a, bound), md5_weights(seed, f"{name}{n}.bias", b, 1, bound)[:, 0]))
+    return out
+
+
 def init_params(features: list[str], dense: list[str], dim: int, hidden: list[int], seed: int,
                 bottom: list[int] | None = None, pooling: str = "stacked") -> TowerParams:
-    rng = np.random.default_rng(seed)
     n_slots = len(features) + (1 if dense else 0)
-    lim = np.sqrt(6.0 / (dim + n_slots))
-    pool = rng.uniform(-lim, lim, size=(dim, n_slots))
-
-    def dense_layers(sizes):
-        out = []
-        for a, b in zip(sizes[:-1], sizes[1:]):
-            bound = 1.0 / np.sqrt(a)
-            out.append((rng.uniform(-bound, bound, size=(b, a)), rng.uniform(-bound, bound, size=b)))
-        return out
-
+    pool = md5_weights(seed, "pool", dim, n_slots, np.sqrt(6.0 / (dim + n_slots)))
     bottom_dims = list(bottom or [])
     if pooling == "stacked" and dense and bottom_dims and bottom_dims[-1] != dim:
         raise ValueError("dense bottom output width must equal the embedding dim for stacking")
@@ -79,8 +88,8 @@ def init_params(features: list[str], dense: list[str], dim: int, hidden: list[in
         bottom_dims = [dim]
     in_dim = dim if pooling == "stacked" else dim * len(features) + (bottom_dims[-1] if dense else 0)
     return TowerParams(features=list(features), dense=sorted(dense), pool=pool,
-                       layers=dense_layers([in_dim, *hidden]),
-                       bottom=dense_layers([len(dense), *bottom_dims]) if dense else [], pooling=pooling)
+                       layers=md5_layers(seed, "layer", [in_dim, *hidden]),
+                       bottom=md5_layers(seed, "bottom", [len(dense), *bottom_dims]) if dense else [], pooling=pooling)
 
 
 def attach_embeddings(encoded: DataFrame, tables: DataFrame, features: list[str],
@@ -208,13 +217,7 @@ class PairScorer:
 
 
 def init_pair_scorer(dim: int, hidden: list[int], seed: int) -> PairScorer:
-    rng = np.random.default_rng(seed)
-    sizes = [4 * dim, *hidden, 1]
-    layers = []
-    for a, b in zip(sizes[:-1], sizes[1:]):
-        bound = 1.0 / np.sqrt(a)
-        layers.append((rng.uniform(-bound, bound, size=(b, a)), rng.uniform(-bound, bound, size=b)))
-    return PairScorer(layers)
+    return PairScorer(md5_layers(seed, "pair", [4 * dim, *hidden, 1]))
 
 
 @dataclass
@@ -285,13 +288,7 @@ def shapes_frame(spark: SparkSession, shapes: list[tuple[str, list[int]]]) -> Da
 
 def init_dlrm_scorer(n_slots: int, dim: int, hidden: list[int], seed: int) -> DLRMScorer:
     """Input width from the actual concatenation: n_slots*D + C(n_slots, 2)."""
-    rng = np.random.default_rng(seed)
-    sizes = [n_slots * dim + n_slots * (n_slots - 1) // 2, *hidden, 1]
-    layers = []
-    for a, b in zip(sizes[:-1], sizes[1:]):
-        bound = 1.0 / np.sqrt(a)
-        layers.append((rng.uniform(-bound, bound, size=(b, a)), rng.uniform(-bound, bound, size=b)))
-    return DLRMScorer(layers)
+    return DLRMScorer(md5_layers(seed, "dlrm", [n_slots * dim + n_slots * (n_slots - 1) // 2, *hidden, 1]))
 
 
 def dlrm_score(rows: DataFrame, tables: DataFrame, user_features: list[str], item_features: list[str],

@@ -34,16 +34,10 @@ def spec():
     return tpch_spec()
 
 
-_THRESHOLDS: dict = {}
-
-
 def split_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Train / val interactions; the threshold job runs once per table set."""
+    """Train / val interactions; one job finds the threshold."""
     x = TB.interactions(spark, sf)
-    key = (spark.sparkContext.applicationId, sf, VAL_T)
-    if key not in _THRESHOLDS:
-        _THRESHOLDS[key] = S.split_threshold(x, "o_orderdate", VAL_T)
-    return S.split_at(x, "o_orderdate", _THRESHOLDS[key])
+    return S.split_at(x, "o_orderdate", S.split_threshold(x, "o_orderdate", VAL_T))
 
 
 # ---- step 1: split, seen sets, popularity top-k, ranking metrics ------------------
@@ -408,8 +402,6 @@ from tidalrec.functions import vectors as VEC  # noqa: E402
 from tidalrec.operators import vector_search as VS  # noqa: E402
 
 VK = 10
-N_CELLS = 8
-NPROBE = 3
 SLICES = 4
 
 
@@ -461,19 +453,50 @@ def pairwise_interactions(spark, sf):
 
 
 def ann_topk(spark, sf):
+    """Label centres against an index of about sqrt(n) KMeans cells."""
     w = _emb(spark, sf)
-    index, cents = VS.build_cell_index(w, "vec_id", "embedding", N_CELLS)
+    n_cells = VS.cells_for(w.count())
+    index, cents = VS.build_cell_index(w, "vec_id", "embedding", n_cells)
     q = _label_centroids(spark, sf).select("qid", VEC.l2_normalize("vec").alias("vec"))
-    out = VS.probe_topk(q, index, cents, VK, NPROBE)
+    out = VS.probe_topk(q, index, cents, VK, VS.probes_for(n_cells))
+    return _ann_out(out)
+
+
+def _ann_out(out):
     return out.select(F.col("qid").alias("label"), "rank", F.col("item_id").alias("vec_id"), R("score"))
 
 
+def ann_topk_all_cells(spark, sf):
+    """As ``ann_topk``, probing every cell: equal to exact search."""
+    w = _emb(spark, sf)
+    n_cells = VS.cells_for(w.count())
+    index, cents = VS.build_cell_index(w, "vec_id", "embedding", n_cells)
+    q = _label_centroids(spark, sf).select("qid", VEC.l2_normalize("vec").alias("vec"))
+    return _ann_out(VS.probe_topk(q, index, cents, VK, n_cells))
+
+
+LABEL_PROBES = 2
+
+
+def ann_topk_label_cells(spark, sf):
+    """Index whose cells are given centres, the normalised label means: every
+    vector goes to its nearest centre, the label queries probe two cells."""
+    cents = _label_centroids(spark, sf).select(F.col("qid").cast("int").alias("cell"),
+                                               VEC.l2_normalize("vec").alias("centroid"))
+    w = _emb(spark, sf).select(F.col("vec_id").alias("item_id"), VEC.l2_normalize("embedding").alias("vec"))
+    index = VS.assign_cells(w, cents)
+    q = cents.select(F.col("cell").cast("bigint").alias("qid"), F.col("centroid").alias("vec"))
+    return _ann_out(VS.probe_topk(q, index, cents, VK, LABEL_PROBES))
+
+
 QUERIES.update({
     "vector_topk": vector_topk,
     "vector_l2_normalize": vector_l2_normalize,
     "pair_features": pair_features,
     "pairwise_interactions": pairwise_interactions,
     "ann_topk": ann_topk,
+    "ann_topk_all_cells": ann_topk_all_cells,
+    "ann_topk_label_cells": ann_topk_label_cells,
 })
 
 
@@ -544,19 +567,27 @@ def _towers(spark, sf):
 
 def tower_embed(spark, sf):
     _, _, ie = _towers(spark, sf)
-    return ie.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.posexplode("emb").alias("dim", "value"))
+    return _tower_out(ie)
 
 
-def score_all_topk(spark, sf):
-    ctx, ue, ie = _towers(spark, sf)
+def _tower_out(ie):
+    return ie.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.posexplode("emb").alias("dim", "value")) \
+        .select("p_partkey", F.col("dim").cast("int").alias("dim"), R("value"))
+
+
+def _unseen_topk(spark, sf, ctx, ue, ie, k, **kw):
+    """Exact top-k of every user's unseen items from user and item embeddings."""
     sp = spec()
     seen = K.known_pairs(ctx["train"], TB.users(spark, sf), TB.items(spark, sf),
-                         sp.inter_user, sp.inter_item, sp.user_id, sp.item_id)
-    sets = K.user_item_sets(seen)
-    q = (ue.select(F.col("id_key").cast("bigint").alias("user_id"), F.col("emb").alias("vec"))
-         .join(sets, "user_id", "left"))
+                         sp.inter_user, sp.inter_item, sp.user_id, sp.item_id).withColumnRenamed("user_id", "qid")
+    q = ue.select(F.col("id_key").cast("bigint").alias("qid"), F.col("emb").alias("vec"))
     cat = ie.select(F.col("id_key").cast("bigint").alias("item_id"), F.col("emb").alias("vec"))
-    out = VS.topk_stream_queries(q, cat, TOPK, q_key="user_id", q_vec="vec", exclude="items", scale=1.0 / TEMP)
+    return VS.exact_topk(q, cat, k, n_queries=ctx["us"].count(), n_items=ctx["its"].count(), dim=DIM, seen=seen, **kw)
+
+
+def score_all_topk(spark, sf):
+    ctx, ue, ie = _towers(spark, sf)
+    out = _unseen_topk(spark, sf, ctx, ue, ie, TOPK, scale=1.0 / TEMP)
     return out.select(F.col("qid").alias("user_id"), "rank", "item_id", R("score"))
 
 
@@ -611,7 +642,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from tidalrec.operators import affinity as AF  # noqa: E402
 from tidalrec.operators import prep as PR  # noqa: E402
-from tidalrec.session import checkpoint_dir  # noqa: E402
+from tidalrec.session import checkpoint_dir, cut_lineage  # noqa: E402
 
 USER_SEGS = ["c_mktsegment", "c_nationkey"]
 ITEM_PROFILE = ["p_brand", "p_type", "p_size"]
@@ -848,14 +879,10 @@ def _retrieval_eval(spark, sf, ctx, state, ks=KS):
     ie = TRN.embed_side(ctx["its"].table, state.tables, state.dense, TRAIN_ITEM, ctx["icard"])
     sp = spec()
     users, items = TB.users(spark, sf), TB.items(spark, sf)
-    seen = K.user_item_sets(K.known_pairs(ctx["train"], users, items, sp.inter_user, sp.inter_item, sp.user_id, sp.item_id))
     rel = K.known_pairs(ctx["val"], users, items, sp.inter_user, sp.inter_item, sp.user_id, sp.item_id)
     n_items = ctx["its"].count()
     kk = M.valid_cutoffs(ks, n_items)
-    q = ue.select(F.col("id_key").cast("bigint").alias("user_id"), F.col("emb").alias("vec")).join(seen, "user_id", "left")
-    cat = ie.select(F.col("id_key").cast("bigint").alias("item_id"), F.col("emb").alias("vec"))
-    top = VS.topk_stream_queries(q, cat, max(kk), q_key="user_id", q_vec="vec", exclude="items")
-    top = top.select(F.col("qid").alias("user_id"), "rank", "item_id")
+    top = _unseen_topk(spark, sf, ctx, ue, ie, max(kk)).select(F.col("qid").alias("user_id"), "rank", "item_id")
     m = M.macro_average(M.ranking_metrics_per_user(top, rel, kk)).first()
     return {k: float(v) for k, v in m.asDict().items() if k != "n_users"}
 
@@ -996,21 +1023,15 @@ QUERIES.update({
 
 def score_all_topk_ranking(spark, sf):
     """Exact top-k for all users with a pair-scoring ranking head over every
-    (user, item) pair, seen items masked; pairs are scored per Arrow batch
-    against the broadcast item-embedding matrix, never materialised as rows."""
+    (user, item) pair, seen items masked; pairs are scored in blocks of users
+    and items, never materialised as rows."""
     ctx, ue, ie = _towers(spark, sf)
-    sp = spec()
-    seen = K.user_item_sets(K.known_pairs(ctx["train"], TB.users(spark, sf), TB.items(spark, sf),
-                                          sp.inter_user, sp.inter_item, sp.user_id, sp.item_id))
     scorer = TW.init_pair_scorer(DIM, [16], SEED)
 
     def pair_scores(q, c):
         return np.stack([scorer.score(np.repeat(q[i:i + 1], c.shape[0], axis=0), c) for i in range(q.shape[0])])
 
-    q = (ue.select(F.col("id_key").cast("bigint").alias("user_id"), F.col("emb").alias("vec"))
-         .join(seen, "user_id", "left"))
-    cat = ie.select(F.col("id_key").cast("bigint").alias("item_id"), F.col("emb").alias("vec"))
-    out = VS.topk_stream_queries(q, cat, TOPK, q_key="user_id", q_vec="vec", exclude="items", score_fn=pair_scores)
+    out = _unseen_topk(spark, sf, ctx, ue, ie, TOPK, score_fn=pair_scores)
     return out.select(F.col("qid").alias("user_id"), "rank", "item_id", R("score"))
 
 
@@ -1073,8 +1094,7 @@ def tower_embed_concat(spark, sf):
     + dense bottom, then MLP and L2 norm)."""
     ctx = _model_ctx(spark, sf)
     ip = TW.init_params(I_FEATS, ["p_retailprice"], DIM, [16, DIM], SEED + 1, pooling="concat")
-    ie = TW.tower_embed(ctx["its"].table, "id_key", ctx["itab"], ip, ctx["icard"], prefix="item.")
-    return ie.select(F.col("id_key").cast("bigint").alias("p_partkey"), F.posexplode("emb").alias("dim", "value"))
+    return _tower_out(TW.tower_embed(ctx["its"].table, "id_key", ctx["itab"], ip, ctx["icard"], prefix="item."))
 
 
 QUERIES.update({
@@ -1100,11 +1120,14 @@ def two_stage_recommend_ann(spark, sf):
     """Two-stage recommend whose retrieval probes a KMeans-cell index of the
     item vectors (the serving path for catalogs too large to scan per user)."""
     req, train_users, uvec, ivec = _rec_inputs(spark, sf)
-    index, cents = VS.build_cell_index(ivec.withColumnRenamed("item_id", "iid"), "iid", "vec", N_CELLS,
+    ivec = cut_lineage(ivec)
+    n_items = ivec.count()
+    n_cells = VS.cells_for(n_items)
+    index, cents = VS.build_cell_index(ivec.withColumnRenamed("item_id", "iid"), "iid", "vec", n_cells,
                                        normalize=False)
     scorer = TW.PairScorer([head_weights(4 * DIM)])
-    ranked, _ = RC.recommend(req, train_users, uvec, ivec, scorer, k_default=REC_K_DEFAULT,
-                             retriever=lambda q, k: VS.probe_topk(q, index, cents, k, NPROBE))
+    ranked, _ = RC.recommend(req, train_users, uvec, ivec, scorer, k_default=REC_K_DEFAULT, n_items=n_items,
+                             retriever=lambda q, k: VS.probe_topk(q, index, cents, k, VS.probes_for(n_cells), with_vec=True))
     return ranked.select("user_id", "rank", "item_id", R("score"), R("retrieval_distance"))
 
 

@@ -422,6 +422,126 @@ SQL.update({
 })
 
 
+# ---- networks: towers, heads and DLRM from md5 weights --------------------------
+
+def weights(seed: int, name: str, n_out: int, n_in: int, half: float) -> str:
+    cell = md5u(f"'{seed}'", f"'{name}'", "o", "i")
+    return (f"list_transform(range(0, {n_out}), lambda o: list_transform(range(0, {n_in}), "
+            f"lambda i: ({cell} - 0.5) * {2 * half!r}::DOUBLE))")
+
+
+def layer_weights(seed: int, name: str, n: int, n_in: int, n_out: int, w: str, b: str) -> str:
+    half = n_in ** -0.5
+    return f"{weights(seed, f'{name}{n}', n_out, n_in, half)} AS {w}, {weights(seed, f'{name}{n}.bias', n_out, 1, half)} AS {b}"
+
+
+def linear(w: str, b: str, x: str, n_out: int, relu: bool = True) -> str:
+    z = f"list_dot_product({w}[o], {x}) + {b}[o][1]"
+    return f"list_transform(range(1, {n_out + 1}), lambda o: {f'greatest({z}, 0.0)' if relu else z})"
+
+
+def embedding(side: str, feature: str, token: str) -> str:
+    return f"list_transform(range(0, 8), lambda d: {md5u(chr(39) + '42' + chr(39), f'{chr(39)}{side}.{feature}{chr(39)}', token, 'd')} - 0.5)"
+
+
+def scaled(table: str, dense: str, s: str) -> str:
+    return SCALE.format(col=dense, table=table).replace("sc AS", f"{s}sc AS")
+
+
+def tower_sql(side: str, table: str, id_col: str, feats: list[str], dense: str, seed: int, concat: bool = False) -> list[str]:
+    """CTEs up to ``<s>emb`` (id, emb): embeddings and dense bottom pooled, two ReLU layers, unit length."""
+    s, n = side[0], len(feats) + 1
+    width = 8 * n if concat else 8
+    lim = (6.0 / (8 + n)) ** 0.5
+    slots = ", ".join(embedding(side, f, f"t.{f}") for f in feats)
+    x = f"((COALESCE(e.{dense}, sc.m) - sc.m) / sc.s)"
+    pooled = ("flatten(slots)" if concat else
+              f"list_transform(range(1, 9), lambda d: list_sum(list_transform(range(1, {n + 1}), lambda f: sm[d][f] * slots[f][d])))")
+    return [
+        scaled(table, dense, s),
+        f"{s}w0 AS MATERIALIZED (SELECT {weights(seed, 'pool', 8, n, lim)} AS pool, {layer_weights(seed, 'bottom', 0, 1, 8, 'wb', 'bb')}, "
+        f"{layer_weights(seed, 'layer', 0, width, 16, 'w1', 'b1')}, {layer_weights(seed, 'layer', 1, 16, 8, 'w2', 'b2')})",
+        f"{s}w AS MATERIALIZED (SELECT *, list_transform(pool, lambda r: list_transform(r, "
+        f"lambda v: exp(v) / list_sum(list_transform(r, lambda q: exp(q))))) AS sm FROM {s}w0)",
+        f"{s}slot AS (SELECT e.{id_col} AS id, [{slots}, list_transform(range(1, 9), lambda d: greatest({x} * wb[d][1] + bb[d][1], 0.0))] AS slots "
+        f"FROM {s}st t JOIN {table} e ON CAST(e.{id_col} AS VARCHAR) = t.id_key CROSS JOIN {s}sc sc CROSS JOIN {s}w)",
+        f"{s}z AS (SELECT id, {pooled} AS z FROM {s}slot CROSS JOIN {s}w)",
+        f"{s}h AS (SELECT id, {linear('w1', 'b1', 'z', 16)} AS h FROM {s}z CROSS JOIN {s}w)",
+        f"{s}g AS (SELECT id, {linear('w2', 'b2', 'h', 8)} AS g FROM {s}h CROSS JOIN {s}w)",
+        f"{s}emb AS MATERIALIZED (SELECT id, list_transform(g, lambda v: v / greatest(sqrt(list_dot_product(g, g)), 1e-12)) AS emb FROM {s}g)",
+    ]
+
+
+U_TOWER = [*U_POOL[:3], *tower_sql("user", "customer", "c_custkey", U_FEATS, "c_acctbal", 42)]
+I_TOWER = [*I_POOL[:3], *tower_sql("item", "part", "p_partkey", I_FEATS, "p_retailprice", 43)]
+I_CONCAT = [*I_POOL[:3], *tower_sql("item", "part", "p_partkey", I_FEATS, "p_retailprice", 43, concat=True)]
+EMB_OUT = """SELECT id AS p_partkey, (g._i - 1)::INTEGER AS dim, round(g._x, 6) AS value FROM iemb,
+    LATERAL (SELECT unnest(emb) AS _x, generate_subscripts(emb, 1) AS _i) g"""
+
+
+def unseen_topk_sql(score: str, extra: str = "") -> str:
+    return f"""SELECT user_id, rank::INTEGER AS rank, item_id, round(score, 6) AS score FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+          SELECT u.id AS user_id, i.id AS item_id, {score} AS score FROM uemb u CROSS JOIN iemb i {extra}
+          WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.id AND s.item_id = i.id))) WHERE rank <= 10"""
+
+
+PAIR_X = ("list_concat(u.emb, i.emb, list_transform(list_zip(u.emb, i.emb), lambda z: z[1] * z[2]), "
+          "list_transform(list_zip(u.emb, i.emb), lambda z: abs(z[1] - z[2])))")
+PAIR_W = (f"pw AS MATERIALIZED (SELECT {layer_weights(42, 'pair', 0, 32, 16, 'pw1', 'pb1')}, "
+          f"{layer_weights(42, 'pair', 1, 16, 1, 'pw2', 'pb2')})")
+PAIR_H = f"list_transform(range(1, 17), lambda o: greatest(list_dot_product(pw1[o], {PAIR_X}) + pb1[o][1], 0.0))"
+
+DLRM_DOTS = ", ".join(f"list_dot_product(slots[{a}], slots[{b}])" for a in range(1, 9) for b in range(a + 1, 9))
+DLRM = [
+    *U_POOL[:3], *I_POOL[:3], scaled("customer", "c_acctbal", "u"), scaled("part", "p_retailprice", "i"),
+    f"dw AS MATERIALIZED (SELECT {layer_weights(42, 'bottom', 0, 2, 8, 'wb', 'bb')}, "
+    f"{layer_weights(42, 'dlrm', 0, 92, 16, 'w1', 'b1')}, {layer_weights(42, 'dlrm', 1, 16, 1, 'w2', 'b2')})",
+    "drow AS (SELECT v.row_key, [" + ", ".join([embedding("user", f, f"us.{f}") for f in U_FEATS] +
+                                               [embedding("item", f, f"its.{f}") for f in I_FEATS]) +
+    """, list_transform(range(1, 9), lambda d: greatest(
+          list_dot_product(wb[d], [(COALESCE(c.c_acctbal, usc.m) - usc.m) / usc.s, (COALESCE(p.p_retailprice, isc.m) - isc.m) / isc.s])
+          + bb[d][1], 0.0))] AS slots
+       FROM val v JOIN customer c ON c.c_custkey = v.o_custkey JOIN part p ON p.p_partkey = v.l_partkey
+       JOIN ust us ON us.id_key = CAST(v.o_custkey AS VARCHAR) JOIN ist its ON its.id_key = CAST(v.l_partkey AS VARCHAR)
+       CROSS JOIN usc CROSS JOIN isc CROSS JOIN dw)""",
+    f"dx AS (SELECT row_key, list_concat(flatten(slots), [{DLRM_DOTS}]) AS x FROM drow)",
+    f"dh AS (SELECT row_key, {linear('w1', 'b1', 'x', 16)} AS h FROM dx CROSS JOIN dw)",
+]
+
+SQL.update({
+    "tower_embed": W(*I_TOWER) + EMB_OUT,
+    "tower_embed_concat": W(*I_CONCAT) + EMB_OUT,
+    "score_all_topk": W(*U_TOWER, *I_TOWER) + unseen_topk_sql("list_dot_product(u.emb, i.emb) * 20.0::DOUBLE"),
+    "score_all_topk_ranking": W(*U_TOWER, *I_TOWER, PAIR_W) + unseen_topk_sql(
+        f"list_dot_product(pw2[1], {PAIR_H}) + pb2[1][1]", "CROSS JOIN pw"),
+    "dlrm_scores": W(*DLRM) + "SELECT row_key, round(list_dot_product(w2[1], h) + b2[1][1], 6) AS score FROM dh CROSS JOIN dw",
+})
+
+# ---- cell index: every cell probed, and cells around the label means ---------------
+
+UNIT_C = "list_transform(c, lambda x: x / greatest(sqrt(list_dot_product(c, c)), 1e-12))"
+CELLS = CENT.strip() + f""",
+q AS MATERIALIZED (SELECT label, {UNIT_C} AS v FROM cent),
+e AS MATERIALIZED (SELECT vec_id, {NORM} AS v FROM embeddings),
+"""
+ANN_OUT = """SELECT label::BIGINT AS label, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM cand) WHERE rank <= 10"""
+
+SQL.update({
+    "ann_topk_all_cells": CELLS + """cand AS (SELECT q.label, e.vec_id, list_dot_product(q.v, e.v) AS score FROM q, e)
+        """ + ANN_OUT,
+    "ann_topk_label_cells": CELLS + """
+        home AS (SELECT vec_id, label AS cell FROM (SELECT e.vec_id, q.label,
+                   row_number() OVER (PARTITION BY e.vec_id ORDER BY list_dot_product(q.v, e.v) DESC, q.label) AS n FROM q, e) WHERE n = 1),
+        probe AS (SELECT label, cell FROM (SELECT a.label, b.label AS cell,
+                   row_number() OVER (PARTITION BY a.label ORDER BY list_dot_product(a.v, b.v) DESC, b.label) AS n FROM q a, q b) WHERE n <= 2),
+        cand AS (SELECT p.label, e.vec_id, list_dot_product(q.v, e.v) AS score FROM probe p JOIN home h ON h.cell = p.cell
+                 JOIN e ON e.vec_id = h.vec_id JOIN q ON q.label = p.label)
+        """ + ANN_OUT,
+})
+
+
 # ---- step 9: preparation, affinity, sampling ------------------------------------
 
 TITLES = """WITH t AS (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_name

@@ -18,11 +18,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, path: str, batch_bytes: int | None = None) -> DataFrame:
-    """Bounded-memory scan: splits are sized by ``spark.sql.files.maxPartitionBytes``.
-    Spark prunes columns and streams row groups, so nothing is loaded whole."""
-    if batch_bytes:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(batch_bytes)))
-    return read_table(spark, path)
+    """Bounded-memory scan: every task's split holds about ``batch_bytes`` of the
+    files, by a session of its own with that split size; the caller's settings
+    stay as they are.  Spark prunes columns and streams row groups, so nothing is
+    loaded whole."""
+    if not batch_bytes:
+        return read_table(spark, path)
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(int(batch_bytes)))
+    return read_table(own, path)
 
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str],
