@@ -142,6 +142,25 @@ def test_dropout_codec(spark, none, docs):
     assert [small.encode(t, 5).tolist() for t in texts] == [varied.encode(t, 5).tolist() for t in texts]
 
 
+def test_dropout_draws_for_each_occurrence():
+    """A word of m merges keeps them all in 0.9^m of its occurrences, whatever the worker has seen."""
+    codec = merge_dropout.Codec(merge_dropout.Dropout())
+    plain = merge_dropout.Codec(merge_dropout.Dropout(rate=0.0))
+    for word in ("the", "international", "Grüße", "①the"):
+        base, ends = plain._unit_ids("▁" + word, 0), []
+        whole = codec._cut(" ".join([word] * 8_000), 5)
+        ends = [codec._encode_group([([u], d[None])])[0].tobytes() for u, d in zip(*whole)]
+        again = merge_dropout.Codec(merge_dropout.Dropout())._encode_group([whole])[0].tobytes()
+        assert b"".join(ends) == again                          # together or alone, whatever the worker has seen
+        assert ends[:500] == [codec._unit_ids(u, int(d)) for u, d in zip(whole[0][:500], whole[1])]
+        (_, _, (turns,), _), = plain._segment_all(["▁" + word], None)
+        (_, drawn, _, last), = codec._segment_all(["▁" + word] * (len(ends) - 1), whole[1][1:])
+        assert drawn == ends[1:]
+        assert abs(np.mean(last < 0) - 0.9**turns) < 0.02
+        assert {x for x, skipped in zip(drawn, last) if skipped < 0} == {base}
+        assert len(set(drawn)) > (3 if "①" in word else 4)
+
+
 def test_language_cases(spark, docs, none):
     p = byte_cnn.ByteCnn(steps=5)
     w, langs = byte_cnn.fit(docs.select("text", "lang"), p)

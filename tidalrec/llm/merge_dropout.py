@@ -5,14 +5,15 @@ spaces, around line breaks and tabs).  Inside a unit, neighbouring symbols whose
 concatenation is a piece are candidate merges on an agenda ordered by the
 piece's score, then from left to right; a candidate whose keyed hash falls below
 the dropout rate is skipped when its turn comes and stays out until its symbols
-change.  The key holds the seed, the unit, the candidate's place and one of
-``variants`` draws that each occurrence of a unit picks by a hash of (seed, id,
-position), so equal words get varied segmentations and a segmentation is
-computed once per worker for each (unit, variant).  The agendas of all new units
-of a group of texts advance together, one candidate each per step, as numpy
-rows; long units and those with characters outside the model go through a heap
-one at a time, with the same result.  With rate 0 the result is the model's own
-encoding.
+change.  The key holds the seed, the document's id, the unit's position in the
+document and the number of the turn, so each occurrence of a unit draws for
+itself.  A segmentation depends on the unit and on the turns skipped alone, so a
+worker keeps those it has seen as a tree: from a unit's node without a skip, one
+child for each turn that may be skipped next.  Occurrences walk down the tree
+turn by turn; where a child is missing, the agendas of all such occurrences of a
+group of texts advance together, one candidate each per turn, as numpy rows;
+long units go through a heap one at a time, with the same result.  With rate 0
+the result is the model's own encoding.
 
 Symbols that are no piece become byte pieces, as does U+2581 itself (the mark
 that stands for a space), so decoding restores every text exactly.
@@ -50,7 +51,6 @@ _LONG = 48               # longer units are segmented one at a time
 class Dropout:
     rate: float = 0.1
     seed: int = 9
-    variants: int = 4
     model: str | None = None        # path of a sentencepiece BPE model; None: public piece_bpe_32k.model
     cache_units: int = 400_000      # per worker; only memory and speed depend on it
 
@@ -96,9 +96,8 @@ class Codec(Pieces):
         alone = "".join(c for c in "\n\t\r\0" if not any(c in piece for piece in self._rank))
         self._units = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+|[{alone}]").findall
         self._p = p
-        self._below = int(p.rate * 2.0**32)
-        self._cache: list[dict[str | bytes, bytes]] = [{} for _ in range(p.variants)]
-        self._n = 0
+        self._below = np.uint64(int(p.rate * 2.0**32))
+        self._forget()
         # the same tables for numpy: id of a character, and what two neighbouring pieces merge into
         self._char_id = np.full(0x110000, -1, np.int32)
         for piece, i in self._ids.items():
@@ -118,19 +117,20 @@ class Codec(Pieces):
 
     # -- segmentation
 
-    def _key(self, unit: str, variant: int) -> int:
-        return xxhash.xxh32_intdigest(unit, (self._p.seed * 1_000_003 + variant) & 0xFFFFFFFF)
+    def _key(self, unit: str, draw: int) -> int:
+        """What an occurrence's hashes are keyed with: its draw holds seed, id and position, whatever the unit."""
+        return draw
 
-    def _skipped(self, key, start, mid, end):
-        """Whether the merge of unit[start:mid] and unit[mid:end] is skipped when its turn comes (ints or int64 arrays)."""
-        h = (key + start * 0x2545F491 + mid * 0x9E3779B1 + end * 0x85EBCA77) & 0xFFFFFFFF
-        h = ((h ^ h >> 15) * 0x2C1B3C6D) & 0xFFFFFFFF
-        h = ((h ^ h >> 12) * 0x297A2D39) & 0xFFFFFFFF
-        return h ^ h >> 15 < self._below
+    def _skipped(self, keys: np.ndarray, turn: int | np.ndarray) -> np.ndarray:
+        """Whether the candidate whose turn it is gets skipped (uint64 keys)."""
+        step = np.asarray(turn, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return mix64(mix64(keys) + step) >> np.uint64(32) < self._below
 
-    def segment(self, unit: str, variant: int) -> list[str]:
+    def segment(self, unit: str, draw: int) -> list[str]:
         """Pieces of a unit: the best candidate first, then the leftmost."""
-        key, n, rank_of = self._key(unit, variant), len(unit), self._rank_of
+        n, rank_of = len(unit), self._rank_of
+        # at most n - 1 candidates at first and two more for each merge
+        skips = iter(self._skipped(np.array([self._key(unit, draw)], np.uint64), np.arange(3 * n)).tolist())
         ends, prev = list(range(1, n + 1)), list(range(-1, n - 1))   # by the symbol's start; end 0: merged away
         heap: list[tuple[int, int, int, int]] = []
 
@@ -147,7 +147,7 @@ class Codec(Pieces):
             _, start, mid, end = heapq.heappop(heap)
             if ends[start] != mid or mid >= n or ends[mid] != end:
                 continue  # one of its symbols has changed
-            if self._skipped(key, start, mid, end):
+            if next(skips):
                 continue
             ends[start], ends[mid] = end, 0
             if end < n:
@@ -167,9 +167,16 @@ class Codec(Pieces):
         at = np.searchsorted(self._pair, want)
         return np.where(self._pair[at] == want, self._pair_id[at], self._pair_id[-1])
 
-    def _segment_rows(self, chars: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Ids after all merges of units of one length, given as rows of character ids; -1 where merged away."""
+    def _segment_rows(self, chars: np.ndarray, keys: np.ndarray | None, turns: np.ndarray | None = None,
+                      last: np.ndarray | None = None) -> np.ndarray:
+        """Ids after all merges of units of one length, given as rows of character ids; -1 where merged away.
+
+        Without keys nothing is skipped.  ``turns`` and ``last``, if given, receive
+        each row's number of turns and the last turn it skipped.
+        """
         rows, n = chars.shape
+        keys = None if keys is None else np.asarray(keys).astype(np.uint64)
+        turn = -1
         ids = chars.copy()
         into = np.full((rows, n), len(self._rank_by_id) - 1, np.int32)   # by the left symbol's start
         into[:, :-1] = self._merged(ids[:, :-1], ids[:, 1:])
@@ -183,10 +190,15 @@ class Codec(Pieces):
             live, start = live[found], start[found]
             if not len(live):
                 return ids
+            turn += 1
+            if turns is not None:
+                turns[live] = turn + 1
             mid = nxt[live, start]
             end = nxt[live, mid]
-            skip = self._skipped(keys[live], start, mid, end)
+            skip = np.zeros(len(live), bool) if keys is None else self._skipped(keys[live], turn)
             rank[live[skip], start[skip]] = _NEVER
+            if last is not None:
+                last[live[skip]] = turn
             r, a, b, c = live[~skip], start[~skip], mid[~skip], end[~skip]
             ids[r, a] = into[r, a]
             ids[r, b] = -1
@@ -200,36 +212,49 @@ class Codec(Pieces):
                 into[q, x] = m = self._merged(ids[q, x], ids[q, y])
                 rank[q, x] = self._rank_by_id[m]
 
-    def _learn(self, new: list[tuple[str | bytes, int]]) -> None:
-        """Segments units that the cache does not hold yet."""
-        by_length: dict[int, list[tuple[str, int]]] = defaultdict(list)
-        for unit, d in new:
-            if isinstance(unit, bytes):
-                self._cache[d][unit] = unit
-            elif len(unit) > _LONG:
-                self._cache[d][unit] = self._unit_ids(unit, d)
-            else:
-                by_length[len(unit)].append((unit, d))
+    def _forget(self) -> None:
+        """Empties the tree; node 0 stands for occurrences that are segmented on their own."""
+        self._node: dict[str | bytes, int] = {}      # a unit's node without a skip
+        self._child: dict[int, int] = {}             # by parent << 16 | turn skipped next
+        self._blobs, self._turns = [b""], np.zeros(1024, np.int64)
+
+    def _add(self, blobs: list[bytes], turns: np.ndarray) -> range:
+        at, end = len(self._blobs), len(self._blobs) + len(blobs)
+        if end > len(self._turns):
+            self._turns = np.concatenate([self._turns, np.zeros(end, np.int64)])
+        self._blobs += blobs
+        self._turns[at:end] = turns
+        return range(at, end)
+
+    def _segment_all(self, units: list[str], keys: np.ndarray | None
+                     ) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray]]:
+        """(places in units, ids, turns, last turns skipped) by length, of units of up to _LONG characters."""
+        by_length: dict[int, list[int]] = defaultdict(list)
+        for at, n in enumerate(map(len, units)):
+            by_length[n].append(at)
         for n, some in by_length.items():
-            text = "".join([unit for unit, _ in some]).encode("utf-32-le")
-            chars = self._char_id[np.frombuffer(text, "<u4")].reshape(-1, n)
-            known = (chars >= 0).all(axis=1)
-            keys = np.array([self._key(unit, d) for unit, d in some])
-            ids = self._segment_rows(chars[known], keys[known])
-            kept = ids >= 0
-            flat, ends = ids[kept].astype("<u4").tobytes(), 4 * np.cumsum(kept.sum(axis=1))
-            at, end_of = 0, iter(ends.tolist())
-            for (unit, d), k in zip(some, known.tolist()):
-                if k:
-                    end = next(end_of)
-                    self._cache[d][unit] = flat[at:end]
-                    at = end
-                else:
-                    self._cache[d][unit] = self._unit_ids(unit, d)
-
-    def _unit_ids(self, unit: str, variant: int) -> bytes:
+            codes = np.frombuffer("".join([units[at] for at in some]).encode("utf-32-le"), "<u4").astype(np.int32)
+            chars = self._char_id[codes]
+            chars = np.where(chars < 0, -2 - codes, chars).reshape(-1, n)    # outside the model: never merged
+            turns, last = np.zeros(len(some), np.int64), np.full(len(some), -1)
+            ids = self._segment_rows(chars, None if keys is None else keys[some], turns, last)
+            kept = ids != -1
+            flat, ends = ids[kept].astype("<i4").tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
+            blobs = [flat[a:b] for a, b in zip([0, *ends], ends)]
+            for at in np.flatnonzero((chars < 0).any(axis=1)).tolist():
+                blobs[at] = self._spelled(blobs[at])
+            yield some, blobs, turns, last
+
+    def _spelled(self, blob: bytes) -> bytes:
+        """Ids with the characters outside the model as byte pieces."""
         ids: list[int] = []
-        for piece in self.segment(unit, variant):
+        for i in np.frombuffer(blob, "<i4").tolist():
+            ids += [i] if i >= 0 else [self._bytes[b] for b in chr(-2 - i).encode()]
+        return np.asarray(ids, "<u4").tobytes()
+
+    def _unit_ids(self, unit: str, draw: int) -> bytes:
+        ids: list[int] = []
+        for piece in self.segment(unit, draw):
             i = self._ids.get(piece)
             if i is None:
                 ids += [self._bytes[b] for b in piece.encode()]
@@ -239,10 +264,8 @@ class Codec(Pieces):
 
     # -- texts
 
-    def _cut(self, text: str, key: int) -> tuple[list[str | bytes], list[int]]:
-        """A text's units and their variants; the space mark itself and NUL are the ids of their bytes."""
-        if not text:
-            return [], []
+    def _cut(self, text: str, key: int) -> tuple[list[str | bytes], np.ndarray]:
+        """A text's units and their draws; the space mark itself and NUL are the ids of their bytes."""
         units: list[str | bytes] = []
         for run in re.split(f"([{SPACE}\0])", text) if SPACE in text or "\0" in text else [text]:
             if run in (SPACE, "\0"):
@@ -250,26 +273,54 @@ class Codec(Pieces):
                 units.append(np.asarray([self._bytes[b] for b in run.encode()], "<u4").tobytes())
             elif run:
                 units += self._units(("" if units else SPACE) + run.replace(" ", SPACE))
-        draws = mix64(np.arange(len(units), dtype=np.uint64) + np.uint64(key)) % np.uint64(self._p.variants)
-        return units, draws.tolist()
-
-    def _encode_group(self, cut: list[tuple[list[str | bytes], list[int]]]) -> list[np.ndarray]:
-        if self._n >= self._p.cache_units:
-            for c in self._cache:
-                c.clear()
-            self._n = 0
-        cache, new = self._cache, []
-        for units, draws in cut:
-            for unit, d in zip(units, draws):
-                if unit not in cache[d]:
-                    cache[d][unit] = b""  # filled below
-                    new.append((unit, d))
-        self._n += len(new)
-        self._learn(new)
-        return [np.frombuffer(b"".join([cache[d][unit] for unit, d in zip(*c)]), "<u4") for c in cut]
+        return units, mix64(np.arange(len(units), dtype=np.uint64) + np.uint64(key))
+
+    def _encode_group(self, cut: list[tuple[list[str | bytes], np.ndarray]]) -> list[np.ndarray]:
+        if len(self._blobs) > self._p.cache_units:
+            self._forget()
+        units = [unit for some, _ in cut for unit in some]
+        draws = np.concatenate([np.empty(0, np.uint64), *(d for _, d in cut)])
+        unseen = set(units).difference(self._node)
+        for unit in unseen:
+            if isinstance(unit, bytes):
+                self._node[unit], = self._add([unit], np.zeros(1))
+        new = [unit for unit in unseen if isinstance(unit, str) and len(unit) <= _LONG]
+        for some, blobs, turns, _ in self._segment_all(new, None):
+            self._node.update(zip([new[at] for at in some], self._add(blobs, turns)))
+        node_of, child_of = self._node.get, self._child.get
+        node = np.array([node_of(unit, 0) for unit in units], np.int64)
+        alone = np.flatnonzero(node == 0).tolist()
+
+        lost, wanted = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        turn, active = 0, np.flatnonzero(self._turns[node] > 0) if self._below else np.empty(0, np.int64)
+        while len(active):
+            hit = active[self._skipped(draws[active], turn)]
+            want, back = np.unique(node[hit] << 16 | turn, return_inverse=True)
+            node[hit] = np.array([child_of(w, 0) for w in want.tolist()], np.int64)[back]
+            gone = node[hit] == 0
+            lost.append(hit[gone])
+            wanted.append(want[back[gone]])
+            turn += 1
+            active = active[self._turns[node[active]] > turn]
+        lost, wanted = np.concatenate(lost), np.concatenate(wanted)
+
+        out = [self._blobs[i] for i in node.tolist()]
+        for i in alone:
+            out[i] = self._unit_ids(units[i], int(draws[i]))
+        places = lost.tolist()
+        for some, blobs, turns, last in self._segment_all([units[i] for i in places], draws[lost]):
+            for at, blob in zip(some, blobs):
+                out[places[at]] = blob
+            want = wanted[some]
+            just = np.flatnonzero(last == want & 0xFFFF)     # no skip after the missing child's
+            want, first = np.unique(want[just], return_index=True)
+            first = just[first]
+            self._child.update(zip(want.tolist(), self._add([blobs[i] for i in first.tolist()], turns[first])))
+        ends = np.cumsum([0, *(len(some) for some, _ in cut)]).tolist()
+        return [np.frombuffer(b"".join(out[a:b]), "<u4") for a, b in zip(ends, ends[1:])]
 
     def encode_all(self, texts: list[str], keys: Iterable[int]) -> list[np.ndarray]:
-        """Token ids of every text; a text's key picks the variants of its units."""
+        """Token ids of every text; a text's key and their positions give its units' draws."""
         return self._encode_group([self._cut(text, key) for text, key in zip(texts, keys)])
 
     def encode(self, text: str, key: int) -> np.ndarray:
