@@ -116,6 +116,15 @@ def test_notice_cases(spark, docs, none):
     assert finder.find("MIT License. mit-license")[1] == [(0, "mit"), (2, "mit")]
 
 
+def test_notices_before_a_better_match_are_found():
+    finder = notices.Finder(notices.Search())
+    worse, right = "licensed under the apache licence version", "licensed under the apache license version"
+    for text in (f"{worse} {right}", f"{right} {worse}", f"{worse} {worse} {right} {worse}"):
+        at = [k for k in range(len(text)) if text.startswith((worse, right), k)]
+        spans = [(f[1] - 1, f[3]) for f in finder.find(text)[2] if f[0] == "apache"]
+        assert [s for s, _ in spans] == at and [e for _, e in spans] == [int(text.startswith(worse, k)) for k in at]
+
+
 def test_dropout_codec(spark, none, docs):
     import public_tokenizers
     import sentencepiece

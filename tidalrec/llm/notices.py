@@ -123,12 +123,14 @@ class Finder:
         found = []
         for k, mine in regions.items():
             m, e, rx, label = self._notices[k]
-            for lo, hi in mine:
-                if hi - lo < m - e:
-                    continue
-                for x in rx.finditer(joined, lo, min(hi, len(joined))):
+            parts = [(lo, min(hi, len(joined))) for lo, hi in mine]
+            while parts:
+                lo, hi = parts.pop()
+                x = rx.search(joined, lo, hi) if hi - lo >= m - e else None
+                if x:  # the best of its part, which may have others on both sides
                     edits = sum(x.fuzzy_counts)
                     found.append((label, x.start(), x.end(), edits, 1 - edits / m))
+                    parts += [(lo, x.start()), (x.end(), hi)]
         return sorted(found, key=lambda f: (f[1], f[2], f[0]))
 
 
