@@ -16,10 +16,33 @@ from tidalrec.llm.rule_ledger import V1, keep
 from tidalrec.llm.tensor_minhash import NearDedup, near_duplicates
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """docs with text_digest, by which the rows of an id, or without one, are told apart."""
+    return docs.withColumn("text_digest", F.md5(F.coalesce("text", F.lit(""))))
+
+
 def _only(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The rows of docs whose id has a kept row in ``verdict`` (doc_id, kept)."""
-    ids = verdict.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
+    """The rows of docs whose own id and text are kept in ``verdict`` (doc_id, text_digest, kept)."""
+    rows = verdict.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_digest").alias("kept_digest")).distinct()
+    return _marked(docs).join(rows, F.col("doc_id").eqNullSafe(F.col("kept_id"))
+                              & (F.col("text_digest") == F.col("kept_digest")), "left_semi").select(*docs.columns)
+
+
+BROADCAST_IDS = 2_000_000  # rows of an id and a digest; beyond it the join is shuffled
+
+
+def _row_keys(marked: DataFrame, scratch: Scratch) -> DataFrame:
+    """With row_key: the id; for rows without one, and for further texts of an id, a hash from 2^62 up."""
+    shared = scratch.put(marked.where("doc_id is not null").groupBy(F.col("doc_id").alias("shared_id")).agg(
+        F.min("text_digest").alias("first_digest"), F.max("text_digest").alias("last_digest")).where(
+        "first_digest != last_digest").drop("last_digest"))
+    if shared.count() <= BROADCAST_IDS:
+        shared = F.broadcast(shared)
+    top = F.lit(1 << 62).cast("long")
+    own = F.xxhash64("doc_id", "text_digest").bitwiseAND(F.lit((1 << 62) - 1).cast("long")).bitwiseOR(top)
+    is_own = F.col("doc_id").isNull() | (F.col("text_digest") != F.coalesce("first_digest", "text_digest"))
+    return marked.join(shared, F.col("doc_id") == F.col("shared_id"), "left").withColumn(
+        "row_key", F.when(is_own, own).otherwise(F.col("doc_id").cast("long")))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,12 +52,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling towards the labelled good ones."""
-    return _only(docs, resample(docs, load(spark, sf_dir, "labels")))
+    return _only(docs, resample(_marked(docs), load(spark, sf_dir, "labels"), carry=("text_digest",)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (5-word shingles, similarity 0.8); one of repeated rows."""
-    return _only(docs, near_duplicates(docs, NearDedup())).dropDuplicates(["doc_id", "text"])
+    keyed = _row_keys(_marked(docs), Scratch(spark, "row-keys"))
+    verdict = near_duplicates(keyed, NearDedup(), "row_key", carry=("doc_id", "text_digest"))
+    return _only(docs, verdict).dropDuplicates(["doc_id", "text"])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -287,3 +287,23 @@ def test_stages_on_odd_tables(spark, docs, none):
         if name != "packing":
             assert out.columns == docs.columns
     assert corpus_pipeline.near_dedup(spark, docs, sf).where("doc_id in (1, 7)").count() == 1
+
+
+def test_stages_judge_rows_that_share_an_id(spark):
+    from pyspark.sql import functions as F
+    sf = "/root/testdata/sf0.001"
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (None, a), (None, a + " more"), (2, b), (2, b + " more"), (2, c), (3, b), (None, "w x y z v " * 9),
+            (None, "w x y z v " * 9 + "u")]
+    out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf).collect()
+    assert [sum(r.text.startswith(x) for r in out) for x in ("a0", "b0", "c0", "w x")] == [1, 1, 1, 1]
+    assert (1, a) in [tuple(r) for r in out] and (2, c) in [tuple(r) for r in out]
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(
+        F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")).alias("doc_id"), "text").localCheckpoint()
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    judged = importance.resample(docs, labels, carry=("text",)).collect()
+    want = sorted(r.text for r in judged if r.kept and r.doc_id is None)
+    assert 0 < len(want) < sum(r.doc_id is None for r in judged)
+    got = corpus_pipeline.quality_classifier(spark, docs, sf).where("doc_id is null").collect()
+    assert sorted(r.text for r in got) == want

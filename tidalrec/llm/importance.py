@@ -71,8 +71,9 @@ def fit(docs: DataFrame, p: Resampling) -> tuple[np.ndarray, np.ndarray]:
     return target, raw
 
 
-def log_weights(docs: DataFrame, target: np.ndarray, raw: np.ndarray, p: Resampling) -> DataFrame:
-    """(id, target, n_grams, log_weight, score) of rows (id, t, target)."""
+def log_weights(docs: DataFrame, target: np.ndarray, raw: np.ndarray, p: Resampling,
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, target, n_grams, log_weight, score, carried columns) of rows (id, t, target, carried columns)."""
     share = target.sum() / raw.sum() if raw.sum() else 0.0
     models = docs.sparkSession.sparkContext.broadcast((target, raw))  # 16 bytes a bucket
 
@@ -96,9 +97,12 @@ def log_weights(docs: DataFrame, target: np.ndarray, raw: np.ndarray, p: Resampl
                 score.append(weight - float(np.log(-np.log(u))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(w, pa.float64()),
-                 pa.array(score, pa.float64())], names=["id", "target", "n_grams", "log_weight", "score"])
+                 pa.array(score, pa.float64()), *batch.columns[3:]],
+                names=["id", "target", "n_grams", "log_weight", "score", *carry])
 
-    return docs.mapInArrow(run, "id long, target boolean, n_grams long, log_weight double, score double")
+    types = dict(docs.dtypes)
+    return docs.mapInArrow(run, ", ".join(["id long, target boolean, n_grams long, log_weight double, score double",
+                                           *(f"`{c}` {types[c]}" for c in carry)]))
 
 
 def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 4096) -> float:
@@ -125,23 +129,24 @@ def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 4096) -> float
 BROADCAST_LABELS = 2_000_000  # rows of 9 bytes; beyond it the join is shuffled
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, t, target): target if some label says good and none says bad or toxic."""
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, t, target, carried columns): target if some label says good and none says bad or toxic."""
     lab = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         F.min((F.col("quality") == 1) & ~(F.coalesce(F.col("toxic"), F.lit(0)) == 1)).alias("good")).where("good")
     if lab.count() <= BROADCAST_LABELS:  # else the texts would be shuffled for one bit each
         lab = F.broadcast(lab)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return rows.join(lab, "id", "left").select("id", "t", F.coalesce("good", F.lit(False)).alias("target"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *carry)
+    return rows.join(lab, "id", "left").select("id", "t", F.coalesce("good", F.lit(False)).alias("target"), *carry)
 
 
 def resample(docs: DataFrame, labels: DataFrame, p: Resampling = Resampling(), id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_grams, log_weight, score, kept."""
+             text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: id, n_grams, log_weight, score, kept, carried columns."""
     scratch = Scratch(docs.sparkSession, "resampling")
-    rows = labelled(docs, labels, id_col, text_col)
+    rows = labelled(docs, labels, id_col, text_col, carry)
     target, raw = fit(rows, p)
-    scored = scratch.put(log_weights(rows, target, raw, p))
+    scored = scratch.put(log_weights(rows, target, raw, p, carry))
     usable = scored.where("n_grams > 0")
     k = p.k
     if k is None:
@@ -154,7 +159,7 @@ def resample(docs: DataFrame, labels: DataFrame, p: Resampling = Resampling(), i
             k = usable.count()
     cut = kth_largest(usable, "score", k)
     return scored.select(F.col("id").alias(id_col), "n_grams", "log_weight", "score",
-                         ((F.col("n_grams") > 0) & (F.col("score") >= F.lit(cut)) & F.lit(k > 0)).alias("kept"))
+                         ((F.col("n_grams") > 0) & (F.col("score") >= F.lit(cut)) & F.lit(k > 0)).alias("kept"), *carry)
 
 
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

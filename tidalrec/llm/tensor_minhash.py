@@ -62,8 +62,8 @@ def _minhash(shingles: np.ndarray, salts: np.ndarray, odd: np.ndarray) -> np.nda
     return out
 
 
-def sketches(docs: DataFrame, p: NearDedup, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, d1, d2, halves): set size, 128-bit digest of the set, 2 * groups group hashes."""
+def sketches(docs: DataFrame, p: NearDedup, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n, d1, d2, halves, carried columns): set size, 128-bit digest of the set, 2 * groups group hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(p.seed)
         k = 2 * p.groups * p.per_group
@@ -87,10 +87,12 @@ def sketches(docs: DataFrame, p: NearDedup, id_col: str, text_col: str) -> DataF
                     halves.append(np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.array(halves, pa.list_(pa.int64()))], names=["id", "n", "d1", "d2", "halves"])
+                 pa.array(halves, pa.list_(pa.int64())), *batch.columns[2:]],
+                names=["id", "n", "d1", "d2", "halves", *carry])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        run, "id long, n long, d1 long, d2 long, halves array<long>")
+    types = dict(docs.dtypes)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *carry).mapInArrow(
+        run, ", ".join(["id long, n long, d1 long, d2 long, halves array<long>", *(f"`{c}` {types[c]}" for c in carry)]))
 
 
 def _sets(docs: DataFrame, p: NearDedup) -> DataFrame:
@@ -134,10 +136,10 @@ def _prefix_pairs(sets: DataFrame, ids: DataFrame, p: NearDedup) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (least id reachable), kept."""
+                    text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id (least id reachable), carried columns, kept."""
     scratch = Scratch(docs.sparkSession, "near-dedup")
-    marks = scratch.put(sketches(docs, p, id_col, text_col))
+    marks = scratch.put(sketches(docs, p, id_col, text_col, carry))
     classes = scratch.put(marks.where("n > 0").groupBy("d1", "d2").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("halves").alias("halves")))
 
@@ -171,7 +173,7 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
         "d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = marks.join(classed, ["d1", "d2"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"))
+        F.coalesce("component", "id").alias("component_id"), *carry)
     return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col(id_col)))
 
 
