@@ -22,3 +22,46 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM told GROUP BY doc_id
 """
+
+#: crc32 of an ASCII string, bit by bit: {text} is the string's expression.
+CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    string_split({text}, ''), c -> list_transform(range(8), b -> CAST((ascii(c) >> b) & 1 AS BIGINT))))),
+  (acc, bit) -> xor(acc >> 1, CASE WHEN (xor(acc, bit) & 1) = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+
+SQL["op12_prefix_trie"] = rf"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, {CRC32.format(text="CAST(conv_id AS VARCHAR)")} % 4 AS h, conv_id - conv_id % 20 AS base
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+), seqs AS (
+  SELECT c.conv_id, coalesce(list(md5(length(role) || ':' || role || text) ORDER BY part, pos) FILTER (WHERE role IS NOT NULL), []) AS s,
+         coalesce(list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY part, pos) FILTER (WHERE role IS NOT NULL), []) AS w
+  FROM convs c LEFT JOIN rebuilt r ON c.conv_id = r.conv_id GROUP BY c.conv_id
+), paths AS (
+  SELECT conv_id, s, w, unnest(range(len(s) + 1)) AS depth FROM seqs
+), nodes AS (
+  SELECT s[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(any_value(w[depth]) FILTER (WHERE depth > 0), 0) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(s) = depth), '')) AS ends_sha256
+  FROM paths GROUP BY s[1:depth], depth
+), kids AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), told AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON n.path = k.path
+), up AS (
+  SELECT path[1:d] AS path, (n_convs - 1) * words AS saved, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM told)
+), sums AS (
+  SELECT path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY path
+)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, t.ends_sha256
+FROM told t JOIN sums s ON t.path = s.path LEFT JOIN told p ON t.depth > 0 AND p.path = t.path[1:t.depth - 1]
+"""
