@@ -25,8 +25,8 @@ FROM told GROUP BY doc_id
 
 #: crc32 of an ASCII string, bit by bit: {text} is the string's expression.
 CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
-    string_split({text}, ''), c -> list_transform(range(8), b -> CAST((ascii(c) >> b) & 1 AS BIGINT))))),
-  (acc, bit) -> xor(acc >> 1, CASE WHEN (xor(acc, bit) & 1) = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+    string_split({text}, ''), lambda c: list_transform(range(8), lambda b: CAST((ascii(c) >> b) & 1 AS BIGINT))))),
+  lambda acc, bit: xor(acc >> 1, CASE WHEN (xor(acc, bit) & 1) = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
 
 SQL["op12_prefix_trie"] = rf"""
 WITH turns AS (

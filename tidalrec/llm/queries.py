@@ -15,6 +15,7 @@ from tidalrec.llm.prefix_trie import op12_prefix_trie
 from tidalrec.llm.reply_trees import op3_reply_trees
 from tidalrec.llm.rule_ledger import op4_rule_ledger
 from tidalrec.llm.tensor_minhash import op5_tensor_minhash
+from tidalrec.llm.turn_repair import op11_turn_repair
 from tidalrec.llm.wrappers import op1_wrappers
 
 
@@ -26,5 +27,5 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     pipeline, op1_wrappers, op2_lattice_links, op3_reply_trees, op4_rule_ledger, op5_tensor_minhash, op6_fuzzy_notices, op7_bestfit_packing,
     op8_importance_resampling, op9_merge_dropout, op10_byte_cnn,
-    op12_prefix_trie, op13_line_dedup)}
+    op11_turn_repair, op12_prefix_trie, op13_line_dedup)}
 SQL: dict[str, str] = ORACLE
