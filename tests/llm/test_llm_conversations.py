@@ -1,0 +1,291 @@
+"""Turn repair, prefix trie and line dedup against brute force, on tables and on odd rows."""
+
+import collections
+import functools
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+import __spark_entry__ as E
+from tidalrec.llm import line_dedup, prefix_trie, turn_repair
+from tidalrec.llm.common import Scratch
+
+SF = "/root/testdata/sf0.001"
+SPACE = " \t\n\x0b\x0c\r"
+TURNS = "conv_id long, turn long, role string, text string, gap string, block int, codes string, key int"
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=lambda r: tuple((x is None, "" if x is None else str(x)) for x in r))
+
+
+@pytest.fixture
+def partitions(spark):
+    """Sets the number of shuffle partitions, and puts the old one back."""
+    name = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(name)
+    yield lambda n: spark.conf.set(name, n)
+    spark.conf.set(name, old)
+
+
+def turns(spark, rows):
+    return spark.createDataFrame([(*r, "g", 1, "c", 2) for r in rows], TURNS)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# ---- turn repair ----
+
+
+def cheapest(rows):
+    """(cost, audit) of (initial, must be deleted, truncated) rows, by recursion over whole strings."""
+    due, to = {0: "u", 1: "u", 2: "a", 3: "u"}, {"u": 2, "a": 3}
+
+    @functools.lru_cache(None)
+    def best(i, state, inserted):
+        found = []
+        if i == len(rows):
+            if state in (0, 3):
+                found.append((0, ""))
+        else:
+            initial, delete, truncated = rows[i]
+            options = [("D", state, 2)]
+            if not delete:
+                options.append(("R", to[due[state]], 1 + 5 * truncated))
+                if initial == "s" and state == 0:
+                    options.append(("K", 1, 5 * truncated))
+                if initial == due[state]:
+                    options.append(("K", to[initial], 5 * truncated))
+            for letter, after, price in options:
+                cost, rest = best(i + 1, after, 0)
+                found.append((cost + price, letter + rest))
+        if inserted < 3:
+            cost, rest = best(i, to[due[state]], inserted + 1)
+            found.append((cost + 5, "I" + rest))
+        return min(found) if found else (10 ** 9, "")
+
+    return best(0, 0, 0)
+
+
+def repaired(rows):
+    by = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        fault = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        mine = by[conv]
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        role = "user" if fault == 4 else role
+        mine += [((turn is not None, turn or 0), role, hashlib.md5(text.encode()).hexdigest(), text)] * (1 + (fault == 3))
+    out = []
+    for conv, v in by.items():
+        v.sort()
+        seen, told, n = set(), [], collections.Counter()
+        for _, role, _, text in v:
+            core = text.strip(SPACE)
+            blank = not core
+            dup = not blank and (role, text) in seen
+            cut = not blank and not dup and core[-1] not in ".!?"
+            seen.add((role, text))
+            n.update(blank=blank, dup=dup, cut=cut)
+            told.append((role[:1], blank or dup, cut))
+        illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(told, told[1:]))
+        times = {t[1] for t, *_ in v if t[0]}
+        cost, audit = cheapest(tuple(told))
+        left, i, last = [], 0, ""
+        for edit in audit:
+            due = "assistant" if last == "u" else "user"
+            role = v[i][1] if edit == "K" else due
+            if edit != "D":
+                left.append(f"{role}:{'' if edit == 'I' else v[i][3]}")
+                last = role[0]
+            i += edit != "I"
+        out.append((conv, max(times) - min(times) + 1 - len(times) if times else 0, n["blank"], n["dup"], n["cut"],
+                    illegal, cost, audit, sha("\n".join(left))))
+    return out
+
+
+def odd_conversations():
+    rnd = random.Random(3)
+    rows = [(c, rnd.choice([t, t, t, t + 3, None]), rnd.choice(["user", "user", "assistant", "system", "tool", None, ""]),
+             rnd.choice(["a.", "a. b", "c!", " ", None, f"d? {t}", "\x0b."]))
+            for c in (None, *range(120)) for t in range(rnd.choice([1, 1, 2, 3, 5, 9, 14]))]
+    return rows + rows[:40]
+
+
+def test_turn_repair_on_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    assert ordered(E.queries()["op11_turn_repair"](spark, SF).collect()) == ordered(repaired(rows))
+
+
+@pytest.mark.parametrize("block, n", [(turn_repair.BLOCK, 3), (1, 5), (3, 2)])
+def test_turn_repair_of_odd_rows(spark, partitions, block, n):
+    """Nulls, ties, repeated rows, other roles; conversations of one block and of many give the same."""
+    partitions(n)
+    rows = odd_conversations()
+    got = turn_repair.repair(turn_repair.damaged(turns(spark, rows)), block).collect()
+    assert ordered(got) == ordered(repaired(rows))
+
+
+def test_turn_repair_across_arrow_batches(spark, partitions):
+    """A long conversation whose state passes from batch to batch and from block to block."""
+    partitions(2)
+    rows = [(7, t, "user" if t % 3 else "assistant", f"turn {t}" + "." * (t % 5 > 0)) for t in range(400)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+    try:
+        got = turn_repair.repair(turn_repair.damaged(turns(spark, rows)), 32).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert ordered(got) == ordered(repaired(rows))
+
+
+def test_turn_repair_of_an_empty_table(spark):
+    assert turn_repair.repair(turn_repair.damaged(turns(spark, []))).count() == 0
+
+
+def test_repaired_turns_alternate(spark):
+    rows = turn_repair.damaged(turns(spark, odd_conversations()))
+    _, edits = turn_repair.plan_edits(rows)
+    by = collections.defaultdict(list)
+    for r in turn_repair.repaired_turns(rows, edits).collect():
+        by[r.gap, r.conv_id].append((r.pos, r.role[:1]))
+    assert by
+    for v in by.values():
+        assert [p for p, _ in sorted(v)] == list(range(len(v)))
+        assert re.fullmatch(r"(s?(ua)+)?", "".join(i for _, i in sorted(v)))
+
+
+# ---- prefix trie ----
+
+
+def nodes_of(rows):
+    by = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            code = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            by[conv].append(((turn is not None, turn or 0), role, code, text))
+    seqs = {}
+    for conv in by:
+        h = zlib.crc32(str(conv).encode()) % 4
+        base = conv - abs(conv) % 20 * (1 if conv >= 0 else -1)
+        seqs[conv] = [(r, x) for _, r, _, x in sorted(by.get(base, []))[:h] + sorted(by[conv])[h:]]
+    members = collections.defaultdict(list)
+    for conv, s in seqs.items():
+        for d in range(len(s) + 1):
+            members[tuple(s[:d])].append(conv)
+    kids, leaves, saved = (collections.Counter() for _ in range(3))
+    kids.update(path[:-1] for path in members if path)
+    for path, m in members.items():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", path[-1][1])) if path else 0
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not kids[path]
+            saved[path[:d]] += (len(m) - 1) * words
+    return [(min(m), len(path), min(members[path[:-1]]) if path else None, len(m), kids[path], leaves[path], saved[path],
+             sha(",".join(map(str, sorted(c for c in m if len(seqs[c]) == len(path))))))
+            for path, m in members.items()]
+
+
+def trie_of(spark, rows, limits):
+    scratch = Scratch(spark, "test-trie")
+    placed = scratch.put(prefix_trie.place_turns(prefix_trie.turn_rows(turns(spark, rows)), scratch))
+    return prefix_trie.trie(prefix_trie.rebuild(placed), limits, scratch)
+
+
+def test_prefix_trie_on_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    assert ordered(E.queries()["op12_prefix_trie"](spark, SF).collect()) == ordered(nodes_of(rows))
+
+
+@pytest.mark.parametrize("limits, n", [(prefix_trie.TrieLimits(), 3), (prefix_trie.TrieLimits(4, 3, 10), 5),
+                                       (prefix_trie.TrieLimits(1, 2, 100), 2)])
+def test_prefix_trie_of_odd_rows(spark, partitions, limits, n):
+    """Nulls, ties, repeated rows, absent bases, one beginning of many; shards and chunks of any size give the same."""
+    partitions(n)
+    rnd = random.Random(5)
+    rows = [(c, rnd.choice([t, t, t, t, None]), rnd.choice(["user", "user", "assistant", None]),
+             rnd.choice(["a b", "a b", "c", None]))
+            for c in [-45, -40, -3, *range(7), *range(20, 27), 41, 42, 43, *range(101, 108)]
+            for t in range(rnd.choice([1, 2, 3, 5, 9, 30]))]
+    rows += [(None, 1, "user", "x"), (5, 0, "user", "a b"), (5, 0, "user", "a b")]
+    rows += [(c, 0, "user", "a b") for c in range(200, 260)] + [(c, 1, "user", "a b") for c in range(200, 240)]
+    assert ordered(trie_of(spark, rows, limits).collect()) == ordered(nodes_of(rows))
+
+
+def test_prefix_trie_of_an_empty_table(spark):
+    assert trie_of(spark, [], prefix_trie.TrieLimits()).count() == 0
+
+
+def test_median_first_is_balanced():
+    tree = prefix_trie.SearchTree()
+    for i in prefix_trie.median_first(1000):
+        tree.insert([i])
+    depth = {0: 0}
+    for at in tree.preorder()[1:]:
+        depth[at] = max((depth[p] + 1 for p in depth if at in (tree.less[p], tree.more[p]) or (p == 0 and at == tree.next[0])))
+    assert len(depth) == 1001 and max(depth.values()) <= 10
+
+
+# ---- line dedup ----
+
+
+def kept_lines(rows):
+    holders = collections.defaultdict(set)
+    key = lambda x: re.sub("[A-Z]", lambda m: m.group(0).lower(), x.strip(SPACE))
+    rank = lambda i: (i is None, i or 0)
+    for i, text in rows:
+        for x in (text or "").split("\n"):
+            holders[key(x)].add(rank(i))
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < 10 or min(holders[key(x)]) == rank(i)]
+        out.append((i, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    return out
+
+
+LINES = [(1, "Hello wOrld one\nshort\nx"), (2, " hello world one \nHello World one\ny"), (None, "hello world one\nzz"),
+         (None, "other line is here"), (5, None), (6, ""), (7, "other line is here"), (2, "other line is here"),
+         (2, " hello world one \nHello World one\ny"), (8, "é" * 9), (9, "é" * 10), (10, "É" * 10), (11, "é" * 10 + "\r"),
+         (12, "word of " * 50_000 + "\n" + "hello world one\n" * 300)]
+
+
+def test_line_dedup_on_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = E.queries()["op13_line_dedup"](spark, SF).collect()
+    assert ordered(got) == ordered(kept_lines(rows)) and any(r.n_dropped for r in got)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 40])
+def test_line_dedup_of_odd_rows(spark, partitions, n):
+    """Nulls, empty and long texts, ties and repeated rows, clashing columns; a line may fill several partitions."""
+    partitions(n)
+    rows = LINES * 3
+    docs = spark.createDataFrame([(*r, "row", 1, "k") for r in rows], "doc_id long, text string, row string, gap int, keep string")
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert ordered((r.doc_id, sha(r.text)) for r in got) == ordered((r[0], r[3]) for r in kept_lines(rows))
+    assert {(r.row, r.gap, r.keep) for r in got} == {("row", 1, "k")}
+
+
+def test_keep_bitmaps(spark):
+    docs = spark.createDataFrame(LINES, "doc_id long, text string")
+    maps = line_dedup.keep_bitmaps(docs).collect()
+    by = {r.doc: r for r in maps if not r.gap}
+    bits = line_dedup.unpack_bits(by[12].keep, 302)
+    assert by[12].n_dropped == 300 and bits[0] and not bits[1:301].any() and bits[301]
+    assert len(by[12].keep) < 40 and 1 not in by
+
+
+def test_line_dedup_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert line_dedup.keep_bitmaps(docs).count() == 0 and line_dedup.dedup_lines(docs).count() == 0
