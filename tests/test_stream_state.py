@@ -1,0 +1,104 @@
+"""Streaming folds with bounded state and a result table bounded by its keys."""
+
+import datetime as dt
+import random
+import time
+
+import pytest
+
+from tidalrec.operators import latest as LT
+from tidalrec.streaming import incremental as INC
+from tidalrec.streaming import keyed_state as KS
+from tidalrec.streaming.result_table import ResultTable
+
+SCHEMA = "user_id long, event_id long, ts timestamp, event_type string"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def put_file(spark, path, name, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{path}/{name}")
+
+
+def stream(spark, path):
+    like = spark.createDataFrame([], SCHEMA)
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", "1").parquet(f"{path}/*")
+
+
+def latest(spark, src, out, ttl_ms=10 ** 9, every=3):
+    return KS.latest_stream(stream(spark, src), "user_id", "ts", ["event_id"], ["event_type"], out, ttl_ms, every)
+
+
+def test_latest_equals_batch_and_stays_small(spark, tmp_path):
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(12), i, None if rnd.random() < 0.1 else T0 + dt.timedelta(minutes=rnd.randrange(200)), "ab"[i % 2])
+            for i in range(300)]
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    for n in range(7):
+        put_file(spark, src, f"f{n}", rows[n::7])
+    table = latest(spark, src, out)
+    whole = spark.createDataFrame(rows, SCHEMA)
+    want = LT.latest_per_key(whole, "user_id", "ts", ["event_id"], ["event_id", "event_type"]).collect()
+    got = table.read().collect()
+    assert {(r.user_id, r.event_id, r.event_type) for r in got} == {(r.user_id, r.event_id, r.event_type) for r in want}
+    assert table.folded() >= 5 and len(table.deltas()) < 3
+    kept = sum(spark.read.parquet(str(p)).count() for p in (tmp_path / "out").glob("*/*=*"))
+    assert kept <= 12 * (2 + 2 * 3)  # two folds and the deltas that they and the next one cover
+
+
+def test_silent_users_lose_state_but_not_their_result(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    put_file(spark, src, "f0", [(u, u, T0 + dt.timedelta(days=1), "a") for u in range(5)])
+    latest(spark, src, out, ttl_ms=1)
+    time.sleep(0.1)
+    # user 0 sends a late row after its state has gone: a candidate, which loses in the table
+    put_file(spark, src, "f1", [(0, 50, T0, "late"), (9, 51, T0, "b")])
+    table = latest(spark, src, out, ttl_ms=1)
+    deltas = spark.read.parquet(f"{out}/delta/batch=1").collect()
+    assert {r.event_id for r in deltas} == {50, 51}
+    assert {(r.user_id, r.event_id) for r in table.read().collect()} == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (9, 51)}
+    time.sleep(0.1)
+    put_file(spark, src, "f2", [(9, 52, T0 + dt.timedelta(days=2), "c")])
+    table = latest(spark, src, out, ttl_ms=1)
+    state = spark.read.format("statestore").option("stateVarName", "best").load(f"{out}/_checkpoint")
+    assert {r.key.user_id for r in state.select("key").collect()} == {9}
+    assert {(r.user_id, r.event_id) for r in table.read().collect()} == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (9, 52)}
+
+
+def test_late_row_with_state_is_not_written(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    put_file(spark, src, "f0", [(1, 1, T0 + dt.timedelta(days=1), "a")])
+    latest(spark, src, out)
+    put_file(spark, src, "f1", [(1, 2, T0, "late"), (1, 3, None, "none")])
+    latest(spark, src, out)
+    assert spark.read.schema(SCHEMA).parquet(f"{out}/delta/batch=1").count() == 0
+
+
+def test_counts_equal_batch(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    for n in range(5):
+        put_file(spark, src, f"f{n}", [(i % 3, i, T0, "x" if i % 4 else None) for i in range(n * 7 + 1)])
+    table = KS.count_stream(stream(spark, src), ["event_type", "user_id"], out, every=2)
+    got = {(r["column"], r.value): r.cnt for r in table.read().collect()}
+    whole = spark.read.parquet(f"{src}/*")
+    want = {("event_type", str(r.event_type)): r["count"] for r in whole.groupBy("event_type").count().collect()}
+    want |= {("user_id", str(r.user_id)): r["count"] for r in whole.groupBy("user_id").count().collect()}
+    assert got == want
+
+
+def test_half_written_fold_and_retried_batch(spark, tmp_path):
+    out = str(tmp_path / "t")
+    rows = lambda n: spark.createDataFrame([("c", "v", n)], '"column" string, value string, cnt long'.replace('"', "`"))
+    table = ResultTable(spark, out, KS.fold_counts, every=3)
+    with pytest.raises(ValueError):
+        table.read()
+    for n in range(2):
+        table.add(rows(1), n)
+    table.add(rows(1), 1)  # a retry replaces its own delta
+    assert table.read().collect()[0].cnt == 2
+    (tmp_path / "t/folded/through=1").mkdir(parents=True)
+    (tmp_path / "t/folded/through=1/part-0.parquet").write_bytes(b"half")
+    assert table.folded() == -1 and table.read().collect()[0].cnt == 2
+    table.add(rows(5), 2)
+    assert table.folded() == 2 and table.deltas() == []
+    table.add(rows(5), 2)  # a retry after the fold counts once
+    assert table.read().collect()[0].cnt == 7

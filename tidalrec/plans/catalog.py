@@ -778,6 +778,7 @@ QUERIES.update({
 # ---- step 10: streaming ------------------------------------------------------------
 
 from tidalrec.streaming import incremental as INC  # noqa: E402
+from tidalrec.streaming import keyed_state as KST  # noqa: E402
 
 
 def _events_path(sf):
@@ -798,6 +799,19 @@ def stream_latest(spark, sf):
     return INC.state_latest_per_key(spark, out, ["user_id"]).select("user_id", "event_id", "event_type", "latest_date")
 
 
+def stream_counts_folded(spark, sf):
+    """Running value counts without streaming state: deltas folded into a table of one row per value."""
+    s = INC.read_stream(spark, _events_path(sf))
+    return KST.count_stream(s, ["event_type", "user_id"], INC.scratch_path(spark, "folded-counts")).read()
+
+
+def stream_latest_state_ttl(spark, sf):
+    """Running latest event per user: RocksDB state that silent users lose, result table of one row per user."""
+    s = INC.read_stream(spark, _events_path(sf))
+    table = KST.latest_stream(s, "user_id", "ts", ["event_id"], ["event_type"], INC.scratch_path(spark, "latest-state"))
+    return table.read().select("user_id", "event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("latest_date"))
+
+
 def stream_encode(spark, sf):
     e = TB.load(spark, sf, "events")
     mins = {"event_type": 5, "user_id": 70}
@@ -811,6 +825,8 @@ def stream_encode(spark, sf):
 
 QUERIES.update({
     "stream_value_counts": stream_value_counts,
+    "stream_counts_folded": stream_counts_folded,
+    "stream_latest_state_ttl": stream_latest_state_ttl,
     "stream_latest": stream_latest,
     "stream_encode": stream_encode,
 })

@@ -637,6 +637,8 @@ SQL.update({
         f"SELECT event_id, {tok('ev', 'event_type', 'event_type', 'event_type_token')}, "
         f"{tok('ev', 'user_id', 'user_id', 'user_id_token')} FROM events",
 })
+SQL["stream_counts_folded"] = SQL["stream_value_counts"]
+SQL["stream_latest_state_ttl"] = SQL["stream_latest"]
 
 
 # ---- artifacts ------------------------------------------------------------------
