@@ -399,6 +399,7 @@ QUERIES.update({
 # ---- step 5: vector operators on embeddings ----------------------------------------
 
 from tidalrec.functions import vectors as VEC  # noqa: E402
+from tidalrec.operators import pq_index as PQ  # noqa: E402
 from tidalrec.operators import vector_search as VS  # noqa: E402
 
 VK = 10
@@ -475,6 +476,22 @@ def ann_topk_all_cells(spark, sf):
     return _ann_out(VS.probe_topk(q, index, cents, VK, n_cells))
 
 
+def _label_queries(spark, sf):
+    return _label_centroids(spark, sf).select("qid", VEC.l2_normalize("vec").alias("vec"))
+
+
+def ann_pq_topk(spark, sf):
+    """Label centres against two-level cells of product-quantised codes, the best by code scored exactly."""
+    index = PQ.build(_emb(spark, sf), "vec_id", "embedding")
+    return _ann_out(PQ.search(index, _label_queries(spark, sf), VK))
+
+
+def ann_pq_all(spark, sf):
+    """As ``ann_pq_topk`` over all cells and with every row scored exactly: equal to exact search."""
+    index = PQ.build(_emb(spark, sf), "vec_id", "embedding")
+    return _ann_out(PQ.search(index, _label_queries(spark, sf), VK, nprobe=index.n_cells, rescore=max(1, index.n_items)))
+
+
 LABEL_PROBES = 2
 
 
@@ -497,6 +514,8 @@ QUERIES.update({
     "ann_topk": ann_topk,
     "ann_topk_all_cells": ann_topk_all_cells,
     "ann_topk_label_cells": ann_topk_label_cells,
+    "ann_pq_topk": ann_pq_topk,
+    "ann_pq_all": ann_pq_all,
 })
 
 

@@ -721,3 +721,5 @@ SQL.update({
           CASE WHEN ty.year IS NULL THEN 'year_unknown' ELSE 'year_' || CAST((ty.year // 10) * 10 AS VARCHAR) || 's' END AS year_bucket
         FROM ty JOIN g ON g.p_partkey = ty.p_partkey JOIN gc ON gc.genres = g.genres""",
 })
+
+SQL["ann_pq_all"] = SQL["ann_topk_all_cells"]
