@@ -21,9 +21,10 @@ def test_no_cartesian_or_nested_loop(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_weighted_sample_is_equi_join_with_range_condition(spark):
+def test_weighted_sample_meets_no_foreign_interval(spark):
+    """Draws and intervals are merged in order: no join has a range condition on them."""
     plan = _plan(C.weighted_sample(spark, SF))
-    assert "BroadcastHashJoin" in plan
+    assert "Window" in plan and not any("Join" in line and "_x" in line for line in plan.split("\n"))
 
 
 def test_split_pushes_filter_and_prunes_columns(spark):

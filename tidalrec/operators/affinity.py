@@ -79,14 +79,32 @@ def cumulative_weights(weights: DataFrame, key: str, choice: str, weight: str) -
             .withColumn("total", F.sum(weight).over(Window.partitionBy(key))))
 
 
+SHARD_DRAWS = 1_000_000  # draws of a key that one task walks through, about
+
+
 def weighted_sample(draws: DataFrame, draw_key: str, key: str, cum: DataFrame, choice: str,
-                    seed: int) -> DataFrame:
-    """One choice per draw with probability weight / total of its key: md5
-    uniform u in [0,1) and the interval lo <= u * total < hi (equi-join on
-    key, range condition inside the key; the interval table is per key x
-    choice and broadcast)."""
-    d = draws.withColumn("_u", md5_unit(F.lit(seed), F.col(draw_key)))
-    c = F.broadcast(cum.select(F.col(key).alias("_k"), choice, "lo", "hi", "total"))
-    j = d.join(c, (d[key] == c["_k"]) & (F.col("lo") <= F.col("_u") * F.col("total"))
-               & (F.col("_u") * F.col("total") < F.col("hi")), "inner")
-    return j.drop("_k", "_u", "lo", "hi", "total")
+                    seed: int, shard_draws: int = SHARD_DRAWS) -> DataFrame:
+    """One choice per draw with probability weight / total of its key: an md5
+    uniform u in [0,1) picks the interval lo <= u * total < hi.
+
+    Interval starts and draws of a key are merged in order: a draw takes the last
+    start at or before it.  So no draw meets an interval that isn't its own, nothing
+    is broadcast by assumption, and a window of running frames streams.  A key with
+    many draws is split into shards of about ``shard_draws``, each with the key's
+    intervals.  Draws of a key without weights are left out, as is a null key.
+    """
+    starts = cum.where(F.col("hi") > F.col("lo")).select(
+        F.col(key).alias("_k"), F.struct(F.col(choice).alias("c")).alias("_c"), F.col("lo").cast("double").alias("_x"),
+        F.col("total").alias("_total"))
+    shards = draws.groupBy(F.col(key).alias("_k")).agg(
+        F.ceil(F.count(F.lit(1)) / shard_draws).cast("int").alias("_shards"))
+    keys = starts.groupBy("_k").agg(F.max("_total").alias("_total")).join(shards, "_k")
+    mine = draws.select(F.struct(*draws.columns).alias("_row"), F.col(key).alias("_k"),
+                        md5_unit(F.lit(seed), F.col(draw_key)).alias("_u"), F.xxhash64(draw_key).alias("_h")).join(keys, "_k")
+    mine = mine.select("_k", F.pmod("_h", F.col("_shards")).cast("int").alias("_shard"),
+                       (F.col("_u") * F.col("_total")).alias("_x"), F.lit(1).alias("_kind"), "_row")
+    each = starts.drop("_total").join(keys.select("_k", "_shards"), "_k").select(
+        "_k", F.explode(F.sequence(F.lit(0), F.col("_shards") - 1)).alias("_shard"), "_x", F.lit(0).alias("_kind"), "_c")
+    order = Window.partitionBy("_k", "_shard").orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    merged = each.unionByName(mine, allowMissingColumns=True).withColumn("_c", F.last("_c", ignorenulls=True).over(order))
+    return merged.where("_kind = 1").select("_row.*", F.col("_c.c").alias(choice))

@@ -67,6 +67,21 @@ def user_item_sets(spark, sf):
                     F.array_join("items", ",").alias("items"))
 
 
+def user_item_bitmaps(spark, sf):
+    """Train item sets as bitmaps: items and the least and greatest of each user's buckets."""
+    b = K.user_item_bitmaps(_pairs(spark, sf, "train"))
+    counts = b.select("user_id", "bucket", F.bitmap_count("bitmap").alias("n_items"))
+    ends = K.bitmap_items(b).groupBy("user_id", (F.floor(F.col("item_id") / 32768) + 1).alias("bucket")).agg(
+        F.min("item_id").alias("first_item"), F.max("item_id").alias("last_item"))
+    return counts.join(ends, ["user_id", "bucket"])
+
+
+def known_pairs_merged(spark, sf):
+    """Train and val pairs: two bitmap histories merged, then unpacked."""
+    both = K.merge_bitmaps(*(K.user_item_bitmaps(_pairs(spark, sf, side)) for side in ("train", "val")))
+    return K.bitmap_items(both)
+
+
 def _popularity_topk(spark, sf, k):
     train, _ = split_parts(spark, sf)
     return K.popularity_topk_unseen(train, TB.users(spark, sf), TB.items(spark, sf), spec(), k)
@@ -96,6 +111,8 @@ QUERIES = {
     "time_split_rows": time_split_rows,
     "known_pairs": known_pairs,
     "user_item_sets": user_item_sets,
+    "user_item_bitmaps": user_item_bitmaps,
+    "known_pairs_merged": known_pairs_merged,
     "popularity_topk_unseen": popularity_topk_unseen,
     "ranking_metrics_per_user": ranking_metrics_per_user,
     "ranking_metrics_macro": ranking_metrics_macro,

@@ -723,3 +723,6 @@ SQL.update({
 })
 
 SQL["ann_pq_all"] = SQL["ann_topk_all_cells"]
+SQL["user_item_bitmaps"] = W() + """SELECT user_id, item_id // 32768 + 1 AS bucket, count(*)::BIGINT AS n_items,
+    min(item_id) AS first_item, max(item_id) AS last_item FROM seen GROUP BY 1, 2"""
+SQL["known_pairs_merged"] = W() + "SELECT user_id, item_id FROM rel UNION SELECT user_id, item_id FROM seen"
