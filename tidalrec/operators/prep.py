@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidalrec.operators.skew import lookup_join
+
 # ---- fixed values (must equal the reference's labels) -------------------------------
 # age bucket edges, left-closed: [0,18) [18,25) [25,35) [35,45) [45,55) [55,65) [65,200)
 AGE_EDGES = [0, 18, 25, 35, 45, 55, 65, 200]
@@ -68,10 +70,10 @@ def surrogate_id(prefix: str, idx, n: int) -> Column:
 
 def fold_rare(df: DataFrame, col: str, out: str, min_count_exclusive: int = 10) -> DataFrame:
     """Keep a value when its count in the table is > threshold, else 'other'.
-    Counts are one aggregate joined back on the value (no wide window)."""
+    Counts are one aggregate joined back on the value (no wide window), by their bytes and the values' shares."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     keep = counts.filter(F.col("_n") > min_count_exclusive).select(col, F.lit(True).alias("_keep"))
-    return (df.join(keep, col, "left")
+    return (lookup_join(df, keep, col)
             .withColumn(out, F.when(F.col("_keep"), F.col(col)).otherwise(F.lit(RARE_LABEL)))
             .drop("_keep"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidalrec.functions.columns import as_key
 from tidalrec.operators.numbering import number_rows
+from tidalrec.operators.skew import lookup_join
 from tidalrec.operators.vocab import Encoders, encode_table
 
 
@@ -59,14 +60,13 @@ class EntityStore:
 
     def lookup(self, ids: DataFrame, id_col: str, prefix: str = "", broadcast: bool = False) -> DataFrame:
         """Left equi-join by raw id; unknown ids get position 0 and a zero row.
-        ``broadcast`` only for a store whose row count was checked small."""
+        The way of the join follows from the store's bytes; ``broadcast`` skips measuring them."""
         keyed = ids.withColumn("_k", as_key(id_col))
         pos = prefix + "position" if prefix else "position"
         t = self.table.select(F.col("id_key").alias("_k"), F.col("position").alias(pos),
                               *[F.col(c).alias(prefix + c) for c in self.feature_cols])
-        if broadcast:
-            t = F.broadcast(t)
-        out = keyed.join(t, "_k", "left").drop("_k")
+        joined = keyed.join(F.broadcast(t), "_k", "left") if broadcast else lookup_join(keyed, t, "_k")
+        out = joined.drop("_k")
         fills = {pos: 0}
         for c in self.cat_cols:
             fills[prefix + c] = 0

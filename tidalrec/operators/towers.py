@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidalrec.functions import netmath as NM
 from tidalrec.functions.columns import md5_unit
+from tidalrec.operators import skew as SK
 
 # embedding tables above this many bytes are joined with a shuffle
 BROADCAST_TABLE_BYTES = 256 * 1024 * 1024
@@ -100,9 +101,12 @@ def attach_embeddings(encoded: DataFrame, tables: DataFrame, features: list[str]
     for f in features:
         t = tables.filter(F.col("feature") == prefix + f).select(
             F.col("token_index").alias(f"__tok_{f}"), F.col("vec").alias(f"{f}__vec"))
-        if cardinalities.get(f, 0) * dim * 8 <= BROADCAST_TABLE_BYTES:
-            t = F.broadcast(t)
-        out = out.withColumn(f"__tok_{f}", F.col(f).cast("bigint")).join(t, f"__tok_{f}", "left").drop(f"__tok_{f}")
+        keyed = out.withColumn(f"__tok_{f}", F.col(f).cast("bigint"))
+        if cardinalities.get(f, 0) * dim * 8 <= min(BROADCAST_TABLE_BYTES, SK.BROADCAST_BYTES):
+            joined = keyed.join(F.broadcast(t), f"__tok_{f}", "left")
+        else:
+            joined = SK.shuffled_left_join(keyed, t, [f"__tok_{f}"])
+        out = joined.drop(f"__tok_{f}")
     return out
 
 
@@ -187,7 +191,7 @@ def pool_vectors(encoded: DataFrame, key: str, tables: DataFrame, features: list
     pairs = F.array(*[F.struct(F.lit(prefix + f).alias("feature"), F.col(f).cast("bigint").alias("token_index"))
                       for f in features])
     long = encoded.select(key, F.explode(pairs).alias("t")).select(key, "t.feature", "t.token_index")
-    emb = long.join(tables, ["feature", "token_index"], "left").join(F.broadcast(smv), "feature")
+    emb = SK.lookup_join(long, tables, ["feature", "token_index"]).join(F.broadcast(smv), "feature")
     weighted = emb.select(key, F.zip_with("vec", "_w", lambda e, w: e * w).alias("_x"))
     zero = F.array_repeat(F.lit(0.0), dim)
     return weighted.groupBy(key).agg(F.collect_list("_x").alias("_xs")).select(

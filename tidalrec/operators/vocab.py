@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tidalrec.functions.columns import as_key, lenient_double
 from tidalrec.operators.numbering import number_rows
+from tidalrec.operators.skew import left_join_skew_safe, lookup_join
 
 # Dictionaries up to this many values per column are broadcast when encoding;
 # larger ones (id columns) go through a shuffle join.
@@ -93,14 +94,11 @@ def encode_column(df: DataFrame, vocab: DataFrame, source_col: str, vocab_col: s
     out = out or source_col
     d = (vocab.filter(F.col("column") == vocab_col)
          .select(F.col("value").alias("_v"), F.col("token_index").alias("_tok")))
-    if broadcast is None:
-        broadcast = d.count() <= BROADCAST_VALUES
     keyed = df.withColumn("_v", as_key(source_col))
-    if broadcast:
-        joined = keyed.join(F.broadcast(d), "_v", "left")
+    if broadcast is None:
+        joined = lookup_join(keyed, d, "_v")
     else:
-        from tidalrec.operators.skew import left_join_skew_safe
-        joined = left_join_skew_safe(keyed, d, "_v")
+        joined = keyed.join(F.broadcast(d), "_v", "left") if broadcast else left_join_skew_safe(keyed, d, "_v")
     return (joined.withColumn(out, F.coalesce(F.col("_tok"), F.lit(0)).cast("bigint"))
             .drop("_v", "_tok"))
 

@@ -268,6 +268,7 @@ QUERIES.update({
 
 # ---- step 3: training rows ------------------------------------------------------
 
+from tidalrec.operators import skew as SK  # noqa: E402
 from tidalrec.operators import training_rows as TR  # noqa: E402
 
 SEED = 42
@@ -305,7 +306,7 @@ def negatives_sampled(spark, sf):
     n_items = its.count()
     d = TR.sample_negative_positions(train.select("row_key"), NEG, n_items, SEED)
     ids = its.table.select(F.col("position").alias("neg_position"), F.col("id_key").alias("neg_item"))
-    return d.join(F.broadcast(ids), "neg_position", "left").select(
+    return SK.lookup_join(d, ids, "neg_position").select(
         "row_key", F.col("draw").cast("int").alias("draw"), "neg_position", "neg_item")
 
 

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidalrec.operators.skew import small_enough
 from tidalrec.operators.vocab import unpivot_values
 from tidalrec.session import checkpoint_dir
 
@@ -83,8 +84,10 @@ def stream_encode(stream: DataFrame, vocab: DataFrame, columns: dict[str, str])
     from tidalrec.functions.columns import as_key
     out = stream
     for src, vcol in columns.items():
-        d = F.broadcast(vocab.filter(F.col("column") == vcol).select(
-            F.col("value").alias(f"_v_{src}"), F.col("token_index").alias(f"_t_{src}")))
+        d = vocab.filter(F.col("column") == vcol).select(
+            F.col("value").alias(f"_v_{src}"), F.col("token_index").alias(f"_t_{src}"))
+        if small_enough(d):  # else each micro-batch shuffles, and AQE splits what is skewed
+            d = F.broadcast(d)
         out = (out.withColumn(f"_v_{src}", as_key(src)).join(d, f"_v_{src}", "left")
                .withColumn(f"{src}_token", F.coalesce(F.col(f"_t_{src}"), F.lit(0)).cast("bigint"))
                .drop(f"_v_{src}", f"_t_{src}"))
