@@ -873,6 +873,8 @@ QUERIES.update({
 
 from tidalrec.operators import warm_start as WS  # noqa: E402
 from tidalrec.sources import artifacts as AR  # noqa: E402
+from tidalrec.sources import model_store as MS  # noqa: E402
+from tidalrec.sources import versions as VN  # noqa: E402
 
 
 def encoder_round_trip(spark, sf):
@@ -893,6 +895,46 @@ def encoder_round_trip(spark, sf):
                       R("p_retailprice"))
 
 
+def _version_store(spark, name):
+    return VN.VersionedStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+
+
+def encoders_load_or_build(spark, sf):
+    """Encoders are built once, loaded when nothing changed, built anew when a minimum count or the train rows did."""
+    train, _ = split_parts(spark, sf)
+    users, items, store = TB.users(spark, sf), TB.items(spark, sf), _version_store(spark, "encoders")
+    mins = {**ENC_MIN_USER, **ENC_MIN_ITEM}
+    rows = []
+    for step, rare, part in ((1, 80, train), (2, 80, train), (3, 1, train), (4, 1, train.where("l_partkey % 2 = 0"))):
+        sp = tpch_spec(min_counts={**mins, "p_brand": rare})
+        encoders, built, why = MS.load_or_build_encoders(store, users, items, part, sp)
+        vocab = encoders[0].vocab.unionByName(encoders[1].vocab)
+        rows.append(vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"), F.count_if("is_tail").alias("n_tail"),
+                                                F.sum("cnt").alias("n_rows")).select(
+            F.lit(step).alias("step"), F.lit(built).alias("built"), F.lit(why).alias("why"), "*"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def model_reloaded_scores(spark, sf):
+    """Item tower embeddings by a model that was published as one version and is read from there alone."""
+    ctx = _model_ctx(spark, sf)
+    sp = tpch_spec(min_counts=MODEL_MIN)
+    towers = {"user": TW.init_params(U_FEATS, ["c_acctbal"], DIM, [16, DIM], SEED),
+              "item": TW.init_params(I_FEATS, ["p_retailprice"], DIM, [16, DIM], SEED + 1)}
+    encoders = [V.Encoders(ctx[k + "vocab"], ctx[k + "scal"], cats, dense) for k, cats, dense in (
+        ("u", U_FEATS, ["c_acctbal"]), ("i", I_FEATS, ["p_retailprice"]))]
+    store = _version_store(spark, "model")
+    MS.save_model(store, MS.Model(sp, *encoders, ctx["utab"].unionByName(ctx["itab"]), towers, {"dim": DIM}))
+    model = MS.load_model(VN.VersionedStore(spark, store.path))
+    raw = TB.items(spark, sf)
+    st = ST.build_store(raw, model.items, model.spec.item_id)
+    cards = {f: model.items.cardinality(f) for f in model.items.cat_cols}
+    return _tower_out(TW.tower_embed(st.table, "id_key", model.tables, model.towers["item"], cards, prefix="item."))
+
+
 def _arch_shapes(spark, sf):
     train, _ = split_parts(spark, sf)
     sp = tpch_spec(min_counts=MODEL_MIN)
@@ -915,6 +957,8 @@ def warm_start_mapping(spark, sf):
 QUERIES.update({
     "encoder_round_trip": encoder_round_trip,
     "warm_start_mapping": warm_start_mapping,
+    "encoders_load_or_build": encoders_load_or_build,
+    "model_reloaded_scores": model_reloaded_scores,
 })
 
 

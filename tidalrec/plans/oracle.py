@@ -726,3 +726,27 @@ SQL["ann_pq_all"] = SQL["ann_topk_all_cells"]
 SQL["user_item_bitmaps"] = W() + """SELECT user_id, item_id // 32768 + 1 AS bucket, count(*)::BIGINT AS n_items,
     min(item_id) AS first_item, max(item_id) AS last_item FROM seen GROUP BY 1, 2"""
 SQL["known_pairs_merged"] = W() + "SELECT user_id, item_id FROM rel UNION SELECT user_id, item_id FROM seen"
+
+
+# ---- versions ---------------------------------------------------------------------------
+
+def _versions_sql() -> str:
+    """Value counts of the four steps; a tail is what is rarer than the minimum count."""
+    mins = {"c_custkey": 40, "c_mktsegment": 5, "c_nationkey": 5, "p_partkey": 30, "p_brand": 80, "p_type": 5, "p_size": 30}
+    whys = {1: (True, "nothing stored"), 2: (False, "ok"), 3: (True, "item: min count changed for p_brand"),
+            4: (True, "input data changed")}
+    sources = lambda train: [("customer", {c: c for c in ("c_custkey", "c_mktsegment", "c_nationkey")}),
+                             ("part", {c: c for c in ("p_partkey", "p_brand", "p_type", "p_size")}),
+                             (train, {"o_custkey": "c_custkey", "l_partkey": "p_partkey"})]
+    parts = []
+    for step, (built, why) in whys.items():
+        cases = " ".join(f"WHEN '{c}' THEN {1 if c == 'p_brand' and step > 2 else m}" for c, m in mins.items())
+        parts.append(f"""SELECT {step} AS step, {built} AS built, '{why}' AS why, "column", count(*)::BIGINT AS n_values,
+            count(*) FILTER (WHERE cnt < CASE "column" {cases} END)::BIGINT AS n_tail, sum(cnt)::BIGINT AS n_rows
+            FROM {"halfc" if step == 4 else "wholec"} GROUP BY "column" """)
+    return W("halftrain AS (SELECT * FROM train WHERE l_partkey % 2 = 0)", counts_sql("wholec", sources("train")),
+             counts_sql("halfc", sources("halftrain"))) + " UNION ALL ".join(parts)
+
+
+SQL["encoders_load_or_build"] = _versions_sql()
+SQL["model_reloaded_scores"] = SQL["tower_embed"]
