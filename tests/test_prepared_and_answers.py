@@ -1,0 +1,77 @@
+"""Preparation loses no line silently; parameters are copied by rows; an answer is one row."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidalrec.operators import prep as PR
+from tidalrec.operators import recommend as RC
+from tidalrec.operators import warm_start as WS
+from tidalrec.sources import tables as TB
+
+RATINGS = ["1::10::4.5::978300760", "1::10::x::978300760", "1::10::5::bad", "1::10::5::1.5", "::10::5::978300760", "1:: ::5::978300760",
+           "1::10::5", "1::10::5::978300760::more", "1::10::NaN::978300760", "1::10::Infinity::978300760", "", "2::11::-1e3::0", "3::é::2::86400"]
+
+
+def _lines(spark, path, lines, columns):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.option("encoding", "ISO-8859-1").text(str(path))
+    return TB.read_lines(spark, str(path), columns)
+
+
+def test_every_rating_line_is_kept_or_told(spark, tmp_path):
+    raw = _lines(spark, tmp_path / "r", RATINGS, ["user_id", "item_id", "rating", "timestamp"])
+    good, bad = PR.split_ratings(raw)
+    out = {(r.user_id, r.item_id, r.rating, r.timestamp) for r in PR.prepare_ratings(good).collect()}
+    assert out == {("1", "10", 4.5, "2000-12-31"), ("2", "11", -1000.0, "1970-01-01"), ("3", "é", 2.0, "1970-01-02")}
+    why = {r.line: r.reason for r in bad.collect()}
+    assert len(why) + len(out) == len(RATINGS)
+    assert why["1::10::x::978300760"] == why["1::10::NaN::978300760"] == why["1::10::Infinity::978300760"] == "rating is not a number"
+    assert why["1::10::5::bad"] == why["1::10::5::1.5"] == "time is not a whole number"
+    assert why["::10::5::978300760"] == "no user id" and why["1:: ::5::978300760"] == "no item id"
+    assert why["1::10::5"] == why["1::10::5::978300760::more"] == why[""] == "wrong number of fields"
+
+
+def test_four_tables_and_the_rest(spark, tmp_path):
+    users = _lines(spark, tmp_path / "u", ["1::F::25::3::123", "2::M::old::3::123", "3::M::::3::9"], ["user_id", "gender", "age", "occupation", "zip"])
+    items = _lines(spark, tmp_path / "i", ["10::A (1999)::Drama", "::B::Drama"], ["item_id", "title", "genres"])
+    ratings = _lines(spark, tmp_path / "r", [f"1::10::{n / 2}::{n * 86400}" for n in range(10)] + ["1::10"],
+                     ["user_id", "item_id", "rating", "timestamp"])
+    out = PR.prepare_all(users, items, ratings)
+    assert {r.user_id: r.age for r in out.users.collect()} == {"1": 25.0, "3": None}
+    assert [r.title_raw for r in out.items.collect()] == ["A"]
+    train, val = ([r.rating for r in t.orderBy("timestamp").collect()] for t in (out.train, out.val))
+    assert sorted(train + val) == [n / 2 for n in range(10)] and max(train) < min(val) and val
+    assert {(r.source, r.reason) for r in out.rejected.collect()} == {
+        ("users", "age is not a number"), ("items", "no item id"), ("ratings", "wrong number of fields")}
+
+
+PARAM = "param string, row_index long, vec array<double>"
+
+
+def test_rows_are_copied_by_the_mapping(spark):
+    source = spark.createDataFrame([("a", 0, [1.0, 2.0]), ("a", 1, [3.0, 4.0]), ("b", 0, [9.0])], PARAM)
+    target = spark.createDataFrame([("x", 0, [0.0, 0.0]), ("x", 1, [0.0, 0.0]), ("y", 0, [7.0])], PARAM)
+    mapping = spark.createDataFrame([("a", "x", "loaded"), ("b", "y", "shape_mismatch")], "source_param string, target_param string, status string")
+    got = {(r.param, r.row_index): (r.vec, r.copied) for r in WS.copy_parameters(source, target, mapping).collect()}
+    assert got == {("x", 0): ([1.0, 2.0], True), ("x", 1): ([3.0, 4.0], True), ("y", 0): ([7.0], False)}
+    for wrong in (target.where("row_index = 0"), target.unionByName(spark.createDataFrame([("x", 2, [0.0, 0.0])], PARAM)),
+                  target.withColumn("vec", F.concat("vec", F.array(F.lit(1.0))))):
+        with pytest.raises(Exception, match="shapes differ"):
+            WS.copy_parameters(source, wrong, mapping).collect()
+
+
+def test_one_answer_per_user(spark):
+    class Dot:
+        def score(self, u, v):
+            return (u * v).sum(axis=1)
+    items = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "item_id long, vec array<double>")
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [-1.0, 0.0]), (3, [0.0, 1.0])], "user_id long, vec array<double>")
+    train = spark.createDataFrame([(1,), (2,), (2,), (9,)], "user_id long")
+    asked = spark.createDataFrame([(1, 2), (1, 3), (2, None), (3, 1), (9, 99), (1, 1)], "user_id long, k long")
+    latest = spark.createDataFrame([(1, 5, "2024-01-01"), (3, 4, "2024-01-02")], "user_id long, item long, day string")
+    got = {r.user_id: r for r in RC.answers(asked, train, users, items, Dot(), latest, k_default=4).collect()}
+    assert len(got) == 4 and [got[u].top_k for u in (1, 2, 3, 9)] == [3, 4, 1, 6]
+    assert [(x["rank"], x.item_id) for x in got[1].recommendations] == [(1, 5), (2, 4), (3, 3)]
+    assert [x.item_id for x in got[2].recommendations] == [0, 1, 2, 3]
+    assert (got[1].latest_interaction.item, got[1].latest_interaction.day) == (5, "2024-01-01") and got[2].latest_interaction is None
+    assert got[3].reason == RC.REASON_NO_TRAIN and got[9].reason == RC.REASON_NO_STORE
+    assert got[3].recommendations is None and got[1].reason is None

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidalrec.operators import split as S
 from tidalrec.operators.skew import lookup_join
 
 # ---- fixed values (must equal the reference's labels) -------------------------------
@@ -101,9 +104,69 @@ def prepare_items(raw: DataFrame) -> DataFrame:
                     decade_bucket(y).alias("year_bucket"))
 
 
+@dataclass
+class Prepared:
+    """The four tables of a prepared data set, and the lines that are in none of them."""
+    users: DataFrame
+    items: DataFrame
+    train: DataFrame
+    val: DataFrame
+    rejected: DataFrame  # source, reason, line
+
+
+def _told_apart(raw: DataFrame, line: str, source: str, checks: list[tuple[Column, str]]) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected(source, reason, line)); the first check that holds names the reason."""
+    reason = F.lit(None).cast("string")
+    for bad, text in reversed(checks):
+        reason = F.when(bad, F.lit(text)).otherwise(reason)
+    marked = raw.withColumn("reason", reason)
+    return (marked.where("reason is null").drop("reason", line),
+            marked.where("reason is not null").select(F.lit(source).alias("source"), "reason", F.col(line).alias("line")))
+
+
+def _absent(c: str) -> Column:
+    return F.coalesce(F.trim(c) == "", F.lit(True))
+
+
+def _not(kind: str, c: str) -> Column:
+    return F.expr(f"try_cast({c} AS {kind}) IS NULL")
+
+
+def split_users(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
+    """Raw users told apart; an absent age is allowed, one that isn't a number is not."""
+    return _told_apart(raw, line, "users", [
+        (~F.col("complete"), "wrong number of fields"), (_absent("user_id"), "no user id"),
+        (~_absent("age") & _not("DOUBLE", "age"), "age is not a number")])
+
+
+def split_items(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
+    return _told_apart(raw, line, "items", [
+        (~F.col("complete"), "wrong number of fields"), (_absent("item_id"), "no item id")])
+
+
+def split_ratings(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
+    """Raw ratings told apart; a rating may be any finite number, a time is whole seconds since the epoch."""
+    number = F.expr("try_cast(rating AS DOUBLE)")
+    return _told_apart(raw, line, "ratings", [
+        (~F.col("complete"), "wrong number of fields"), (_absent("user_id"), "no user id"), (_absent("item_id"), "no item id"),
+        (number.isNull() | F.isnan(number) | (F.abs(number) == float("inf")), "rating is not a number"),
+        (_not("BIGINT", "timestamp"), "time is not a whole number")])
+
+
+def prepare_all(users: DataFrame, items: DataFrame, ratings: DataFrame, val_t: float = 0.2) -> Prepared:
+    """users, items, train and val from raw text rows with ``line`` and ``complete`` (see ``read_lines``).
+
+    Every line is in exactly one of the five tables.
+    """
+    (u, bad_u), (i, bad_i), (r, bad_r) = split_users(users), split_items(items), split_ratings(ratings)
+    rows = prepare_ratings(r)
+    train, val = S.split_at(rows, "timestamp", S.split_threshold(rows, "timestamp", val_t))
+    return Prepared(prepare_users(u), prepare_items(i), train, val, bad_u.unionByName(bad_i).unionByName(bad_r))
+
+
 def prepare_ratings(raw: DataFrame) -> DataFrame:
     """raw: user_id, item_id, rating, epoch seconds."""
     return raw.select(F.col("user_id").cast("string").alias("user_id"),
                       F.col("item_id").cast("string").alias("item_id"),
-                      F.expr("try_cast(rating AS BIGINT)").alias("rating"),
+                      F.expr("try_cast(rating AS DOUBLE)").alias("rating"),
                       epoch_to_date(F.expr("try_cast(timestamp AS BIGINT)")).alias("timestamp"))

@@ -58,5 +58,24 @@ def map_parameters(source: DataFrame, target: DataFrame) -> DataFrame:
     return r.select(F.col("param").alias("source_param"), "target_param", status.alias("status"))
 
 
+def copy_parameters(source: DataFrame, target: DataFrame, mapping: DataFrame) -> DataFrame:
+    """(param, row_index, vec, copied): the target's rows, those of loaded parameters with the source's values.
+
+    source, target: (param, row_index, vec), one row per matrix row; mapping as of ``map_parameters``.  Rows are
+    joined on (parameter, row), so tables of any size are copied without passing the driver.  A loaded parameter
+    whose rows differ in number or width is an error: the mapping promised equal shapes.
+    """
+    loaded = mapping.where("status = 'loaded'").select("source_param", "target_param")
+    moved = source.join(F.broadcast(loaded), F.col("param") == F.col("source_param")).select(  # a row per parameter
+        F.col("target_param").alias("param"), "row_index", F.col("vec").alias("new"))
+    mapped = loaded.select(F.col("target_param").alias("param"), F.lit(True).alias("wanted"))
+    both = target.join(F.broadcast(mapped), "param", "left").join(moved, ["param", "row_index"], "full")
+    wrong = F.col("vec").isNull() | (F.col("wanted") & (F.col("new").isNull() | (F.size("new") != F.size("vec"))))
+    vec = F.when(wrong, F.raise_error(F.concat(F.lit("shapes differ in row "), F.col("row_index").cast("string"),
+                                               F.lit(" of "), F.col("param"))).cast("array<double>"))
+    return both.select("param", "row_index", vec.otherwise(F.coalesce("new", "vec")).alias("vec"),
+                       F.col("new").isNotNull().alias("copied"))
+
+
 def skip_counts(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("status").agg(F.count(F.lit(1)).alias("n"))

@@ -13,6 +13,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidalrec.functions.columns import md5_unit
 from tidalrec.operators import metrics as M
 from tidalrec.operators import split as S
 from tidalrec.operators import topk as K
@@ -657,6 +658,21 @@ def two_stage_recommend(spark, sf):
     return ranked.select("user_id", "rank", "item_id", R("score"), R("retrieval_distance"))
 
 
+def recommend_answers(spark, sf):
+    """One answer per requested user: resolved k, latest train interaction, ranked items, or why there are none."""
+    req, train_users, uvec, ivec = _rec_inputs(spark, sf)
+    train, _ = split_parts(spark, sf)
+    latest = LT.latest_per_key(train.withColumn("user_id", F.col("o_custkey")), "user_id", "o_orderdate",
+                               ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_partkey"])
+    out = RC.answers(req, train_users, uvec, ivec, TW.PairScorer([head_weights(4 * DIM)]), latest, REC_K_DEFAULT)
+    best = F.get("recommendations", F.lit(0))
+    return out.select(
+        "user_id", "top_k", "reason", F.col("latest_interaction.l_partkey").alias("latest_item"),
+        F.col("latest_interaction.latest_date").alias("latest_date"),
+        F.coalesce(F.array_size("recommendations"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.array_join(F.col("recommendations.item_id").cast("array<string>"), ",").alias("items"), R(best["score"], "best_score"))
+
+
 def eligibility_reasons(spark, sf):
     req, train_users, uvec, _ = _rec_inputs(spark, sf)
     return RC.eligibility(req, train_users, uvec).filter(F.col("reason").isNotNull()).select("user_id", "reason")
@@ -668,6 +684,7 @@ QUERIES.update({
     "score_all_topk": score_all_topk,
     "two_stage_recommend": two_stage_recommend,
     "eligibility_reasons": eligibility_reasons,
+    "recommend_answers": recommend_answers,
 })
 
 
@@ -743,7 +760,56 @@ def prepare_ratings(spark, sf):
     tagged = S.tag_at(ratings, "timestamp", thr, "is_train")
     TB.write_table(tagged, f"{base}/ratings_tagged", partition_by=["is_train"])
     back = TB.read_table(spark, f"{base}/ratings_tagged")
-    return back.select("user_id", "item_id", "rating", "timestamp", F.col("is_train").cast("boolean").alias("is_train"))
+    return back.select("user_id", "item_id", F.col("rating").cast("bigint").alias("rating"), "timestamp", F.col("is_train").cast("boolean").alias("is_train"))
+
+
+def _raw_texts(spark, sf):
+    """Users, items and half-point ratings of the tables as '::' text, with lines that can't be prepared among them."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+    c = TB.users(spark, sf)
+    age = F.when(F.col("c_custkey") % 41 == 0, "old").when(F.col("c_custkey") % 37 == 0, "").otherwise(
+        (F.col("c_nationkey") + 18).cast("string"))
+    users = F.when(F.col("c_custkey") % 53 == 0, F.concat_ws("::", "c_custkey", F.lit("M"))).otherwise(
+        F.concat_ws("::", F.col("c_custkey").cast("string"), F.lit("M"), age, F.lit("3"), F.lit("123")))
+    p = _titles(spark, sf)
+    items = F.concat_ws("::", F.when(F.col("p_partkey") % 31 == 0, "").otherwise(F.col("p_partkey").cast("string")), "title",
+                        F.lit("Drama"))
+    x = TB.interactions(spark, sf)
+    key = F.col("l_orderkey") % 101
+    ratings = F.when(key == 1, F.concat_ws("::", "o_custkey", "l_partkey")).otherwise(F.concat_ws(
+        "::", "o_custkey", F.when(key == 2, " ").otherwise(F.col("l_partkey").cast("string")),
+        F.when(key == 3, "x").when(key == 4, "NaN").otherwise((F.col("l_quantity") / 2).cast("double").cast("string")),
+        F.when(key == 5, "bad").when(key == 6, "1.5").otherwise(F.unix_seconds(F.col("o_orderdate").cast("timestamp")).cast("string"))))
+    for name, df, line in (("users", c, users), ("items", p, items), ("ratings", x, ratings)):
+        df.select(line.alias("value")).write.option("encoding", "ISO-8859-1").text(f"{base}/{name}.dat")
+    read = lambda name, columns: TB.read_lines(spark, f"{base}/{name}.dat", columns)
+    return (read("users", ["user_id", "gender", "age", "occupation", "zip"]), read("items", ["item_id", "title", "genres"]),
+            read("ratings", ["user_id", "item_id", "rating", "timestamp"]))
+
+
+def _prepared(spark, sf):
+    """The prepared tables, written as one version and read back."""
+    out = PR.prepare_all(*_raw_texts(spark, sf), VAL_T)
+    store = _version_store(spark, "prepared")
+    names = ("users", "items", "train", "val", "rejected")
+    version = store.version(store.publish({n: getattr(out, n) for n in names}, {}))
+    return {n: store.table(version, n) for n in names}
+
+
+def prepare_tables(spark, sf):
+    """Train and val ratings of raw text with bad lines: half points kept, bad lines in neither."""
+    t = _prepared(spark, sf)
+    return t["train"].withColumn("is_train", F.lit(True)).unionByName(t["val"].withColumn("is_train", F.lit(False)))
+
+
+def prepare_users_checked(spark, sf):
+    """Prepared users of raw text with bad lines."""
+    return _prepared(spark, sf)["users"].select("user_id", "age", "age_group")
+
+
+def prepare_rejected(spark, sf):
+    """Lines that no prepared table has, with the reason."""
+    return _prepared(spark, sf)["rejected"]
 
 
 def _affinity_inputs(spark, sf):
@@ -805,6 +871,9 @@ QUERIES.update({
     "title_clean": title_clean,
     "epoch_to_date": epoch_to_date,
     "prepare_ratings": prepare_ratings,
+    "prepare_tables": prepare_tables,
+    "prepare_users_checked": prepare_users_checked,
+    "prepare_rejected": prepare_rejected,
     "affinity_scores": affinity_scores,
     "affinity_softmax": affinity_softmax,
     "weighted_sample": weighted_sample,
@@ -954,7 +1023,32 @@ def warm_start_mapping(spark, sf):
     return outs[0].unionByName(outs[1]).select("target_arch", "source_param", "target_param", "status")
 
 
+def _param_rows(spark, shapes, seed):
+    """(param, row_index, vec) with values from md5 for a list of (name, shape); a vector is one row."""
+    named = spark.createDataFrame([(n, s[0] if len(s) == 2 else 1, s[-1] if s else 1) for n, s in shapes],
+                                  "param string, n bigint, width bigint")
+    rows = named.select("param", "width", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("row_index"))
+    return rows.select("param", "row_index", F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("width") - 1),
+        lambda i: md5_unit(F.lit(seed), F.col("param"), F.col("row_index"), i) - 0.5).alias("vec"))
+
+
+def warm_start_copy(spark, sf):
+    """Ranking parameters of both architectures after the retrieval model's rows were copied by the mapping."""
+    uc, ic = _arch_shapes(spark, sf)
+    shapes = lambda arch: TW.model_param_shapes(arch, uc, ic, DIM, [16, DIM], 1, 1)
+    src, source = TW.shapes_frame(spark, shapes("retrieval")), _param_rows(spark, shapes("retrieval"), 1)
+    out = []
+    for arch in ("two_tower", "dlrm"):
+        mapping = WS.map_parameters(src, TW.shapes_frame(spark, shapes(arch)).select("param", "shape"))
+        rows = WS.copy_parameters(source, _param_rows(spark, shapes(arch), 2), mapping)
+        out.append(rows.select(F.lit(arch).alias("target_arch"), "param", "row_index", "copied",
+                               R(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), "total")))
+    return out[0].unionByName(out[1])
+
+
 QUERIES.update({
+    "warm_start_copy": warm_start_copy,
     "encoder_round_trip": encoder_round_trip,
     "warm_start_mapping": warm_start_mapping,
     "encoders_load_or_build": encoders_load_or_build,
@@ -1141,7 +1235,8 @@ def prepare_users(spark, sf):
     read back as a header-less latin-1 source and prepared."""
     base = _text_base(spark)
     c = TB.users(spark, sf)
-    zipc = F.when(F.col("c_acctbal") >= 0, F.lpad(F.col("c_custkey").cast("string"), 5, "0")).otherwise(F.lit(""))
+    key = F.col("c_custkey").cast("string")
+    zipc = F.when(F.col("c_acctbal") >= 0, F.lpad(key, F.greatest(F.lit(5), F.char_length(key)), "0")).otherwise(F.lit(""))
     text = c.select(F.concat_ws("::", "c_custkey", F.substring("c_mktsegment", 1, 1), (F.col("c_nationkey") + 18),
                                 F.col("c_nationkey") % 21, zipc).alias("value"))
     text.write.mode("overwrite").text(f"{base}/users.dat")

@@ -710,8 +710,8 @@ SQL.update({
     "prepare_users": """SELECT CAST(c_custkey AS VARCHAR) AS user_id, (c_nationkey + 18)::DOUBLE AS age,
         substring(c_mktsegment, 1, 1) AS gender, 'age_' || CAST((c_nationkey + 18)::DOUBLE AS VARCHAR) AS age_group,
         'occ_' || CAST(c_nationkey % 21 AS VARCHAR) AS occupation,
-        CASE WHEN c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') END AS zip,
-        COALESCE(substring(CASE WHEN c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') END, 1, 3), '000') AS zip_prefix
+        CASE WHEN c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), greatest(5, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') END AS zip,
+        COALESCE(substring(CASE WHEN c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), greatest(5, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') END, 1, 3), '000') AS zip_prefix
         FROM customer""",
     "prepare_items": TITLES + """, g AS (SELECT p_partkey, p_type || '|' || p_brand AS genres FROM part),
         gc AS (SELECT genres, count(*) AS n FROM g GROUP BY 1)
@@ -750,3 +750,66 @@ def _versions_sql() -> str:
 
 SQL["encoders_load_or_build"] = _versions_sql()
 SQL["model_reloaded_scores"] = SQL["tower_embed"]
+
+
+# ---- preparation with bad lines, copied parameters, answers --------------------------------
+
+_RATING = """o.o_custkey, l.l_partkey, l.l_orderkey % 101 AS key, CAST(l.l_quantity / 2.0 AS DOUBLE) AS rating,
+    strftime(o.o_orderdate, '%Y-%m-%d') AS day, epoch_us(CAST(strftime(o.o_orderdate, '%Y-%m-%d') AS TIMESTAMP)) AS us
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+SQL["prepare_tables"] = f"""WITH r AS (SELECT * FROM (SELECT {_RATING}) WHERE key NOT BETWEEN 1 AND 6),
+    b AS (SELECT min(us) AS lo, max(us) AS hi FROM r)
+    SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS item_id, rating, day AS timestamp,
+      us::DOUBLE <= b.lo::DOUBLE + (b.hi - b.lo)::DOUBLE * 0.8::DOUBLE AS is_train FROM r CROSS JOIN b"""
+SQL["prepare_users_checked"] = """SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+    CASE WHEN c_custkey % 37 <> 0 THEN (c_nationkey + 18)::DOUBLE END AS age,
+    'age_' || CAST(CASE WHEN c_custkey % 37 <> 0 THEN (c_nationkey + 18)::DOUBLE END AS VARCHAR) AS age_group
+    FROM customer WHERE c_custkey % 53 <> 0 AND c_custkey % 41 <> 0"""
+SQL["prepare_rejected"] = TITLES + f""", r AS (SELECT * FROM (SELECT {_RATING}) WHERE key BETWEEN 1 AND 6)
+    SELECT 'users' AS source, 'wrong number of fields' AS reason, c_custkey || '::M' AS line FROM customer WHERE c_custkey % 53 = 0
+    UNION ALL SELECT 'users', 'age is not a number', c_custkey || '::M::old::3::123' FROM customer
+      WHERE c_custkey % 41 = 0 AND c_custkey % 53 <> 0
+    UNION ALL SELECT 'items', 'no item id', '::' || title || '::Drama' FROM ty WHERE p_partkey % 31 = 0
+    UNION ALL SELECT 'ratings', CASE WHEN key = 1 THEN 'wrong number of fields' WHEN key = 2 THEN 'no item id'
+        WHEN key <= 4 THEN 'rating is not a number' ELSE 'time is not a whole number' END,
+      CASE WHEN key = 1 THEN o_custkey || '::' || l_partkey ELSE o_custkey || '::' ||
+        CASE WHEN key = 2 THEN ' ' ELSE CAST(l_partkey AS VARCHAR) END || '::' ||
+        CASE key WHEN 3 THEN 'x' WHEN 4 THEN 'NaN' ELSE CAST(rating AS VARCHAR) END || '::' ||
+        CASE key WHEN 5 THEN 'bad' WHEN 6 THEN '1.5' ELSE CAST(us // 1000000 AS VARCHAR) END END FROM r"""
+
+
+def _copy_sql() -> str:
+    """Each target parameter's rows: the source's values where the mapping says loaded, else its own."""
+    from tidalrec.operators.towers import model_param_shapes
+    feats = U_FEATS + I_FEATS
+    sent = {10 ** 9 + i: f"(SELECT cardinality::VARCHAR FROM {'ucard' if f in U_FEATS else 'icard'} WHERE \"column\" = '{f}')"
+            for i, f in enumerate(feats)}
+    uc, ic = ({f: 10 ** 9 + feats.index(f) for f in side} for side in (U_FEATS, I_FEATS))
+    shapes = " UNION ALL ".join(f"SELECT '{arch}' AS target_arch, * FROM ({_shape_sql(model_param_shapes(arch, uc, ic, 8, [16, 8], 1, 1), sent)})"
+                                for arch in ("two_tower", "dlrm"))
+    value = md5u("CASE WHEN loaded THEN '1' ELSE '2' END", "CASE WHEN loaded THEN source_param ELSE param END", "row_index", "i")
+    return W(counts_sql("uc", USER_SRC), vocab_sql("uv", "uc", {f: MODEL_MIN[f] for f in U_FEATS}),
+             card_sql("ucard", "uv", {f: MODEL_MIN[f] for f in U_FEATS}),
+             counts_sql("ic", ITEM_SRC), vocab_sql("iv", "ic", {f: MODEL_MIN[f] for f in I_FEATS}),
+             card_sql("icard", "iv", {f: MODEL_MIN[f] for f in I_FEATS}), f"m AS ({_warm_sql()})", f"shapes AS ({shapes})",
+             """sized AS (SELECT s.target_arch, s.param, m.source_param, m.source_param IS NOT NULL AS loaded,
+                  CASE WHEN shape LIKE '%x%' THEN CAST(split_part(shape, 'x', 1) AS BIGINT) ELSE 1 END AS n,
+                  CASE WHEN shape = 'scalar' THEN 1 WHEN shape LIKE '%x%' THEN CAST(split_part(shape, 'x', 2) AS BIGINT)
+                       ELSE CAST(shape AS BIGINT) END AS width
+                FROM shapes s LEFT JOIN m ON m.status = 'loaded' AND m.target_arch = s.target_arch AND m.target_param = s.param)""",
+             "cells AS (SELECT *, unnest(range(n)) AS row_index FROM sized)") + f"""
+        SELECT target_arch, param, row_index, loaded AS copied,
+          round(list_sum(list_transform(range(width), lambda i: {value} - 0.5)), 6) AS total FROM cells"""
+
+
+SQL["warm_start_copy"] = _copy_sql()
+SQL["recommend_answers"] = W(*U_POOL, *I_POOL, REC, """
+    lists AS (SELECT user_id, count(*)::BIGINT AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY score DESC, item_id) AS items,
+                max(score) AS best_score FROM scored GROUP BY 1),
+    asked AS (SELECT user_id, max(k)::BIGINT AS top_k, max(reason) AS reason FROM el GROUP BY 1),
+    lasts AS (SELECT o_custkey AS user_id, l_partkey AS latest_item, strftime(o_orderdate, '%Y-%m-%d') AS latest_date FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, l_orderkey DESC,
+               l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM train) WHERE rn = 1)""") + """
+    SELECT a.user_id, a.top_k, a.reason, l.latest_item, l.latest_date, COALESCE(s.n_items, 0) AS n_items, s.items,
+      round(s.best_score, 6) AS best_score
+    FROM asked a LEFT JOIN lists s ON s.user_id = a.user_id LEFT JOIN lasts l ON l.user_id = a.user_id"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,15 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str],
             .option("header", "false").option("mode", "PERMISSIVE").csv(path))
 
 
+def read_lines(spark: SparkSession, path: str, columns: list[str], sep: str = "::", encoding: str = "ISO-8859-1") -> DataFrame:
+    """Delimited text with nothing lost: the fields as text, the whole ``line``, and whether it is ``complete``,
+    that is, has as many fields as there are columns.  Absent fields are null, further ones stay in the line."""
+    parts = F.split("line", re.escape(sep), -1)
+    rows = spark.read.option("encoding", encoding).option("lineSep", "\n").text(path).select(F.col("value").alias("line"))
+    return rows.select(*(F.get(parts, F.lit(n)).alias(c) for n, c in enumerate(columns)), "line",
+                       (F.size(parts) == len(columns)).alias("complete"))
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
