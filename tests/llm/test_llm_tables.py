@@ -107,7 +107,6 @@ def test_packing(spark, docs):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
     for r in E.queries()["op7_bestfit_packing"](spark, SF).collect():
         pieces[r.doc_id].append(r)

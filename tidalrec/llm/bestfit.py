@@ -17,7 +17,12 @@ an empty result; other columns are never read.
 
 from __future__ import annotations
 
+import functools
+import json
+import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,7 +30,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,40 +41,92 @@ class Packing:
     capacity: int = 1024
     tokenizer: str | None = None  # path of a tokenizers file; None: public byte_bpe_50k.json
     end_id: int = 2
-    cache_words: int = 400_000    # per task; only memory and speed depend on it
+    cache_words: int = 1_000_000    # chunks kept by a worker; only memory and speed depend on it
 
 
-#: Fixed value: the split pattern of byte_bpe_50k.json (see its README's PATTERN).
-PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+class ChunkCachingTokenizer:
+    """Little-endian uint32 token ids of texts, as the plain call of the tokenizer gives them.
 
-
-class WordCachingTokenizer:
-    """Little-endian uint32 token ids of texts.
-
-    The tokenizer never merges across the pretokens of its split pattern, so
-    the ids of a text are those of its pretokens one after another; frequent
-    pretokens are looked up, the others go through ``tokenizers`` in one batch.
+    A byte-level tokenizer that splits by its own pattern never merges across a space
+    that a visible character follows: that space opens a pretoken.  So a text is cut
+    there, frequent chunks are looked up, and only others go through ``tokenizers``.
+    Texts that hold an added token, and tokenizers of another kind, take the plain call.
     """
 
-    def __init__(self, path: str, cache_words: int):
+    def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True
-        self._split = regex.compile(PRETOKENS).findall
-        self._cache: dict[str, bytes] = {}
-        self._most = cache_words
-
-    def encode(self, text: str) -> bytes:
-        parts = self._split(text)
-        cache = self._cache
-        new = [w for w in dict.fromkeys(parts) if w not in cache]
-        if new:
-            if len(cache) + len(new) > self._most:
-                cache.clear()
-                new = list(dict.fromkeys(parts))
-            for w, e in zip(new, self._tok.encode_batch_fast(new, add_special_tokens=False)):
-                cache[w] = np.asarray(e.ids, "<u4").tobytes()
-        return b"".join(map(cache.__getitem__, parts))
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        kind = told.get("pre_tokenizer") or {}
+        self._cuts = (not told.get("normalizer") and kind.get("type") == "ByteLevel" and kind.get("use_regex", True)
+                      and not kind.get("add_prefix_space"))
+        self._added = [t["content"] for t in told.get("added_tokens", [])]
+        # chunks without their space; when ``_young`` is full it becomes ``_old``, from which what is met again returns
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._most = max(1, most // 2)
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [_little_endian(e.ids) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; what is new in any of them goes through the tokenizer at once."""
+        if len(self._young) > self._most:
+            self._young, self._old = {}, self._young
+        known, old = self._young, self._old
+        plain = [not self._cuts or any(t in x for t in self._added) for x in texts]
+        split = [None if p else x.split(" ") if not _LOOSE_SPACE(x) else _CUT(x) for x, p in zip(texts, plain)]
+        heads = [s[0] for s in split if s]
+        new = []
+        for w in set().union(*(s[1:] for s in split if s)):
+            if w not in known:
+                if w in old:
+                    known[w] = old[w]
+                else:
+                    new.append(w)
+        fresh = self._ids(heads + [" " + w for w in new])
+        head = iter(fresh)
+        known.update(zip(new, fresh[len(heads):]))
+        out = [self._whole(x) if s is None else b"".join([next(head), *map(known.__getitem__, s[1:])])
+               for x, s in zip(texts, split)]
+        for w in new:  # long chunks, such as texts without spaces, are not worth their memory
+            if len(w) > 64:
+                del known[w]
+        return out
+
+    def _whole(self, text: str) -> bytes:
+        return _little_endian(self._tok.encode(text, add_special_tokens=False).ids)
+
+
+def _little_endian(ids: list[int]) -> bytes:
+    out = array("I", ids)  # of four bytes wherever Spark runs
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+_LOOSE_SPACE = re.compile(r" (?:\s|\Z)").search
+_CUT = re.compile(r" (?=\S)").split
+
+
+def _encoded(tok: ChunkCachingTokenizer, texts: pa.Array, chars: int = 1 << 20) -> Iterator[bytes]:
+    """The ids of each text, taken together up to about ``chars`` characters."""
+    group, size = [], 0
+    for text in texts:
+        text = text.as_py() or ""
+        group.append(text)
+        size += len(text)
+        if size >= chars:
+            yield from tok.encode(group)
+            group, size = [], 0
+    yield from tok.encode(group)
+
+
+@functools.lru_cache(maxsize=4)
+def tokenizer_of(path: str, most: int) -> ChunkCachingTokenizer:
+    """A worker's tokenizer and cache, kept from task to task."""
+    return ChunkCachingTokenizer(path, most)
 
 
 def pieces(docs: DataFrame, p: Packing, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -82,13 +138,13 @@ def pieces(docs: DataFrame, p: Packing, id_col: str = "doc_id", text_col: str =
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path("byte_bpe_50k.json")
-        tok = WordCachingTokenizer(path, p.cache_words)
+        tok = tokenizer_of(path, p.cache_words)
         end = np.asarray([p.end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             which: list[int] = []
-            for r, text in enumerate(batch.column(1)):
-                ids = tok.encode(text.as_py() or "") + end
+            for r, ids in enumerate(_encoded(tok, batch.column(1))):
+                ids += end
                 n = len(ids) // 4
                 at, k = 0, 0
                 while at < n:
