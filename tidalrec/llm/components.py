@@ -52,6 +52,30 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def with_keys(classes: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """``classes`` (least, d1, d2, ...) with a key of its own for each class; whether some id was the least of several.
+
+    The key is the class's least id, but where rows of one id fall into several classes, all but
+    one of those get a hash of their digest from 2^62 up.
+    """
+    shared = scratch.put(classes.where("least is not null").groupBy(F.col("least").alias("shared_least")).agg(
+        F.count(F.lit(1)).alias("classes"), F.min(F.struct("d1", "d2")).alias("first")).where("classes > 1"))
+    if shared.isEmpty():
+        return classes.withColumn("id", F.col("least")), False
+    own = F.xxhash64("least", "d1", "d2").bitwiseAND(F.lit((1 << 62) - 1).cast("long")).bitwiseOR(F.lit(1 << 62).cast("long"))
+    is_first = F.col("first").isNull() | (F.struct("d1", "d2") == F.col("first"))
+    return classes.join(shared, F.col("least") == F.col("shared_least"), "left").withColumn(
+        "id", F.when(is_first, F.col("least")).otherwise(own)).drop("shared_least", "classes", "first"), True
+
+
+def least_ids(found: DataFrame, classes: DataFrame, several: bool) -> DataFrame:
+    """(id, component) of ``link_buckets`` with each component named by the least id of its rows."""
+    if not several:
+        return found
+    named = found.join(classes.select("id", "least"), "id").groupBy("component").agg(F.min("least").alias("name"))
+    return found.join(named, "component").select("id", F.col("name").alias("component"))
+
+
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], near,
                  scratch: Scratch, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components of the links among ids that share a bucket key; (id, component).

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalrec.llm.common import Scratch, load, mix64
-from tidalrec.llm.components import link_buckets
+from tidalrec.llm.components import least_ids, link_buckets, with_keys
 
 
 @dataclass(frozen=True)
@@ -155,8 +155,9 @@ def near_vectors(vectors: DataFrame, p: LatticeLinks = LatticeLinks(), id_col: s
         F.col(id_col).cast("long").alias("id"), F.when(usable, v).alias("v")).select(
         "id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("d1"),
         F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(p.seed), "v")).alias("d2")))
-    classes = scratch.put(rows.where("v is not null and id is not null").groupBy("d1", "d2").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")))
+    classes, several = with_keys(rows.where("v is not null and id is not null").groupBy("d1", "d2").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")), scratch)
+    classes = scratch.put(classes)
 
     def verify(pairs: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +188,9 @@ def near_vectors(vectors: DataFrame, p: LatticeLinks = LatticeLinks(), id_col: s
         "id", "copies", "v")
     counts = dealt.groupBy("component", "lo", "hi").applyInArrow(
         lambda t: _link_counts(t, p), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    per_class = classes.select("id", "d1", "d2", "copies").join(found, "id", "left").join(counts, "id", "left").select(
-        "d1", "d2", F.coalesce("component", "id").alias("component"),
+    named = least_ids(found, classes, several)
+    per_class = classes.select("id", "least", "d1", "d2", "copies").join(named, "id", "left").join(counts, "id", "left").select(
+        "d1", "d2", F.coalesce("component", "least").alias("component"),
         (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"))
     out = rows.select("id", "d1", "d2").join(per_class, ["d1", "d2"], "left").select(
         F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidalrec.llm.common import Scratch, load, mix64, sieve, window_hashes, word_hashes
-from tidalrec.llm.components import link_buckets
+from tidalrec.llm.components import least_ids, link_buckets, with_keys
 
 
 @dataclass(frozen=True)
@@ -62,6 +62,11 @@ def _minhash(shingles: np.ndarray, salts: np.ndarray, odd: np.ndarray) -> np.nda
     return out
 
 
+def _digest(shingles: np.ndarray) -> tuple[int, int]:
+    digest = xxhash.xxh3_128_intdigest(shingles.tobytes())
+    return (digest >> 64) - 2**63, (digest & (2**64 - 1)) - 2**63
+
+
 def sketches(docs: DataFrame, p: NearDedup, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n, d1, d2, halves, carried columns): set size, 128-bit digest of the set, 2 * groups group hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,9 +79,8 @@ def sketches(docs: DataFrame, p: NearDedup, id_col: str, text_col: str, carry: t
             for text in batch.column(1).cast(pa.binary()):
                 s = shingle_set(text.as_py(), p.width)
                 n.append(len(s))
-                digest = xxhash.xxh3_128_intdigest(s.tobytes())
-                d1.append((digest >> 64) - 2**63)
-                d2.append((digest & (2**64 - 1)) - 2**63)
+                for half, of in zip(_digest(s), (d1, d2)):
+                    of.append(half)
                 if len(s):
                     values = _minhash(s, salts, odd).reshape(2 * p.groups, p.per_group)
                     acc = np.arange(2 * p.groups, dtype=np.uint64)
@@ -96,16 +100,16 @@ def sketches(docs: DataFrame, p: NearDedup, id_col: str, text_col: str, carry: t
 
 
 def _sets(docs: DataFrame, p: NearDedup) -> DataFrame:
-    """(id, shingles) of documents (id, t), each different set of an id once."""
+    """(id, d1, d2, shingles) of documents (id, t), each different set of an id once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), p.width) for t in batch.column(1).cast(pa.binary())]
-            marks = [xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 for s in sets]
+            halves = list(zip(*map(_digest, sets))) or [(), ()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(marks, pa.int64()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "mark", "shingles"])
-    return docs.mapInArrow(run, "id long, mark long, shingles array<long>").groupBy("id", "mark").agg(
-        F.first("shingles").alias("shingles")).drop("mark")
+                [batch.column(0), *(pa.array(h, pa.int64()) for h in halves),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "d1", "d2", "shingles"])
+    return docs.mapInArrow(run, "id long, d1 long, d2 long, shingles array<long>").groupBy("id", "d1", "d2").agg(
+        F.first("shingles").alias("shingles"))
 
 
 def _prefix_pairs(sets: DataFrame, ids: DataFrame, p: NearDedup) -> DataFrame:
@@ -140,21 +144,27 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     """One row per input row: id, n_shingles, component_id (least id reachable), carried columns, kept."""
     scratch = Scratch(docs.sparkSession, "near-dedup")
     marks = scratch.put(sketches(docs, p, id_col, text_col, carry))
-    classes = scratch.put(marks.where("n > 0").groupBy("d1", "d2").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("halves").alias("halves")))
+    classes, several = with_keys(marks.where("n > 0").groupBy("d1", "d2").agg(
+        F.min("id").alias("least"), F.first("n").alias("n"), F.first("halves").alias("halves")), scratch)
+    classes = scratch.put(classes)
 
     first = F.slice("halves", 1, p.groups)
     second = F.slice("halves", p.groups + 1, p.groups)
     keys = F.flatten(F.transform(first, lambda a: F.transform(second, lambda b: F.xxhash64(a, b))))
-    members = classes.select(F.explode(keys).alias("key"), F.col("rep").alias("id"), "n", F.lit(True).alias("home"))
+    members = classes.select(F.explode(keys).alias("key"), "id", "n", F.lit(True).alias("home"))
 
     def sized(x, y):  # |A and B| <= the smaller set, so other sizes can't reach the similarity
         return 100 * F.least(x("n"), y("n")) >= p.percent * F.greatest(x("n"), y("n"))
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
 
-    def full_sets(ids: DataFrame) -> DataFrame:
-        return scratch.put(_sets(sieve(texts, "id", ids).join(ids, "id", "left_semi"), p))
+    def full_sets(keys: DataFrame) -> DataFrame:
+        """(id, shingles) of classes, each from a row of its least id and its digest."""
+        wanted = scratch.put(keys.join(classes.select("id", "least", "d1", "d2"), "id").withColumnRenamed("id", "class"))
+        ids = wanted.select(F.col("least").alias("id")).distinct()
+        sets = _sets(sieve(texts, "id", ids).join(ids, "id", "left_semi"), p)
+        return scratch.put(sets.withColumnRenamed("id", "least").join(wanted, ["least", "d1", "d2"]).select(
+            F.col("class").alias("id"), "shingles"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         sets = full_sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
@@ -168,9 +178,8 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
         ids = scratch.put(named.select("id", "component").distinct())
         return _prefix_pairs(full_sets(ids), ids, p)
 
-    linked = link_buckets(members, verify, sized, scratch, across)
-    classed = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "d1", "d2", F.coalesce("component", "rep").alias("component"))
+    linked = least_ids(link_buckets(members, verify, sized, scratch, across), classes, several)
+    classed = classes.join(linked, "id", "left").select("d1", "d2", F.coalesce("component", "least").alias("component"))
     out = marks.join(classed, ["d1", "d2"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"), *carry)
