@@ -2,11 +2,17 @@
 
 STAGES are applied in order, each written as Parquet and read again as the next
 one's documents.  Every stage but the last returns the columns of documents.
+
+Defined cases: a verdict applies to the row itself, told by its id and text, so rows
+that share an id, or have none, are judged each by its own text; of repeated rows
+(same id and text) near-dedup keeps one.  Null and empty texts have too few words and
+go with the quality rules.  An empty table gives no rows.  Columns beside doc_id and
+text are carried along, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalrec.llm.bestfit import pack
@@ -16,16 +22,25 @@ from tidalrec.llm.rule_ledger import V1, keep
 from tidalrec.llm.tensor_minhash import NearDedup, near_duplicates
 
 
+def _digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def _marked(docs: DataFrame) -> DataFrame:
-    """docs with text_digest, by which the rows of an id, or without one, are told apart."""
-    return docs.withColumn("text_digest", F.md5(F.coalesce("text", F.lit(""))))
+    """doc_id, text and text_digest, by which the rows of an id, or without one, are told apart; no other column."""
+    return docs.select("doc_id", "text", _digest(F.col("text")).alias("text_digest"))
 
 
 def _only(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The rows of docs whose own id and text are kept in ``verdict`` (doc_id, text_digest, kept)."""
+    """The rows of docs whose own id and text are kept in ``verdict`` (doc_id, text_digest, kept).
+
+    The rows travel in one struct, so that their columns may have any names.
+    """
     rows = verdict.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_digest").alias("kept_digest")).distinct()
-    return _marked(docs).join(rows, F.col("doc_id").eqNullSafe(F.col("kept_id"))
-                              & (F.col("text_digest") == F.col("kept_digest")), "left_semi").select(*docs.columns)
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("own_id"),
+                       _digest(F.col("text")).alias("own_digest"))
+    return held.join(rows, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_digest") == F.col("kept_digest")),
+                     "left_semi").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 BROADCAST_IDS = 2_000_000  # rows of an id and a digest; beyond it the join is shuffled
