@@ -1,0 +1,106 @@
+"""Wrappers: matching, main text of pages with and without an article, against texts known beforehand."""
+
+import random
+
+from tidalrec.llm import wrappers
+from tidalrec.llm.common import Scratch
+
+COLS = "page_id long, url string, html string"
+
+
+def texts(spark, pages):
+    return {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(pages, COLS)).collect()}
+
+
+def test_a_wrapper_matches_every_stream_it_was_made_of():
+    for seed in range(400):
+        rng = random.Random(seed)
+        streams = [[rng.choice("abcd") for _ in range(rng.randint(0, 14))] for _ in range(rng.randint(1, 6))]
+        form = None
+        for s in streams:
+            own = wrappers.fold(tuple(("", c) for c in s))
+            form = own if form is None else wrappers.align(form, own)
+        assert wrappers.parse(wrappers.show(form)) == form
+        w = wrappers.Wrapper(wrappers.show(form))
+        for s in streams:
+            assert [w.names[i] for i in w.match(s)] == s
+        assert w.match(["z"]) is None
+
+
+def test_long_groups_are_folded():
+    group = " ".join(f"s{i}" for i in range(30))
+    assert wrappers.show(wrappers.fold(wrappers.parse(" ".join(["x", *[group] * 4, "y"])))) == f"x ({group})+ y"
+
+
+def test_names_that_only_hold_a_class_word(spark):
+    got = texts(spark, [
+        (1, "http://a/1", "<div class='content with-sidebar'><article><h1>T</h1><p>Hello world</p></article></div>"),
+        (2, "http://b/1", "<body><div class='post-share-wrap'><p>Main text stands here.</p></div></body>"),
+        (3, "http://c/1", "<article><section class='related-work'><p>Prose on others.</p></section><p class='no-comments'>End.</p></article>"),
+        (4, "http://d/1", "<body><p>Main words of the page.</p><div class='foot'>legal</div></body>"),
+        (5, "http://e/1", "<article><p>Text.</p><div class='related-posts'><a href=x>One more</a></div>"
+                          "<div class='comments'><article>I think so</article></div></article>"),
+        (6, "http://f/1", "<div class='sidebar'><article><p>The only article.</p></article></div>"),
+        (7, "http://g/1", "<form><main><p>In a form that holds the page.</p><form>Your name</form></main></form>"),
+        (8, "http://h/1", "<div class='comments'><article>said a reader</article></div>")])
+    assert got == {1: "T\nHello world", 2: "Main text stands here.", 3: "Prose on others.\nEnd.", 4: "Main words of the page.",
+                   5: "Text.", 6: "The only article.", 7: "In a form that holds the page.", 8: ""}
+
+
+def _page(host, k, rng, date):
+    """A page without an article or main element, and its main text."""
+    say = lambda n: " ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) for _ in range(n)) + f" {k}."
+    blocks = [("h1", f"Title {say(3)}"), ("h2", "Summary"), ("p", say(30)), ("h3", "Details")]
+    blocks += [("p", say(40)) for _ in range(rng.randint(1, 5))]
+    if rng.random() < 0.5:
+        blocks += [("blockquote", say(12)), ("h3", "Details"), ("p", say(20))]
+    menu = "".join(f"<li><a href='{i}'>entry {i}</a></li>" for i in range(6))
+    more = "".join(f"<li><a href='{i}'>teaser {rng.random()}</a></li>" for i in range(rng.randint(1, 4)))
+    main = "".join(f"<{t}>{x}</{t}>" for t, x in blocks)
+    html = (f"<html><body><div>Site name of {host}</div><ul>{menu}</ul><div class=meta><span>{date}</span></div>"
+            f"<div class=text><div>{main}</div></div><ul>{more}</ul><div>All rights kept by {host}</div></body></html>")
+    return html, "\n".join(x for _, x in blocks)
+
+
+def test_main_text_of_hosts_without_an_article(spark):
+    rng = random.Random(3)
+    pages, want = [], {}
+    for host, n in (("one.net", 40), ("two.net", 12)):
+        for k in range(n):
+            html, text = _page(host, k, rng, f"day {k}")
+            want[len(pages)] = text
+            pages.append((len(pages), f"http://{host}/{k}", html))
+    for k in range(8):                      # every page twice, only the date differs
+        state = rng.getstate()
+        for day in range(2):
+            rng.setstate(state)
+            html, text = _page("twice.net", k, rng, f"day {day}{k}")
+            want[len(pages)] = text
+            pages.append((len(pages), f"http://twice.net/{k}?{day}", html))
+    assert texts(spark, pages) == want
+
+
+def test_repeated_headings_and_rare_notes(spark):
+    pages = [(k, f"http://h/{k}", f"<body><h2>Summary</h2><p>first {k} words</p><h3>Details</h3><p>more {k} words</p></body>")
+             for k in range(12)]
+    assert texts(spark, pages) == {k: f"Summary\nfirst {k} words\nDetails\nmore {k} words" for k in range(12)}
+    # a block that says the same on all pages but three is no main text
+    note = lambda k: f"rare note {k}" if k < 3 else "the usual line"
+    pages = [(k, f"http://h/{k}", f"<body><div class=line>{note(k)}</div><div class=text><p>words of page {k}</p></div></body>")
+             for k in range(60)]
+    assert texts(spark, pages) == {k: f"words of page {k}" for k in range(60)}
+
+
+def test_many_forms_are_aligned_in_levels(spark):
+    rng = random.Random(5)
+    tags = ["p", "h2", "h3", "pre", "blockquote"]
+    pages, want = [], {}
+    for k in range(300):
+        blocks = [(rng.choice(tags), f"block {j} of {k}") for j in range(rng.randint(1, 9))]
+        want[k] = "\n".join(x for _, x in blocks)
+        pages.append((k, "http://many/x", "<article>" + "".join(f"<{t}>{x}</{t}>" for t, x in blocks) + "</article>"))
+    df = spark.createDataFrame(pages, COLS).withColumn("host", wrappers._host_of(wrappers.F.col("url")))
+    forms = wrappers.page_forms(df)
+    assert forms.distinct().count() > 2 * wrappers.WIDTH
+    assert wrappers.infer(forms, Scratch(spark, "test")).count() == 1
+    assert texts(spark, pages) == want

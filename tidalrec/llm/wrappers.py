@@ -1,24 +1,37 @@
 """Main text of pages through union-free wrappers of their hosts.
 
 A page is read as a stream of slots: the text blocks in page order, each named
-by the path of tags and classes it stands in.  A host's wrapper is a union-free
-regular expression over slots, inferred from its pages: runs of equal groups
-inside a stream become repeated groups, and streams are aligned one after the
-other, where a mismatch makes what only one side has optional.  Streams are
-made distinct per host first, so what is aligned is the host's few page forms,
-not its pages; hosts are split into parts whose wrappers are aligned in turn, so
-a host of any size is never one task's work.
+by the path of tags and classes it stands in and by a mark.  A host's wrapper is
+a union-free regular expression over slots, inferred from its pages: runs of
+equal groups inside a stream become repeated groups, and streams are aligned one
+after the other, where a mismatch makes what only one side has optional.
+Streams are made distinct per host first, so what is aligned is the host's page
+forms, not its pages; they are aligned in groups of about ``WIDTH``, and the
+groups' wrappers again, so a host of any size is never one task's work.
+
+Every page is then matched against its host's wrapper, which gives each of its
+texts a slot of the wrapper, and its text is what stands in the slots that hold
+main text:
+
+- slots in an article or main element, where the page has any;
+- else the slots of the container that holds most of the host's varying text:
+  the deepest element with ``SHARE`` of the characters of its different texts.
+  Every block of the container stays, headings that are the same on all pages
+  included; only before the first and behind the last varying slot are slots
+  left out that hold links, or one text on more than half of the pages.
 
 Slots in menus, headers, footers, sidebars, notices, adverts, forms and comments
-never hold main text.  Where a wrapper has slots inside an article or main
-element, its pages' text is what stands there; otherwise it is the wrapper's
-slots whose text varies between pages, is not mostly links, and belongs to the
-part of the page that holds most of it.
+never hold main text.  A class word tells such an element where it is the whole
+name, its last part, or its first (``user-comments``, ``cookie-box``), not behind
+``no-``, ``with-`` and the like; where it stands in the middle, or starts a name
+that may as well be prose (``related-work``), the element is left out if its slot
+holds mostly links over the whole host.  An element marked by a class word or a
+form that encloses the page's only article or main element does not count.
 
 Defined cases: null and empty html give an empty text; pages cut off anywhere
 are read up to the cut; pages without a url form one host; rows that share an id
-are read each by its own html; an empty table gives an empty result; other
-columns are never read.
+are read each by its own html, and equal pages of a host count once as evidence;
+an empty table gives an empty result; other columns are never read.
 """
 
 from __future__ import annotations
@@ -26,14 +39,18 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalrec.llm.common import Scratch, load
+from tidalrec.operators.skew import lookup_join
 
 #: HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,15 +59,21 @@ figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend
 section summary table tbody td tfoot th thead title tr ul""".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
-APART = frozenset("""head title nav menu header footer aside form button select textarea fieldset dialog noscript
+APART = frozenset("""head title nav menu header footer aside button select textarea fieldset dialog noscript
 template iframe object svg math canvas audio video script style""".split())
 APART_WORDS = frozenset("""ad ads advert adverts advertisement advertising adbox adsense banner sponsor sponsored promo
 promoted promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidenav footer header masthead
 topbar toolbar cookie cookies consent gdpr notice notices notification alert disclaimer newsletter subscribe
 subscription signup login register paywall share sharing social comment comments commentlist reply replies disqus
 respond discussion related recommended recommendations popup modal overlay widget search pagination pager
-complementary contentinfo tags""".split())
+complementary contentinfo tags foot copyright""".split())
+COMMENT_WORDS = frozenset("comment comments commentlist reply replies disqus respond discussion".split())
+UNSURE_FIRST = frozenset("related recommended search share sharing social tags".split())
+STATES = frozenset("no not non without with has".split())
 CONTENT = frozenset({"article", "main"})
+CONTENT_NAMES = frozenset({"main", "main-content", "maincontent"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HOLDERS = frozenset("body center div main section td".split())   # elements that may hold bare text beside blocks
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -66,34 +89,62 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 class Slot:
     path: str        # tags and classes from the outside in
     text: str
-    apart: bool      # in a menu, notice, form and the like
-    content: bool    # in an article or main element
+    mark: str        # "!" in a menu, notice, form and the like; "=" in an article or main element; "~" links will tell
     linked: int      # characters inside links
 
+    @property
+    def name(self) -> str:
+        return self.mark + (re.sub(r"[\s()]", "_", self.path) or "_")
+
+
+@dataclass(frozen=True)
+class _Open:
+    tag: str = ""
+    name: str = ""
+    apart: bool = False      # whatever it encloses
+    soft: bool = False       # unless it encloses the page's main text
+    content: bool = False
+    unsure: bool = False     # links will tell
+
+
+def apart_word(name: str) -> str:
+    """What a class, id or role says of its element: "!" apart, "!!" reader comments, "~" unsure, "" nothing."""
+    parts = [x for x in re.split(r"[^a-z]+", name) if x]
+    if not parts or APART_WORDS.isdisjoint(parts) or (len(parts) > 1 and parts[0] in STATES):
+        return ""
+    if parts[-1] in APART_WORDS or (parts[0] in APART_WORDS and parts[0] not in UNSURE_FIRST):
+        return "!!" if parts[-1] in COMMENT_WORDS or parts[0] in COMMENT_WORDS else "!"
+    return "~"
+
 
 def slots(page: str) -> list[Slot]:
     """Text blocks of a page in order; character references decoded, white space single."""
     out: list[Slot] = []
-    stack: list[tuple[str, str, bool, bool]] = []     # tag, name with class, apart, content
+    stack: list[_Open] = []
     parts: list[str] = []
     links = linked = 0
 
+    def mark() -> str:
+        top = stack[-1] if stack else _Open()
+        if top.apart or (top.soft and not top.content):
+            return "!"
+        return "%" if top.soft else "~" * top.unsure + "=" * top.content
+
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                named = [s[1] for s in stack if s[0] in BLOCK]
-                out.append(Slot(">".join(named), text, bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], linked))
+                out.append(Slot(">".join(s.name for s in stack if s.tag in BLOCK), text, mark(), linked))
             parts.clear()
         linked = 0
 
     def close(tags: set[str] | frozenset[str], within: frozenset[str]) -> None:
         for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
+            if stack[i].tag in tags:
                 del stack[i:]
                 return
-            if stack[i][0] in within:
+            if stack[i].tag in within:
                 return
 
     at = 0
@@ -114,7 +165,7 @@ def slots(page: str) -> list[Slot]:
         if m["end"] or m["end2"]:
             if tag == "a":
                 links = max(0, links - 1)
-            if any(s[0] == tag for s in stack):
+            if any(s.tag == tag for s in stack):
                 close({tag}, frozenset())
             continue
         if tag in VOID:
@@ -126,23 +177,28 @@ def slots(page: str) -> list[Slot]:
         elif tag in BLOCK:
             close({"p"}, frozenset({"div", "td", "li", "article", "section", "main", "body"}))
         attrs = m["attrs"] or m["attrs2"] or ""
-        words, name = set(), tag
+        said, names, name = set(), set(), tag
         if attrs:
             for key, *values in _ATTR.findall(attrs):
-                value = next((x for x in values if x), "").lower()
-                words.update(re.split(r"[^a-z]+", value))
+                value = sorted(next((x for x in values if x), "").lower().split())
+                names.update(value)
                 if key.lower() == "class":
-                    name = f"{tag}.{'.'.join(sorted(value.split()))}"
-        inherit = stack[-1] if stack else ("", "", False, False)
-        content = inherit[3] or tag in CONTENT or "main" in words
-        apart = (inherit[2] or (tag in APART and not (tag == "header" and inherit[3]))
-                 or (tag not in ("html", "body", "article", "main") and not words.isdisjoint(APART_WORDS))
-                 or bool(attrs and _HIDDEN.search(attrs)))
-        stack.append((tag, name, apart, content))
+                    name = f"{tag}.{'.'.join(value)}"
+            if tag not in ("html", "body", "article", "main"):
+                said = set(map(apart_word, names))
+        up = stack[-1] if stack else _Open()
+        soft = "!" in said or tag == "form"
+        stack.append(_Open(
+            tag, name,
+            up.apart or (tag in APART and not (tag == "header" and up.content)) or "!!" in said
+            or (soft and up.content) or bool(attrs and _HIDDEN.search(attrs)),
+            up.soft or soft, up.content or tag in CONTENT or not names.isdisjoint(CONTENT_NAMES),
+            up.unsure or "~" in said))
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return out
+    other = "!" if any(s.mark in ("=", "~=") for s in out) else "="     # an article in an element marked apart
+    return [replace(s, mark=other) if s.mark == "%" else s for s in out]
 
 
 # -- wrappers: tuples of items; an item is (kind, body): "" one slot, "?" optional, "+" repeated, body a tuple or a path
@@ -150,22 +206,25 @@ def slots(page: str) -> list[Slot]:
 Item = tuple
 
 
-def fold(items: tuple[Item, ...], longest: int = 8) -> tuple[Item, ...]:
-    """Runs of equal groups of up to ``longest`` items become one repeated group, short groups first."""
+def fold(items: tuple[Item, ...]) -> tuple[Item, ...]:
+    """Runs of equal groups of items become one repeated group, short groups first."""
     out = list(items)
-    for size in range(1, longest + 1):
+    size = 0
+    while 2 * (size := size + 1) <= len(out):
+        number: dict[Item, int] = {}
+        codes = np.array([number.setdefault(x, len(number)) for x in out])
+        apart = np.flatnonzero(np.concatenate([[True], codes[size:] != codes[:-size], [True]]))
+        if np.diff(apart).max() <= size:        # no run of ``size`` items that are equal to those a group on
+            continue
         i, done = 0, []
         while i < len(out):
             group = out[i:i + size]
             n = 1
             while len(group) == size and out[i + n * size:i + (n + 1) * size] == group:
                 n += 1
-            if n > 1 and not (size == 1 and group[0][0] == "+"):
-                done.append(("+", tuple(group)))
+            if n > 1:
+                done.append(group[0] if size == 1 and group[0][0] == "+" else ("+", tuple(group)))
                 i += n * size
-            elif n > 1:
-                done.append(group[0])
-                i += n
             else:
                 done.append(out[i])
                 i += 1
@@ -181,20 +240,18 @@ def _core(item: Item) -> object:
 
 
 def _merge(a: Item, b: Item) -> Item:
-    """One item for two of the same core: repeated or optional if either is."""
-    base: Item = a
-    while base[0] and len(base[1]) == 1:
-        base = base[1][0]
-    kinds = set()
+    """One item for two of the same core: repeated or optional if either is, and so are the items inside."""
+    kinds, bodies = set(), []
     for x in (a, b):
         while x[0]:
             kinds.add(x[0])
             if len(x[1]) != 1:
                 break
             x = x[1][0]
-    inner = base[1] if base[0] else (base,)
-    out: Item = ("+", inner) if "+" in kinds else (base if not base[0] else ("", inner))
-    return ("?", (out,)) if "?" in kinds else out
+        bodies.append(x[1] if x[0] else (x,))
+    body = bodies[0] if len(bodies[0]) == 1 else tuple(map(_merge, *bodies))
+    out: Item = ("+", body) if "+" in kinds else body[0] if len(body) == 1 else ("?", body)
+    return ("?", (out,)) if "?" in kinds and out[0] != "?" else out
 
 
 def align(a: tuple[Item, ...], b: tuple[Item, ...]) -> tuple[Item, ...]:
@@ -244,110 +301,217 @@ def parse(form: str) -> tuple[Item, ...]:
     return tuple(stack[0])
 
 
+class Wrapper:
+    """A wrapper as an automaton that names the wrapper's slot of each slot of a page."""
+
+    def __init__(self, form: str):
+        # nodes from the end to the start; a node has a slot name or several ways on; node 0 is the end
+        self._name: list[str | None] = [None]
+        self._next: list[list[int]] = [[]]
+        self._entry = self._build(parse(form), 0)
+        leaves = [i for i, name in enumerate(self._name) if name is not None]
+        self._place = {i: len(leaves) - 1 - at for at, i in enumerate(leaves)}
+        self.names = [self._name[i] for i in reversed(leaves)]      # by place, in page order
+        self._reach: dict[int, frozenset[int]] = {}
+        self._steps: dict[tuple[frozenset[int], str], tuple[list[int], frozenset[int]]] = {}
+
+    def _node(self, name: str | None, *ways: int) -> int:
+        self._name.append(name)
+        self._next.append(list(ways))
+        return len(self._name) - 1
+
+    def _build(self, items: tuple[Item, ...], after: int) -> int:
+        for kind, body in reversed(items):
+            if kind == "?":
+                after = self._node(None, self._build(body, after), after)
+            elif kind == "+":
+                again = self._node(None, after)
+                after = self._build(body, again)
+                self._next[again].insert(0, after)
+            else:
+                after = self._node(body, after) if isinstance(body, str) else self._build(body, after)
+        return after
+
+    def _from(self, node: int) -> frozenset[int]:
+        """Slots, or the end, that may come next at a node."""
+        if node not in self._reach:
+            seen, todo = set(), [node]
+            while todo:
+                i = todo.pop()
+                if i not in seen:
+                    seen.add(i)
+                    if self._name[i] is None:
+                        todo += self._next[i]
+            self._reach[node] = frozenset(i for i in seen if i == 0 or self._name[i] is not None)
+        return self._reach[node]
+
+    def match(self, names: list[str]) -> list[int] | None:
+        """The place in the wrapper of every slot; None if the page is not of the wrapper."""
+        if len(self._steps) > 20_000:
+            self._steps.clear()
+        state, hits = self._from(self._entry), []
+        for name in names:
+            step = self._steps.get((state, name))
+            if step is None:
+                hit = sorted((i for i in state if self._name[i] == name), reverse=True)
+                step = self._steps[state, name] = hit, frozenset(chain.from_iterable(
+                    self._from(self._next[i][0]) for i in hit))
+            hits.append(step[0])
+            state = step[1]
+        at, out = 0, []
+        for hit in reversed(hits):      # from the end, the first place from which the rest can be reached
+            at = next((i for i in hit if at in self._from(self._next[i][0])), -1)
+            if at < 0:
+                return None
+            out.append(self._place[at])
+        return out[::-1] if names or 0 in state else None
+
+
+@lru_cache(maxsize=256)
+def wrapper_of(form: str) -> Wrapper:
+    return Wrapper(form)
+
+
 def form_of(page_slots: list[Slot]) -> str:
-    return show(fold(tuple(("", re.sub(r"[\s()]", "_", s.path) or "_") for s in page_slots)))
+    return show(fold(tuple(("", s.name) for s in page_slots)))
 
 
-def _host(url: str | None) -> str:
-    return (url or "").split("://", 1)[-1].split("/", 1)[0].split("?", 1)[0].lower()
+def _needs_evidence(found: list[Slot]) -> bool:
+    """Whether a page's main text depends on the other pages of its host."""
+    return not any(s.mark == "=" for s in found) or any(s.mark[:1] == "~" for s in found)
 
 
 def page_forms(pages: DataFrame) -> DataFrame:
-    """(host, form, slot, digest, chars, linked): a page's form, once for each slot that may hold main text."""
+    """(host, form, needs) of (host, html)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                all_ = slots(page or "")
-                form, host = form_of(all_), _host(url)
-                rows.append((host, form, None, 0, 0, 0))
-                if not any(s.content for s in all_):  # where an article stands, no other evidence is asked for
-                    rows += [(host, form, s.path, xxhash.xxh3_64_intdigest(s.text) - 2**63, len(s.text), s.linked)
-                             for s in all_ if not s.apart]
-            cols = list(zip(*rows)) if rows else [()] * 6
+            found = [slots(page or "") for page in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()),
-                 *(pa.array(c, pa.int64()) for c in cols[3:])],
-                names=["host", "form", "slot", "digest", "chars", "linked"])
-    return pages.mapInArrow(run, "host string, form string, slot string, digest long, chars long, linked long")
+                [batch.column(0), pa.array(map(form_of, found), pa.string()),
+                 pa.array([bool(x) and _needs_evidence(x) for x in found], pa.bool_())], names=["host", "form", "needs"])
+    return pages.select("host", "html").mapInArrow(run, "host string, form string, needs boolean")
+
 
+WIDTH = 64       # forms that are aligned together
 
-def infer(forms: DataFrame, parts: int = 16) -> DataFrame:
-    """(host, wrapper, n_forms) of (host, form) rows, aligned in parts of a host and then across its parts."""
+
+def infer(forms: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, wrapper, needs) of (host, form, needs): groups of forms are aligned, then the groups' wrappers."""
     def fold_all(t: pa.Table) -> pa.Table:
         wrapper: tuple[Item, ...] | None = None
         for form in sorted(t["form"].to_pylist(), key=lambda f: (len(f), f)):
             wrapper = parse(form) if wrapper is None else align(wrapper, parse(form))
         return pa.table({"host": [t["host"][0].as_py()], "form": [show(wrapper or ())],
-                         "n_forms": [sum(t["n_forms"].to_pylist())]})
-    schema = "host string, form string, n_forms long"
-    part = F.pmod(F.xxhash64("form"), F.lit(parts))
-    first = forms.select("host", "form").distinct().select(
-        "host", "form", F.lit(1).cast("long").alias("n_forms"), part.alias("part")).groupBy("host", "part").applyInArrow(
-        fold_all, schema)
-    return first.groupBy("host").applyInArrow(fold_all, schema).withColumnRenamed("form", "wrapper")
-
-
-def content_slots(evidence: DataFrame) -> DataFrame:
-    """(host, slots): paths that hold main text, for hosts with pages that have no article."""
-    texts = evidence.where("slot is not null").groupBy("host", "slot", "digest").agg(
-        F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.max("linked").alias("linked"))
-    per = texts.groupBy("host", "slot").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"), F.sum("chars").alias("chars"),
-        F.sum("linked").alias("linked"))
-    varied = (F.col("n") < 3) | (2 * F.col("different") > F.col("n"))
-    good = per.where(varied & (2 * F.col("linked") <= F.col("chars")))
-    return good.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "chars"))).alias("slots"))
-
-
-def _chosen(found: list[Slot], wrapper: str | None, paths: list[dict] | None) -> list[str]:
-    """Texts of a page's content slots."""
-    usable = [s for s in found if not s.apart]
-    if any(s.content for s in usable):
-        return [s.text for s in usable if s.content]
-    if wrapper and any(re.search(r"(?:^|[>(\s])(?:article|main)\b", x) for x in wrapper.split()) and not paths:
-        return []                                    # its host keeps main text in an element that this page lacks
-    known = {x["slot"]: x["chars"] for x in paths or []}
+                         "needs": [any(t["needs"].to_pylist())]})
+    level = scratch.put(forms.groupBy("host", "form").agg(F.max("needs").alias("needs")))
+    while True:
+        sizes = level.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 1) == 1:
+            return level.withColumnRenamed("form", "wrapper")
+        part = F.pmod(F.xxhash64("form"), F.ceil(F.col("n") / WIDTH))
+        level = scratch.put(level.join(sizes, "host").withColumn("part", part).groupBy("host", "part").applyInArrow(
+            fold_all, "host string, form string, needs boolean"))
+
+
+def evidence(pages: DataFrame) -> DataFrame:
+    """(host, stats) of (host, html, wrapper): for each slot of the wrapper the pages it is on, its different texts,
+    the pages of its most frequent text, and its characters and linked characters over different texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, page, form in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                found = slots(page or "")
+                if found and _needs_evidence(found):
+                    own = xxhash.xxh3_64_intdigest(page) - 2**63
+                    for s, place in zip(found, wrapper_of(form).match([s.name for s in found]) or ()):
+                        if s.mark in ("", "~", "~="):
+                            rows.append((host, place, xxhash.xxh3_64_intdigest(s.text) - 2**63, own, len(s.text), s.linked))
+            cols = list(zip(*rows)) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
+                names=["host", "place", "digest", "page", "chars", "linked"])
+    seen = pages.select("host", "html", "wrapper").mapInArrow(
+        run, "host string, place long, digest long, page long, chars long, linked long").distinct()
+    texts = seen.groupBy("host", "place", "digest").agg(
+        F.count_distinct("page").alias("n"), F.max("chars").alias("chars"), F.max("linked").alias("linked"))
+    per = texts.groupBy("host", "place").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"), F.max("n").alias("top"),
+        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    return per.groupBy("host").agg(F.sort_array(F.collect_list(  # one entry for each slot of the wrapper at most
+        F.struct("place", "n", "different", "top", "chars", "linked"))).alias("stats"))
+
+
+SHARE = 0.6      # of the varying text that the container of the main text holds
+
+
+def _container(mass: dict[str, int]) -> str:
+    """The deepest element that holds SHARE of the characters, of characters by path."""
+    total, held = sum(mass.values()), {"": 0}
+    for path, chars in mass.items():
+        names = path.split(">")
+        if re.split(r"[.]", names[-1], maxsplit=1)[0] not in HOLDERS:
+            names.pop()
+        for i in range(1, len(names) + 1):
+            held[">".join(names[:i])] = held.get(">".join(names[:i]), 0) + chars
+    deep = [x for x, chars in held.items() if x and chars >= SHARE * total]
+    return max(sorted(deep), key=lambda x: x.count(">"), default="")
+
+
+@lru_cache(maxsize=256)
+def main_places(form: str, stats: tuple[tuple[int, ...], ...]) -> tuple[frozenset[int], frozenset[int]]:
+    """Places of a wrapper that hold main text: of pages with an article or main element, and of the others."""
+    names = wrapper_of(form).names
+    listed = {place for place, _, _, _, chars, linked in stats if 2 * linked > chars}
+    article = frozenset(i for i, x in enumerate(names) if x[:1] == "=" or (x[:2] == "~=" and i not in listed))
+    path = {place: names[place].lstrip("~").removeprefix("_") for place, *_ in stats
+            if names[place][:2] != "~=" and not (names[place][:1] == "~" and place in listed)}
+    varying = {place: chars for place, n, different, _, chars, _ in stats
+               if place in path and place not in listed and (different > 1 or n == 1)}
+    varying = varying or {place: chars for place, _, _, _, chars, _ in stats if place in path and place not in listed}
     mass: dict[str, int] = {}
-    for path, chars in known.items():                # text by the container of the slot
-        mass[path.rpartition(">")[0]] = mass.get(path.rpartition(">")[0], 0) + chars
-    if not mass:
-        return [s.text for s in usable if 2 * s.linked <= len(s.text)]
-    top = max(sorted(mass), key=mass.get)
-    return [s.text for s in usable if s.path in known and (s.path == top or s.path.startswith(top + ">") or not top)]
+    for place, chars in varying.items():
+        mass[path[place]] = mass.get(path[place], 0) + chars
+    inside = _container(mass)
+    held = {i for i, x in path.items() if not inside or x == inside or x.startswith(inside + ">")}
+    same = {place for place, n, _, top, _, _ in stats if n >= 3 and 2 * top > n}
+    body = [i for i in held if i in varying and i not in same] or [i for i in held if i in varying]
+    frame = {i for i in held if body and not min(body) <= i <= max(body) and (
+        i in listed or (i in same and re.split("[.]", path[i].rpartition(">")[2])[0] not in HEADINGS))}
+    return article, frozenset(held - frame)
+
+
+def chosen(found: list[Slot], form: str, stats: tuple[tuple[int, ...], ...]) -> list[str]:
+    """Texts of a page's slots that match slots of main text in its host's wrapper."""
+    places = wrapper_of(form).match([s.name for s in found]) or []
+    article, other = main_places(form, stats)
+    return ([s.text for s, i in zip(found, places) if i in article]
+            or [s.text for s, i in zip(found, places) if i in other])
 
 
-BROADCAST_BYTES = 32 << 20
+def _host_of(url):
+    rest = F.coalesce(F.element_at(F.split(url, "://", 2), -1), F.lit(""))
+    return F.lower(F.regexp_extract(rest, r"^[^/?]*", 0))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text, wrapper."""
     scratch = Scratch(pages.sparkSession, "wrappers")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    seen = scratch.put(page_forms(rows.select("url", "html")).groupBy(
-        "host", "form", "slot", "digest").agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"),
-                                              F.max("linked").alias("linked")))
-    per_slot = seen.select("host", "slot", "digest", "chars", "linked", F.explode(
-        F.array_repeat(F.lit(1), F.least("n", F.lit(3)).cast("int"))).alias("one"))
-    wrappers = scratch.put(infer(seen).join(content_slots(per_slot), "host", "left"))
-    size = wrappers.agg(F.coalesce(F.sum(
-        F.octet_length("host") + F.octet_length("wrapper") + 64
-        + 64 * F.coalesce(F.size("slots"), F.lit(0))), F.lit(0))).first()[0]
-
-    def host_of(url):
-        rest = F.coalesce(F.element_at(F.split(url, "://", 2), -1), F.lit(""))
-        return F.lower(F.regexp_extract(rest, r"^[^/?]*", 0))
-
-    known = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
-    joined = rows.withColumn("host", host_of(F.col("url"))).join(known, "host", "left")
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
+                        _host_of(F.col(url_col)).alias("host"))
+    wrappers = infer(page_forms(rows), scratch)
+    unsure = wrappers.where("needs").select("host", "wrapper", F.lit(True).alias("needed"))
+    asked = lookup_join(rows.select("host", "html"), unsure, "host").where("needed")
+    known = scratch.put(wrappers.select("host", "wrapper").join(scratch.put(evidence(asked)), "host", "left"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ["\n".join(_chosen(slots(page), wrapper, paths)) if page else "" for page, wrapper, paths in zip(
-                *(batch.column(c).to_pylist() for c in ("html", "wrapper", "slots")))]
+            texts = []
+            for page, form, stats in zip(*(batch.column(c).to_pylist() for c in ("html", "wrapper", "stats"))):
+                stats = tuple(tuple(x.values()) for x in stats or ())
+                texts.append("\n".join(chosen(slots(page), form, stats)) if page else "")
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                               batch.column("wrapper")], names=["page_id", "url", "text", "wrapper"])
-    return joined.select("page_id", "url", "html", "wrapper", "slots").mapInArrow(
+    return lookup_join(rows, known, "host").select("page_id", "url", "html", "wrapper", "stats").mapInArrow(
         run, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, wrapper string")
 
 
