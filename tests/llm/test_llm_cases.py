@@ -181,6 +181,24 @@ def test_language_cases(spark, docs, none):
     assert {r.lang_pred for r in byte_cnn.classify(docs.select("doc_id", "text"), w, langs, p).collect()} == {"und"}
 
 
+def test_training_windows_come_from_the_whole_text():
+    p = byte_cnn.ByteCnn(window=16, train_windows=4)
+    text = b"".join(b"%016d" % i for i in range(1000)) + b"short end"
+    got = [int(bytes(w)) for w in byte_cnn.picked_windows(text, p)]
+    assert len(got) == 4 and got == sorted(got) and got[-1] > 100
+    assert byte_cnn.picked_windows(b"ab", p).tolist() == [[97, 98] + [0] * 14]
+
+
+def test_language_score_is_a_mean_over_windows(spark):
+    p = byte_cnn.ByteCnn(steps=60, window=32)
+    rows = [(f"the cat {i} and the dog went to the house with a hat", "en") for i in range(20)]
+    rows += [(f"le chat {i} est dans la maison avec un chien et du lait", "fr") for i in range(20)]
+    w, langs = byte_cnn.fit(spark.createDataFrame(rows, "text string, lang string"), p)
+    mixed = " ".join([rows[0][0]] * 60 + [rows[30][0]] * 40)
+    r, = byte_cnn.classify(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), w, langs, p).collect()
+    assert r.lang_pred == "en" and 0.4 < r.score < 0.8
+
+
 def test_network_gradients():
     p = byte_cnn.ByteCnn(window=12, embed=3, filters=4, widths=(2, 3))
     rng = np.random.default_rng(3)

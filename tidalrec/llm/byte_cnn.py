@@ -2,11 +2,13 @@
 
 Bytes are embedded, filters of several widths run over fixed-length windows,
 each filter keeps its maximum, and a softmax layer names the language.  The
-network is written and trained in numpy, on windows of at most
-``train_docs`` labelled documents per language, picked by a keyed hash; this
-bound is the only place where rows are left out, and only for fitting.  Every
-window of every text is then classified in batches and a document's windows
-are averaged by their logarithms.
+network is written and trained in numpy, on at most ``train_windows`` windows of
+each of at most ``train_docs`` labelled documents per language.  Both are picked
+by keyed hashes, documents over the whole table and windows over the whole text;
+these bounds are the only places where rows or windows are left out, and only for
+fitting.  Every window of every text is then classified in batches; a document's
+language has the greatest sum of its windows' log probabilities, and its score is
+the mean of the windows' probabilities of that language.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 rows with a null label are not learnt from; with no labelled row every text is
@@ -21,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidalrec.llm.common import load
+from tidalrec.llm.common import load, mix64
 
 
 @dataclass(frozen=True)
@@ -56,6 +59,17 @@ def windows_of(text: bytes, size: int) -> np.ndarray:
     return out.reshape(n, size)
 
 
+def picked_windows(text: bytes, p: ByteCnn) -> np.ndarray:
+    """At most ``train_windows`` windows of a text, those of the least hashes of text, seed and place.
+
+    A short end is left out where there are whole windows.
+    """
+    n = max(1, len(text) // p.window)
+    key = np.uint64(xxhash.xxh3_64_intdigest(text, p.seed))
+    at = np.sort(np.argsort(mix64(np.arange(n, dtype=np.uint64) + key), kind="stable")[:p.train_windows])
+    return np.concatenate([windows_of(text[i * p.window:(i + 1) * p.window], p.window) for i in at])
+
+
 def init(p: ByteCnn, n_classes: int) -> Weights:
     rng = np.random.default_rng(p.seed)
     w: Weights = {"E": rng.normal(0, 0.5, (256, p.embed)).astype(np.float32)}
@@ -137,29 +151,35 @@ def fit(rows: DataFrame, p: ByteCnn) -> tuple[Weights | None, list[str]]:
 
     Equal texts of a language count once.  A first pass counts its different
     texts, a second keeps those whose hash falls below a threshold that lets
-    about twice ``train_docs`` through, so no task or driver gets more.
+    about twice ``train_docs`` through; the picked windows of these are what
+    reaches the driver.
     """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [picked_windows(t.encode(), p).tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.binary())],
+                                             names=["lang", "h", "windows"])
+
     keyed = rows.where("lang is not null and text is not null").select(
         "lang", "text", F.xxhash64("text", F.lit(p.seed)).alias("h"))
     counts = keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
     share = F.shiftrightunsigned("h", 1) / F.lit(2.0**63)
-    text = F.substring(F.col("text"), 1, p.window * p.train_windows * 4)  # what the training windows can hold
-    some = keyed.join(F.broadcast(counts), "lang").where(share * F.col("n") < 2 * p.train_docs).groupBy("lang", "h").agg(
-        F.min(text).alias("text")).toPandas()
+    few = keyed.join(F.broadcast(counts), "lang").where(share * F.col("n") < 2 * p.train_docs)
+    some = few.select("lang", "h", "text").mapInArrow(cut, "lang string, h long, windows binary").groupBy("lang", "h").agg(
+        F.min("windows").alias("windows")).toPandas()
     some = some.sort_values(["lang", "h"]).groupby("lang").head(p.train_docs)
     langs = sorted(some["lang"].unique())
     if not langs:
         return None, []
     x, y = [], []
-    for lang, t in zip(some["lang"], some["text"]):
-        win = windows_of(t.encode(), p.window)
-        x.append(win[:max(1, min(len(win) - 1, p.train_windows))])
+    for lang, kept in zip(some["lang"], some["windows"]):
+        x.append(np.frombuffer(kept, np.uint8).reshape(-1, p.window))
         y += [langs.index(lang)] * len(x[-1])
     return train(np.concatenate(x), np.array(y), len(langs), p), langs
 
 
 def classify(docs: DataFrame, weights: Weights | None, langs: list[str], p: ByteCnn) -> DataFrame:
-    """(doc_id, lang_pred, score) of rows (doc_id, text); score is the mean window probability's share."""
+    """(doc_id, lang_pred, score) of rows (doc_id, text); score is the mean probability over the windows."""
     model = docs.sparkSession.sparkContext.broadcast(weights)  # a few 10 KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,13 +187,17 @@ def classify(docs: DataFrame, weights: Weights | None, langs: list[str], p: Byte
         for batch in batches:
             pred = [UNKNOWN] * batch.num_rows
             score = [0.0] * batch.num_rows
-            sums = np.zeros((batch.num_rows, max(1, len(langs))))
+            sums, shares = np.zeros((2, batch.num_rows, max(1, len(langs))))
+            n_windows = np.zeros(batch.num_rows)
             todo, owner, count = [], [], 0
 
             def flush() -> None:
                 nonlocal todo, owner, count
                 if todo:
-                    np.add.at(sums, np.concatenate(owner), forward(w, p, np.concatenate(todo))[0])
+                    logp, at = forward(w, p, np.concatenate(todo))[0], np.concatenate(owner)
+                    np.add.at(sums, at, logp)
+                    np.add.at(shares, at, np.exp(logp))
+                    np.add.at(n_windows, at, 1)
                 todo, owner, count = [], [], 0
 
             usable = np.zeros(batch.num_rows, bool)
@@ -194,9 +218,8 @@ def classify(docs: DataFrame, weights: Weights | None, langs: list[str], p: Byte
                         flush()
             flush()
             for i in np.flatnonzero(usable):
-                z = sums[i] - sums[i].max()
-                q = np.exp(z)
-                pred[i], score[i] = langs[int(q.argmax())], float(q.max() / q.sum())
+                best = int(sums[i].argmax())
+                pred[i], score[i] = langs[best], min(1.0, float(shares[i, best] / n_windows[i]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(pred), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
