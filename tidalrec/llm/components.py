@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidalrec.llm.common import Scratch, sieve
+from tidalrec.operators.skew import lookup_join
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -77,7 +78,8 @@ def least_ids(found: DataFrame, classes: DataFrame, several: bool) -> DataFrame:
 
 
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], near,
-                 scratch: Scratch, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                 scratch: Scratch, across: Callable[[DataFrame], DataFrame] | None = None,
+                 crowded: Callable[[DataFrame], DataFrame] | None = None, crowd: int = 64) -> DataFrame:
     """Components of the links among ids that share a bucket key; (id, component).
 
     ``members`` has key, id, home (true if the id is stored under the key, false
@@ -91,7 +93,9 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], n
     no link that could change the result is left out, and pairs within a group
     of copies are never made.  ``across`` makes these pairs from the members
     (key, id, home, component and the others) where it knows a better way than
-    all pairs of a bucket.
+    all pairs of a bucket.  ``crowded``, if given, gets the members of buckets of
+    more than ``crowd`` members, whose pairs are not made, and returns links (a, b)
+    that connect whatever is linked there.
     """
     full = members.groupBy("key").agg(
         F.min(F.when(F.col("home"), F.col("id"))).alias("centre"), F.max("id").alias("top"), F.min("id").alias("low")
@@ -110,6 +114,12 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], n
     named = members.drop("centre").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     named = scratch.put(named.join(mixed.select("key"), "key", "left_semi"))
+    dense = None
+    if crowded is not None:
+        full = scratch.put(named.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd))
+        marked = lookup_join(named, full, "key")
+        dense = scratch.put(crowded(marked.where("n is not null")))
+        named = marked.where("n is null").drop("n")
     if across is None:
         x, y = named.where("home").alias("x"), named.alias("y")
         rest = x.join(y, F.col("x.key") == F.col("y.key")).where(
@@ -118,8 +128,8 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], n
             F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     else:
         rest = across(named)
-    more = scratch.put(verify(scratch.put(rest.join(pairs, ["a", "b"], "left_anti"))))
-    scratch.drop(members, named)
+    more = verify(scratch.put(rest.join(pairs, ["a", "b"], "left_anti")))
+    more = scratch.put(more if dense is None else more.union(dense))
     # components of components: the links found second join the ids' first components
     joined = more.join(first.withColumnRenamed("id", "a").withColumnRenamed("component", "ca"), "a", "left").join(
         first.withColumnRenamed("id", "b").withColumnRenamed("component", "cb"), "b", "left").select(

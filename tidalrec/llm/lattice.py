@@ -10,6 +10,12 @@ closer pairs are missed less.  A 64-bit sign sketch rules most strangers out
 before their vectors are fetched; every link is verified by the cosine in double
 precision.
 
+A cell's vectors are first compared with its centre.  Cells that this leaves in
+several components are compared pair by pair if they have at most ``crowd``
+members; larger ones are cut into blocks that meet as matrix products, from
+which no pairs leave the task but the edges of a spanning forest of its links, so
+a cell of any size, linked or not, gives rows in proportion to its members.
+
 The number of links of each vector is counted inside the components found, by
 blocks of ``block`` vectors against each other: matrix products whose counts,
 not pairs, leave the task.
@@ -34,6 +40,7 @@ from pyspark.sql import functions as F
 
 from tidalrec.llm.common import Scratch, load, mix64
 from tidalrec.llm.components import least_ids, link_buckets, with_keys
+from tidalrec.operators.skew import lookup_join
 
 
 @dataclass(frozen=True)
@@ -44,6 +51,7 @@ class LatticeLinks:
     scale: float = 1.0
     sketch_distance: int = 22   # of 64 sign bits; a pair of cosine 0.95 differs in 6.5 on average, 2.4 deviation
     block: int = 1024
+    crowd: int = 64             # members up to which a cell's pairs are made
     seed: int = 2
 
 
@@ -144,6 +152,52 @@ def _link_counts(table: pa.Table, p: LatticeLinks) -> pa.Table:
     return pa.table({"id": ids, "n": n})
 
 
+def _forest(near: np.ndarray) -> np.ndarray:
+    """For a boolean matrix of links between rows and columns, the least node each one reaches.
+
+    Nodes are the rows and behind them the columns; a node without links reaches itself.
+    """
+    rows, cols = near.shape
+    least = np.arange(rows + cols)
+    linked_r, linked_c = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    near = near[np.ix_(linked_r, linked_c)]
+    if not near.size:
+        return least
+    none = rows + cols
+    while True:
+        r, c = least[linked_r], least[rows + linked_c]
+        new_c = np.minimum(c, np.where(near, r[:, None], none).min(axis=0))
+        new_r = np.minimum(r, np.where(near, new_c[None], none).min(axis=1))
+        if (new_r == r).all() and (new_c == c).all():
+            return least
+        least[linked_r], least[rows + linked_c] = new_r, new_c
+
+
+def _block_links(table: pa.Table, p: LatticeLinks) -> pa.Table:
+    """(a, b): a spanning forest of the links between stored (home) and all members of two blocks of a cell."""
+    ids, home = table["id"].to_numpy(), table["home"].to_numpy(zero_copy_only=False)
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for rows, v in _matrix(table["v"].combine_chunks()):
+        u, own = unit_rows(v), home[rows]
+        if own.any() and not own.all():
+            node = np.concatenate([ids[rows[own]], ids[rows[~own]]])
+            root = node[_forest(u[own] @ u[~own].T >= p.cosine)]
+            a.append(np.minimum(node, root)[node != root])
+            b.append(np.maximum(node, root)[node != root])
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def crowded_links(members: DataFrame, classes: DataFrame, p: LatticeLinks) -> DataFrame:
+    """(a, b) that connect all links of the members (key, id, home, n) of large cells; classes has id, v."""
+    with_v = members.join(classes.select("id", "v"), "id").withColumn(
+        "blocks", F.ceil(F.col("n") / p.block)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    stored = with_v.where("home").select("key", F.col("own").alias("i"), each.alias("j"), "id", "home", "v")
+    every = with_v.select("key", each.alias("i"), F.col("own").alias("j"), "id", F.lit(False).alias("home"), "v")
+    return stored.union(every).groupBy("key", "i", "j").applyInArrow(
+        lambda t: _block_links(t, p), "a long, b long").distinct()
+
+
 def near_vectors(vectors: DataFrame, p: LatticeLinks = LatticeLinks(), id_col: str = "vec_id",
                  vector_col: str = "embedding") -> DataFrame:
     """One row per input row: id, n_links, component_id (least id reachable), kept."""
@@ -172,13 +226,14 @@ def near_vectors(vectors: DataFrame, p: LatticeLinks = LatticeLinks(), id_col: s
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
         own = classes.select(F.col("id").alias("a"), F.col("v").alias("va"))
         other = classes.select(F.col("id").alias("b"), F.col("v").alias("vb"))
-        return pairs.join(own, "a").join(other, "b").select("a", "b", "va", "vb").mapInArrow(
+        return lookup_join(lookup_join(pairs, own, "a"), other, "b").select("a", "b", "va", "vb").mapInArrow(
             run, "a long, b long").distinct()
 
     def near(x, y):
         return F.bit_count(x("sketch").bitwiseXOR(y("sketch"))) <= p.sketch_distance
 
-    found = link_buckets(bucket_rows(classes.select("id", "v"), p), verify, near, scratch)
+    found = link_buckets(bucket_rows(classes.select("id", "v"), p), verify, near, scratch,
+                         crowded=lambda members: crowded_links(members, classes, p), crowd=p.crowd)
 
     sizes = found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks"))
     linked = found.join(sizes, "component").join(classes.select("id", "copies", "v"), "id").withColumn(
