@@ -81,3 +81,26 @@ def test_bounded_batched_scan_and_text_source(spark, tmp_path):
     raw = TB.read_delimited(spark, str(p), ["user_id", "gender", "age", "occupation", "zip"])
     rows = sorted(raw.collect())
     assert rows[0].zip == "12345" and rows[1].age == "é" and rows[1].zip is None
+
+
+def test_numbering_leaves_no_storage_and_keeps_the_callers(spark):
+    stored = lambda: set(spark.sparkContext._jsc.getPersistentRDDs().keySet().toArray())
+    mine = spark.range(100).withColumn("g", F.col("id") % 3).persist()
+    assert mine.count() == 100
+    before = stored()
+    for known in (None, 100):
+        got = N.number_rows(mine, [F.col("id")], ["g"], known_rows=known, force_distributed=True)
+        assert got.agg(F.max("rn")).first()[0] == 34
+        assert mine.storageLevel.useMemory
+    fresh = spark.range(50).withColumn("h", F.col("id") % 2)
+    assert N.number_rows(fresh, [F.col("id")], force_distributed=True).count() == 50
+    assert stored() == before
+    mine.unpersist()
+
+
+def test_ids_that_share_a_key_are_rejected(spark):
+    from tidalrec.operators.store import check_unique
+    assert check_unique(spark.createDataFrame([("a",), (None,)], "i string"), "i") == 2
+    for rows in ([(None,), ("None",)], [(None,), (None,)], [("a",), ("a",)]):
+        with pytest.raises(ValueError):
+            check_unique(spark.createDataFrame(rows, "i string"), "i")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidalrec.session import cut_lineage
+from tidalrec.session import cut_costly_lineage, is_stored
 
 # Up to this many rows a plain window numbers the rows (one task per group is
 # cheap at this size); above it the range-partitioned path is used.
@@ -42,12 +42,16 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
     ``few_groups`` lets the per-(partition, group) offset table be broadcast;
     its size is bounded by #groups x #partitions, so only set it when the
     number of groups is bounded (e.g. one group per vocabulary column).
+    Without ``known_rows`` the rows are cached to be counted; up to SMALL_ROWS
+    rows the result is read from that cache, which Spark drops when it needs the room.
     """
     spark = df.sparkSession
     group_by = list(group_by)
     order_cols = _as_cols(order_by)
-    if known_rows is None:
+    own_cache = known_rows is None and not is_stored(df)
+    if own_cache:
         df = df.persist()
+    if known_rows is None:
         known_rows = df.count()
     if not force_distributed and known_rows <= SMALL_ROWS:
         w = Window.partitionBy(*group_by).orderBy(*order_cols)
@@ -59,8 +63,9 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | tuple = (),
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged.persist())
-    df.unpersist()
+    ranged = cut_costly_lineage(ranged)
+    if own_cache:  # a cache of the caller's stays
+        df.unpersist()
     stats = ranged.groupBy("_pid", *group_by).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(*group_by).orderBy("_pid").rowsBetween(

@@ -19,10 +19,12 @@ from tidalrec.operators.vocab import Encoders, encode_table
 
 
 def check_unique(df: DataFrame, id_col: str) -> int:
-    """Row count of the entity table; raises when an id repeats (one aggregate)."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(id_col)).alias("d"),
-               F.count_if(F.col(id_col).isNull()).alias("z")).first()
-    if r["n"] != r["d"] + r["z"] or r["z"] > 1:
+    """Row count of the entity table; raises when two ids share a lookup key (one aggregate).
+
+    Keys are texts, so a missing id and the text 'None' can't stand side by side.
+    """
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(as_key(id_col)).alias("d")).first()
+    if r["n"] != r["d"]:
         raise ValueError(f"duplicate id in entity table column {id_col!r}")
     return int(r["n"])
 

@@ -1168,8 +1168,8 @@ def run_training(spark, sf, cfg: TRN.TrainConfig, init: TRN.ModelState | None =
 
 
 def cut_lineage_rows(df):
-    from tidalrec.session import cut_lineage
-    return cut_lineage(df.persist())
+    from tidalrec.session import cut_costly_lineage
+    return cut_costly_lineage(df)
 
 
 def _report_df(spark, report):

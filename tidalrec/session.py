@@ -64,3 +64,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_costly_lineage(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` of rows too costly to compute twice: cached while they are written, released after.
+
+    A cache that the caller holds on ``df`` stays.
+    """
+    if is_stored(df):
+        return cut_lineage(df)
+    held = df.persist()
+    try:
+        return cut_lineage(held)
+    finally:
+        held.unpersist()
+
+
+def is_stored(df: DataFrame) -> bool:
+    level = df.storageLevel
+    return level.useMemory or level.useDisk
