@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tidalrec.functions.columns import as_key, lenient_double
 from tidalrec.operators.numbering import number_rows
 from tidalrec.operators.skew import left_join_skew_safe, lookup_join
+from tidalrec.session import cut_costly_lineage
 
 # Dictionaries up to this many values per column are broadcast when encoding;
 # larger ones (id columns) go through a shuffle join.
@@ -63,6 +64,7 @@ def fit_vocabulary(counts: DataFrame, min_counts: dict[str, int]) -> DataFrame:
     """Number head values per column; mark tail values.  ``min_counts`` must name
     every column present in ``counts``."""
     spark = counts.sparkSession
+    counts = cut_costly_lineage(counts)  # a row per value; head, tail and every reader of the dictionary would count anew
     thr = F.broadcast(_thresholds(spark, min_counts))  # one row per column
     j = counts.join(thr, "column", "inner").withColumn(
         "is_tail", F.col("cnt") < F.greatest(F.col("min_count"), F.lit(1)))
