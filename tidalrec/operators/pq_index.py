@@ -32,6 +32,8 @@ from tidalrec.session import cut_lineage
 
 FIT_ROWS = 65_536
 WORDS = 256
+CODE_ROWS = 16_384  # rows of a block of codes
+FIT_STEP = 4_096  # rows that a fit compares with its centres at once
 INNER = 1 << 20  # an inner cell's id is outer * INNER + inner
 
 
@@ -53,7 +55,8 @@ def lloyd(x: np.ndarray, k: int, seed: int, spherical: bool, rounds: int = 12) -
         return x
     c = x[np.sort(np.random.default_rng(seed).choice(len(x), k, replace=False))]
     for _ in range(rounds):
-        near = np.argmax(x @ c.T - (0 if spherical else 0.5 * (c * c).sum(1)), axis=1)
+        less = 0 if spherical else 0.5 * (c * c).sum(1)
+        near = np.concatenate([np.argmax(x[at:at + FIT_STEP] @ c.T - less, axis=1) for at in range(0, len(x), FIT_STEP)])
         n = np.bincount(near, minlength=k)
         total = np.zeros_like(c)
         np.add.at(total, near, x)
@@ -151,7 +154,7 @@ def _code_lists(probes: DataFrame, index: PQIndex, take: int) -> DataFrame:
     items = index.codes
     nq = probes.groupBy("cell").agg(F.count("vec").alias("rows"))
     ni = items.groupBy("cell").agg(F.count("code").alias("rows"))
-    per_block = F.lit(VS.SCORE_BYTES // (8 * VS.QUERY_CHUNK))
+    per_block = F.lit(CODE_ROWS)
     sizes = F.broadcast(nq.select("cell", VS._n_blocks(F.col("rows"), F.lit(VS.QUERY_CHUNK)).alias("n_q")).join(
         ni.select("cell", VS._n_blocks(F.col("rows"), per_block).alias("n_i")), "cell"))  # a row per cell, sqrt(n) at most
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -172,7 +175,7 @@ def _code_lists(probes: DataFrame, index: PQIndex, take: int) -> DataFrame:
             qids, ids = np.asarray(side[0].ids, np.int64), np.asarray(side[1].ids, np.int64)
             codes = np.frombuffer(b"".join(side[1].codes), np.uint8).reshape(len(ids), -1)
             qm = np.asarray(side[0].flat, np.float64).reshape(len(qids), -1)
-            step = max(1, min(VS.QUERY_CHUNK, VS.SCORE_BYTES // (8 * len(ids))))
+            step = max(1, VS.SCORE_BYTES // (8 * len(ids)))
             width = words.shape[2]
             for at in range(0, len(qids), step):
                 part = qm[at:at + step]
