@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import functools
 import json
-import re
 import sys
 import zlib
 from array import array
@@ -30,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,15 +41,16 @@ class Packing:
     capacity: int = 1024
     tokenizer: str | None = None  # path of a tokenizers file; None: public byte_bpe_50k.json
     end_id: int = 2
-    cache_words: int = 1_000_000    # chunks kept by a worker; only memory and speed depend on it
+    cache_words: int = 300_000      # chunks kept by a worker; only memory and speed depend on it
 
 
 class ChunkCachingTokenizer:
     """Little-endian uint32 token ids of texts, as the plain call of the tokenizer gives them.
 
-    A byte-level tokenizer that splits by its own pattern never merges across a space
-    that a visible character follows: that space opens a pretoken.  So a text is cut
-    there, frequent chunks are looked up, and only others go through ``tokenizers``.
+    A byte-level tokenizer that splits by its own pattern never merges across the places
+    found by ``_starts``, where a pretoken begins whatever stands around it.  So a group of
+    texts is cut there, Arrow numbers its distinct chunks, frequent ones are looked up, and
+    only others go through ``tokenizers``; ids are laid out by the numbers.
     Texts that hold an added token, and tokenizers of another kind, take the plain call.
     """
 
@@ -62,41 +63,101 @@ class ChunkCachingTokenizer:
         self._cuts = (not told.get("normalizer") and kind.get("type") == "ByteLevel" and kind.get("use_regex", True)
                       and not kind.get("add_prefix_space"))
         self._added = [t["content"] for t in told.get("added_tokens", [])]
-        # chunks without their space; when ``_young`` is full it becomes ``_old``, from which what is met again returns
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        # when ``_young`` is full it becomes ``_old``, from which what is met again returns
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
         self._most = max(1, most // 2)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [_little_endian(e.ids) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of each text; what ``tokenizers`` returns is far larger than they are, so only some of it is held at once."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), _TOKENIZED_AT_ONCE):
+            out += [_little_endian(e.ids) for e in self._tok.encode_batch_fast(
+                texts[at:at + _TOKENIZED_AT_ONCE], add_special_tokens=False)]
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; what is new in any of them goes through the tokenizer at once."""
+    def _looked_up(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks."""
         if len(self._young) > self._most:
             self._young, self._old = {}, self._young
         known, old = self._young, self._old
-        plain = [not self._cuts or any(t in x for t in self._added) for x in texts]
-        split = [None if p else x.split(" ") if not _LOOSE_SPACE(x) else _CUT(x) for x, p in zip(texts, plain)]
-        heads = [s[0] for s in split if s]
-        new = []
-        for w in set().union(*(s[1:] for s in split if s)):
-            if w not in known:
-                if w in old:
-                    known[w] = old[w]
-                else:
-                    new.append(w)
-        fresh = self._ids(heads + [" " + w for w in new])
-        head = iter(fresh)
-        known.update(zip(new, fresh[len(heads):]))
-        out = [self._whole(x) if s is None else b"".join([next(head), *map(known.__getitem__, s[1:])])
-               for x, s in zip(texts, split)]
-        for w in new:  # long chunks, such as texts without spaces, are not worth their memory
-            if len(w) > 64:
-                del known[w]
+        out = list(map(known.get, chunks))
+        missing = []
+        for at in [at for at, ids in enumerate(out) if ids is None]:
+            w = chunks[at]
+            ids = old.get(w)
+            if ids is None:
+                missing.append(at)
+            else:
+                out[at] = known[w] = ids
+        for at, ids in zip(missing, self._ids([chunks[at].decode() for at in missing])):
+            out[at] = ids
+            if len(chunks[at]) <= 64:  # longer ones, such as texts without spaces, are not worth their memory
+                known[chunks[at]] = ids
         return out
 
-    def _whole(self, text: str) -> bytes:
-        return _little_endian(self._tok.encode(text, add_special_tokens=False).ids)
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (large_binary, no nulls); what is new in any of them goes through the tokenizer at once."""
+        plain = np.full(len(texts), not self._cuts)
+        for token in self._added:
+            plain |= pc.match_substring(texts, token.encode()).to_numpy(zero_copy_only=False)
+        whole = {at: self._ids([texts[at].as_py().decode()])[0] for at in np.flatnonzero(plain).tolist()}
+        cut = texts.filter(pa.array(~plain)) if whole else texts
+        if not len(cut):
+            return [whole[at] for at in range(len(texts))]
+        _, offsets, data = cut.buffers()
+        ends = np.frombuffer(offsets, np.int64)[cut.offset:cut.offset + len(cut) + 1]
+        raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data else np.empty(0, np.uint8)
+        ends = ends - ends[0]
+        at = _starts(raw, ends)
+        numbered = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(raw))), pa.py_buffer(raw)]).dictionary_encode()
+        chunk = numbered.indices.to_numpy()
+        blobs = self._looked_up(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(blobs), "<u4")
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        size = sizes[chunk]
+        stops = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[chunk] - stops[:-1], size) + np.arange(stops[-1])].tobytes()
+        bounds = (4 * stops[np.searchsorted(at, ends)]).tolist()
+        told = iter([ids[a:b] for a, b in zip(bounds, bounds[1:])])
+        return [whole[n] if n in whole else next(told) for n in range(len(texts))]
+
+
+_TOKENIZED_AT_ONCE = 20_000  # chunks
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
+_OPENS = _VISIBLE.copy()    # bytes that begin a visible character, if not one of _BLANK
+_OPENS[0xC2:0xF5] = True
+_NAME = np.zeros(256, bool)
+_NAME[[*b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
+_MARK = _VISIBLE & ~_NAME
+_MARK[ord("'")] = False     # may open a contraction
+_BLANK = ((0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80))  # first bytes of all other spaces
+
+
+def _starts(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the chunks of texts begin, given their bytes one after the other and their bounds.
+
+    Before a space that a visible character follows; before a mark after a letter or digit; around a
+    single line break between visible characters.  The tokenizer's pattern opens a pretoken at each.
+    """
+    n = len(raw)
+    if not n:
+        return np.empty(0, np.int64)
+    visible = _VISIBLE[raw]
+    cut = np.zeros(n, bool)
+    space, opens = raw[:-1] == 0x20, _OPENS[raw[1:]]
+    for first, second in _BLANK:
+        opens[:-1] &= ~((raw[1:-1] == first) & (raw[2:] == second))
+    cut[:-1] = space & opens
+    cut[ends[1:][ends[1:] > 0] - 1] = False     # what follows is another text
+    cut[1:] |= _NAME[raw[:-1]] & _MARK[raw[1:]]
+    broken = (raw[1:] == 0x0A) & visible[:-1]
+    cut[1:] |= broken
+    cut[2:] |= broken[:-1] & visible[2:]
+    cut[ends[:-1][ends[:-1] < n]] = True
+    return np.flatnonzero(cut)
 
 
 def _little_endian(ids: list[int]) -> bytes:
@@ -106,21 +167,13 @@ def _little_endian(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-_LOOSE_SPACE = re.compile(r" (?:\s|\Z)").search
-_CUT = re.compile(r" (?=\S)").split
-
-
-def _encoded(tok: ChunkCachingTokenizer, texts: pa.Array, chars: int = 1 << 20) -> Iterator[bytes]:
-    """The ids of each text, taken together up to about ``chars`` characters."""
-    group, size = [], 0
-    for text in texts:
-        text = text.as_py() or ""
-        group.append(text)
-        size += len(text)
-        if size >= chars:
-            yield from tok.encode(group)
-            group, size = [], 0
-    yield from tok.encode(group)
+def _encoded(tok: ChunkCachingTokenizer, texts: pa.Array, chars: int = 1 << 21) -> Iterator[bytes]:
+    """The ids of each text, taken together up to about ``chars`` bytes; a longer one alone or with those before it."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    group = np.cumsum(pc.binary_length(texts).to_numpy()) // chars
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield from tok.encode(texts.slice(a, b - a))
 
 
 @functools.lru_cache(maxsize=4)
