@@ -44,6 +44,22 @@ def test_four_tables_and_the_rest(spark, tmp_path):
         ("users", "age is not a number"), ("items", "no item id"), ("ratings", "wrong number of fields")}
 
 
+def test_lines_are_parsed_once(spark, tmp_path):
+    users = _lines(spark, tmp_path / "u", ["1::F::25::3::123", "2::M::old::3::123"], ["user_id", "gender", "age", "occupation", "zip"])
+    items = _lines(spark, tmp_path / "i", ["10::A (1999)::Drama", "::B::Drama"], ["item_id", "title", "genres"])
+    # a rejected line's other fields are never converted: this time is beyond what a timestamp holds
+    ratings = _lines(spark, tmp_path / "r", ["1::10::1::0", "1::10::2::864000", "1::10::x::9223372036854775807", "1::10"],
+                     ["user_id", "item_id", "rating", "timestamp"])
+    out = PR.prepare_all(users, items, ratings)
+    for table in (out.users, out.items, out.train, out.val, out.rejected):
+        assert not any(f"{tmp_path}/" in f for f in table.inputFiles())   # none goes back to the raw text
+    assert out.train.collect() == [("1", "10", 1.0, "1970-01-01")] and out.val.collect() == [("1", "10", 2.0, "1970-01-11")]
+    assert sorted(out.rejected.collect()) == [("items", "no item id", "::B::Drama"),
+                                              ("ratings", "rating is not a number", "1::10::x::9223372036854775807"),
+                                              ("ratings", "wrong number of fields", "1::10"),
+                                              ("users", "age is not a number", "2::M::old::3::123")]
+
+
 PARAM = "param string, row_index long, vec array<double>"
 
 

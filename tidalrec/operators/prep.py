@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidalrec.operators import split as S
 from tidalrec.operators.skew import lookup_join
+from tidalrec.sources.tables import stored
 
 # ---- fixed values (must equal the reference's labels) -------------------------------
 # age bucket edges, left-closed: [0,18) [18,25) [25,35) [35,45) [45,55) [55,65) [65,200)
@@ -114,14 +115,21 @@ class Prepared:
     rejected: DataFrame  # source, reason, line
 
 
-def _told_apart(raw: DataFrame, line: str, source: str, checks: list[tuple[Column, str]]) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected(source, reason, line)); the first check that holds names the reason."""
+def _judged(raw: DataFrame, line: str, checks: list[tuple[Column, str]]) -> DataFrame:
+    """Every row with its ``reason`` (null: good; the first check that holds names it); good rows keep their fields,
+    others their line."""
     reason = F.lit(None).cast("string")
     for bad, text in reversed(checks):
         reason = F.when(bad, F.lit(text)).otherwise(reason)
-    marked = raw.withColumn("reason", reason)
-    return (marked.where("reason is null").drop("reason", line),
-            marked.where("reason is not null").select(F.lit(source).alias("source"), "reason", F.col(line).alias("line")))
+    good = F.col("reason").isNull()
+    return raw.withColumn("reason", reason).select(
+        *(F.when(good, F.col(c)).alias(c) for c in raw.columns if c != line), F.when(~good, F.col(line)).alias(line), "reason")
+
+
+def _told_apart(judged: DataFrame, line: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected(source, reason, line))."""
+    return (judged.where("reason is null").drop("reason", line),
+            judged.where("reason is not null").select(F.lit(source).alias("source"), "reason", F.col(line).alias("line")))
 
 
 def _absent(c: str) -> Column:
@@ -132,41 +140,54 @@ def _not(kind: str, c: str) -> Column:
     return F.expr(f"try_cast({c} AS {kind}) IS NULL")
 
 
-def split_users(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
-    """Raw users told apart; an absent age is allowed, one that isn't a number is not."""
-    return _told_apart(raw, line, "users", [
+def _judge_users(raw: DataFrame, line: str) -> DataFrame:
+    return _judged(raw, line, [
         (~F.col("complete"), "wrong number of fields"), (_absent("user_id"), "no user id"),
         (~_absent("age") & _not("DOUBLE", "age"), "age is not a number")])
 
 
-def split_items(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
-    return _told_apart(raw, line, "items", [
-        (~F.col("complete"), "wrong number of fields"), (_absent("item_id"), "no item id")])
+def _judge_items(raw: DataFrame, line: str) -> DataFrame:
+    return _judged(raw, line, [(~F.col("complete"), "wrong number of fields"), (_absent("item_id"), "no item id")])
 
 
-def split_ratings(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
-    """Raw ratings told apart; a rating may be any finite number, a time is whole seconds since the epoch."""
+def _judge_ratings(raw: DataFrame, line: str) -> DataFrame:
     number = F.expr("try_cast(rating AS DOUBLE)")
-    return _told_apart(raw, line, "ratings", [
+    return _judged(raw, line, [
         (~F.col("complete"), "wrong number of fields"), (_absent("user_id"), "no user id"), (_absent("item_id"), "no item id"),
         (number.isNull() | F.isnan(number) | (F.abs(number) == float("inf")), "rating is not a number"),
         (_not("BIGINT", "timestamp"), "time is not a whole number")])
 
 
+def split_users(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
+    """Raw users told apart; an absent age is allowed, one that isn't a number is not."""
+    return _told_apart(_judge_users(raw, line), line, "users")
+
+
+def split_items(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
+    return _told_apart(_judge_items(raw, line), line, "items")
+
+
+def split_ratings(raw: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
+    """Raw ratings told apart; a rating may be any finite number, a time is whole seconds since the epoch."""
+    return _told_apart(_judge_ratings(raw, line), line, "ratings")
+
+
 def prepare_all(users: DataFrame, items: DataFrame, ratings: DataFrame, val_t: float = 0.2) -> Prepared:
     """users, items, train and val from raw text rows with ``line`` and ``complete`` (see ``read_lines``).
 
-    Every line is in exactly one of the five tables.
+    Every line is in exactly one of the five tables.  Lines are parsed and judged once: the judged rows are written
+    under the checkpoint folder, and all tables and the split's bounds are read from there.
     """
-    (u, bad_u), (i, bad_i), (r, bad_r) = split_users(users), split_items(items), split_ratings(ratings)
-    rows = prepare_ratings(r)
+    u, bad_u = _told_apart(stored(_judge_users(users, "line"), "judged"), "line", "users")
+    i, bad_i = _told_apart(stored(_judge_items(items, "line"), "judged"), "line", "items")
+    rows, bad_r = _told_apart(stored(prepare_ratings(_judge_ratings(ratings, "line"), "line", "reason"), "judged"), "line", "ratings")
     train, val = S.split_at(rows, "timestamp", S.split_threshold(rows, "timestamp", val_t))
     return Prepared(prepare_users(u), prepare_items(i), train, val, bad_u.unionByName(bad_i).unionByName(bad_r))
 
 
-def prepare_ratings(raw: DataFrame) -> DataFrame:
-    """raw: user_id, item_id, rating, epoch seconds."""
+def prepare_ratings(raw: DataFrame, *more: str) -> DataFrame:
+    """raw: user_id, item_id, rating, epoch seconds; ``more``: columns that are carried along."""
     return raw.select(F.col("user_id").cast("string").alias("user_id"),
                       F.col("item_id").cast("string").alias("item_id"),
                       F.expr("try_cast(rating AS DOUBLE)").alias("rating"),
-                      epoch_to_date(F.expr("try_cast(timestamp AS BIGINT)")).alias("timestamp"))
+                      epoch_to_date(F.expr("try_cast(timestamp AS BIGINT)")).alias("timestamp"), *more)
