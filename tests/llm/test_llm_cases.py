@@ -170,6 +170,60 @@ def test_dropout_draws_for_each_occurrence():
         assert len(set(drawn)) > (3 if "①" in word else 4)
 
 
+def test_dropout_tree_keeps_what_is_used():
+    """A full tree goes on with its most used half (it was emptied, and words met all the time segmented anew)."""
+    import random
+    rnd = random.Random(5)
+    often = [f" common{'abcdefghij'[k]}" for k in range(10)]
+    texts = ["".join([*often * 20, *(" r" + "".join(rnd.choices("abcdefgh", k=9)) for _ in range(120))])
+             for _ in range(40)]
+    small = merge_dropout.Codec(merge_dropout.Dropout(cache_units=600))
+    whole = merge_dropout.Codec(merge_dropout.Dropout(cache_units=10**9))
+    done, segment_all = [], small._segment_all
+
+    def counted(units, keys):
+        done.extend(units if keys is None else [])
+        return segment_all(units, keys)
+
+    small._segment_all = counted
+    for k, text in enumerate(texts):
+        assert small.encode(text, k).tolist() == whole.encode(text, k).tolist()
+        for w, i in small._child.items():                       # a node's parent is kept and used no less
+            assert small._uses[w >> 16] >= small._uses[i]
+    assert max(done.count("▁" + word[1:]) for word in often) == 1
+    assert len(done) > 4_000
+
+
+def test_dropout_rows_of_all_widths_agree_with_the_heap():
+    codec = merge_dropout.Codec(merge_dropout.Dropout(rate=0.3))
+    units = [("▁international①éxyz" * 3)[:n] for n in range(1, 49)] * 3 + ["①", "▁▁▁", "a" * 48, "①②③"]
+    keys = np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    seen = set()
+    for some, blobs, _, _ in codec._segment_all(units, keys):
+        for at, blob in zip(some, blobs, strict=True):
+            assert blob == codec._unit_ids(units[at], int(keys[at]))
+        seen.update(some)
+    assert seen == set(range(len(units)))
+
+
+def test_dropout_decodes_many_texts_at_once(spark):
+    """A group of texts is decoded in one step; null ids, no ids and ids that stand for no bytes as before."""
+    codec = merge_dropout.Codec(merge_dropout.Dropout(rate=0.3))
+    texts = ["", "a", " ", "Grüße ① \n\n x", "", "\0▁ nul ▁", "  two  spaces\t\r", "été" * 50]
+    ids = codec.encode_all(texts, range(len(texts)))
+    got = codec.decode_all(np.concatenate(ids), np.array(list(map(len, ids))))
+    assert got.to_pylist() == texts
+    rows = [(k, x.tolist()) for k, x in enumerate(ids)] + [(90, None), (91, [])]
+    frame = spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1)
+    assert {r.doc_id: r.text for r in merge_dropout.decode(frame).collect()} == {
+        **dict(enumerate(texts)), 90: None, 91: ""}
+    for bad in (-1, 10**6, 1):                                   # 1: a control id
+        with pytest.raises(KeyError):
+            codec.decode(np.array([bad]))
+    with pytest.raises(ValueError):
+        codec.decode_all(np.array([codec._bytes[0x20], codec._bytes[0xC3]]), np.array([2]))
+
+
 def test_language_cases(spark, docs, none):
     p = byte_cnn.ByteCnn(steps=5)
     w, langs = byte_cnn.fit(docs.select("text", "lang"), p)

@@ -9,8 +9,8 @@ change.  The key holds the seed, the document's id, the unit's position in the
 document and the number of the turn, so each occurrence of a unit draws for
 itself.  A segmentation depends on the unit and on the turns skipped alone, so a
 worker keeps those it has seen as a tree: from a unit's node without a skip, one
-child for each turn that may be skipped next.  Occurrences walk down the tree
-turn by turn; where a child is missing, the agendas of all such occurrences of a
+child for each turn that may be skipped next; a full tree goes on with the half
+of its nodes used most.  Occurrences walk down the tree turn by turn; where a child is missing, the agendas of all such occurrences of a
 group of texts advance together, one candidate each per turn, as numpy rows;
 long units go through a heap one at a time, with the same result.  With rate 0
 the result is the model's own encoding.
@@ -31,6 +31,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ SPACE = "▁"
 _NEVER = np.iinfo(np.int32).max
 GROUP_CHARS = 500_000    # texts are handled together up to this many characters; a longer one alone
 _LONG = 48               # longer units are segmented one at a time
+_STEP, _ROWS = 4, 30_000  # the others in rows as wide as the next multiple of _STEP, _ROWS at a time
 
 
 @dataclass(frozen=True)
@@ -77,12 +79,39 @@ class Pieces:
                 self._ids[piece] = i
                 order.append((-sp.get_score(i), i, piece))
         self._rank = {piece: r for r, (_, _, piece) in enumerate(sorted(order)) if len(piece) > 1}
-        self._bytes_of = {i: piece.replace(SPACE, " ").encode() for piece, i in self._ids.items()}
-        self._bytes_of |= {i: bytes([b]) for b, i in self._bytes.items()}
+        bytes_of = {i: piece.replace(SPACE, " ").encode() for piece, i in self._ids.items()}
+        bytes_of |= {i: bytes([b]) for b, i in self._bytes.items()}
+        # the bytes of all pieces in one array; ids that stand for no bytes have none
+        self._n_bytes = np.zeros(self._size, np.int64)
+        self._n_bytes[list(bytes_of)] = list(map(len, bytes_of.values()))
+        self._from = np.cumsum(self._n_bytes) - self._n_bytes
+        self._pool = np.frombuffer(b"".join(bytes_of[i] for i in sorted(bytes_of)), np.uint8)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: the bytes of the pieces as UTF-8, without the first space."""
-        return b"".join(map(self._bytes_of.__getitem__, ids.tolist()))[1:].decode()
+        return self.decode_all(np.asarray(ids), np.array([len(ids)]))[0].as_py()
+
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> pa.StringArray:
+        """The texts of consecutive runs of ids, of ``counts`` ids each."""
+        if len(ids) and not 0 <= ids.min() <= ids.max() < self._size:
+            raise KeyError("an id outside the model")
+        sizes, begin = self._n_bytes[ids], self._from[ids]
+        if not sizes.all():
+            raise KeyError(int(ids[sizes.argmin()]))
+        last = np.cumsum(counts)
+        first = (last - counts)[counts > 0]
+        sizes[first] -= 1
+        begin[first] += 1
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        blocks = [np.empty(0, np.uint8)]
+        for a in range(0, len(ids), GROUP_CHARS):
+            b = min(a + GROUP_CHARS, len(ids))
+            blocks.append(self._pool[np.repeat(begin[a:b] - ends[a:b], sizes[a:b]) + np.arange(ends[a], ends[b])])
+        data = np.concatenate(blocks)
+        offsets = np.concatenate([[0], ends[last]]).astype(np.int32)
+        texts = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets), pa.py_buffer(data))
+        texts.validate(full=True)
+        return texts
 
 
 class Codec(Pieces):
@@ -94,7 +123,7 @@ class Codec(Pieces):
         if any(SPACE in piece.lstrip(SPACE) for piece in self._rank):
             raise ValueError("a piece of the model crosses a space")
         alone = "".join(c for c in "\n\t\r\0" if not any(c in piece for piece in self._rank))
-        self._units = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+|[{alone}]").findall
+        self._alone = alone.replace("\0", "")
         self._p = p
         self._below = np.uint64(int(p.rate * 2.0**32))
         self._forget()
@@ -104,16 +133,33 @@ class Codec(Pieces):
             if len(piece) == 1:
                 self._char_id[ord(piece)] = i
         self._rank_by_id = np.full(self._size + 1, _NEVER, np.int32)
-        pairs = {}
+        pairs: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for piece, r in self._rank.items():
             self._rank_by_id[self._ids[piece]] = r
             for k in range(1, len(piece)):
                 left, right = self._ids.get(piece[:k]), self._ids.get(piece[k:])
                 if left is not None and right is not None:
-                    pairs[left << 32 | right] = self._ids[piece]
-        keys = sorted(pairs)
-        self._pair = np.array([*keys, np.iinfo(np.int64).max])
-        self._pair_id = np.array([*(pairs[k] for k in keys), self._size], np.int32)
+                    pairs[left].append((right, self._ids[piece]))
+        self._place(pairs)
+
+    def _place(self, pairs: dict[int, list[tuple[int, int]]]) -> None:
+        """One table of all pairs: a left piece's right ones lie at their ids from a place where no other's lie."""
+        room = max(self._size, 8 * sum(map(len, pairs.values())))
+        self._shift = np.zeros(self._size + 1, np.int64)
+        self._pair = np.full(room + self._size + 1, -1, np.int64)      # left << 32 | merged
+        shift = 0
+        for left, some in sorted(pairs.items(), key=lambda x: -len(x[1])):
+            right, merged = np.array(some).T
+            for _ in range(200):
+                if (self._pair[right + shift] < 0).all():
+                    break
+                shift = (shift + 0x9E3779B1) % room
+            else:                                                       # a place of its own
+                shift = len(self._pair)
+                self._pair = np.append(self._pair, np.full(self._size + 1, -1))
+            self._shift[left] = shift
+            self._pair[right + shift] = left << 32 | merged
+            shift %= room
 
     # -- segmentation
 
@@ -123,8 +169,12 @@ class Codec(Pieces):
 
     def _skipped(self, keys: np.ndarray, turn: int | np.ndarray) -> np.ndarray:
         """Whether the candidate whose turn it is gets skipped (uint64 keys)."""
+        return self._below_rate(mix64(keys), turn)
+
+    def _below_rate(self, seeds: np.ndarray, turn: int | np.ndarray) -> np.ndarray:
+        """``_skipped`` of keys that are mixed already."""
         step = np.asarray(turn, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return mix64(mix64(keys) + step) >> np.uint64(32) < self._below
+        return mix64(seeds + step) >> np.uint64(32) < self._below
 
     def segment(self, unit: str, draw: int) -> list[str]:
         """Pieces of a unit: the best candidate first, then the leftmost."""
@@ -163,85 +213,108 @@ class Codec(Pieces):
 
     def _merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ids of the pieces that neighbouring pieces make; the id after the last where they make none."""
-        want = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self._pair, want)
-        return np.where(self._pair[at] == want, self._pair_id[at], self._pair_id[-1])
+        found = self._pair[self._shift[left] + right]
+        return np.where(found >> 32 == left, found & 0xFFFFFFFF, self._size)
 
     def _segment_rows(self, chars: np.ndarray, keys: np.ndarray | None, turns: np.ndarray | None = None,
                       last: np.ndarray | None = None) -> np.ndarray:
-        """Ids after all merges of units of one length, given as rows of character ids; -1 where merged away.
+        """Ids after all merges of units given as rows of character ids; -1 where merged away.
 
-        Without keys nothing is skipped.  ``turns`` and ``last``, if given, receive
-        each row's number of turns and the last turn it skipped.
+        A negative id is never merged.  Without keys nothing is skipped.  ``turns``
+        and ``last``, if given, receive each row's number of turns and the last turn
+        it skipped.
         """
         rows, n = chars.shape
-        keys = None if keys is None else np.asarray(keys).astype(np.uint64)
-        turn = -1
-        ids = chars.copy()
-        into = np.full((rows, n), len(self._rank_by_id) - 1, np.int32)   # by the left symbol's start
-        into[:, :-1] = self._merged(ids[:, :-1], ids[:, 1:])
+        seeds = None if keys is None else mix64(np.asarray(keys).astype(np.uint64))
+        # all rows in one array, a cell without a piece after each; the first row's left neighbour is the last cell
+        none, width, cells = self._size, n + 1, rows * (n + 1)
+        ids = np.full((rows, width), none, np.int64)
+        ids[:, :n] = np.where(chars < 0, none, chars)
+        ids = ids.ravel()
+        into = self._merged(ids, np.append(ids[1:], none))               # by the left symbol's cell
         rank = self._rank_by_id[into]
-        nxt = np.tile(np.arange(1, n + 1), (rows, 1))
-        prv = np.tile(np.arange(-1, n), (rows, 1))
-        live = np.arange(rows)
+        by_row = rank.reshape(rows, width)
+        nxt, prv = np.arange(1, cells + 1), np.arange(-1, cells - 1)
+        turn, live = 0, np.arange(rows)
         while True:
-            start = rank[live].argmin(axis=1)
-            found = rank[live, start] != _NEVER
-            live, start = live[found], start[found]
+            start = (by_row if len(live) == rows else by_row[live]).argmin(axis=1)
+            start += live * width
+            found = rank[start] != _NEVER
+            if not found.all():
+                live, start = live[found], start[found]
             if not len(live):
-                return ids
-            turn += 1
+                break
             if turns is not None:
                 turns[live] = turn + 1
-            mid = nxt[live, start]
-            end = nxt[live, mid]
-            skip = np.zeros(len(live), bool) if keys is None else self._skipped(keys[live], turn)
-            rank[live[skip], start[skip]] = _NEVER
-            if last is not None:
-                last[live[skip]] = turn
-            r, a, b, c = live[~skip], start[~skip], mid[~skip], end[~skip]
-            ids[r, a] = into[r, a]
-            ids[r, b] = -1
-            rank[r, b] = _NEVER
-            nxt[r, a] = c
-            prv[r, c] = a
-            rank[r, a] = _NEVER
-            before = prv[r, a]
-            for has, x, y in ((c < n, a, c), (before >= 0, before, a)):
-                q, x, y = r[has], x[has], y[has]
-                into[q, x] = m = self._merged(ids[q, x], ids[q, y])
-                rank[q, x] = self._rank_by_id[m]
+            if seeds is not None:
+                skip = self._below_rate(seeds[live], turn)
+                rank[start[skip]] = _NEVER
+                if last is not None:
+                    last[live[skip]] = turn
+                start = start[~skip]
+            turn += 1
+            mid = nxt[start]
+            end = nxt[mid]
+            ids[start] = into[start]
+            ids[mid] = -1
+            rank[mid] = _NEVER
+            nxt[start] = end
+            prv[end] = start
+            x, y = np.concatenate([prv[start], start]), np.concatenate([start, end])
+            into[x] = m = self._merged(ids[x], ids[y])
+            rank[x] = self._rank_by_id[m]
+        ids = ids.reshape(rows, width)[:, :n]
+        return np.where(ids == none, chars, ids).astype(np.int32)
 
     def _forget(self) -> None:
         """Empties the tree; node 0 stands for occurrences that are segmented on their own."""
         self._node: dict[str | bytes, int] = {}      # a unit's node without a skip
         self._child: dict[int, int] = {}             # by parent << 16 | turn skipped next
-        self._blobs, self._turns = [b""], np.zeros(1024, np.int64)
+        self._blobs = [b""]
+        self._turns, self._uses = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+
+    def _thin(self) -> None:
+        """Keeps the nodes used most, half of the cache at most; a parent is used no less than its children."""
+        uses = self._uses[:len(self._blobs)]
+        order, half = np.sort(uses[1:])[::-1], self._p.cache_units // 2
+        keep = uses > (order[half] if half < len(order) else 0)
+        keep[0] = True
+        kept, to = np.flatnonzero(keep), (np.cumsum(keep) - 1).tolist()
+        keep = keep.tolist()
+        self._node = {unit: to[i] for unit, i in self._node.items() if keep[i]}
+        self._child = {to[w >> 16] << 16 | w & 0xFFFF: to[i] for w, i in self._child.items() if keep[i]}
+        self._blobs = [self._blobs[i] for i in kept.tolist()]
+        self._turns, self._uses = self._turns[kept], uses[kept] // 2
 
     def _add(self, blobs: list[bytes], turns: np.ndarray) -> range:
         at, end = len(self._blobs), len(self._blobs) + len(blobs)
         if end > len(self._turns):
             self._turns = np.concatenate([self._turns, np.zeros(end, np.int64)])
+            self._uses = np.concatenate([self._uses, np.zeros(end, np.int64)])
         self._blobs += blobs
         self._turns[at:end] = turns
+        self._uses[at:end] = 1
         return range(at, end)
 
     def _segment_all(self, units: list[str], keys: np.ndarray | None
                      ) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray]]:
-        """(places in units, ids, turns, last turns skipped) by length, of units of up to _LONG characters."""
-        by_length: dict[int, list[int]] = defaultdict(list)
-        for at, n in enumerate(map(len, units)):
-            by_length[n].append(at)
-        for n, some in by_length.items():
+        """(places in units, ids, turns, last turns skipped) by width, of units of up to _LONG characters."""
+        by_width: dict[int, list[int]] = defaultdict(list)
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        for at, n in enumerate((-(-lengths // _STEP) * _STEP).tolist()):
+            by_width[n].append(at)
+        for width, some in ((n, all_[a:a + _ROWS]) for n, all_ in by_width.items() for a in range(0, len(all_), _ROWS)):
             codes = np.frombuffer("".join([units[at] for at in some]).encode("utf-32-le"), "<u4").astype(np.int32)
-            chars = self._char_id[codes]
-            chars = np.where(chars < 0, -2 - codes, chars).reshape(-1, n)    # outside the model: never merged
+            filled = np.arange(width) < lengths[some][:, None]
+            chars = np.full(filled.shape, -1, np.int32)
+            flat = self._char_id[codes]
+            chars[filled] = np.where(flat < 0, -2 - codes, flat)         # outside the model: never merged
             turns, last = np.zeros(len(some), np.int64), np.full(len(some), -1)
             ids = self._segment_rows(chars, None if keys is None else keys[some], turns, last)
             kept = ids != -1
             flat, ends = ids[kept].astype("<i4").tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
             blobs = [flat[a:b] for a, b in zip([0, *ends], ends)]
-            for at in np.flatnonzero((chars < 0).any(axis=1)).tolist():
+            for at in np.flatnonzero((chars < -1).any(axis=1)).tolist():
                 blobs[at] = self._spelled(blobs[at])
             yield some, blobs, turns, last
 
@@ -264,6 +337,16 @@ class Codec(Pieces):
 
     # -- texts
 
+    def _units(self, run: str) -> list[str]:
+        """Units of a run without NUL and the space mark, which NUL parts here."""
+        spaced = run.replace(" ", "\0" + SPACE)
+        if "  " in run:
+            spaced = spaced.replace(SPACE + "\0", SPACE)
+        for c in self._alone:
+            if c in run:
+                spaced = spaced.replace(c, f"\0{c}\0")
+        return list(filter(None, spaced.split("\0")))
+
     def _cut(self, text: str, key: int) -> tuple[list[str | bytes], np.ndarray]:
         """A text's units and their draws; the space mark itself and NUL are the ids of their bytes."""
         units: list[str | bytes] = []
@@ -272,31 +355,37 @@ class Codec(Pieces):
                 units += [] if units else [SPACE]
                 units.append(np.asarray([self._bytes[b] for b in run.encode()], "<u4").tobytes())
             elif run:
-                units += self._units(("" if units else SPACE) + run.replace(" ", SPACE))
+                units += self._units(("" if units else " ") + run)
         return units, mix64(np.arange(len(units), dtype=np.uint64) + np.uint64(key))
 
     def _encode_group(self, cut: list[tuple[list[str | bytes], np.ndarray]]) -> list[np.ndarray]:
         if len(self._blobs) > self._p.cache_units:
-            self._forget()
-        units = [unit for some, _ in cut for unit in some]
+            self._thin()
+        units = list(chain.from_iterable(some for some, _ in cut))
         draws = np.concatenate([np.empty(0, np.uint64), *(d for _, d in cut)])
-        unseen = set(units).difference(self._node)
+        node_of, child_of = self._node.get, self._child.get
+        node = np.fromiter(map(node_of, units, repeat(0)), np.int64, len(units))
+        unknown = np.flatnonzero(node == 0).tolist()
+        unseen = dict.fromkeys([units[i] for i in unknown])
         for unit in unseen:
             if isinstance(unit, bytes):
                 self._node[unit], = self._add([unit], np.zeros(1))
         new = [unit for unit in unseen if isinstance(unit, str) and len(unit) <= _LONG]
         for some, blobs, turns, _ in self._segment_all(new, None):
             self._node.update(zip([new[at] for at in some], self._add(blobs, turns)))
-        node_of, child_of = self._node.get, self._child.get
-        node = np.array([node_of(unit, 0) for unit in units], np.int64)
+        node[unknown] = [node_of(units[i], 0) for i in unknown]
         alone = np.flatnonzero(node == 0).tolist()
+        self._uses += np.bincount(node, minlength=len(self._uses))
 
         lost, wanted = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        seeds = mix64(draws)
         turn, active = 0, np.flatnonzero(self._turns[node] > 0) if self._below else np.empty(0, np.int64)
         while len(active):
-            hit = active[self._skipped(draws[active], turn)]
-            want, back = np.unique(node[hit] << 16 | turn, return_inverse=True)
-            node[hit] = np.array([child_of(w, 0) for w in want.tolist()], np.int64)[back]
+            hit = active[self._below_rate(seeds[active], turn)]
+            want, back, times = np.unique(node[hit] << 16 | turn, return_inverse=True, return_counts=True)
+            child = np.fromiter(map(child_of, want.tolist(), repeat(0)), np.int64, len(want))
+            self._uses[child] += times
+            node[hit] = child[back]
             gone = node[hit] == 0
             lost.append(hit[gone])
             wanted.append(want[back[gone]])
@@ -304,7 +393,7 @@ class Codec(Pieces):
             active = active[self._turns[node[active]] > turn]
         lost, wanted = np.concatenate(lost), np.concatenate(wanted)
 
-        out = [self._blobs[i] for i in node.tolist()]
+        out = list(map(self._blobs.__getitem__, node.tolist()))
         for i in alone:
             out[i] = self._unit_ids(units[i], int(draws[i]))
         places = lost.tolist()
@@ -338,9 +427,8 @@ def pieces_of(p: Dropout) -> Pieces:
     return Pieces(p)
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of (id, text) rows with about GROUP_CHARS bytes of text each."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+def _groups(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Slices of rows whose sizes add up to about GROUP_CHARS each."""
     group = np.cumsum(sizes, dtype=np.int64) // GROUP_CHARS
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
@@ -353,7 +441,7 @@ def encode(docs: DataFrame, p: Dropout = Dropout(), id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(p)
         for batch in batches:
-            for part in _groups(batch):
+            for part in _groups(batch, pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()):
                 keys = [xxhash.xxh3_64_intdigest(b"%d" % (-1 if i is None else i), p.seed)
                         for i in part.column(0).to_pylist()]
                 ids = codec.encode_all([t or "" for t in part.column(1).to_pylist()], keys)
@@ -370,9 +458,16 @@ def decode(encoded: DataFrame, p: Dropout = Dropout()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(p)
         for batch in batches:
-            texts = [pieces.decode(np.asarray(x.values)) if x.values is not None else None for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                                             names=["doc_id", "ids", "text"])
+            sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0)
+            for part in _groups(batch, sizes.to_numpy()):
+                lists = part.column(1)
+                ids = lists.flatten()
+                if ids.null_count:
+                    raise KeyError(None)
+                texts = pieces.decode_all(ids.to_numpy(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+                if lists.null_count:
+                    texts = pc.if_else(lists.is_valid(), texts, None)
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, texts], names=["doc_id", "ids", "text"])
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
