@@ -116,3 +116,71 @@ def test_a_fit_compares_few_rows_at_once(monkeypatch):
     whole = PQ.lloyd(x, 9, 1, False)
     monkeypatch.setattr(PQ, "FIT_STEP", 37)
     assert np.allclose(PQ.lloyd(x, 9, 1, False), whole)
+
+
+def _streamed(k, queries, items, ids, seen=(), scale=1.0, ks=None):
+    """Lists of one block, whose items come in records of 50."""
+    g = VS._Group(k, scale, None, True, 0)
+    ks = np.full(len(queries), k) if ks is None else ks
+    g.add(VS.QUERIES, np.arange(len(queries)), ks, queries.ravel())
+    if len(seen):
+        g.add(VS.SEEN, seen[:, 0], seen[:, 1], np.empty(0))
+    for a in range(0, len(ids), 50):
+        g.add(VS.ITEMS, ids[a:a + 50], ids[a:a + 50], items[a:a + 50].ravel())
+    out = [r for b in g.lists() for r in b.to_pylist()]
+    return sorted((r["qid"], -r["score"], r["item_id"]) for r in out), out
+
+
+@pytest.mark.parametrize("kind", ["random", "ties", "same", "odd"])
+def test_passed_over_leaves_hold_nothing_of_a_list(monkeypatch, kind):
+    """Items come in many chunks; lists equal those of all pairs, with ties, seen items, numbers that are none, and a negative scale."""
+    monkeypatch.setattr(VS, "CHUNK_FIRST", 60)
+    monkeypatch.setattr(VS, "CHUNK_ROWS", 400)
+    monkeypatch.setattr(VS, "TILE_QUERIES", 4)
+    monkeypatch.setattr(VS, "SCORE_BYTES", 16 * 8 * 8)  # leaves of 8
+    rnd = np.random.default_rng(9)
+    q, x = rnd.normal(size=(40, 3)), rnd.normal(size=(1500, 3))
+    if kind == "ties":
+        q, x = np.round(q), np.round(x)
+    if kind == "same":
+        x[:] = x[0]
+    if kind == "odd":
+        x[7], x[20, 1], q[3, 0] = np.nan, np.inf, np.nan
+    ids = rnd.permutation(5000)[:1500]
+    seen = np.stack([rnd.integers(0, 40, 4000), ids[rnd.integers(0, 1500, 4000)]], axis=1)
+    old = set(map(tuple, seen.tolist()))
+    for scale, ks in ((1.0, np.full(40, 6)), (-2.0, rnd.integers(0, 9, 40))):
+        got, rows = _streamed(None, q, x, ids, seen, scale, ks)
+        want = []
+        for i in range(40):
+            s = [(-(float(q[i] @ v) * scale), int(j)) for j, v in zip(ids, x) if (i, int(j)) not in old]
+            want += [(i, *r) for r in sorted(r for r in s if np.isfinite(r[0]))[:ks[i]]]
+        assert [(a, c) for a, _, c in got] == [(a, c) for a, _, c in want]
+        assert np.allclose([b for _, b, _ in got], [b for _, b, _ in want])
+        by_id = dict(zip(ids.tolist(), x))
+        assert all(np.array_equal(r["vec"], by_id[r["item_id"]], equal_nan=True) for r in rows)
+
+
+def test_a_search_scores_few_pairs_and_ties_make_no_news(monkeypatch):
+    """Near-by items only are scored; equal scores of later ids don't pile up (they did: every tie was merged again)."""
+    rnd = np.random.default_rng(10)
+    shown, merged = [], []
+    show, merge = VS._Best.show, VS._Best.merge
+    monkeypatch.setattr(VS._Best, "show", lambda self, s, *a: (shown.append(s.size), show(self, s, *a)))
+    monkeypatch.setattr(VS._Best, "merge", lambda self: (merged.append(sum(len(x[0]) for x in self.new)), merge(self)))
+    q, x = rnd.normal(size=(300, 3)), rnd.normal(size=(60_000, 3))
+    _streamed(5, q, x, np.arange(60_000))
+    assert sum(shown) < 0.4 * 300 * 60_000
+    merged.clear()
+    _streamed(5, q, np.ones_like(x), np.arange(60_000))
+    assert sum(merged) < 0.1 * 300 * 60_000
+
+
+def test_a_large_search_moves_items_as_often_as_there_are_query_blocks(spark):
+    """5,400,000 queries and 7,200,000 items: items moved 330 times and every query had 28 lists before."""
+    nq = spark.createDataFrame([(0, 5_400_000, 67_500_000)], "cell int, rows long, entries long")
+    ni = spark.createDataFrame([(0, 7_200_000, 8)], "cell int, rows long, dim int")
+    r = VS._block_counts(nq, ni).first()
+    assert r.n_q <= 24 and r.n_i == 1
+    few = VS._block_counts(spark.createDataFrame([(0, 10)], "cell int, rows long"), ni).first()
+    assert few.n_q == 1 and few.n_i >= 12  # a few queries' items are searched by many tasks

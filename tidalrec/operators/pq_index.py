@@ -33,6 +33,7 @@ from tidalrec.session import cut_lineage
 FIT_ROWS = 65_536
 WORDS = 256
 CODE_ROWS = 16_384  # rows of a block of codes
+QUERY_CHUNK = 16_384  # queries that meet a block of codes at once
 FIT_STEP = 4_096  # rows that a fit compares with its centres at once
 INNER = 1 << 20  # an inner cell's id is outer * INNER + inner
 
@@ -155,7 +156,7 @@ def _code_lists(probes: DataFrame, index: PQIndex, take: int) -> DataFrame:
     nq = probes.groupBy("cell").agg(F.count("vec").alias("rows"))
     ni = items.groupBy("cell").agg(F.count("code").alias("rows"))
     per_block = F.lit(CODE_ROWS)
-    sizes = F.broadcast(nq.select("cell", VS._n_blocks(F.col("rows"), F.lit(VS.QUERY_CHUNK)).alias("n_q")).join(
+    sizes = F.broadcast(nq.select("cell", VS._n_blocks(F.col("rows"), F.lit(QUERY_CHUNK)).alias("n_q")).join(
         ni.select("cell", VS._n_blocks(F.col("rows"), per_block).alias("n_i")), "cell"))  # a row per cell, sqrt(n) at most
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     q = (probes.join(sizes, "cell").withColumn("qb", VS._block_of("qid", "n_q"))
