@@ -53,3 +53,23 @@ def test_training_rows_with_forced_skew_path(spark, monkeypatch):
     monkeypatch.setattr(TRr, "BROADCAST_LOOKUP", 0)
     forced = sorted(map(tuple, C.train_rows_positive(spark, "/root/testdata/sf0.001").collect()))
     assert base == forced
+
+
+def test_positives_of_labeled_rows_are_computed_once(spark):
+    """Both parts read the stored positives: no plan above them joins or reads the facts again (both did before)."""
+    from tidalrec.operators.store import EntityStore
+    facts = spark.range(60).select(F.col("id").cast("string").alias("row_key"), (F.col("id") % 9).alias("l_partkey"),
+                                   (F.col("id") % 4).alias("user_id"), (F.col("id") % 9 + 1).alias("item_id"),
+                                   F.lit(1.0).alias("label"), F.lit(0).alias("draw"), (F.col("id") % 9 + 1).alias("item_position"),
+                                   F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("item_c"))
+    table = spark.createDataFrame([(str(i), i + 1, i % 3) for i in range(9)], "id_key string, position long, c long")
+    store = EntityStore(table, "c", ["c"], ["c"], [], 9)
+    rows = TR.labeled_rows(facts, store, 2, 7, "l_partkey")
+    assert "Range (0, 60" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = rows.collect()
+    assert len(got) == 180 and rows.columns == facts.columns
+    assert sorted(map(tuple, (r for r in got if r.label))) == sorted(map(tuple, facts.collect()))
+    drawn = {(r.row_key, r.draw): r for r in got if not r.label}
+    want = {(r.row_key, r.draw): r.neg_position for r in TR.sample_negative_positions(facts.drop("draw"), 2, 9, 7).collect()}
+    assert {k: r.item_position for k, r in drawn.items()} == want
+    assert all(r.l_partkey == r.item_position - 1 and r.item_c == r.l_partkey % 3 for r in drawn.values())
