@@ -184,3 +184,20 @@ def test_a_large_search_moves_items_as_often_as_there_are_query_blocks(spark):
     assert r.n_q <= 24 and r.n_i == 1
     few = VS._block_counts(spark.createDataFrame([(0, 10)], "cell int, rows long"), ni).first()
     assert few.n_q == 1 and few.n_i >= 12  # a few queries' items are searched by many tasks
+
+
+def test_a_search_shuffles_small_records(spark, monkeypatch):
+    """Rows travel as records of at most PACK rows (a block of up to 16 MB was one record), all of them, to every block."""
+    monkeypatch.setattr(VS, "PACK", 16)
+    rnd = np.random.default_rng(11)
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rnd.normal(size=(70, 3)))], "qid long, vec array<double>")
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rnd.normal(size=(90, 3)))], "item_id long, vec array<double>")
+    longest = []
+    rows = q.select(F.lit(0).cast("long").alias("cell"), F.lit(0).alias("x"), F.lit(1).alias("y"), F.col("qid").alias("a"),
+                    F.col("qid").alias("b"), "vec")
+    packed = list(VS._pack(iter(rows.toArrow().to_batches())))
+    longest = [len(a) for r in packed for a in r.column("a").to_pylist()]
+    assert max(longest) <= 16 and sum(longest) == 70
+    want = {(r.qid, r["rank"]): r.item_id for r in VS.exact_topk(q, c, 5).collect()}
+    monkeypatch.setattr(VS, "QUERY_CHUNK", 9)
+    assert {(r.qid, r["rank"]): r.item_id for r in VS.exact_topk(q, c, 5).collect()} == want and len(want) == 350
